@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlake.functions.text import blank
 from ledgerlake.operators.joins import bounded_broadcast
+from ledgerlake.operators.reshape import literal_frame
 
 
 class DataQualityError(ValueError):
@@ -77,7 +78,7 @@ def domain_check(df: DataFrame, column: str, expected: Sequence, domain: str | N
     DQ-17): one row per value that is unexpected or missing. The expected set
     is configuration, broadcast with its literal size as bound."""
     spark = df.sparkSession
-    exp = spark.createDataFrame([(str(v),) for v in expected], StructType([StructField("value", StringType())]))
+    exp = literal_frame(spark, [(str(v),) for v in expected], [("value", "string")])
     exp = bounded_broadcast(exp, len(expected))
     actual = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
     unexpected = actual.join(exp, "value", "left_anti").withColumn("side", F.lit("unexpected"))
@@ -89,5 +90,4 @@ def domain_check(df: DataFrame, column: str, expected: Sequence, domain: str | N
 def issues_frame(spark: SparkSession, issues: list[dict]) -> DataFrame:
     """Issue rows (type, id, output_path, produced_by, detail, regenerate)."""
     cols = ["type", "id", "output_path", "produced_by", "detail", "regenerate"]
-    schema = StructType([StructField(c, StringType()) for c in cols])
-    return spark.createDataFrame([tuple(i.get(c) for c in cols) for i in issues], schema)
+    return literal_frame(spark, [tuple(i.get(c) for c in cols) for i in issues], [(c, "string") for c in cols])

@@ -33,3 +33,15 @@ def has_data(values: Sequence) -> Column:
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Bind rows by column name; columns missing in a frame become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def literal_frame(spark, rows, columns) -> DataFrame:
+    """A small fixed table (configuration, a vocabulary) built JVM-side as an
+    ``inline`` of literal structs - no Python RDD, no Python worker.
+
+    ``columns``: sequence of ``(name, spark_type)``.
+    """
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in columns])
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, columns)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

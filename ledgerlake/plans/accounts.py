@@ -25,7 +25,7 @@ from ledgerlake.operators.joins import bounded_broadcast, null_safe_join, occurr
 from ledgerlake.operators.measures import ReferenceSeries, augment_monetary
 from ledgerlake.operators.periods import annualize, complete_years, extrapolate_year, latest, rebase
 from ledgerlake.operators.quality import duplicate_keys
-from ledgerlake.operators.reshape import has_data, require_columns, unpivot, union_by_name
+from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot, union_by_name
 from ledgerlake.operators.windows import running_balance
 from ledgerlake.sources.cells import cells_to_long, header_values, select_range
 
@@ -314,9 +314,9 @@ def cash_monthly(actuals: DataFrame, opening_sheet: DataFrame, cash: CashConfig
     min_income = actuals.where((F.col("year") == latest_year - 1) & (F.col("header_code") == cash.income_account) &
                                F.col("sub_header_code").isNull() & F.col("item_code").isNull()) \
         .groupBy("empresa").agg((strict_sum("valor") / F.lit(12.0)).alias("saldo_minimo_ingresos"))
-    schema = StructType([StructField("empresa", StringType()), StructField("saldo_minimo_gastos", DoubleType())])
-    min_expense = bounded_broadcast(spark.createDataFrame(
-        [(k, v / 1e3) for k, v in cash.expense_minimums.items()], schema), len(cash.expense_minimums))
+    min_expense = bounded_broadcast(literal_frame(
+        spark, [(k, v / 1e3) for k, v in cash.expense_minimums.items()],
+        [("empresa", "string"), ("saldo_minimo_gastos", "double")]), len(cash.expense_minimums))
     opening = cash_opening(opening_sheet, latest_year, cash)
     bal = running_balance(moves.join(opening, ["empresa", "fecha"], "left"), "empresa", "fecha", "valor", "saldo")
     out = bal.select(*CODES, "empresa", "fecha", "saldo") \
@@ -331,4 +331,4 @@ def cash_monthly(actuals: DataFrame, opening_sheet: DataFrame, cash: CashConfig
 # --- CP-16 dashboard facts --------------------------------------------------
 
 def companies_frame(spark) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in COMPANIES], "empresa string")
+    return literal_frame(spark, [(c,) for c in COMPANIES], [("empresa", "string")])

@@ -34,7 +34,7 @@ from ledgerlake.operators.joins import (bounded_broadcast, canonicalize_by_table
 from ledgerlake.operators.measures import ReferenceSeries, augment_monetary, reference_checks
 from ledgerlake.operators.periods import YEARS_BOUND, annualize, complete_years, extrapolate_year, latest, rebase
 from ledgerlake.operators.quality import blank_count, domain_check, duplicate_keys, reconcile
-from ledgerlake.operators.reshape import has_data, require_columns, unpivot
+from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot
 from ledgerlake.operators.windows import running_balance
 from ledgerlake.plans import accounts, dashboard
 from ledgerlake.session import scratch_path
@@ -84,8 +84,8 @@ def money(c) -> Column:
 
 def line_headers(spark: SparkSession) -> DataFrame:
     """Line number -> header code: a six-row dimension (fixed vocabulary)."""
-    return spark.createDataFrame([(i, h) for i, h in enumerate(LINE_HEADERS, start=1)],
-                                 "l_linenumber int, header_code string")
+    return literal_frame(spark, list(enumerate(LINE_HEADERS, start=1)),
+                         [("l_linenumber", "int"), ("header_code", "string")])
 
 
 def line_accounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,8 +235,9 @@ def month_label_token(month: Column) -> Column:
 def priority_structure(spark: SparkSession) -> DataFrame:
     """Structure map for the order sheets: sheet row -> account code (the
     priority). A fixed vocabulary of five rows."""
-    return spark.createDataFrame([(6 + i, p, None, None) for i, p in enumerate(PRIORITIES, start=1)],
-                                 "row int, header_code string, sub_header_code int, item_code int")
+    return literal_frame(spark, [(6 + i, p, None, None) for i, p in enumerate(PRIORITIES, start=1)],
+                         [("row", "int"), ("header_code", "string"), ("sub_header_code", "int"),
+                          ("item_code", "int")])
 
 
 def resolve_order_cells(spark, cells: DataFrame) -> DataFrame:
