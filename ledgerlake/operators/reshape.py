@@ -35,13 +35,25 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(float(v)) + "D" if isinstance(v, float) else str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def literal_frame(spark, rows, columns) -> DataFrame:
-    """A small fixed table (configuration, a vocabulary) built JVM-side as an
-    ``inline`` of literal structs - no Python RDD, no Python worker.
+    """A small fixed table (configuration, a vocabulary) as a JVM-side
+    ``VALUES`` relation - no Python RDD, no Python worker, one call.
 
     ``columns``: sequence of ``(name, spark_type)``.
     """
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in columns])
-    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, columns)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f"c{i}" for i in range(len(columns)))
+    casts = ", ".join(f"CAST(c{i} AS {t}) AS `{n}`" for i, (n, t) in enumerate(columns))
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")

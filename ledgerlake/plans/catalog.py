@@ -70,8 +70,18 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    """A driver table; the DataFrame (file listing, footer schema) is reused
+    within a session - DataFrames are immutable, so sharing is safe."""
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def money(c) -> Column:
@@ -143,20 +153,26 @@ def driver_refs(spark: SparkSession, sf: str, m: MonetaryMethodology = DRIVER_ME
     base year; GDP = quarterly totals, complete years, summed, projection
     year extrapolated; rate = yearly mean of the order amounts (no
     completeness test)."""
-    od = table(spark, sf, "orders").select(
-        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
-        F.quarter("o_orderdate").alias("quarter"), F.col("o_totalprice").cast(DEC).alias("p"))
-    monthly = od.groupBy("year", "month").agg(F.sum("p").alias("v"))
+    # ONE pass over orders: monthly sum and count (a few hundred rows at any
+    # scale); every series below derives from it. Persisted because three
+    # series and two completeness sets read it.
+    monthly = table(spark, sf, "orders") \
+        .groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")) \
+        .agg(money("o_totalprice").alias("v"), F.count("o_totalprice").alias("n")) \
+        .withColumn("quarter", ((F.col("month") - 1) / 3 + 1).cast("int")) \
+        .persist()
     idx = annualize(monthly, "year", "v", "mean", out="__mean", complete=complete_years(monthly, "year", "month", 12),
                     first_year=m.first_year, last_year=m.projection_year)
     idx = rebase(idx, "year", "__mean", m.base_year, m.index_value).select("year", m.index_value)
-    quarterly = od.groupBy("year", "quarter").agg(F.sum("p").alias("v"))
+    quarterly = monthly.groupBy("year", "quarter").agg(F.sum("v").alias("v"))
     gdp = annualize(quarterly, "year", "v", "sum", out=m.gdp_value,
                     complete=complete_years(quarterly, "year", "quarter", 4),
                     first_year=m.first_year, last_year=m.projection_year)
     gdp = gdp.withColumn(m.gdp_value, F.col(m.gdp_value).cast("double"))
     gdp = extrapolate_year(gdp, "year", m.gdp_value, m.projection_year, m.gdp_growth_for_projection)
-    rate = annualize(od, "year", "p", "mean", out=m.rate_value, first_year=m.first_year, last_year=m.projection_year)
+    yearly = monthly.where(F.col("year").between(m.first_year, m.projection_year)) \
+        .groupBy("year").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    rate = yearly.select("year", (F.col("v").cast("double") / F.col("n")).alias(m.rate_value))
     return ReferenceSeries(idx, gdp, rate)
 
 
@@ -213,17 +229,20 @@ def order_cells(spark: SparkSession, sf: str) -> DataFrame:
                 (F.col("r_regionkey") + 2).cast("int").alias("col"), "r_name", "o_orderpriority",
                 F.col("o_totalprice").cast(DEC).alias("p"))
     keys = ["year", "sheet"]
-    values = base.groupBy(*keys, "row", "col").agg(F.sum("p").cast("double").alias("numeric")) \
-        .withColumn("character", F.lit(None).cast("string"))
-    totals = base.groupBy(*keys, "col").agg(F.sum("p").cast("double").alias("numeric")) \
+    # one shuffle at the finest grain (sheet x row x column: bounded by the
+    # sheet layout, not by the orders); every cell kind derives from it
+    agg = base.groupBy(*keys, "row", "col", "r_name", "o_orderpriority").agg(F.sum("p").alias("p")).persist()
+    values = agg.select(*keys, "row", "col", F.col("p").cast("double").alias("numeric"),
+                        F.lit(None).cast("string").alias("character"))
+    totals = agg.groupBy(*keys, "col").agg(F.sum("p").cast("double").alias("numeric")) \
         .select(*keys, F.lit(95).alias("row"), "col", "numeric", F.lit(None).cast("string").alias("character"))
-    heads = base.select(*keys, F.lit(6).alias("row"), "col", F.lit(None).cast("double").alias("numeric"),
-                        F.col("r_name").alias("character")).distinct()
-    labels = base.select(*keys, "row", F.lit(1).alias("col"), F.lit(None).cast("double").alias("numeric"),
-                         F.col("o_orderpriority").alias("character")).distinct()
-    corner = base.select(*keys).distinct().select(*keys, F.lit(6).alias("row"), F.lit(1).alias("col"),
-                                                  F.lit(None).cast("double").alias("numeric"),
-                                                  F.lit("Prioridad").alias("character"))
+    heads = agg.select(*keys, F.lit(6).alias("row"), "col", F.lit(None).cast("double").alias("numeric"),
+                       F.col("r_name").alias("character")).distinct()
+    labels = agg.select(*keys, "row", F.lit(1).alias("col"), F.lit(None).cast("double").alias("numeric"),
+                        F.col("o_orderpriority").alias("character")).distinct()
+    corner = agg.select(*keys).distinct().select(*keys, F.lit(6).alias("row"), F.lit(1).alias("col"),
+                                                 F.lit(None).cast("double").alias("numeric"),
+                                                 F.lit("Prioridad").alias("character"))
     return values.unionByName(totals).unionByName(heads).unionByName(labels).unionByName(corner) \
         .withColumn("row", F.col("row").cast("int")).withColumn("year", F.col("year").cast("int"))
 
@@ -729,6 +748,24 @@ def ordered_totals(spark, sf) -> DataFrame:
         .agg(money("l_extendedprice").cast("double").alias("valor"))
 
 
+def period_totals(spark, sf) -> DataFrame:
+    """Shipped (by ship month) and ordered (by order month) totals from ONE
+    lineitem x orders pass: each line is emitted under both periods and the
+    two views are summed in a single shuffle. The result is small (company x
+    month x account) and persisted: actual, budget and label dimension all
+    read it."""
+    a = line_accounts(spark, sf)
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    j = a.join(o, a.l_orderkey == o.o_orderkey)
+    periods = F.explode(F.array(
+        F.struct(F.lit("shipped").alias("view"), F.col("year").alias("y"), F.col("month").alias("m")),
+        F.struct(F.lit("ordered").alias("view"), F.year("o_orderdate").alias("y"),
+                 F.month("o_orderdate").alias("m"))))
+    e = j.select("empresa", *CODES, F.col("l_extendedprice").cast(DEC).alias("p"), periods.alias("per"))
+    return e.groupBy("per.view", F.col("per.y").alias("year"), F.col("per.m").alias("month"), "empresa", *CODES) \
+        .agg(F.sum("p").cast("double").alias("valor")).persist()
+
+
 _SHIPPED_SQL = f"""sh AS (SELECT empresa, year, month, header_code, sub_header_code, item_code,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS valor FROM ({LINE_ACCOUNTS_SQL}) GROUP BY ALL)"""
 _ORDERED_SQL = f"""od2 AS (SELECT empresa, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
@@ -755,10 +792,11 @@ def q20(spark, sf):
 # q21 actual vs budget: PRJ-03 UN-01 AG-07 CP-06 CP-08 ; q22 keep rule
 # ---------------------------------------------------------------------------
 
-def account_dimension(spark, sf) -> DataFrame:
+def account_dimension(spark, sf, accounts_df: DataFrame | None = None) -> DataFrame:
     """Label per (company, normalised account); income rows carry a
     non-canonical spelling on purpose (``otros   ingresos``)."""
-    a = normalize_code_keys(line_accounts(spark, sf)).select("empresa", *CODES).distinct()
+    src = accounts_df if accounts_df is not None else line_accounts(spark, sf)
+    a = normalize_code_keys(src.select("empresa", *CODES)).distinct()
     label = F.when(F.col("header_code") == "A", F.lit("otros   ingresos")).otherwise(
         F.concat(F.lit("cuenta "), F.coalesce(F.col("header_code"), F.lit("x")), F.lit("-"),
                  F.coalesce(F.col("sub_header_code").cast("string"), F.lit("x")), F.lit("-"),
@@ -767,8 +805,11 @@ def account_dimension(spark, sf) -> DataFrame:
 
 
 def actual_vs_budget(spark, sf) -> DataFrame:
-    b = ordered_totals(spark, sf).select("empresa", *CODES, first_of_month("year", "month").alias("fecha"), "valor")
-    return accounts.series_monthly(shipped_totals(spark, sf), b, account_dimension(spark, sf), DRIVER_RULES)
+    totals = period_totals(spark, sf)
+    shipped = totals.where(F.col("view") == "shipped").drop("view")
+    ordered = totals.where(F.col("view") == "ordered").drop("view")
+    b = ordered.select("empresa", *CODES, first_of_month("year", "month").alias("fecha"), "valor")
+    return accounts.series_monthly(shipped, b, account_dimension(spark, sf, totals), DRIVER_RULES)
 
 
 _DIM_SQL = f"""dim AS (SELECT DISTINCT empresa, header_code, {NORMALIZED_SQL} FROM ({LINE_ACCOUNTS_SQL})),
