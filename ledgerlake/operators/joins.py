@@ -50,19 +50,60 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def occurrence_number(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                      name: str = "occurrence") -> DataFrame:
-    """n-th row of each ``by`` group in ``order`` (WN-01)."""
+                      name: str = "occurrence", skew_safe: bool = False) -> DataFrame:
+    """n-th row of each ``by`` group in ``order`` (WN-01).
+
+    The default is a window partitioned by the group: one task per group,
+    right for small groups (concepts of a sheet). ``skew_safe=True`` numbers
+    rows without ever putting a group into one task - see
+    :func:`occurrence_number_ranged` - for data where one group may hold a
+    large share of all rows.
+    """
+    if skew_safe:
+        return occurrence_number_ranged(df, by, order, name)
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w))
 
 
+def occurrence_number_ranged(df: DataFrame, by: Sequence[str], order: Sequence[str],
+                             name: str = "occurrence", partitions: int | None = None) -> DataFrame:
+    """Distributed row number per group, safe for hot groups.
+
+    1. Range-partition on (group, order) and sort within partitions: a hot
+       group is split over many consecutive partitions (range bounds come
+       from a sample, so its rows spread evenly).
+    2. In each partition the group's rows are contiguous; their local
+       position comes from ``monotonically_increasing_id``.
+    3. A small table (group x partition: count, first position) gives, by a
+       window over at most ``partitions`` rows per group, the number of the
+       group's rows in earlier partitions.
+    4. ``row number = rows before + local position + 1``.
+
+    Both uses of the ranged frame read the same (reused) shuffle; counts and
+    first positions do not depend on the order of exact key ties, so the
+    numbering is consistent even when a task is recomputed.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*by, *order]
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys) \
+        .withColumn("__pid", F.spark_partition_id()) \
+        .withColumn("__pos", F.monotonically_increasing_id())
+    stats = ranged.groupBy(*by, "__pid").agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
+    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("__before", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
+    out = null_safe_join(ranged, stats, [*by, "__pid"], "inner")
+    number = (F.col("__before") + F.col("__pos") - F.col("__first") + 1).cast("int")
+    return out.withColumn(name, number).drop("__pid", "__pos", "__first", "__before")
+
+
 def occurrence_join(source: DataFrame, template: DataFrame, by: Sequence[str],
                     source_order: Sequence[str], template_order: Sequence[str] | None = None,
-                    name: str = "occurrence") -> DataFrame:
+                    name: str = "occurrence", skew_safe: bool = False) -> DataFrame:
     """Pair the n-th source row of each ``by`` group with the n-th template
     row of the same group (inner join on ``by`` + occurrence, JN-03)."""
-    s = occurrence_number(source, by, source_order, name)
-    t = occurrence_number(template, by, template_order or source_order, name)
+    s = occurrence_number(source, by, source_order, name, skew_safe)
+    t = occurrence_number(template, by, template_order or source_order, name, skew_safe)
     return s.join(t, [*by, name], "inner")
 
 

@@ -318,7 +318,12 @@ def cash_monthly(actuals: DataFrame, opening_sheet: DataFrame, cash: CashConfig
         spark, [(k, v / 1e3) for k, v in cash.expense_minimums.items()],
         [("empresa", "string"), ("saldo_minimo_gastos", "double")]), len(cash.expense_minimums))
     opening = cash_opening(opening_sheet, latest_year, cash)
-    bal = running_balance(moves.join(opening, ["empresa", "fecha"], "left"), "empresa", "fecha", "valor", "saldo")
+    # balance at the company x month grain: movements are summed per month
+    # before the window, so a company's window partition holds <= 12 rows
+    bal = running_balance(moves.join(opening, ["empresa", "fecha"], "left"), "empresa", "fecha", "valor", "saldo",
+                          pre_aggregate=True)
+    bal = bal.select(F.lit(h).alias("header_code"), F.lit(s).cast("int").alias("sub_header_code"),
+                     F.lit(i).cast("int").alias("item_code"), "empresa", "fecha", "saldo")
     out = bal.select(*CODES, "empresa", "fecha", "saldo") \
         .join(min_expense, "empresa", "left").join(min_income, "empresa", "left")
     e = F.col("empresa")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ledgerlake.config import DEFAULT_METHODOLOGY as M, account_rules
 from ledgerlake.operators.aggregate import first_non_null, lenient_sum, strict_sum
 from ledgerlake.operators.classify import classify, dashboard_facts, normalize_code_keys
-from ledgerlake.operators.joins import gap_fill, grid_template, missing_keys, null_safe_join, occurrence_join
+from ledgerlake.operators.joins import (gap_fill, grid_template, missing_keys, null_safe_join, occurrence_join,
+                                        occurrence_number)
 from ledgerlake.operators.measures import (ReferenceSeries, ReferenceSeriesError, augment_monetary,
                                            reference_checks, select_measure, validate_reference_table,
                                            validate_references)
@@ -222,3 +223,18 @@ def test_missing_keys(spark):
     req = spark.createDataFrame([(2024,), (2025,)], "year int")
     have = spark.createDataFrame([(2024,)], "year int")
     assert rows(missing_keys(req, have, ["year"])) == [(2025,)]
+
+
+def test_skew_safe_occurrence_matches_window(spark):
+    """One group holds half of all rows; the ranged numbering spreads it over
+    many partitions and must give exactly the window's numbers."""
+    hot = [("hot", i % 7, i) for i in range(3000)]
+    cold = [(f"g{i % 50}", i % 3, i) for i in range(3000)]
+    nul = [(None, i, i) for i in range(10)]
+    df = spark.createDataFrame(hot + cold + nul, "g string, o int, tie int")
+    w = occurrence_number(df, ["g"], ["o", "tie"], "occ")
+    r = occurrence_number(df, ["g"], ["o", "tie"], "occ", skew_safe=True)
+    assert rows(w, "g", "o", "tie", "occ") == rows(r, "g", "o", "tie", "occ")
+    per_task = occurrence_number(df, ["g"], ["o", "tie"], "occ", skew_safe=True).where("g = 'hot'") \
+        .groupBy(F.spark_partition_id().alias("p")).count().count()
+    assert per_task > 1
