@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql.types import IntegerType, StructField, StructType
+
 from ledgerlake.plans.accounts import actuals_from_cells
 from ledgerlake.sources.cells import CELL_SCHEMA
 
@@ -17,7 +19,7 @@ def ingest_new_sheets(spark: SparkSession, landing_dir: str, structure_map: Data
     express without watermarks). Exactly-once through the checkpoint in the
     shared ``checkpoint_dir``; the output write is idempotent per batch id.
     """
-    schema = CELL_SCHEMA.add("year", "int")
+    schema = StructType([*CELL_SCHEMA.fields, StructField("year", IntegerType())])
     reader = spark.readStream.schema(schema).option("basePath", landing_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
