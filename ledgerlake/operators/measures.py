@@ -87,7 +87,8 @@ def validate_references(refs: ReferenceSeries, m: MonetaryMethodology = DEFAULT_
 def reference_checks(refs: ReferenceSeries, facts: DataFrame, m: MonetaryMethodology = DEFAULT_METHODOLOGY,
                      year: str = "year") -> DataFrame:
     """All checks as rows ``(series, check, passed, detail)`` - a lazy plan of
-    one aggregate per series plus one anti join per series for coverage."""
+    one aggregate per series; the coverage gap list of each series is a
+    scalar subquery (an anti join of required years against the series)."""
     need = required_years(facts, year)
     parts = []
     for name, df, value_col in refs.named(m):
@@ -95,7 +96,7 @@ def reference_checks(refs: ReferenceSeries, facts: DataFrame, m: MonetaryMethodo
         base = m.base_year if name == m.index_series else None
         stats = _series_stats(df, value_col, base)
         gaps = need.join(df.select(F.col("year").cast("int").alias("year")), "year", "left_anti") \
-            .agg(F.array_join(F.array_sort(F.collect_list(F.col("year").cast("string"))), ", ").alias("gaps"))
+            .agg(F.array_join(F.array_sort(F.collect_list(F.col("year").cast("string"))), ", ")).scalar()
         nulls = F.col("n") - F.col("n_year")
         dup = (F.col("n_year") - F.col("n_distinct") > 0) | (nulls > 1)
         checks = [
@@ -121,7 +122,7 @@ def reference_checks(refs: ReferenceSeries, facts: DataFrame, m: MonetaryMethodo
                         F.when(F.col("gaps") != "",
                                F.concat(F.lit(f"Reference series '{name}' is missing required years: "),
                                         F.col("gaps"))).otherwise("")))
-        rows = _one_row_join(stats, gaps)
+        rows = stats.withColumn("gaps", gaps)
         parts.append(rows.select(F.explode(F.array(*[
             F.struct(F.lit(name).alias("series"), F.lit(c).alias("check"),
                      p.cast("boolean").alias("passed"), d.alias("detail"))
@@ -132,12 +133,6 @@ def reference_checks(refs: ReferenceSeries, facts: DataFrame, m: MonetaryMethodo
     return out
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side of two one-row aggregates, joined on a constant key
-    (an equi-join of two single rows, not a cartesian product)."""
-    return a.withColumn("__one", F.lit(1)).join(b.withColumn("__one", F.lit(1)), "__one").drop("__one")
-
-
 def augment_monetary(df: DataFrame, nominal: str, refs: ReferenceSeries,
                      m: MonetaryMethodology = DEFAULT_METHODOLOGY, year: str = "year",
                      outputs: MeasureColumns | None = None, on_missing: str = "raise") -> DataFrame:
