@@ -21,7 +21,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerlake.config import (MONTH_LABELS, MONTH_NAMES, MONTH_SHEETS, PROJECTION_HEADER_LEVELS,
-                               PROJECTION_HEADERS, MeasureColumns, MonetaryMethodology, Rule, account_rules)
+                               PROJECTION_HEADERS, CashConfig, MeasureColumns, MonetaryMethodology, Rule,
+                               account_rules)
 from ledgerlake.functions.dates import first_of_month, month_label, month_number, parse_date, serial_to_date, year_token
 from ledgerlake.functions.display import format_amount, panel_title
 from ledgerlake.functions.lookup import code_lookup, ordinal
@@ -1354,3 +1355,184 @@ def q06(spark, sf):
         one = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ---------------------------------------------------------------------------
+# The account-plan jobs themselves on sheets derived from the driver tables
+# q36 CP-01 structure maps, q37 CP-14 projections, q38 CP-15 cash job,
+# q39 CP-07 annual series job. Amounts are whole thousands, as on the
+# account sheets, so sums are exact in any order.
+# ---------------------------------------------------------------------------
+
+BRANDS = tuple(f"Brand#{i}" for i in range(1, 26))
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+PRIORITY_HEADERS = {"1-URGENT": "A", "2-HIGH": "B", "3-MEDIUM": "D", "4-NOT SPECIFIED": "E", "5-LOW": "X"}
+
+
+def brand_sheet(spark, sf) -> DataFrame:
+    """Structure sheet: one row per part (sheet row = key + 2), codes as
+    text, one column per brand holding the part's account label."""
+    p = table(spark, sf, "part")
+    size = F.col("p_size")
+    header = F.when(size > 48, F.lit(None).cast("string")).otherwise(F.substring("p_type", 1, 1))
+    sub = F.when(size % 10 == 0, F.lit(None).cast("string")).otherwise((size % 4).cast("string"))
+    item = F.when(size % 10 == 0, F.lit(None).cast("string")).otherwise(size.cast("string"))
+    rubro = F.concat(F.lit("rubro "), F.col("p_partkey").cast("string"))
+    brands = [F.when(F.col("p_brand") == b, rubro).alias(b) for b in BRANDS]
+    return p.select((F.col("p_partkey") + 2).cast("int").alias("row"), header.alias("Header"), sub.alias("SubHeader"),
+                    item.alias("Item"), F.col("p_name").alias("Label"), *brands)
+
+
+_BRAND_SHEET_SQL = """sheet AS (SELECT CAST(p_partkey + 2 AS INT) AS row, p_brand, p_partkey,
+   CASE WHEN p_size > 48 THEN NULL ELSE substr(p_type, 1, 1) END AS header_code,
+   CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_size % 4 END AS sub_header_code,
+   CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_size END AS item_code, p_name FROM part)"""
+
+
+@register("q36a_structure_by_row", f"""WITH {_BRAND_SHEET_SQL}
+SELECT CAST(row + 5 AS INT) AS row, header_code, CAST(sub_header_code AS INT) AS sub_header_code,
+       CAST(item_code AS INT) AS item_code, p_name AS label_estructura FROM sheet""")
+def q36a(spark, sf):
+    """Account map by sheet row (CP-01) from the structure sheet."""
+    by_row, _ = accounts.structure_maps(brand_sheet(spark, sf))
+    return by_row
+
+
+@register("q36b_structure_by_company", f"""WITH {_BRAND_SHEET_SQL},
+b AS (SELECT 'Brand#' || CAST(i AS VARCHAR) AS empresa FROM range(1, 26) t(i))
+SELECT header_code, CAST(sub_header_code AS INT) AS sub_header_code, CAST(item_code AS INT) AS item_code, b.empresa,
+       CASE WHEN p_brand = b.empresa THEN 'rubro ' || CAST(p_partkey AS VARCHAR) END AS rubro
+FROM sheet CROSS JOIN b
+WHERE NOT (header_code IS NULL AND sub_header_code IS NULL AND item_code IS NULL)""")
+def q36b(spark, sf):
+    """Account x company labels (CP-01): the brand columns unpivoted, NULL
+    labels kept, rows with no code dropped."""
+    _, by_company = accounts.structure_maps(brand_sheet(spark, sf))
+    return by_company
+
+
+def projection_sheet(spark, sf, m: MonetaryMethodology = DRIVER_METHOD) -> DataFrame:
+    """Projection sheet of the projection year: one row per priority (coded
+    header), one column per segment, amounts in thousands as text."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    start = F.lit(f"{m.projection_year}-01-01").cast("timestamp_ntz")
+    end = F.lit(f"{m.projection_year + 1}-01-01").cast("timestamp_ntz")
+    rows = o.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)) \
+        .join(c, o.o_custkey == c.c_custkey)
+    wide = rows.groupBy("o_orderpriority").pivot("c_mktsegment", list(SEGMENTS)).agg(money("o_totalprice"))
+    return wide.select(code_lookup("o_orderpriority", PRIORITY_HEADERS).alias("header"),
+                       F.lit(1.0).alias("SubHeader"), F.lit(0.0).alias("Item"),
+                       F.col("o_orderpriority").alias("label"), F.lit("r").alias("rubro"),
+                       *[F.round(F.col(s) / 1000).cast("bigint").cast("string").alias(s) for s in SEGMENTS])
+
+
+_PROJ_HEADER_SQL = "CASE p.h " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PROJECTION_HEADERS.items()) + " END"
+
+
+@register("q37_projection_measures", "WITH " + REFS_SQL + f""",
+pr AS (SELECT o_orderpriority AS label, c_mktsegment AS seg,
+              CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))) / 1000) AS BIGINT) AS th
+       FROM orders JOIN customer ON c_custkey = o_custkey
+       WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2002-01-01' GROUP BY ALL),
+lb AS (SELECT DISTINCT label, CASE label {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PRIORITY_HEADERS.items())} END AS h
+       FROM pr),
+sg AS (SELECT * FROM (VALUES {", ".join(f"('{s}', {i})" for i, s in enumerate(SEGMENTS, start=1))}) t(seg, ente_ord)),
+p AS (SELECT lb.label, lb.h, sg.seg, sg.ente_ord, 1e3 * CAST(pr.th AS DOUBLE) AS ejecutado
+      FROM lb CROSS JOIN sg LEFT JOIN pr ON pr.label = lb.label AND pr.seg = sg.seg
+      WHERE lb.h IS NOT NULL)
+SELECT {_PROJ_HEADER_SQL} AS header, p.label, p.seg AS ente, p.ejecutado, 2001 AS year,
+       round(100 * p.ejecutado / idx.idx_base, 6) AS ejecutado_base, round(p.ejecutado / gdp.gdp, 9) AS ejecutado_pct_gdp,
+       round(p.ejecutado / rate.rate, 6) AS ejecutado_usd, 'Proyección' AS tipo,
+       CAST(list_position({_sql_list(PROJECTION_HEADER_LEVELS)}, {_PROJ_HEADER_SQL}) AS INT) AS header_ord,
+       CAST(p.ente_ord AS INT) AS ente_ord
+FROM p LEFT JOIN idx ON idx.year = 2001 LEFT JOIN gdp ON gdp.year = 2001 LEFT JOIN rate ON rate.year = 2001""")
+def q37(spark, sf):
+    """The projection job (CP-14) on the projection year's orders: unpivoted by
+    segment, header coded and ordered, four measures, tagged. The index has
+    no complete 2001, so the constant measure is NULL."""
+    m = DRIVER_METHOD
+    out = accounts.projections(projection_sheet(spark, sf, m), driver_refs(spark, sf), m, on_missing="null")
+    c = m.projection
+    return out.select("header", "label", "ente", c.nominal, "year", F.round(c.constant, 6).alias(c.constant),
+                      F.round(c.pct_gdp, 9).alias(c.pct_gdp), F.round(c.usd, 6).alias(c.usd), "tipo",
+                      "header_ord", "ente_ord")
+
+
+def thousand_accounts(spark, sf) -> DataFrame:
+    """Monthly line accounts in whole thousands: the actuals table of the
+    account plan (company x year x month x account)."""
+    a = line_accounts(spark, sf)
+    return a.groupBy("empresa", "year", "month", *CODES).agg(
+        F.round(money("l_extendedprice") / 1000).cast("double").alias("valor"))
+
+
+_ACTS_SQL = f"""acts AS (SELECT empresa, year, month, header_code, sub_header_code, item_code,
+   CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2))) / 1000) AS DOUBLE) AS valor
+   FROM ({LINE_ACCOUNTS_SQL}) GROUP BY ALL)"""
+
+DRIVER_CASH = CashConfig(income_class=("A", "N"), expense_class=("R",), opening_overrides={"N": 5.0e8},
+                         expense_minimums={"A": 1.0e6, "N": 2.0e6, "R": 3.0e6},
+                         movement_account=("I", 1, 1), income_account="A")
+
+
+def opening_sheet(acts: DataFrame, first_year: int = 1995) -> DataFrame:
+    """Opening cash sheet (thousands): first-year income totals; blank for
+    the company whose opening comes from the override."""
+    total = (F.col("year") == first_year) & (F.col("header_code") == "A") & \
+        F.col("sub_header_code").isNull() & F.col("item_code").isNull()
+    miles = F.sum(F.when(total, F.col("valor")))
+    return acts.groupBy("empresa").agg(
+        F.when(F.col("empresa").isin(*DRIVER_CASH.opening_overrides), F.lit(None).cast("double"))
+        .otherwise(miles).alias("saldo_inicial_miles"))
+
+
+@register("q38_cash_job", f"""WITH {_ACTS_SQL},
+ly AS (SELECT max(year) AS y FROM acts),
+mv AS (SELECT empresa, make_date(year, month, 1) AS fecha, 1e3 * valor AS valor FROM acts
+       WHERE year = (SELECT y FROM ly) AND header_code = 'I' AND sub_header_code = 1 AND item_code = 1),
+mva AS (SELECT empresa, fecha, sum(valor) AS valor FROM mv GROUP BY ALL),
+opm AS (SELECT empresa, CASE WHEN empresa = 'N' THEN NULL ELSE sum(CASE WHEN year = 1995 AND header_code = 'A'
+          AND sub_header_code IS NULL AND item_code IS NULL THEN valor END) END AS miles FROM acts GROUP BY empresa),
+op AS (SELECT empresa, coalesce(1e3 * miles, CASE empresa WHEN 'N' THEN 5.0e8 END) AS opening,
+              make_date((SELECT y FROM ly), 1, 1) AS fecha FROM opm),
+j AS (SELECT mva.*, op.opening FROM mva LEFT JOIN op USING (empresa, fecha)),
+w AS (SELECT *, first_value(opening IGNORE NULLS) OVER (PARTITION BY empresa ORDER BY fecha
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS o0,
+             sum(coalesce(valor, 0)) OVER (PARTITION BY empresa ORDER BY fecha ROWS UNBOUNDED PRECEDING) AS cum FROM j),
+inc AS (SELECT empresa, CASE WHEN count(*) = count(valor) THEN sum(valor) END / 12.0 AS saldo_minimo_ingresos
+        FROM acts WHERE year = (SELECT y FROM ly) - 1 AND header_code = 'A' AND sub_header_code IS NULL
+        AND item_code IS NULL GROUP BY empresa),
+gas AS (SELECT empresa, CAST(v AS DOUBLE) AS saldo_minimo_gastos FROM (VALUES ('A', 1000.0), ('N', 2000.0), ('R', 3000.0))
+        t(empresa, v))
+SELECT 'I' AS header_code, 1 AS sub_header_code, 1 AS item_code, w.empresa,
+       CASE WHEN month(fecha) = 1 THEN opening ELSE o0 - cum END AS saldo, gas.saldo_minimo_gastos,
+       inc.saldo_minimo_ingresos,
+       1e3 * CASE WHEN w.empresa IN ('A', 'N') THEN inc.saldo_minimo_ingresos
+                  WHEN w.empresa IN ('R') THEN gas.saldo_minimo_gastos END AS saldo_minimo, fecha
+FROM w LEFT JOIN gas USING (empresa) LEFT JOIN inc USING (empresa)""")
+def q38(spark, sf):
+    """The cash job (CP-15) on the driver accounts: latest-year movements of
+    the cash account, opening from the opening sheet (or override), January
+    anchor, income-class / expense-class minimums."""
+    acts = thousand_accounts(spark, sf).persist()
+    return accounts.cash_monthly(acts, opening_sheet(acts), DRIVER_CASH)
+
+
+@register("q39_annual_series_job", "WITH " + REFS_SQL + f""", {_ACTS_SQL},
+r AS (SELECT *, {FILL_SQL} AS fill_col, {FACET_SQL} AS facet_col FROM acts WHERE {_BRANCHES_SQL}),
+s AS (SELECT empresa, year, facet_col, fill_col,
+             CASE WHEN count(*) = count(valor) THEN sum(1e3 * valor) END AS valor
+      FROM r WHERE fill_col IS NOT NULL AND facet_col IS NOT NULL GROUP BY ALL)
+SELECT s.empresa, s.year, s.facet_col, s.fill_col, s.valor, round(100 * s.valor / idx.idx_base, 6) AS valor_base,
+       round(s.valor / gdp.gdp, 9) AS valor_pct_gdp, round(s.valor / rate.rate, 6) AS valor_usd
+FROM s LEFT JOIN idx USING (year) LEFT JOIN gdp USING (year) LEFT JOIN rate USING (year)""")
+def q39(spark, sf):
+    """The annual series job (CP-07): five account branches in one predicate,
+    classification, strict yearly sums in units, four measures."""
+    m = DRIVER_METHOD
+    out = accounts.series_annual(thousand_accounts(spark, sf), driver_refs(spark, sf), m, DRIVER_RULES,
+                                 on_missing="null")
+    c = m.annual
+    return out.select("empresa", "year", "facet_col", "fill_col", c.nominal, F.round(c.constant, 6).alias(c.constant),
+                      F.round(c.pct_gdp, 9).alias(c.pct_gdp), F.round(c.usd, 6).alias(c.usd))
