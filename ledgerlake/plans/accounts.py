@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerlake.config import (COMPANIES, DEFAULT_CASH, DEFAULT_METHODOLOGY, MONTH_NAMES, MONTH_SHEETS,
@@ -31,6 +31,12 @@ from ledgerlake.sources.cells import cells_to_long, header_values, select_range
 
 CODES = ("header_code", "sub_header_code", "item_code")
 
+# Structural bound of account dimensions: a label map has at most
+# (accounts of the chart) x (companies) rows, a budget key set at most that
+# x 12 months per year - sheet layouts, not data volume. Such sides are
+# broadcast (see operators.joins.bounded_broadcast); facts never are.
+ACCOUNT_DIM_BOUND = 1_000_000
+
 
 def fail_if(cond: Column, message: str, value: Column) -> Column:
     """Lazy guard: the job fails with ``message`` on the first row where
@@ -133,7 +139,7 @@ def budget_raw(source: DataFrame, template: DataFrame, label_map: DataFrame, yea
     summed = long.groupBy("empresa", "fecha", *CODES).agg(
         lenient_sum("valor").alias("valor"),
         first_non_null("label_excel", "row").alias("label_excel"))
-    labels = label_map.select("empresa", *CODES, F.col("rubro").alias("label"))
+    labels = bounded_broadcast(label_map.select("empresa", *CODES, F.col("rubro").alias("label")), ACCOUNT_DIM_BOUND)
     out = null_safe_join(summed, labels, ["empresa", *CODES], "left")
     return out.select("empresa", *CODES, F.coalesce("label", "label_excel").alias("label"), "fecha", "valor")
 
@@ -158,10 +164,9 @@ def label_map(structure_by_company: DataFrame) -> DataFrame:
     the job fails if a key repeats after normalisation)."""
     label_col = "label" if "label" in structure_by_company.columns else "rubro"
     m = normalize_code_keys(structure_by_company.select("empresa", *CODES, F.col(label_col).alias("label")))
-    dup = duplicate_keys(m, ["empresa", *CODES]).select("empresa", *CODES, F.lit(True).alias("__dup"))
-    checked = null_safe_join(m, dup, ["empresa", *CODES], "left")
-    label = fail_if(F.col("__dup").isNotNull(), "label map has duplicate keys after normalization.", F.col("label"))
-    return checked.select("empresa", *CODES, label.alias("label"))
+    per_key = F.count(F.lit(1)).over(Window.partitionBy("empresa", *CODES))
+    label = fail_if(per_key > 1, "label map has duplicate keys after normalization.", F.col("label"))
+    return m.select("empresa", *CODES, label.alias("label"))
 
 
 # --- CP-06 / CP-08 standardise and compare actual vs budget -----------------
@@ -172,7 +177,7 @@ def filter_to_keys(facts: DataFrame, key_rows: DataFrame) -> DataFrame:
     keys = ["empresa", "year", "month", *CODES]
     if not all(k in key_rows.columns for k in keys):
         return facts
-    k = normalize_code_keys(key_rows).select(*keys)
+    k = bounded_broadcast(normalize_code_keys(key_rows).select(*keys), ACCOUNT_DIM_BOUND)
     return null_safe_join(normalize_code_keys(facts), k, keys, "left_semi")
 
 
@@ -180,7 +185,7 @@ def standardize(df: DataFrame, tipo: str, labels: DataFrame, multiplier: float =
                 rules: Sequence[Rule] | None = None) -> DataFrame:
     """normalise -> classify -> label -> canonical label -> scale -> tag -> distinct."""
     out = classify(normalize_code_keys(df), rules or account_rules())
-    out = null_safe_join(out, labels, ["empresa", *CODES], "left")
+    out = null_safe_join(out, bounded_broadcast(labels, ACCOUNT_DIM_BOUND), ["empresa", *CODES], "left")
     out = out.withColumn("label", canonical_label("label"))
     out = out.withColumn("label", fail_if(blank("label"), f"{tipo} has classified rows with missing labels.",
                                           F.col("label")))
