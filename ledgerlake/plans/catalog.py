@@ -898,14 +898,26 @@ def q23(spark, sf):
     opening balance (sum of account balances) dated January 1st; the
     balance is computed at the (nation, month) grain, so a hot nation adds
     at most 12 rows to its window partition."""
+    return nation_balances(spark, sf)
+
+
+def entity_key(fanout: int) -> Column:
+    """Nation as the entity; with ``fanout`` > 1 every nation is split into
+    that many entities by customer (the x100 scale measurement)."""
+    if fanout == 1:
+        return F.col("c_nationkey")
+    return F.col("c_nationkey") * fanout + F.col("c_custkey") % fanout
+
+
+def nation_balances(spark, sf, fanout: int = 1) -> DataFrame:
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
     last = latest(o, F.year("o_orderdate"))
     moves = o.where(F.year("o_orderdate") == last).join(c.select("c_custkey", "c_nationkey"),
                                                        o.o_custkey == c.c_custkey) \
-        .groupBy(F.col("c_nationkey").alias("nk"), F.trunc("o_orderdate", "month").alias("fecha")) \
+        .groupBy(entity_key(fanout).alias("nk"), F.trunc("o_orderdate", "month").alias("fecha")) \
         .agg(money("o_totalprice").alias("mov"))
-    opening = c.groupBy(F.col("c_nationkey").alias("nk")).agg(money("c_acctbal").alias("opening")) \
+    opening = c.groupBy(entity_key(fanout).alias("nk")).agg(money("c_acctbal").alias("opening")) \
         .withColumn("fecha", F.make_date(last, F.lit(1), F.lit(1)))
     j = moves.join(opening, ["nk", "fecha"], "left")
     bal = running_balance(j, "nk", "fecha", "mov", "opening")
@@ -1050,18 +1062,20 @@ def q26(spark, sf):
 # q27 gap-filled grid / q28 ordered facets: JN-08 JN-09 FLT-07 AG-09 SO-02 CP-18
 # ---------------------------------------------------------------------------
 
-def latest_year_order_facts(spark, sf) -> DataFrame:
+def latest_year_order_facts(spark, sf, fanout: int = 1) -> DataFrame:
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_regionkey"), 25)
     r = bounded_broadcast(table(spark, sf, "region"), 5)
-    last = latest(o, F.year("o_orderdate"))
+    last = latest(o, F.year("o_orderdate"))  # noqa: F841 - used below
     j = o.where(F.year("o_orderdate") == last).join(c, o.o_custkey == c.c_custkey) \
         .join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     tipo = F.when(F.col("o_orderstatus") == "F", F.lit("Ejecutado")).otherwise(F.lit("Firmado"))
     # monthly facts (region x priority x segment x month x type: small) read
     # by the label order, the template and the gap fill - computed once
-    return j.groupBy(F.col("r_name").alias("empresa"), F.col("o_orderpriority").alias("facet_col"),
+    company = F.col("r_name") if fanout == 1 else \
+        F.concat(F.col("r_name"), F.lit("-"), (F.col("c_custkey") % fanout).cast("string"))
+    return j.groupBy(company.alias("empresa"), F.col("o_orderpriority").alias("facet_col"),
                      F.col("c_mktsegment").alias("label"), F.trunc("o_orderdate", "month").alias("fecha"),
                      tipo.alias("tipo")).agg(money("o_totalprice").cast("double").alias("valor")).persist()
 
