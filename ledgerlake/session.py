@@ -23,6 +23,29 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~1000 executors, ~100 TB input).
+# Shuffle partitions start high and AQE coalesces them to ~256 MB each, so
+# the same job neither spills at full scale nor runs thousands of empty
+# tasks on a small slice; skewed shuffle partitions are split by AQE.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # AQE may still turn a small measured side into a broadcast at runtime
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.ui.enabled": "false",
+}
+
+
 def get_session(master: str | None = None, app: str = "ledgerlake",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:

@@ -181,3 +181,29 @@ def test_projections(spark):
     assert (r["header"], r["ejecutado"], r["ejecutado_2024"], r["ejecutado_usd"]) == ("Ingresos", 20000.0, 16000.0, 500.0)
     assert r["header_ord"] == 1 and r["ente_ord"] == 2 and r["tipo"] == "Proyección"
     assert out.where("label = 'Otro'").first()["header"] is None
+
+
+def test_kpis_and_facet_series_in_every_unit(spark):
+    annual = spark.createDataFrame([
+        ("ANCAP", 2024, "Ingresos", "Ingresos", 2.0e9, 1.8e9, 0.02, 5.0e7),
+        ("UTE", 2024, "Ingresos", "Ingresos", 3.0e9, 2.7e9, 0.03, 7.5e7),
+        ("UTE", 2023, "Ingresos", "Ingresos", 9.0e9, 9.0e9, 0.09, 9.0e7),
+        ("UTE", 2024, "Resultado", "Resultado", -5.0e8, None, -0.005, -1.25e7),
+    ], "empresa string, year int, facet_col string, fill_col string, valor double, valor_2024 double, "
+       "valor_pct_pib double, valor_usd double")
+    k = {r["facet_col"]: r for r in dashboard.kpi_totals(annual, "valor").collect()}
+    assert k["Ingresos"]["total"] == 5.0e9 and k["Ingresos"]["label"] == "$ 5.000"
+    assert k["Resultado"]["label"] == "-$ 500"
+    pct = {r["facet_col"]: r["label"] for r in dashboard.kpi_totals(annual, "valor_pct_pib").collect()}
+    assert pct == {"Ingresos": "5,00%", "Resultado": "-0,50%"}
+    usd = {r["facet_col"]: r["total"] for r in dashboard.kpi_totals(annual, "valor_2024").collect()}
+    assert usd["Resultado"] is None  # strict sum: one NULL makes the KPI NULL
+    with pytest.raises(ValueError):
+        dashboard.kpi_totals(annual, "valor_x")
+    fs = dashboard.facet_series(annual, "valor_usd").where("facet_col = 'Ingresos' AND year = 2024")
+    assert rows(fs, "empresa", "ejecutado", "tooltip") == [("ANCAP", 5.0e7, "US$ 50"), ("UTE", 7.5e7, "US$ 75")]
+    titles = dashboard.panel_titles(spark.createDataFrame([("UTE", 2025), ("AFE", None)], "empresa string, year int"),
+                                    ["Ingresos", "I"])
+    assert rows(titles, "empresa", "title") == [("AFE", "AFE - Caja Mensual"), ("AFE", "AFE - Ingresos Corrientes"),
+                                                ("UTE", "UTE - Caja Mensual 2025"),
+                                                ("UTE", "UTE - Ingresos Corrientes 2025")]
