@@ -91,3 +91,59 @@ def issues_frame(spark: SparkSession, issues: list[dict]) -> DataFrame:
     """Issue rows (type, id, output_path, produced_by, detail, regenerate)."""
     cols = ["type", "id", "output_path", "produced_by", "detail", "regenerate"]
     return literal_frame(spark, [tuple(i.get(c) for c in cols) for i in issues], [(c, "string") for c in cols])
+
+
+def reconcile_frames(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
+                     tolerance: float = 1e-6) -> DataFrame:
+    """Whole-frame equality within tolerance (DQ-14, R ``all.equal`` per
+    column): one row per non-key column with its kind, the rows on each side,
+    rows present on one side only, and
+
+    * numeric columns: mean relative difference ``sum|a - e| / sum|e|`` over
+      matched rows (NULL on both sides counts as equal, NULL on one side as
+      a mismatch);
+    * other columns: the number of matched rows whose values differ.
+
+    One full outer join on the keys and ONE aggregate for all columns; a
+    column present on only one side is reported with kind ``missing``.
+    """
+    from pyspark.sql.types import NumericType
+    a_types = {f.name: f.dataType for f in actual.schema.fields}
+    e_types = {f.name: f.dataType for f in expected.schema.fields}
+    cols = [c for c in actual.columns if c not in keys and c in e_types]
+    missing = sorted((set(a_types) ^ set(e_types)) - set(keys))
+    a = actual.select(*keys, *[F.col(c).alias(f"a__{c}") for c in cols], F.lit(1).alias("__in_a"))
+    e = expected.select(*keys, *[F.col(c).alias(f"e__{c}") for c in cols], F.lit(1).alias("__in_e"))
+    j = a.join(e, list(keys), "full_outer")
+    both = F.col("__in_a").isNotNull() & F.col("__in_e").isNotNull()
+    aggs = [F.count("__in_a").alias("rows_actual"), F.count("__in_e").alias("rows_expected"),
+            F.count(F.when(~both, F.lit(1))).alias("rows_unmatched")]
+    kinds = {}
+    for c in cols:
+        x, y = F.col(f"a__{c}"), F.col(f"e__{c}")
+        numeric = isinstance(a_types[c], NumericType) and isinstance(e_types[c], NumericType)
+        kinds[c] = "numeric" if numeric else "text"
+        one_null = x.isNull() != y.isNull()
+        if numeric:
+            aggs.append(F.try_divide(F.sum(F.when(both, F.abs(x.cast("double") - y.cast("double")))),
+                                     F.sum(F.when(both, F.abs(y.cast("double"))))).alias(f"d__{c}"))
+            aggs.append(F.count(F.when(both & one_null, F.lit(1))).alias(f"n__{c}"))
+        else:
+            aggs.append(F.lit(None).cast("double").alias(f"d__{c}"))
+            aggs.append(F.count(F.when(both & ~x.cast("string").eqNullSafe(y.cast("string")), F.lit(1)))
+                        .alias(f"n__{c}"))
+    stats = j.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("kind"),
+                     F.col(f"d__{c}").alias("mean_rel_diff"), F.col(f"n__{c}").cast("bigint").alias("mismatches"))
+            for c in cols]
+    rows += [F.struct(F.lit(c).alias("column"), F.lit("missing").alias("kind"),
+                      F.lit(None).cast("double").alias("mean_rel_diff"), F.lit(None).cast("bigint").alias("mismatches"))
+             for c in missing]
+    out = stats.select("rows_actual", "rows_expected", "rows_unmatched", F.explode(F.array(*rows)).alias("r")) \
+        .select("r.column", "r.kind", F.col("rows_actual").cast("bigint").alias("rows_actual"),
+                F.col("rows_expected").cast("bigint").alias("rows_expected"),
+                F.col("rows_unmatched").cast("bigint").alias("rows_unmatched"), "r.mean_rel_diff", "r.mismatches")
+    ok = (F.col("kind") != "missing") & (F.col("rows_actual") == F.col("rows_expected")) & \
+        (F.col("rows_unmatched") == 0) & (F.coalesce(F.col("mismatches"), F.lit(0)) == 0) & \
+        (F.coalesce(F.col("mean_rel_diff"), F.lit(0.0)) <= F.lit(tolerance))
+    return out.withColumn("within_tolerance", ok)

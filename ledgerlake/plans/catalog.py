@@ -34,7 +34,7 @@ from ledgerlake.operators.joins import (bounded_broadcast, canonicalize_by_table
                                         occurrence_number)
 from ledgerlake.operators.measures import ReferenceSeries, augment_monetary, reference_checks
 from ledgerlake.operators.periods import YEARS_BOUND, annualize, complete_years, extrapolate_year, latest, rebase
-from ledgerlake.operators.quality import blank_count, domain_check, duplicate_keys, reconcile
+from ledgerlake.operators.quality import blank_count, domain_check, duplicate_keys, reconcile, reconcile_frames
 from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot
 from ledgerlake.operators.windows import running_balance
 from ledgerlake.plans import accounts, dashboard
@@ -296,7 +296,9 @@ def q03(spark, sf):
     folder, then ingest every workbook and sheet with ONE read; year and
     month come from the folder tags."""
     path = scratch_path(spark, "landed-order-cells")
-    write_table(order_cells(spark, sf), path, partition_by=["year", "sheet"])
+    # one file per sheet folder: a sheet's cells are bounded by its layout,
+    # so grouping them in one task can never make a hot task
+    write_table(order_cells(spark, sf).repartition("year", "sheet"), path, partition_by=["year", "sheet"])
     facts = resolve_order_cells(spark, read_cells(spark, path))
     return facts.select("year", "month", "empresa", "header_code", "valor")
 
@@ -1318,6 +1320,61 @@ def q34(spark, sf):
     return out
 
 
+def _rf_sql(col: str, numeric: bool) -> str:
+    both = "(nation IS NOT NULL AND e_nation IS NOT NULL)"
+    if numeric:
+        d = (f"round(sum(abs(CAST({col} AS DOUBLE) - CAST(e_{col} AS DOUBLE))) FILTER (WHERE {both}) / "
+             f"sum(abs(CAST(e_{col} AS DOUBLE))) FILTER (WHERE {both}), 6)")
+        m = f"count(*) FILTER (WHERE {both} AND (({col} IS NULL) <> (e_{col} IS NULL)))"
+        kind = "numeric"
+    else:
+        d, m, kind = "CAST(NULL AS DOUBLE)", f"count(*) FILTER (WHERE {both} AND {col} IS DISTINCT FROM e_{col})", "text"
+    return f"""SELECT '{col}' AS "column", '{kind}' AS kind, count(nation) AS rows_actual,
+  count(e_nation) AS rows_expected, count(*) FILTER (WHERE nation IS NULL OR e_nation IS NULL) AS rows_unmatched,
+  {d} AS mean_rel_diff, {m} AS mismatches FROM j"""
+
+
+Q34B_SQL = """
+WITH a AS (SELECT n_name AS nation, CAST(year(o_orderdate) AS INT) AS year,
+                  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS valor, count(*) AS n_orders,
+                  max(o_orderpriority) AS top_priority
+           FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL),
+e AS (SELECT n_name AS nation, CAST(year(o_orderdate) AS INT) AS year,
+             CAST(sum(CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) AS DECIMAL(18,2))) AS DOUBLE) AS valor,
+             count(DISTINCT l_orderkey) AS n_orders, max(o_orderpriority) AS top_priority
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+           JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL),
+j AS (SELECT a.nation, a.valor, a.n_orders, a.top_priority, e.nation AS e_nation, e.valor AS e_valor,
+             e.n_orders AS e_n_orders, e.top_priority AS e_top_priority
+      FROM a FULL OUTER JOIN e ON a.nation = e.nation AND a.year = e.year),
+r AS (""" + "\nUNION ALL ".join(_rf_sql(c, num) for c, num in
+                                 (("valor", True), ("n_orders", True), ("top_priority", False))) + """)
+SELECT *, kind <> 'missing' AND rows_actual = rows_expected AND rows_unmatched = 0 AND coalesce(mismatches, 0) = 0
+          AND coalesce(mean_rel_diff, 0) <= 1e-6 AS within_tolerance
+FROM r"""
+
+
+@register("q34b_reconcile_frames", Q34B_SQL)
+def q34b(spark, sf):
+    """Whole-frame reconciliation per column (nation x year): amounts and
+    order counts from the order route against the line route, plus a text
+    column."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"), 25)
+    oc = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    keys = [F.col("n_name").alias("nation"), F.year("o_orderdate").alias("year")]
+    a = oc.groupBy(*keys).agg(money("o_totalprice").cast("double").alias("valor"),
+                              F.count(F.lit(1)).alias("n_orders"), F.max("o_orderpriority").alias("top_priority"))
+    li = table(spark, sf, "lineitem")
+    amount = (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).cast(DEC)
+    e = li.join(oc, li.l_orderkey == F.col("o_orderkey")).groupBy(*keys).agg(
+        F.sum(amount).cast("double").alias("valor"), F.countDistinct("l_orderkey").alias("n_orders"),
+        F.max("o_orderpriority").alias("top_priority"))
+    r = reconcile_frames(a, e, ["nation", "year"])
+    return r.withColumn("mean_rel_diff", F.round("mean_rel_diff", 6))
+
+
 # ---------------------------------------------------------------------------
 # q35 domain check: UN-04 DQ-17
 # ---------------------------------------------------------------------------

@@ -238,3 +238,15 @@ def test_skew_safe_occurrence_matches_window(spark):
     per_task = occurrence_number(df, ["g"], ["o", "tie"], "occ", skew_safe=True).where("g = 'hot'") \
         .groupBy(F.spark_partition_id().alias("p")).count().count()
     assert per_task > 1
+
+
+def test_reconcile_frames_per_column(spark):
+    from ledgerlake.operators.quality import reconcile_frames
+    a = spark.createDataFrame([(1, 100.0, "x", 5), (2, 200.0, "y", None)], "k int, v double, t string, w int")
+    e = spark.createDataFrame([(1, 100.0, "x", 5), (2, 190.0, "z", None)], "k int, v double, t string, w int")
+    got = {r["column"]: r for r in reconcile_frames(a, e, ["k"]).collect()}
+    assert got["v"]["mean_rel_diff"] == pytest.approx(10.0 / 290.0) and not got["v"]["within_tolerance"]
+    assert got["t"]["mismatches"] == 1 and got["t"]["kind"] == "text"
+    assert got["w"]["within_tolerance"] and got["w"]["mean_rel_diff"] == 0.0
+    same = reconcile_frames(a, a.drop("w"), ["k"]).collect()
+    assert {r["column"]: r["kind"] for r in same} == {"v": "numeric", "t": "text", "w": "missing"}
