@@ -1607,3 +1607,83 @@ def q39(spark, sf):
     c = m.annual
     return out.select("empresa", "year", "facet_col", "fill_col", c.nominal, F.round(c.constant, 6).alias(c.constant),
                       F.round(c.pct_gdp, 9).alias(c.pct_gdp), F.round(c.usd, 6).alias(c.usd))
+
+
+# ---------------------------------------------------------------------------
+# q40 CP-03 budget job: budget sheets (one per priority, one row per segment
+# and nation, month columns in thousands) paired with a coded template by
+# concept + occurrence; q40b the unmatched rows (DQ-15).
+# ---------------------------------------------------------------------------
+
+BUDGET_YEAR = 2000
+
+
+def budget_sheets(spark, sf, year: int = BUDGET_YEAR):
+    """(source sheets, template sheets, label map) derived from one pass over
+    the orders of ``year``. The template codes a row as (segment letter,
+    region, nation) and only covers regions 0-3; the label map names the
+    accounts of nations 0-9."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    start = F.lit(f"{year}-01-01").cast("timestamp_ntz")
+    end = F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
+    rows = o.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)).join(c, o.o_custkey == c.c_custkey)
+    wide = rows.withColumn("m", F.month("o_orderdate")) \
+        .groupBy("o_orderpriority", "c_mktsegment", "c_nationkey").pivot("m", list(range(1, 13))) \
+        .agg(money("o_totalprice"))
+    months = [F.round(F.col(str(i)) / 1000).cast("bigint").cast("string").alias(MONTH_NAMES[i - 1])
+              for i in range(1, 13)]
+    sheet = wide.select(F.col("o_orderpriority").alias("sheet"), (F.col("c_nationkey") + 2).cast("int").alias("row"),
+                        F.col("c_mktsegment").alias("Concepto"), "c_nationkey", *months).persist()
+    n = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_regionkey", "n_name"), 25)
+    coded = sheet.join(n, F.col("c_nationkey") == F.col("n_nationkey")).where(F.col("n_regionkey") < 4)
+    template = coded.select("sheet", "row", F.substring("Concepto", 1, 1).alias("Header"),
+                            F.col("n_regionkey").cast("string").alias("SubHeader"),
+                            F.col("c_nationkey").cast("string").alias("Item"), "Concepto", *MONTH_NAMES)
+    labels = coded.where(F.col("c_nationkey") < 10).select(
+        F.col("sheet").alias("empresa"), F.substring("Concepto", 1, 1).alias("header_code"),
+        F.col("n_regionkey").cast("int").alias("sub_header_code"), F.col("c_nationkey").cast("int").alias("item_code"),
+        F.concat(F.lit("cuenta "), F.col("n_name")).alias("rubro")).distinct()
+    return sheet.drop("c_nationkey"), template, labels
+
+
+_BUDGET_CTE = """
+th AS (SELECT o_orderpriority AS sheet, c_mktsegment AS concepto, c_nationkey AS nk, CAST(month(o_orderdate) AS INT) AS m,
+              CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))) / 1000) AS BIGINT) AS v
+       FROM orders JOIN customer ON c_custkey = o_custkey
+       WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01' GROUP BY ALL),
+rws AS (SELECT DISTINCT sheet, concepto, nk FROM th WHERE v <> 0),
+src AS (SELECT sheet, concepto, nk, CAST(nk + 2 AS INT) AS row,
+               row_number() OVER (PARTITION BY sheet, concepto ORDER BY nk) AS occ FROM rws),
+tpl AS (SELECT r.sheet, r.concepto, r.nk AS tnk, substr(r.concepto, 1, 1) AS header_code,
+               CAST(n_regionkey AS INT) AS sub_header_code, CAST(r.nk AS INT) AS item_code, n_name,
+               row_number() OVER (PARTITION BY r.sheet, r.concepto ORDER BY r.nk) AS occ
+        FROM rws r JOIN nation ON n_nationkey = r.nk WHERE n_regionkey < 4)"""
+
+
+@register("q40_budget_template_job", "WITH " + _BUDGET_CTE + """,
+mt AS (SELECT src.sheet, src.concepto, src.row, src.nk, tpl.header_code, tpl.sub_header_code, tpl.item_code
+       FROM src JOIN tpl USING (sheet, concepto, occ)),
+lg AS (SELECT mt.*, CAST(mm.m AS INT) AS m, 1e3 * CAST(th.v AS DOUBLE) AS valor FROM mt CROSS JOIN range(1, 13) mm(m)
+       LEFT JOIN th ON th.sheet = mt.sheet AND th.concepto = mt.concepto AND th.nk = mt.nk AND th.m = mm.m),
+g AS (SELECT sheet AS empresa, make_date(2000, m, 1) AS fecha, header_code, sub_header_code, item_code,
+             coalesce(sum(valor), 0) AS valor, arg_min(concepto, row) AS label_excel FROM lg GROUP BY ALL),
+lm AS (SELECT DISTINCT sheet AS empresa, header_code, sub_header_code, item_code, 'cuenta ' || n_name AS rubro
+       FROM tpl WHERE item_code < 10)
+SELECT g.empresa, g.header_code, g.sub_header_code, g.item_code, coalesce(lm.rubro, g.label_excel) AS label, g.fecha,
+       g.valor
+FROM g LEFT JOIN lm ON g.empresa IS NOT DISTINCT FROM lm.empresa AND g.header_code IS NOT DISTINCT FROM lm.header_code
+  AND g.sub_header_code IS NOT DISTINCT FROM lm.sub_header_code AND g.item_code IS NOT DISTINCT FROM lm.item_code""")
+def q40(spark, sf):
+    """The budget job (CP-03): rows with data, n-th concept occurrence paired
+    with the n-th template row, months unpivoted, x1e3, summed per account,
+    first source label, NULL-safe label join with fallback."""
+    src, tpl, labels = budget_sheets(spark, sf)
+    return accounts.budget_raw(src, tpl, labels, BUDGET_YEAR)
+
+
+@register("q40b_budget_unmatched", "WITH " + _BUDGET_CTE + """
+SELECT sheet, count(*) AS dropped_rows FROM src ANTI JOIN tpl USING (sheet, concepto, occ) GROUP BY sheet""")
+def q40b(spark, sf):
+    src, tpl, _ = budget_sheets(spark, sf)
+    return accounts.budget_unmatched(src, tpl)
