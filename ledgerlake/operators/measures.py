@@ -135,7 +135,8 @@ def reference_checks(refs: ReferenceSeries, facts: DataFrame, m: MonetaryMethodo
 
 def augment_monetary(df: DataFrame, nominal: str, refs: ReferenceSeries,
                      m: MonetaryMethodology = DEFAULT_METHODOLOGY, year: str = "year",
-                     outputs: MeasureColumns | None = None, on_missing: str = "raise") -> DataFrame:
+                     outputs: MeasureColumns | None = None, on_missing: str = "raise",
+                     constant_year: int | None = None) -> DataFrame:
     """Add ``constant = 100 * nominal / index``, ``pct = nominal / gdp`` and
     ``usd = nominal / rate`` by year.
 
@@ -148,6 +149,8 @@ def augment_monetary(df: DataFrame, nominal: str, refs: ReferenceSeries,
     if missing:
         raise ValueError(f"augment_monetary() is missing columns: {', '.join(missing)}")
     outputs = outputs or m.annual
+    if constant_year is not None:
+        return _augment_constant_year(df, nominal, refs, m, year, outputs, on_missing, constant_year)
     out = df
     refs_cols = []
     for name, ref, col in refs.named(m):
@@ -177,3 +180,21 @@ def select_measure(df: DataFrame, unit: str, allowed, out: str = "ejecutado_sele
     if unit not in allowed:
         raise ValueError(f"Unknown unit {unit!r}; expected one of {', '.join(allowed)}")
     return df.withColumn(out, F.col(unit))
+
+
+def _augment_constant_year(df: DataFrame, nominal: str, refs: ReferenceSeries, m: MonetaryMethodology,
+                           year: str, outputs: MeasureColumns, on_missing: str, constant_year: int) -> DataFrame:
+    """All facts share one year (a projection): the three reference values
+    are scalar subqueries - no join at all."""
+    values = []
+    for name, ref, col in refs.named(m):
+        v = ref.where(F.col("year") == constant_year).select(F.max(F.col(col))).scalar()
+        if on_missing == "raise":
+            msg = f"Reference series '{name}' is missing required years: {constant_year}"
+            v = F.when(v.isNull(), F.raise_error(F.lit(msg)).cast("double")).otherwise(v)
+        values.append(v)
+    idx, gdp, rate = values
+    x = F.col(nominal)
+    return df.withColumns({outputs.constant: F.try_divide(F.lit(100.0) * x, idx),
+                           outputs.pct_gdp: F.try_divide(x, gdp),
+                           outputs.usd: F.try_divide(x, rate)})

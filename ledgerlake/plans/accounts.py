@@ -289,7 +289,8 @@ def projections(sheet: DataFrame, refs: ReferenceSeries, m: MonetaryMethodology
                        F.lit(m.projection_year).alias("year"))
     long = long.withColumn("header_ord", ordinal("header", PROJECTION_HEADER_LEVELS)) \
                .withColumn("ente_ord", ordinal("ente", companies))
-    out = augment_monetary(long, c.nominal, refs, m, outputs=c, on_missing=on_missing)
+    out = augment_monetary(long, c.nominal, refs, m, outputs=c, on_missing=on_missing,
+                           constant_year=m.projection_year)
     return out.withColumn("tipo", F.lit(PROJECTION_TAG)).select(
         "header", "label", "ente", c.nominal, "year", c.constant, c.pct_gdp, c.usd, "tipo", "header_ord", "ente_ord")
 

@@ -64,3 +64,14 @@ def test_partitioning_does_not_change_results(spark):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert base == again
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "ExistingRDD")
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_has_no_cross_join_or_python(spark, name):
+    """Plans stay JVM-side and never pair rows without an equi-key."""
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [k for k in FORBIDDEN if k in plan] == []

@@ -250,3 +250,13 @@ def test_reconcile_frames_per_column(spark):
     assert got["w"]["within_tolerance"] and got["w"]["mean_rel_diff"] == 0.0
     same = reconcile_frames(a, a.drop("w"), ["k"]).collect()
     assert {r["column"]: r["kind"] for r in same} == {"v": "numeric", "t": "text", "w": "missing"}
+
+
+def test_augment_constant_year_uses_no_join(spark):
+    facts = spark.createDataFrame([(2025, 220.0), (2025, 110.0)], "year int, valor double")
+    out = augment_monetary(facts, "valor", refs_fixture(spark), constant_year=2025)
+    assert rows(out, "valor", "valor_2024", "valor_usd") == [(110.0, pytest.approx(100.0), pytest.approx(2.2)),
+                                                             (220.0, pytest.approx(200.0), pytest.approx(4.4))]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(PySparkException, match="missing required years: 2025"):
+        augment_monetary(facts, "valor", refs_fixture(spark, years=(2024,)), constant_year=2025).collect()
