@@ -27,7 +27,7 @@ from ledgerlake.operators.periods import annualize, complete_years, extrapolate_
 from ledgerlake.operators.quality import duplicate_keys
 from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot, union_by_name
 from ledgerlake.operators.windows import running_balance
-from ledgerlake.sources.cells import cells_to_long, header_values, select_range
+from ledgerlake.sources.cells import cells_to_long, header_values, row_of_label, select_range
 
 CODES = ("header_code", "sub_header_code", "item_code")
 
@@ -89,21 +89,24 @@ def actuals_from_cells(cells: DataFrame, structure_map: DataFrame, header_row: i
 
 # --- CP-03 budget sheets through a coded template ---------------------------
 
-def _budget_rows(sheet: DataFrame, months: Sequence[str], extra: Sequence[str]) -> DataFrame:
+def _budget_rows(sheet: DataFrame, months: Sequence[str], extra: Sequence[str],
+                 skew_safe: bool = False) -> DataFrame:
     t = tidy_columns(sheet)
     require_columns(t, ["sheet", "row", "concepto", *months], "budget sheet")
     values = [lenient_double(F.col(m).cast("string")).alias(m) for m in months]
     rows = t.select("sheet", "row", *[c for c in extra if c in t.columns],
                     squish("concepto", null_as_empty=True).alias("concepto"), *values)
     rows = rows.where((F.col("concepto") != "") & has_data(list(months)))
-    return occurrence_number(rows, ["sheet", "concepto"], ["row"], "concept_occurrence")
+    return occurrence_number(rows, ["sheet", "concepto"], ["row"], "concept_occurrence", skew_safe)
 
 
-def budget_matched(source: DataFrame, template: DataFrame, months: Sequence[str] = MONTH_NAMES) -> DataFrame:
+def budget_matched(source: DataFrame, template: DataFrame, months: Sequence[str] = MONTH_NAMES,
+                   skew_safe: bool = False) -> DataFrame:
     """Source budget rows paired with the template row of the same concept
-    and occurrence number; the template provides the account codes."""
-    s = _budget_rows(source, months, ())
-    t = _budget_rows(template, months, ("header", "sub_header", "item")) \
+    and occurrence number; the template provides the account codes.
+    ``skew_safe`` numbers occurrences without putting a concept in one task."""
+    s = _budget_rows(source, months, (), skew_safe)
+    t = _budget_rows(template, months, ("header", "sub_header", "item"), skew_safe) \
         .select("sheet", "concepto", "concept_occurrence", "header", "sub_header", "item")
     return s.join(t, ["sheet", "concepto", "concept_occurrence"], "inner")
 
@@ -117,13 +120,13 @@ def budget_unmatched(source: DataFrame, template: DataFrame, months: Sequence[st
 
 
 def budget_raw(source: DataFrame, template: DataFrame, label_map: DataFrame, year,
-               months: Sequence[str] = MONTH_NAMES) -> DataFrame:
+               months: Sequence[str] = MONTH_NAMES, skew_safe: bool = False) -> DataFrame:
     """Budget facts (units) by company, month and account, labelled.
 
     ``label_map``: (empresa, header_code, sub_header_code, item_code, rubro).
     ``year`` may be an int or a scalar Column (e.g. the latest actuals year).
     """
-    matched = budget_matched(source, template, months)
+    matched = budget_matched(source, template, months, skew_safe)
     long = unpivot(matched.select("sheet", "row", "concepto", "header", "sub_header", "item", *months),
                    ["sheet", "row", "concepto", "header", "sub_header", "item"], list(months), "mes", "firmado")
     y = year if isinstance(year, Column) else F.lit(year)
@@ -232,11 +235,14 @@ def series_annual(actuals: DataFrame, refs: ReferenceSeries, m: MonetaryMethodol
 # --- CP-10..CP-13 reference series ------------------------------------------
 
 def gdp_series(cells: DataFrame, m: MonetaryMethodology = DEFAULT_METHODOLOGY, header_row: int = 6,
-               total_row: int = 19, pattern: str = QUARTER_HEADER_PATTERN, scale: float = 1e6) -> DataFrame:
+               total_row: int = 19, pattern: str = QUARTER_HEADER_PATTERN, scale: float = 1e6,
+               total_label: str | None = None) -> DataFrame:
     """Annual nominal GDP from quarter columns: complete years (>= 4 quarter
     headers) in [first_year, projection_year], summed x ``scale``, with the
-    projection year extrapolated if absent."""
-    q = header_values(cells, header_row, total_row, pattern) \
+    projection year extrapolated if absent. The total row is ``total_row``
+    or, if ``total_label`` is given, the row labelled so in column 1."""
+    value_row = row_of_label(cells, total_label) if total_label else total_row
+    q = header_values(cells, header_row, value_row, pattern) \
         .select(year_token("header").alias("year"), "col", lenient_double("text").alias("value"))
     done = q.where(F.col("year").isNotNull()).groupBy("year").agg(F.count("col").alias("n")) \
         .where(F.col("n") >= 4).select("year")

@@ -64,14 +64,15 @@ def cells_to_long(cells: DataFrame, header_row: int, label_col: int = 1,
     return values.join(headers, [*k, "col"], "left").join(labels, [*k, "row"], "left")
 
 
-def header_values(cells: DataFrame, header_row: int, value_row: int, pattern: str,
+def header_values(cells: DataFrame, header_row: int, value_row, pattern: str,
                   keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
     """Columns whose header text (``header_row``) matches ``pattern`` with the
-    text of ``value_row`` below them (SRC-06)."""
+    text of ``value_row`` below them (SRC-06). ``value_row`` may be a scalar
+    Column, e.g. the row found by its label (:func:`row_of_label`)."""
     k = list(keys)
     heads = cells.where((F.col("row") == header_row) & F.col("character").rlike(pattern)) \
         .select(*k, "col", F.col("character").alias("header"))
-    vals = cells.where(F.col("row") == value_row) \
+    vals = cells.where(F.col("row") == col_or_lit(value_row)) \
         .select(*k, "col", F.coalesce(F.col("character"), F.col("numeric").cast("string")).alias("text"))
     return heads.join(vals, [*k, "col"], "left")
 
@@ -82,3 +83,12 @@ def text_column(cells: DataFrame, column: int, skip_rows: int = 0,
     skipped (SRC-07: forced text, rows addressed by ordinal)."""
     return cells.where((F.col("col") == column) & (F.col("row") > skip_rows)) \
         .select(*keys, "row", F.coalesce(F.col("character"), F.col("numeric").cast("string")).alias(name))
+
+
+def row_of_label(cells: DataFrame, label: str, label_col: int = 1) -> Column:
+    """Scalar subquery: the first row whose label cell equals ``label``
+    (trimmed, case-insensitive) - addressing a row by its label instead of
+    a fixed position."""
+    hit = cells.where((F.col("col") == label_col) &
+                      (F.lower(F.trim(F.col("character"))) == F.lit(label.strip().lower())))
+    return hit.select(F.min("row")).scalar()

@@ -207,3 +207,19 @@ def test_kpis_and_facet_series_in_every_unit(spark):
     assert rows(titles, "empresa", "title") == [("AFE", "AFE - Caja Mensual"), ("AFE", "AFE - Ingresos Corrientes"),
                                                 ("UTE", "UTE - Caja Mensual 2025"),
                                                 ("UTE", "UTE - Ingresos Corrientes 2025")]
+
+
+def test_gdp_total_row_by_label_and_skew_safe_budget(spark):
+    cells = spark.createDataFrame(
+        [("pib", "s", 6, c, None, h) for c, h in enumerate(["I 2024", "II 2024", "III 2024", "IV 2024"], start=2)] +
+        [("pib", "s", 21, 1, None, " pib total "), ("pib", "s", 19, 1, None, "Otro")] +
+        [("pib", "s", 21, c, None, "1") for c in range(2, 6)] + [("pib", "s", 19, c, None, "9") for c in range(2, 6)],
+        "workbook string, sheet string, row int, col int, numeric double, character string")
+    by_label = accounts.gdp_series(cells, M, total_label="PIB total")
+    assert rows(by_label.where("year = 2024")) == [(2024, 4e6)]
+    assert rows(accounts.gdp_series(cells, M).where("year = 2024")) == [(2024, 36e6)]
+    src, tpl = budget_sheets(spark)
+    _, by_company = accounts.structure_maps(structure(spark))
+    a = accounts.budget_raw(src, tpl, by_company, 2025)
+    b = accounts.budget_raw(src, tpl, by_company, 2025, skew_safe=True)
+    assert rows(a) == rows(b)
