@@ -198,3 +198,15 @@ def _augment_constant_year(df: DataFrame, nominal: str, refs: ReferenceSeries, m
     return df.withColumns({outputs.constant: F.try_divide(F.lit(100.0) * x, idx),
                            outputs.pct_gdp: F.try_divide(x, gdp),
                            outputs.usd: F.try_divide(x, rate)})
+
+
+def add_deflators(df: DataFrame, refs: ReferenceSeries, m: MonetaryMethodology = DEFAULT_METHODOLOGY,
+                  on_missing: str = "raise") -> DataFrame:
+    """Projection measures for a frame with numeric ``year`` and nominal
+    columns (the app-side wrapper of :func:`augment_monetary`)."""
+    from pyspark.sql.types import NumericType
+    types = {f.name: f.dataType for f in df.schema.fields}
+    for name in ("year", m.projection.nominal):
+        if not isinstance(types.get(name), NumericType):
+            raise ValueError(f"Error: data frame must have a numeric column named '{name}'.")
+    return augment_monetary(df, m.projection.nominal, refs, m, outputs=m.projection, on_missing=on_missing)

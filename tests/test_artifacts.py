@@ -60,3 +60,21 @@ def test_streaming_ingest_of_landed_sheets(spark, tmp_path):
     ingest_new_sheets(spark, landing, by_row, out, ckpt).awaitTermination(120)
     assert spark.read.parquet(out).count() == expected.count()
     assert facts.where(F.col("empresa") == "OSE").select("year").distinct().collect()[0]["year"] == 2024
+
+
+def test_artifact_schemas_match_the_contract(spark):
+    """Required columns of the dataset contract (minimum schema per dataset)."""
+    bundle = build_bundle(landed_inputs(spark))
+    assert bundle["series_anuales"].columns == ["empresa", "year", "facet_col", "fill_col", "valor", "valor_2024",
+                                                "valor_pct_pib", "valor_usd"]
+    assert set(bundle["series_mensuales"].columns) == {"fecha", "empresa", "facet_col", "fill_col", "label", "valor",
+                                                       "tipo", "header_code", "sub_header_code", "item_code", "keep"}
+    assert bundle["caja_mensual"].columns == ["header_code", "sub_header_code", "item_code", "empresa", "saldo",
+                                              "saldo_minimo_gastos", "saldo_minimo_ingresos", "saldo_minimo", "fecha"]
+    assert bundle["serie_ipc_anual_24"].columns == ["year", "ipc_base_24"]
+    assert bundle["serie_pib_anual"].columns == ["year", "pib_nominal"]
+    assert bundle["dolar_promedio_anual"].columns == ["year", "dolar_promedio"]
+    assert dict(bundle["series_mensuales"].dtypes)["fecha"] == "date"
+    keys = ["fecha", "empresa", "facet_col", "fill_col", "label", "tipo", "header_code", "sub_header_code", "item_code"]
+    m = bundle["series_mensuales"]
+    assert m.count() == m.select(*keys).distinct().count()  # unique on all but valor

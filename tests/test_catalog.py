@@ -75,3 +75,34 @@ def test_plan_has_no_cross_join_or_python(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [k for k in FORBIDDEN if k in plan] == []
+
+
+def test_metamorphic_fills_sum_to_facet_totals(spark):
+    s = entry.queries()["q39_annual_series_job"](spark, SF_SMALL)
+    from pyspark.sql import functions as F
+    by_fill = {(r["empresa"], r["year"], r["facet_col"]): r["v"] for r in
+               s.groupBy("empresa", "year", "facet_col").agg(F.sum("valor").alias("v")).collect()}
+    from ledgerlake.plans import accounts, catalog
+    acts = catalog.thousand_accounts(spark, SF_SMALL).where(accounts.annual_branches())
+    cls = catalog.classify(acts, catalog.DRIVER_RULES)
+    direct = {(r["empresa"], r["year"], r["facet_col"]): r["v"] for r in
+              cls.groupBy("empresa", "year", "facet_col").agg((F.sum("valor") * 1e3).alias("v")).collect()}
+    assert by_fill.keys() == direct.keys()
+    for k, v in direct.items():
+        assert by_fill[k] == pytest.approx(v)
+
+
+def test_metamorphic_balance_steps_equal_movements(spark, duck):
+    bal = {(r["nk"], r["fecha"]): r["saldo"] for r in entry.queries()["q23_running_balance"](spark, SF_SMALL).collect()}
+    mov = {(nk, d): float(v) for nk, d, v in duck.execute("""
+        SELECT c_nationkey, CAST(date_trunc('month', o_orderdate) AS DATE), sum(CAST(o_totalprice AS DECIMAL(18,2)))
+        FROM orders JOIN customer ON c_custkey = o_custkey
+        WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY ALL""").fetchall()}
+    checked = 0
+    for (nk, d), saldo in bal.items():
+        if d.month > 2 and saldo is not None:
+            prev = bal.get((nk, d.replace(month=d.month - 1)))
+            if prev is not None:
+                assert saldo - prev == pytest.approx(-mov[(nk, d)])
+                checked += 1
+    assert checked > 0

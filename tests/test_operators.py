@@ -260,3 +260,13 @@ def test_augment_constant_year_uses_no_join(spark):
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(PySparkException, match="missing required years: 2025"):
         augment_monetary(facts, "valor", refs_fixture(spark, years=(2024,)), constant_year=2025).collect()
+
+
+def test_add_deflators_checks_types(spark):
+    from ledgerlake.operators.measures import add_deflators
+    ok = spark.createDataFrame([(2025, 220.0)], "year int, ejecutado double")
+    r = add_deflators(ok, refs_fixture(spark)).first()
+    assert r["ejecutado_2024"] == pytest.approx(200.0) and r["ejecutado_usd"] == pytest.approx(4.4)
+    bad = spark.createDataFrame([("2025", 220.0)], "year string, ejecutado double")
+    with pytest.raises(ValueError, match="numeric column named 'year'"):
+        add_deflators(bad, refs_fixture(spark))
