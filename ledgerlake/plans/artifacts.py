@@ -52,3 +52,77 @@ def write_bundle(bundle: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
         write_table(df, path, partition_by=["year"] if "year" in df.columns and name == "series_anuales" else None)
         paths[name] = path
     return paths
+
+
+# Dataset contract of the bundle: required columns per artifact (fixed
+# values of the dashboard's data contract).
+ARTIFACT_CONTRACT = {"required_datasets": [
+    {"id": "series_anuales", "output_path": "series_anuales", "format": "parquet",
+     "produced_by": "ledgerlake.plans.artifacts",
+     "minimum_schema": {"required_columns": ["empresa", "year", "facet_col", "fill_col", "valor", "valor_2024",
+                                             "valor_pct_pib", "valor_usd"]},
+     "validation_rules": {"row_count_min": 1, "unique_key": False}},
+    {"id": "series_mensuales", "output_path": "series_mensuales", "format": "parquet",
+     "produced_by": "ledgerlake.plans.artifacts",
+     "minimum_schema": {"required_columns": ["fecha", "empresa", "facet_col", "fill_col", "label", "valor", "tipo",
+                                             "header_code", "sub_header_code", "item_code", "keep"]},
+     "validation_rules": {"row_count_min": 1, "unique_key": False}},
+    {"id": "caja_mensual", "output_path": "caja_mensual", "format": "parquet",
+     "produced_by": "ledgerlake.plans.artifacts",
+     "minimum_schema": {"required_columns": ["header_code", "sub_header_code", "item_code", "empresa", "saldo",
+                                             "saldo_minimo_gastos", "saldo_minimo_ingresos", "saldo_minimo", "fecha"]},
+     "validation_rules": {"row_count_min": 1, "unique_key": False}},
+    {"id": "serie_ipc_anual_24", "output_path": "serie_ipc_anual_24", "format": "parquet",
+     "produced_by": "ledgerlake.plans.artifacts",
+     "minimum_schema": {"required_columns": ["year", "ipc_base_24"], "key_columns": ["year"]},
+     "validation_rules": {"row_count_min": 1, "unique_key": True}},
+    {"id": "serie_pib_anual", "output_path": "serie_pib_anual", "format": "parquet",
+     "produced_by": "ledgerlake.plans.artifacts",
+     "minimum_schema": {"required_columns": ["year", "pib_nominal"], "key_columns": ["year"]},
+     "validation_rules": {"row_count_min": 1, "unique_key": True}},
+    {"id": "dolar_promedio_anual", "output_path": "dolar_promedio_anual", "format": "parquet",
+     "produced_by": "ledgerlake.plans.artifacts",
+     "minimum_schema": {"required_columns": ["year", "dolar_promedio"], "key_columns": ["year"]},
+     "validation_rules": {"row_count_min": 1, "unique_key": True}},
+]}
+
+LANDED_FOLDERS = ("actual_cells", "structure_sheet", "budget_source", "budget_template", "opening_sheet",
+                  "gdp_cells", "index_sheet", "rate_sheet")
+
+
+def read_landed(spark, root: str) -> LandedInputs:
+    """Landed inputs as parquet folders under ``root`` (one per input;
+    ``actual_cells`` partitioned ``year=/sheet=``)."""
+    from ledgerlake.sources.cells import read_cells
+    root = root.rstrip("/")
+    parts = {name: spark.read.parquet(f"{root}/{name}") for name in LANDED_FOLDERS if name != "actual_cells"}
+    return LandedInputs(actual_cells=read_cells(spark, f"{root}/actual_cells"), **parts)
+
+
+def main(argv=None) -> int:
+    """``python -m ledgerlake.plans.artifacts --landed DIR --out DIR [--verify]``:
+    build the bundle once, write each dataset, then check the written
+    datasets against the contract (exit status 1 on any issue)."""
+    import argparse
+    import json
+
+    from ledgerlake.session import get_session
+    from ledgerlake.sources.contract import Contract, verify_contract
+    p = argparse.ArgumentParser(prog="ledgerlake.plans.artifacts")
+    p.add_argument("--landed", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--verify", action="store_true")
+    args = p.parse_args(argv)
+    spark = get_session()
+    write_bundle(build_bundle(read_landed(spark, args.landed)), args.out)
+    if not args.verify:
+        return 0
+    issues = verify_contract(spark, Contract.from_json(json.dumps(ARTIFACT_CONTRACT), root=args.out)).collect()
+    for r in issues:
+        print(f"{r['type']}: {r['id']}: {r['detail']}")
+    print(f"{'FAIL' if issues else 'PASS'}: {len(ARTIFACT_CONTRACT['required_datasets'])} dataset(s) checked")
+    return 1 if issues else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

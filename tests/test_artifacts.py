@@ -78,3 +78,15 @@ def test_artifact_schemas_match_the_contract(spark):
     keys = ["fecha", "empresa", "facet_col", "fill_col", "label", "tipo", "header_code", "sub_header_code", "item_code"]
     m = bundle["series_mensuales"]
     assert m.count() == m.select(*keys).distinct().count()  # unique on all but valor
+
+
+def test_artifact_command_writes_and_verifies(spark, tmp_path):
+    from ledgerlake.plans.artifacts import main
+    inp = landed_inputs(spark)
+    landed = tmp_path / "landed"
+    write_table(inp.actual_cells, str(landed / "actual_cells"), partition_by=["year", "sheet"])
+    for name in ("structure_sheet", "budget_source", "budget_template", "opening_sheet", "gdp_cells",
+                 "index_sheet", "rate_sheet"):
+        write_table(getattr(inp, name), str(landed / name))
+    assert main(["--landed", str(landed), "--out", str(tmp_path / "out"), "--verify"]) == 0
+    assert spark.read.parquet(str(tmp_path / "out" / "caja_mensual")).count() == 2
