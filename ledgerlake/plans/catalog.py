@@ -78,7 +78,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A driver table; the DataFrame (file listing, footer schema) is reused
     within a session - DataFrames are immutable, so sharing is safe."""
     path = f"{sf.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(getattr(spark, "_jsparkSession", spark)), path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)

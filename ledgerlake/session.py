@@ -78,12 +78,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+    try:  # classic sessions: make DataFrame.checkpoint() use the same folder
+        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        pass
     return root.rstrip("/")
 
 
