@@ -1099,7 +1099,7 @@ t AS (SELECT empresa, facet_col, label, label_ord, CAST(m AS INT) AS month, tipo
 SELECT t.empresa, t.facet_col, t.label, t.label_ord, t.month, t.tipo, coalesce(f.valor, 0) AS valor,
        f.valor IS NOT NULL AS observed,
        CASE WHEN f.valor IS NOT NULL THEN {_fmt_sql('f.valor', 'valor')} END AS tooltip,
-       CASE WHEN f.valor IS NOT NULL THEN 1.0 ELSE 0.0 END AS alpha_value,
+       CAST(CASE WHEN f.valor IS NOT NULL THEN 1.0 ELSE 0.0 END AS DOUBLE) AS alpha_value,
        {_sql_list(MONTH_LABELS)}[t.month] AS month_label
 FROM t LEFT JOIN f USING (empresa, facet_col, label, month, tipo)""")
 def q27(spark, sf):
