@@ -42,10 +42,17 @@ def test_every_query_has_oracle_or_is_documented():
     assert missing == set()
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     srows = [r.asDict() for r in df.collect()]
+    rel = duck.sql(entry.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     cur = duck.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     drows = [dict(zip(dcols, r)) for r in cur.fetchall()]
