@@ -664,13 +664,15 @@ def q17(spark, sf):
     r = a.select("empresa", first_of_month("year", "month").alias("fecha"), *CODES,
                  "l_orderkey", "l_linenumber", "l_discount", label_excel.alias("label_excel"),
                  F.when(F.col("l_tax") != 0, F.col("l_extendedprice").cast(DEC)).alias("v"))
+    # monthly sums (company x month x account) computed once; the label
+    # dimension's keys are read from them instead of a second lineitem scan
     s = r.groupBy("empresa", "fecha", *CODES).agg(
         lenient_sum("v", 0).cast("double").alias("valor"),
-        first_non_null("label_excel", "l_orderkey", "l_linenumber", "l_discount").alias("label_excel"))
+        first_non_null("label_excel", "l_orderkey", "l_linenumber", "l_discount").alias("label_excel")).persist()
     dim_label = F.concat(F.lit("cuenta "), F.col("header_code"), F.lit("-"),
                          F.coalesce(F.col("sub_header_code").cast("string"), F.lit("x")), F.lit("-"),
                          F.coalesce(F.col("item_code").cast("string"), F.lit("x")))
-    dim = a.where(F.col("header_code").isin("A", "B")).select("empresa", *CODES, dim_label.alias("label")).distinct()
+    dim = s.where(F.col("header_code").isin("A", "B")).select("empresa", *CODES, dim_label.alias("label")).distinct()
     j = null_safe_join(s, dim, ["empresa", *CODES], "left")
     return j.select("empresa", "fecha", *CODES, "valor", F.coalesce("label", "label_excel").alias("label"))
 
@@ -799,8 +801,10 @@ SELECT * FROM x WHERE EXISTS (SELECT 1 FROM y WHERE {_NULL_SAFE_6})""")
 def q20(spark, sf):
     """Shipped monthly totals kept only where the same (company, month,
     account) was also ordered - NULL codes matching NULL codes."""
-    return accounts.filter_to_keys(shipped_totals(spark, sf), ordered_totals(spark, sf)) \
-        .select("empresa", "year", "month", *CODES, "valor")
+    totals = period_totals(spark, sf)
+    shipped = totals.where(F.col("view") == "shipped").drop("view")
+    ordered = totals.where(F.col("view") == "ordered").drop("view")
+    return accounts.filter_to_keys(shipped, ordered).select("empresa", "year", "month", *CODES, "valor")
 
 
 # ---------------------------------------------------------------------------
