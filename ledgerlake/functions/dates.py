@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -29,6 +30,37 @@ def serial_to_date(c) -> Column:
     return F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days)
 
 
+def _format_regex(fmt: str) -> str | None:
+    """Regex accepting exactly the digit layouts a numeric date pattern can
+    parse (``d``, ``dd``, ``M``, ``MM``, ``yyyy`` and literal separators);
+    None for patterns with other letters."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch in "dM" and run <= 2:
+            out.append(r"\d{1,2}" if run == 1 else r"\d{2}")
+        elif ch == "y" and run in (2, 4):
+            out.append(r"\d{%d}" % run)
+        elif ch.isalpha() or ch == "'":
+            return None
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    return "^" + "".join(out) + "$"
+
+
+def _try_format(text: Column, fmt: str) -> Column:
+    """``try_to_date`` only where the text has the format's shape, so rows
+    never pay for a failed parse of a format they cannot match."""
+    rx = _format_regex(fmt)
+    parsed = F.try_to_date(text, fmt)
+    return parsed if rx is None else F.when(text.rlike(rx), parsed)
+
+
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS, dtype=StringType()) -> Column:
     """Date / timestamp pass through; text is trimmed and tried per format.
 
@@ -42,7 +74,7 @@ def parse_date(c, formats: Sequence[str] = DATE_FORMATS, dtype=StringType()) ->
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
         return F.to_date(x)
     text = F.trim(x.cast("string"))
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    return F.coalesce(*[_try_format(text, fmt) for fmt in formats])
 
 
 def year_token(c) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlake.functions.dates import DATE_FORMATS
+from ledgerlake.functions.dates import DATE_FORMATS, _try_format
 from ledgerlake.operators.aggregate import mean
 from ledgerlake.operators.joins import bounded_broadcast
 
@@ -87,12 +87,12 @@ def parse_dates_uniform(df: DataFrame, column: str, order: str, out: str,
     text = F.trim(F.col(column).cast("string"))
     idx = None
     for i, fmt in enumerate(formats, start=1):
-        cond = F.try_to_date(text, fmt).isNotNull()
+        cond = _try_format(text, fmt).isNotNull()
         idx = F.when(cond, F.lit(i)) if idx is None else idx.when(cond, F.lit(i))
     chosen = df.select(F.min_by(idx, F.when(F.col(column).isNotNull(), F.col(order)))).scalar()
     parsed = None
     for i, fmt in enumerate(formats, start=1):
         cond = chosen == F.lit(i)
-        val = F.try_to_date(text, fmt)
+        val = _try_format(text, fmt)
         parsed = F.when(cond, val) if parsed is None else parsed.when(cond, val)
     return df.withColumn(out, parsed)

@@ -78,3 +78,10 @@ def test_display(spark):
     assert one(spark, format_money("v", "US$ "), -2500000.0, "v double") == "-US$ 3"
     assert one(spark, format_percent("v"), 0.123456, "v double") == "12,35%"
     assert one(spark, format_money("v"), None, "v double") is None
+
+
+def test_format_guard_regex():
+    from ledgerlake.functions.dates import _format_regex
+    assert _format_regex("d-M-yyyy") == r"^\d{1,2}\-\d{1,2}\-\d{4}$"
+    assert _format_regex("yyyy/MM/dd") == r"^\d{4}/\d{2}/\d{2}$"
+    assert _format_regex("MMM d") is None and _format_regex("d 'de' M") is None
