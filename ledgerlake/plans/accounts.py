@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
 from ledgerlake.config import (COMPANIES, DEFAULT_CASH, DEFAULT_METHODOLOGY, MONTH_NAMES, MONTH_SHEETS,
                                PROJECTION_HEADER_LEVELS, PROJECTION_HEADERS, PROJECTION_TAG,
@@ -19,12 +19,11 @@ from ledgerlake.functions.dates import first_of_month, month_number, parse_date,
 from ledgerlake.functions.lookup import code_lookup, ordinal
 from ledgerlake.functions.numeric import lenient_double
 from ledgerlake.functions.text import blank, canonical_label, squish, tidy_columns
-from ledgerlake.operators.aggregate import first_non_null, lenient_sum, mean, strict_sum
+from ledgerlake.operators.aggregate import first_non_null, lenient_sum, strict_sum
 from ledgerlake.operators.classify import classify, normalize_code_keys
 from ledgerlake.operators.joins import bounded_broadcast, null_safe_join, occurrence_number
 from ledgerlake.operators.measures import ReferenceSeries, augment_monetary
 from ledgerlake.operators.periods import annualize, complete_years, extrapolate_year, latest, rebase
-from ledgerlake.operators.quality import duplicate_keys
 from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot, union_by_name
 from ledgerlake.operators.windows import running_balance
 from ledgerlake.sources.cells import cells_to_long, header_values, row_of_label, select_range

@@ -18,29 +18,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlake.config import (MONTH_LABELS, MONTH_NAMES, MONTH_SHEETS, PROJECTION_HEADER_LEVELS,
+from ledgerlake.config import (CASH_EXPENSE_LABEL, CASH_INCOME_LABEL, MONTH_LABELS, MONTH_NAMES, MONTH_SHEETS, PROJECTION_HEADER_LEVELS,
                                PROJECTION_HEADERS, CashConfig, MeasureColumns, MonetaryMethodology, Rule,
                                account_rules)
-from ledgerlake.functions.dates import first_of_month, month_label, month_number, parse_date, serial_to_date, year_token
+from ledgerlake.functions.dates import first_of_month, month_number, parse_date, serial_to_date, year_token
 from ledgerlake.functions.display import format_amount, panel_title
 from ledgerlake.functions.lookup import code_lookup, ordinal
 from ledgerlake.functions.numeric import is_finite, lenient_double
-from ledgerlake.functions.text import blank, canonical_label, squish, tidy_columns
-from ledgerlake.operators.aggregate import first_non_null, lenient_sum, mean, strict_sum
+from ledgerlake.functions.text import squish, tidy_columns
+from ledgerlake.operators.aggregate import first_non_null, lenient_sum, strict_sum
 from ledgerlake.operators.classify import classify, dashboard_facts, normalize_code_keys
 from ledgerlake.operators.joins import (bounded_broadcast, canonicalize_by_table, null_safe_join,
                                         occurrence_number)
 from ledgerlake.operators.measures import ReferenceSeries, augment_monetary, reference_checks
-from ledgerlake.operators.periods import YEARS_BOUND, annualize, complete_years, extrapolate_year, latest, rebase
+from ledgerlake.operators.periods import annualize, complete_years, extrapolate_year, latest, rebase
 from ledgerlake.operators.quality import blank_count, domain_check, duplicate_keys, reconcile, reconcile_frames
 from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot
 from ledgerlake.operators.windows import running_balance
 from ledgerlake.plans import accounts, dashboard
 from ledgerlake.session import scratch_path
-from ledgerlake.sources.cells import header_values, read_cells, select_range
-from ledgerlake.sources.contract import Contract, DatasetEntry, verify_contract
+from ledgerlake.sources.cells import header_values, read_cells
+from ledgerlake.sources.contract import Contract, verify_contract
 from ledgerlake.sources.landed import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -964,7 +964,6 @@ def q24(spark, sf):
     """Cash balance per market segment with its minimum: one month of the
     previous year's orders (income class) or a fixed amount from the account
     balances (expense class), plus the threshold label of the cash view."""
-    from ledgerlake.config import CASH_EXPENSE_LABEL, CASH_INCOME_LABEL
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
     oc = o.join(c.select("c_custkey", "c_mktsegment"), o.o_custkey == c.c_custkey) \
@@ -1073,7 +1072,7 @@ def latest_year_order_facts(spark, sf, fanout: int = 1) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_regionkey"), 25)
     r = bounded_broadcast(table(spark, sf, "region"), 5)
-    last = latest(o, F.year("o_orderdate"))  # noqa: F841 - used below
+    last = latest(o, F.year("o_orderdate"))
     j = o.where(F.year("o_orderdate") == last).join(c, o.o_custkey == c.c_custkey) \
         .join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     tipo = F.when(F.col("o_orderstatus") == "F", F.lit("Ejecutado")).otherwise(F.lit("Firmado"))

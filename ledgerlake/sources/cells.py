@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from ledgerlake.functions._util import col
 
 CELL_SCHEMA = StructType([
     StructField("workbook", StringType()),
