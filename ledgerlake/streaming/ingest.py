@@ -16,8 +16,10 @@ def ingest_new_sheets(spark: SparkSession, landing_dir: str, structure_map: Data
     per whole sheet. Each micro-batch is a static frame of complete sheets,
     resolved with the batch operator inside ``foreachBatch`` (header and label
     cells join cells of the same sheet, which a stream-stream join could not
-    express without watermarks). Exactly-once through the checkpoint in the
-    shared ``checkpoint_dir``; the output write is idempotent per batch id.
+    express without watermarks). The checkpoint in the shared
+    ``checkpoint_dir`` records which files were consumed; each micro-batch
+    overwrites its own ``batch=<id>`` folder, so a batch replayed after a
+    failure replaces its partial output instead of appending twice.
     """
     schema = StructType([*CELL_SCHEMA.fields, StructField("year", IntegerType())])
     reader = spark.readStream.schema(schema).option("basePath", landing_dir)
@@ -27,8 +29,7 @@ def ingest_new_sheets(spark: SparkSession, landing_dir: str, structure_map: Data
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         facts = actuals_from_cells(batch, structure_map)
-        facts.write.mode("append").option("txnAppId", "ledgerlake-ingest").option("txnVersion", batch_id) \
-            .partitionBy("year").parquet(out_dir)
+        facts.write.mode("overwrite").partitionBy("year").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
 
     return (cells.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True).start())
