@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Largest structural bound (rows) we accept for an explicit broadcast hint.
@@ -79,16 +80,20 @@ def occurrence_number_ranged(df: DataFrame, by: Sequence[str], order: Sequence[s
        group's rows in earlier partitions.
     4. ``row number = rows before + local position + 1``.
 
-    Both uses of the ranged frame read the same (reused) shuffle; counts and
-    first positions do not depend on the order of exact key ties, so the
-    numbering is consistent even when a task is recomputed.
+    The ranged frame is persisted, so the count table and the numbered rows
+    come from ONE range shuffle (two separately planned range shuffles
+    sample their bounds independently and could disagree). A lost cached
+    block is recomputed from that same shuffle; counts and first positions
+    do not depend on the order of exact key ties, so the numbering stays
+    consistent when a task is recomputed.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*by, *order]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys) \
         .withColumn("__pid", F.spark_partition_id()) \
-        .withColumn("__pos", F.monotonically_increasing_id())
+        .withColumn("__pos", F.monotonically_increasing_id()) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     stats = ranged.groupBy(*by, "__pid").agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("__before", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
