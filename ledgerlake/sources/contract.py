@@ -12,7 +12,8 @@ import json
 import time
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake.operators.quality import issues_frame
@@ -133,14 +134,16 @@ def verify_entry(spark: SparkSession, contract: Contract, entry: DatasetEntry,
         return [issue("unreadable", f"Unsupported dataset format '{entry.format}'.")]
     try:
         df = read_table(spark, path, entry.format)
+        checks_schema = entry.required_columns or entry.key_columns or entry.row_count_min is not None
+        keys = tuple(k for k in entry.key_columns if k in df.columns) if entry.unique_key else ()
+        stats = _dataset_stats(df, keys) if (checks_schema or entry.max_age_hours is not None) else None
     except AnalysisException as err:
         if _is_missing(err):
             return [issue("missing", "File does not exist.")]
         return [issue("unreadable", str(err).splitlines()[0])]
+    except (PySparkException, Py4JJavaError) as err:  # e.g. a corrupt file footer
+        return [issue("unreadable", str(err).strip().splitlines()[0][:500])]
     out = []
-    checks_schema = entry.required_columns or entry.key_columns or entry.row_count_min is not None
-    keys = tuple(k for k in entry.key_columns if k in df.columns) if entry.unique_key else ()
-    stats = _dataset_stats(df, keys) if (checks_schema or entry.max_age_hours is not None) else None
     if checks_schema:
         missing = [c for c in entry.required_columns if c not in df.columns]
         if missing:

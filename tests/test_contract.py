@@ -48,3 +48,13 @@ def test_read_required_dataset(spark, landed):
         read_required_dataset(spark, landed, "gone")
     with pytest.raises(KeyError, match="not declared"):
         read_required_dataset(spark, landed, "nope")
+
+
+def test_corrupt_file_is_unreadable(spark, tmp_path):
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"not a parquet file at all")
+    doc = {"required_datasets": [{"id": "bad", "output_path": "bad", "format": "parquet",
+                                  "validation_rules": {"row_count_min": 1}}]}
+    got = verify_contract(spark, Contract.from_json(json.dumps(doc), root=str(tmp_path))).collect()
+    assert [(r["id"], r["type"]) for r in got] == [("bad", "unreadable")]
