@@ -103,6 +103,9 @@ def read_required_dataset(spark: SparkSession, contract: Contract, dataset_id: s
                 f"Required dataset '{entry.id}' is missing at {path}. Run {contract.regenerate} "
                 f"to generate it (pipeline step: {entry.produced_by}).") from err
         raise ContractError(f"Failed to read required dataset '{entry.id}' at {path}: {err}") from err
+    except (PySparkException, Py4JJavaError) as err:
+        raise ContractError(f"Failed to read required dataset '{entry.id}' at {path}: "
+                            f"{str(err).strip().splitlines()[0][:500]}") from err
     missing = [c for c in entry.required_columns if c not in df.columns]
     if missing:
         raise ContractError(f"Dataset '{entry.id}' is missing required columns: {', '.join(missing)}")

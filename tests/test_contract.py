@@ -58,3 +58,5 @@ def test_corrupt_file_is_unreadable(spark, tmp_path):
                                   "validation_rules": {"row_count_min": 1}}]}
     got = verify_contract(spark, Contract.from_json(json.dumps(doc), root=str(tmp_path))).collect()
     assert [(r["id"], r["type"]) for r in got] == [("bad", "unreadable")]
+    with pytest.raises(ContractError, match="Failed to read required dataset 'bad'"):
+        read_required_dataset(spark, Contract.from_json(json.dumps(doc), root=str(tmp_path)), "bad")
