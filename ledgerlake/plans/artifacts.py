@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlake.config import DEFAULT_CASH, DEFAULT_METHODOLOGY, CashConfig, MonetaryMethodology
 from ledgerlake.operators.classify import dashboard_facts
+from ledgerlake.operators.measures import validate_references
 from ledgerlake.operators.periods import latest
 from ledgerlake.plans import accounts
 from ledgerlake.sources.landed import write_table
@@ -29,10 +30,14 @@ class LandedInputs:
 
 
 def build_bundle(inp: LandedInputs, m: MonetaryMethodology = DEFAULT_METHODOLOGY,
-                 cash: CashConfig = DEFAULT_CASH) -> dict[str, DataFrame]:
+                 cash: CashConfig = DEFAULT_CASH, validate: bool = True) -> dict[str, DataFrame]:
     by_row, by_company = accounts.structure_maps(inp.structure_sheet)
     actuals = accounts.actuals_from_cells(inp.actual_cells, by_row).persist(StorageLevel.MEMORY_AND_DISK)
     refs = accounts.macro_series(inp.gdp_cells, inp.index_sheet, inp.rate_sheet, m)
+    if validate:
+        # the series are one row per year: a few one-row aggregates, then stop
+        # before anything is written if a series is unusable
+        validate_references(refs, m)
     budget = accounts.budget_raw(inp.budget_source, inp.budget_template, by_company, latest(actuals, "year"))
     monthly = accounts.series_monthly(actuals, budget, by_company)
     return {
@@ -93,10 +98,20 @@ LANDED_FOLDERS = ("actual_cells", "structure_sheet", "budget_source", "budget_te
 def read_landed(spark, root: str) -> LandedInputs:
     """Landed inputs as parquet folders under ``root`` (one per input;
     ``actual_cells`` partitioned ``year=/sheet=``)."""
+    from pyspark.errors import AnalysisException
+
     from ledgerlake.sources.cells import read_cells
     root = root.rstrip("/")
-    parts = {name: spark.read.parquet(f"{root}/{name}") for name in LANDED_FOLDERS if name != "actual_cells"}
-    return LandedInputs(actual_cells=read_cells(spark, f"{root}/actual_cells"), **parts)
+    parts = {}
+    for name in LANDED_FOLDERS:
+        path = f"{root}/{name}"
+        try:
+            parts[name] = read_cells(spark, path) if name == "actual_cells" else spark.read.parquet(path)
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
+                raise FileNotFoundError(f"Missing required file: {path}") from err
+            raise
+    return LandedInputs(**parts)
 
 
 def main(argv=None) -> int:

@@ -90,3 +90,18 @@ def test_artifact_command_writes_and_verifies(spark, tmp_path):
         write_table(getattr(inp, name), str(landed / name))
     assert main(["--landed", str(landed), "--out", str(tmp_path / "out"), "--verify"]) == 0
     assert spark.read.parquet(str(tmp_path / "out" / "caja_mensual")).count() == 2
+
+
+def test_bundle_stops_on_invalid_reference_series(spark, tmp_path):
+    import dataclasses
+
+    import pytest
+
+    from ledgerlake.operators.measures import ReferenceSeriesError
+    from ledgerlake.plans.artifacts import read_landed
+    inp = landed_inputs(spark)
+    no_base = dataclasses.replace(inp, index_sheet=inp.index_sheet.where("c1 NOT LIKE '45%'"))  # drops 2024
+    with pytest.raises(ReferenceSeriesError, match="base year 2024"):
+        build_bundle(no_base)
+    with pytest.raises(FileNotFoundError, match="Missing required file"):
+        read_landed(spark, str(tmp_path / "nothing"))
