@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
-from ledgerlake.config import (COMPANIES, DEFAULT_CASH, DEFAULT_METHODOLOGY, MONTH_NAMES, MONTH_SHEETS,
+from ledgerlake.config import (DEFAULT_CASH, DEFAULT_METHODOLOGY, MONTH_NAMES, MONTH_SHEETS,
                                PROJECTION_HEADER_LEVELS, PROJECTION_HEADERS, PROJECTION_TAG,
                                QUARTER_HEADER_PATTERN, CashConfig, MonetaryMethodology, Rule, account_rules)
 from ledgerlake.functions.dates import first_of_month, month_number, parse_date, serial_to_date, year_token
@@ -343,8 +343,3 @@ def cash_monthly(actuals: DataFrame, opening_sheet: DataFrame, cash: CashConfig
     return out.withColumn("saldo_minimo", F.lit(1e3) * minimum).select(
         *CODES, "empresa", "saldo", "saldo_minimo_gastos", "saldo_minimo_ingresos", "saldo_minimo", "fecha")
 
-
-# --- CP-16 dashboard facts --------------------------------------------------
-
-def companies_frame(spark) -> DataFrame:
-    return literal_frame(spark, [(c,) for c in COMPANIES], [("empresa", "string")])

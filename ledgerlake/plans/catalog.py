@@ -39,7 +39,7 @@ from ledgerlake.operators.reshape import has_data, literal_frame, require_column
 from ledgerlake.operators.windows import running_balance
 from ledgerlake.plans import accounts, dashboard
 from ledgerlake.session import scratch_path
-from ledgerlake.sources.cells import header_values, read_cells
+from ledgerlake.sources.cells import header_values, read_cells, text_column
 from ledgerlake.sources.contract import Contract, verify_contract
 from ledgerlake.sources.landed import read_table, write_table
 
@@ -356,12 +356,15 @@ def q05(spark, sf):
     p = table(spark, sf, "part")
     text = F.when(F.col("p_size") % 7 == 0, F.concat(F.col("p_size").cast("string"), F.lit(" u"))) \
         .otherwise(F.col("p_size").cast("string"))
-    body = p.select((F.col("p_partkey") + 2).alias("row"), text.alias("c2"))
-    head = p.limit(1).select(F.lit(1).cast("bigint").alias("row"), F.lit("p_size").alias("c2"))
-    sheet = head.unionByName(body)
-    rows = sheet.where(F.col("row") > 1)
-    return rows.select((F.col("row") - 2).alias("p_partkey"), F.col("c2").alias("size_text"),
-                       lenient_double("c2").alias("size_value"))
+    sheet = [F.lit("parts").alias("workbook"), F.lit("sizes").alias("sheet")]
+    body = p.select(*sheet, (F.col("p_partkey") + 2).cast("int").alias("row"), F.lit(2).alias("col"),
+                    F.lit(None).cast("double").alias("numeric"), text.alias("character"))
+    head = literal_frame(spark, [("parts", "sizes", 1, 2, None, "p_size")],
+                         [("workbook", "string"), ("sheet", "string"), ("row", "int"), ("col", "int"),
+                          ("numeric", "double"), ("character", "string")])
+    column = text_column(head.unionByName(body), column=2, skip_rows=1)
+    return column.select((F.col("row") - 2).cast("bigint").alias("p_partkey"), F.col("text").alias("size_text"),
+                         lenient_double("text").alias("size_value"))
 
 
 # ---------------------------------------------------------------------------
