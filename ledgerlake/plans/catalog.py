@@ -1146,11 +1146,11 @@ def q29(spark, sf):
     a = oc.select(F.col("c_nationkey").alias("empresa"), F.to_date("o_orderdate").alias("fecha"))
     b = li.join(oc.select("o_orderkey", "c_nationkey"), F.col("l_orderkey") == F.col("o_orderkey")) \
         .select(F.col("c_nationkey").alias("empresa"), F.to_date("l_shipdate").alias("fecha"))
-    m = a.unionByName(b).where(F.col("fecha").isNotNull()).groupBy("empresa").agg(F.max("fecha").alias("latest_date"))
+    m = dashboard.latest_company_year(a, b, "empresa", "fecha")
     n = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"), 25)
     j = m.join(n, F.col("empresa") == F.col("n_nationkey"))
-    return j.select(F.col("n_name").alias("nation"), "latest_date", F.year("latest_date").alias("year"),
-                    panel_title("n_name", F.lit("Ingresos"), F.year("latest_date")).alias("title"))
+    return j.select(F.col("n_name").alias("nation"), "latest_date", "year",
+                    panel_title("n_name", F.lit("Ingresos"), F.col("year")).alias("title"))
 
 
 # ---------------------------------------------------------------------------

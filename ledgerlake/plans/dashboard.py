@@ -78,7 +78,7 @@ def latest_company_year(monthly: DataFrame, cash_monthly: DataFrame, entity: str
     """Latest year over two facts per company (AG-12); NULL dates ignored."""
     both = monthly.select(entity, date).unionByName(cash_monthly.select(entity, date))
     return both.where(F.col(date).isNotNull()).groupBy(entity) \
-        .agg(F.year(F.max(date)).alias("year"))
+        .agg(F.max(date).alias("latest_date")).withColumn("year", F.year("latest_date"))
 
 
 def panel_titles(latest_years: DataFrame, facets: Sequence[str], entity: str = "empresa") -> DataFrame:
