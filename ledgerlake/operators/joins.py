@@ -50,16 +50,28 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select(*key_cols, *others_left, *others_right)
 
 
+# Largest group (rows) the window numbering may sort in one task when
+# ``skew_safe="auto"``; beyond it the range-partitioned numbering is used.
+HOT_GROUP_ROWS = 5_000_000
+
+
 def occurrence_number(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                      name: str = "occurrence", skew_safe: bool = False) -> DataFrame:
+                      name: str = "occurrence", skew_safe: bool | str = False,
+                      hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """n-th row of each ``by`` group in ``order`` (WN-01).
 
     The default is a window partitioned by the group: one task per group,
     right for small groups (concepts of a sheet). ``skew_safe=True`` numbers
     rows without ever putting a group into one task - see
     :func:`occurrence_number_ranged` - for data where one group may hold a
-    large share of all rows.
+    large share of all rows. ``skew_safe="auto"`` first measures the largest
+    group (one count aggregate, combined map-side; one row reaches the
+    driver) and uses the ranged numbering only if it exceeds
+    ``hot_group_rows``.
     """
+    if skew_safe == "auto":
+        largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+        skew_safe = largest > hot_group_rows
     if skew_safe:
         return occurrence_number_ranged(df, by, order, name)
     w = Window.partitionBy(*by).orderBy(*order)

@@ -270,3 +270,14 @@ def test_add_deflators_checks_types(spark):
     bad = spark.createDataFrame([("2025", 220.0)], "year string, ejecutado double")
     with pytest.raises(ValueError, match="numeric column named 'year'"):
         add_deflators(bad, refs_fixture(spark))
+
+
+def test_occurrence_number_auto_picks_by_largest_group(spark):
+    df = spark.createDataFrame([("hot", i) for i in range(50)] + [("c", 1)], "g string, o int")
+    base = rows(occurrence_number(df, ["g"], ["o"], "occ"), "g", "o", "occ")
+    small = occurrence_number(df, ["g"], ["o"], "occ", skew_safe="auto", hot_group_rows=10)
+    big = occurrence_number(df, ["g"], ["o"], "occ", skew_safe="auto", hot_group_rows=1000)
+    assert "RangePartitioning" in small._jdf.queryExecution().executedPlan().toString() or \
+        "rangepartitioning" in small._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in big._jdf.queryExecution().executedPlan().toString()
+    assert rows(small, "g", "o", "occ") == base == rows(big, "g", "o", "occ")
