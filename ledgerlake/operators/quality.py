@@ -51,14 +51,22 @@ def guard_no_blank(df: DataFrame, column: str, message: str) -> None:
         raise DataQualityError(message)
 
 
+def _pair_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Number rows within each key (ordered by the remaining columns) so two
+    frames pair their n-th duplicates 1:1, as a row-by-row comparison of
+    key-sorted frames does - never all pairs of a repeated key."""
+    from ledgerlake.operators.joins import occurrence_number
+    return occurrence_number(df, keys, list(order), "__dup")
+
+
 def reconcile(actual: DataFrame, expected: DataFrame, keys: Sequence[str], value: str,
               tolerance: float = 1e-6) -> DataFrame:
     """Compare two frames on ``keys`` (DQ-14): row counts on both sides, rows
     present on one side only, and the mean relative difference
     ``sum|a - b| / sum|b|`` over matched rows (R ``all.equal``)."""
-    a = actual.select(*keys, F.col(value).alias("__a"), F.lit(1).alias("__in_a"))
-    b = expected.select(*keys, F.col(value).alias("__b"), F.lit(1).alias("__in_b"))
-    j = a.join(b, list(keys), "full_outer")
+    a = _pair_duplicates(actual.select(*keys, F.col(value).alias("__a"), F.lit(1).alias("__in_a")), keys, ["__a"])
+    b = _pair_duplicates(expected.select(*keys, F.col(value).alias("__b"), F.lit(1).alias("__in_b")), keys, ["__b"])
+    j = a.join(b, [*keys, "__dup"], "full_outer")
     both = F.col("__in_a").isNotNull() & F.col("__in_b").isNotNull()
     out = j.agg(
         F.count(F.col("__in_a")).cast("bigint").alias("rows_actual"),
@@ -103,17 +111,20 @@ def reconcile_frames(actual: DataFrame, expected: DataFrame, keys: Sequence[str]
       a mismatch);
     * other columns: the number of matched rows whose values differ.
 
-    One full outer join on the keys and ONE aggregate for all columns; a
-    column present on only one side is reported with kind ``missing``.
+    One full outer join on the keys (n-th duplicate with n-th duplicate) and
+    ONE aggregate for all columns; a column present on only one side is
+    reported with kind ``missing``.
     """
     from pyspark.sql.types import NumericType
     a_types = {f.name: f.dataType for f in actual.schema.fields}
     e_types = {f.name: f.dataType for f in expected.schema.fields}
     cols = [c for c in actual.columns if c not in keys and c in e_types]
     missing = sorted((set(a_types) ^ set(e_types)) - set(keys))
-    a = actual.select(*keys, *[F.col(c).alias(f"a__{c}") for c in cols], F.lit(1).alias("__in_a"))
-    e = expected.select(*keys, *[F.col(c).alias(f"e__{c}") for c in cols], F.lit(1).alias("__in_e"))
-    j = a.join(e, list(keys), "full_outer")
+    a = _pair_duplicates(actual.select(*keys, *[F.col(c).alias(f"a__{c}") for c in cols], F.lit(1).alias("__in_a")),
+                         keys, [f"a__{c}" for c in cols])
+    e = _pair_duplicates(expected.select(*keys, *[F.col(c).alias(f"e__{c}") for c in cols],
+                                         F.lit(1).alias("__in_e")), keys, [f"e__{c}" for c in cols])
+    j = a.join(e, [*keys, "__dup"], "full_outer")
     both = F.col("__in_a").isNotNull() & F.col("__in_e").isNotNull()
     aggs = [F.count("__in_a").alias("rows_actual"), F.count("__in_e").alias("rows_expected"),
             F.count(F.when(~both, F.lit(1))).alias("rows_unmatched")]

@@ -281,3 +281,14 @@ def test_occurrence_number_auto_picks_by_largest_group(spark):
         "rangepartitioning" in small._jdf.queryExecution().executedPlan().toString()
     assert "Window" in big._jdf.queryExecution().executedPlan().toString()
     assert rows(small, "g", "o", "occ") == base == rows(big, "g", "o", "occ")
+
+
+def test_reconcile_pairs_duplicate_keys_one_to_one(spark):
+    from ledgerlake.operators.quality import reconcile_frames
+    a = spark.createDataFrame([(1, 10.0), (1, 20.0), (1, 30.0)], "k int, v double")
+    e = spark.createDataFrame([(1, 30.0), (1, 10.0), (1, 20.0)], "k int, v double")
+    r = reconcile(a, e, ["k"], "v").first()
+    assert (r["rows_actual"], r["rows_expected"], r["rows_unmatched"]) == (3, 3, 0)  # not 9 pairs
+    assert r["within_tolerance"]
+    f = reconcile_frames(a, e.limit(2).union(spark.createDataFrame([(1, 99.0)], "k int, v double")), ["k"])
+    assert f.first()["rows_actual"] == 3 and not f.first()["within_tolerance"]
