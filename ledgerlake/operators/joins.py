@@ -166,10 +166,14 @@ def gap_fill(template: DataFrame, facts: DataFrame, keys: Sequence[str],
 def canonicalize_by_table(df: DataFrame, column: str, synonyms: DataFrame,
                           key: str = "key", value: str = "canonical") -> DataFrame:
     """Replace ``column`` by its canonical spelling from a synonym table keyed
-    by lower-cased, squished text (PRJ-14 for large vocabularies)."""
+    by lower-cased, squished text (PRJ-14 for large vocabularies); text
+    without a synonym is kept squished."""
     from ledgerlake.functions.text import squish
     base = df.withColumn("__canon_key", F.lower(squish(column)))
-    syn = synonyms.select(F.col(key).alias("__canon_key"), F.col(value).alias("__canon_val"))
+    # one canonical spelling per key (the smallest if the table has several),
+    # so the lookup can never duplicate a row
+    syn = synonyms.groupBy(F.lower(squish(F.col(key))).alias("__canon_key")) \
+        .agg(F.min(F.col(value)).alias("__canon_val"))
     return base.join(syn, "__canon_key", "left") \
         .withColumn(column, F.coalesce(F.col("__canon_val"), squish(column))) \
         .drop("__canon_key", "__canon_val")

@@ -292,3 +292,12 @@ def test_reconcile_pairs_duplicate_keys_one_to_one(spark):
     assert r["within_tolerance"]
     f = reconcile_frames(a, e.limit(2).union(spark.createDataFrame([(1, 99.0)], "k int, v double")), ["k"])
     assert f.first()["rows_actual"] == 3 and not f.first()["within_tolerance"]
+
+
+def test_canonicalize_by_table_never_duplicates(spark):
+    from ledgerlake.operators.joins import canonicalize_by_table
+    df = spark.createDataFrame([(1, "  otros   INGRESOS "), (2, "ventas")], "id int, label string")
+    syn = spark.createDataFrame([("otros ingresos", "Otros Ingresos"), ("OTROS ingresos", "Otros ingresos")],
+                                "key string, canonical string")
+    out = canonicalize_by_table(df, "label", syn)
+    assert rows(out, "id", "label") == [(1, "Otros Ingresos"), (2, "ventas")]
