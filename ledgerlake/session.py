@@ -70,6 +70,9 @@ def get_session(master: str | None = None, app: str = "ledgerlake",
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
@@ -83,8 +86,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
             root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # unset (local tests only): one private folder per session. The core
+        # config itself cannot be changed at runtime, so it is remembered here.
+        key = id(getattr(spark, "_jsparkSession", spark))
+        root = _LOCAL_ROOTS.setdefault(key, tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
     try:  # classic sessions: make DataFrame.checkpoint() use the same folder
         if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
             spark.sparkContext.setCheckpointDir(root)
