@@ -223,3 +223,13 @@ def test_gdp_total_row_by_label_and_skew_safe_budget(spark):
     a = accounts.budget_raw(src, tpl, by_company, 2025)
     b = accounts.budget_raw(src, tpl, by_company, 2025, skew_safe=True)
     assert rows(a) == rows(b)
+
+
+def test_label_order_ties_and_month_year_label(spark):
+    from ledgerlake.functions.display import month_year_label
+    facts = spark.createDataFrame([("X", "G", "b", 5.0), ("X", "G", "a", -5.0), ("X", "G", "c", 9.0),
+                                   ("Y", "G", "a", 1.0)], "empresa string, facet_col string, label string, valor double")
+    order = dashboard.label_order(facts)
+    assert rows(order, "empresa", "label", "label_ord") == [("X", "a", 2), ("X", "b", 3), ("X", "c", 1), ("Y", "a", 1)]
+    d = spark.createDataFrame([(dt.date(2025, 9, 1),)], "d date")
+    assert d.select(month_year_label("d").alias("m")).first()["m"] == "Sept 2025"
