@@ -85,3 +85,11 @@ def test_format_guard_regex():
     assert _format_regex("d-M-yyyy") == r"^\d{1,2}\-\d{1,2}\-\d{4}$"
     assert _format_regex("yyyy/MM/dd") == r"^\d{4}/\d{2}/\d{2}$"
     assert _format_regex("MMM d") is None and _format_regex("d 'de' M") is None
+
+
+def test_format_amount_by_unit(spark):
+    from ledgerlake.functions import format_amount
+    df = spark.createDataFrame([(1234567890.0,)], "v double")
+    got = df.select(format_amount("v", "valor_usd").alias("a"), format_amount("v", "valor").alias("b"),
+                    format_amount("v", "otra").alias("c")).first()
+    assert (got["a"], got["b"], got["c"]) == ("US$ 1.235", "$ 1.235", "1.23456789E9")
