@@ -7,9 +7,11 @@ folder of our own.
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -70,43 +72,32 @@ def get_session(master: str | None = None, app: str = "ledgerlake",
     return spark
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Read ``spark.checkpoint.dir`` from the session; set one only when it is
-    unset (local tests), never overriding what the cluster names.
+    It is ``spark.checkpoint.dir`` of the session. Only a local session may
+    leave it unset (tests): it then gets a folder of its own, deleted when the
+    process ends. On a cluster an unset folder is an error, because a
+    machine-local one would scatter files over the executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-            root = None
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # unset (local tests only): one private folder per session. The core
-        # config itself cannot be changed at runtime, so it is remembered here.
-        key = id(getattr(spark, "_jsparkSession", spark))
-        root = _LOCAL_ROOTS.setdefault(key, tempfile.mkdtemp(prefix="ledgerlake-ckpt-"))
-    try:  # classic sessions: make DataFrame.checkpoint() use the same folder
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        pass
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
+        root = _local_root()
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for checks done with the local file system."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_locally(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -1,3 +1,5 @@
+import pytest
+
 from ledgerlake import session
 from ledgerlake.session import CLUSTER_CONF, checkpoint_root, get_session, scratch_path
 
@@ -23,14 +25,17 @@ def test_checkpoint_root_fallback_without_setting(spark, monkeypatch):
             return None if key == "spark.checkpoint.dir" else self._real.get(key, default)
 
     class Wrapped:
-        def __init__(self, real):
+        def __init__(self, real, master):
             self.conf = NoDir(real.conf)
-            self.sparkContext = type("SC", (), {"getConf": lambda _self: NoDir(real.sparkContext.getConf()),
+            self.sparkContext = type("SC", (), {"master": master,
+                                                "getConf": lambda _self: NoDir(real.sparkContext.getConf()),
                                                 "_jsc": real.sparkContext._jsc,
                                                 "setCheckpointDir": lambda _self, d: None})()
-    w = Wrapped(spark)
+    w = Wrapped(spark, "local[4]")
     first = session.checkpoint_root(w)
     assert first == session.checkpoint_root(w) and "ledgerlake-ckpt-" in first
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Wrapped(spark, "spark://host:7077"))
 
 
 def test_get_session_reuses_the_active_session(spark):
