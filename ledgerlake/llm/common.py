@@ -61,6 +61,40 @@ def take_columns(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[F.col(f"`{n}`") for n in names])
 
 
+def range_bucket(docs: DataFrame, column: str, buckets: int):
+    """Column dealing ascending values to ranges 0 .. buckets - 1 of like row
+    counts: approximate quantiles of that column alone, ``buckets`` values on
+    the driver. Nulls fall in range 0; equal values share a range."""
+    cuts = []
+    if buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
+        got = docs.agg(F.percentile_approx(column, probs, 20 * buckets).alias("c")).first()["c"]
+        cuts = sorted(set(got or []))
+    if not cuts:
+        return F.lit(0)
+    # position among the cuts in two steps, so a row looks at about 2 * sqrt(buckets) of them
+    width = max(1, int(len(cuts) ** 0.5))
+    value = F.col(column)
+    groups = [cuts[i:i + width] for i in range(0, len(cuts), width)]
+    group = F.size(F.filter(F.lit([g[0] for g in groups]).cast("array<bigint>"), lambda c: c < value))
+    inner = F.element_at(F.lit(groups).cast("array<array<bigint>>"), F.greatest(group, F.lit(1)))
+    rank = F.when(group == 0, 0).otherwise(
+        (group - 1) * width + F.size(F.filter(inner, lambda c: c < value)))
+    return F.coalesce(rank, F.lit(0)).cast("int")
+
+
+def filter_rows(docs: DataFrame, keep, limit: int = SLICE_BYTES) -> DataFrame:
+    """Rows of ``docs``, all columns untouched, for which ``keep(texts)`` - a
+    mask over a run of the text column - is true. Row-local, no shuffle."""
+    workers_can_import(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", limit):
+                yield part.filter(pa.array(keep(part.column("text")), pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 # ------------------------------------------------------------- Arrow and numpy
 
 def text_buffers(col) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +171,7 @@ def _segment_words(buf: np.ndarray, gap: np.ndarray, breaks: np.ndarray):
     edge[1:-1] = word[1:] != word[:-1]
     edge[0] = word[0]
     edge[-1] = word[-1]
-    inner = breaks[(breaks > 0) & (breaks < len(buf))]
+    inner = np.unique(breaks[(breaks > 0) & (breaks < len(buf))])  # empty texts share theirs
     joined = inner[word[inner] & word[inner - 1]]  # a word ends and another begins here
     at = np.flatnonzero(edge)
     if len(joined):
