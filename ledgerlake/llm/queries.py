@@ -25,6 +25,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -34,3 +38,57 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def op1_repair_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlake.llm.repair import encode_documents
     return encode_documents(documents(spark, sf_dir), tokenizer_path())
+
+
+@register
+def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.pii import pii_report
+    return pii_report(documents(spark, sf_dir))
+
+
+@register
+def op4_mixture_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.mixture import mixture_report
+    return mixture_report(documents(spark, sf_dir))
+
+
+@register
+def op7_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.multiset import fingerprint_report
+    return fingerprint_report(documents(spark, sf_dir))
+
+
+@register
+def op5_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.setsketch import near_duplicate_report
+    return near_duplicate_report(documents(spark, sf_dir), width=4, percent=80)
+
+
+@register
+def op6_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.secrets import secret_report
+    return secret_report(documents(spark, sf_dir))
+
+
+@register
+def op8_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.langid import language_report
+    return language_report(documents(spark, sf_dir))
+
+
+@register
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.chunks import repeated_passages
+    return repeated_passages(documents(spark, sf_dir))
+
+
+@register
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.kneserney import language_model_report
+    return language_model_report(documents(spark, sf_dir))
+
+
+@register
+def op10_decontaminate_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.decontaminate import find_leaks
+    return find_leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
