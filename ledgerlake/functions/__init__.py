@@ -4,13 +4,13 @@ from ledgerlake.functions.dates import (first_of_month, month_label, month_numbe
                                         serial_to_date, year_token)
 from ledgerlake.functions.display import format_amount, format_money, format_percent, month_year_label, panel_title
 from ledgerlake.functions.lookup import code_lookup, ordinal
-from ledgerlake.functions.numeric import is_finite, lenient_double, scaled
+from ledgerlake.functions.numeric import is_finite, lenient_double
 from ledgerlake.functions.text import blank, canonical_label, squish, tidy_columns, tidy_name
 
 __all__ = [
     "tidy_name", "tidy_columns", "squish", "canonical_label", "blank",
     "month_number", "first_of_month", "serial_to_date", "parse_date", "year_token", "month_label",
-    "lenient_double", "scaled", "is_finite",
+    "lenient_double", "is_finite",
     "code_lookup", "ordinal",
     "format_amount", "format_money", "format_percent", "month_year_label", "panel_title",
 ]

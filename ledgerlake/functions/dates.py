@@ -14,6 +14,9 @@ from ledgerlake.functions.lookup import ordinal
 from ledgerlake.functions.numeric import lenient_double
 
 
+SERIAL_DAYS_BEFORE, SERIAL_DAYS_AFTER = 693_593, 2_958_465
+
+
 def month_number(c, vocabulary: Sequence[str] = MONTH_SHEETS) -> Column:
     """Month token -> 1..12 by position in ``vocabulary``; unknown -> NULL."""
     return ordinal(c, vocabulary)
@@ -25,9 +28,11 @@ def first_of_month(year, month) -> Column:
 
 
 def serial_to_date(c) -> Column:
-    """Spreadsheet serial day number (text or number) -> DATE; junk -> NULL."""
-    days = F.floor(lenient_double(col(c).cast("string"))).cast("int")
-    return F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days)
+    """Spreadsheet serial day number (text or number) -> DATE; junk, and
+    numbers beyond the calendar (years 1 to 9999), -> NULL."""
+    days = F.floor(lenient_double(col(c).cast("string")))
+    valid = days.between(-SERIAL_DAYS_BEFORE, SERIAL_DAYS_AFTER)
+    return F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.when(valid, days).cast("int"))
 
 
 def _format_regex(fmt: str) -> str | None:
@@ -50,15 +55,17 @@ def _format_regex(fmt: str) -> str | None:
         else:
             out.append(re.escape(fmt[i:j]))
         i = j
-    return "^" + "".join(out) + "$"
+    return "^" + "".join(out)
 
 
 def _try_format(text: Column, fmt: str) -> Column:
-    """``try_to_date`` only where the text has the format's shape, so rows
-    never pay for a failed parse of a format they cannot match."""
+    """``try_to_date`` of the leading part that has the format's shape (text
+    after it, such as a time, is ignored), so rows never pay for a failed
+    parse of a format they cannot match."""
     rx = _format_regex(fmt)
-    parsed = F.try_to_date(text, fmt)
-    return parsed if rx is None else F.when(text.rlike(rx), parsed)
+    if rx is None:
+        return F.try_to_date(text, fmt)
+    return F.when(text.rlike(rx), F.try_to_date(F.regexp_extract(text, rx, 0), fmt))
 
 
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS, dtype=StringType()) -> Column:

@@ -7,14 +7,14 @@ from pyspark.sql import Column, functions as F
 from ledgerlake.functions._util import col
 
 
-def lenient_double(c) -> Column:
-    """Text -> double; junk becomes NULL instead of failing (ANSI-safe)."""
-    return col(c).try_cast("double")
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def scaled(c, factor: float) -> Column:
-    """Unit change, e.g. thousands -> units with ``factor=1e3``."""
-    return col(c) * F.lit(float(factor))
+def lenient_double(c) -> Column:
+    """Text -> double; junk becomes NULL instead of failing (ANSI-safe). Only
+    plain numbers count: type suffixes (``12d``, ``3f``) and ``NaN`` are junk."""
+    x = col(c).cast("string")
+    return F.when(x.rlike(NUMBER), F.trim(x).try_cast("double"))
 
 
 def is_finite(c) -> Column:

@@ -38,3 +38,12 @@ def first_non_null(value, *order) -> Column:
     v = col(value)
     key = F.struct(*[col(o) for o in order]) if len(order) > 1 else col(order[0])
     return F.min_by(v, F.when(v.isNotNull(), key))
+
+
+def first_code(code, order, codes: int) -> Column:
+    """The code (0 .. codes - 1) of the first row by the whole number
+    ``order`` whose code is not NULL; rows that tie give the smallest code.
+    Order and code travel as one number, so the aggregation can hash."""
+    c = col(code).cast("bigint")
+    packed = F.min(F.when(c.isNotNull(), col(order).cast("bigint") * codes + c))
+    return packed % codes

@@ -1,9 +1,8 @@
 """Joins (JN-01..JN-10).
 
-Broadcast policy: a side is hinted for broadcast only when its size has a
-structural bound (one row per year of a reference series, a fixed vocabulary,
-a one-row scalar). Everything else is left to AQE, which measures the real
-side at runtime and picks broadcast below ``autoBroadcastJoinThreshold`` and
+Broadcast policy: only literal tables written in the code (vocabularies) are
+hinted. Everything else is left to AQE, which measures the real side at
+runtime and picks broadcast below ``autoBroadcastJoinThreshold`` and
 sort-merge (with skew splitting) above it.
 """
 
@@ -12,18 +11,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
-
-# Largest structural bound (rows) we accept for an explicit broadcast hint.
-BROADCAST_ROW_BOUND = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, bound_rows: int) -> DataFrame:
-    """Hint broadcast only if the caller's proven row bound is small enough;
-    otherwise return the frame unchanged and let AQE choose."""
-    return F.broadcast(df) if bound_rows <= BROADCAST_ROW_BOUND else df
-
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 def _prefixed(right: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return right.select(*[F.col(k).alias(prefix + k) if k in keys else F.col(k) for k in right.columns])
@@ -50,91 +39,62 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select(*key_cols, *others_left, *others_right)
 
 
-# Largest group (rows) the window numbering may sort in one task when
-# ``skew_safe="auto"``; beyond it the range-partitioned numbering is used.
-HOT_GROUP_ROWS = 5_000_000
+MAX_RANGES = 256
 
 
-def occurrence_number(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                      name: str = "occurrence", skew_safe: bool | str = False,
-                      hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """n-th row of each ``by`` group in ``order`` (WN-01).
+def _order_number(df: DataFrame, column: str) -> Column:
+    """A number that rises with ``column`` (ties allowed)."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (NumericType, BooleanType)):
+        return c.cast("double")
+    if isinstance(kind, DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, StringType):  # the first six bytes, read as a number
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    return F.lit(0.0)
 
-    The default is a window partitioned by the group: one task per group,
-    right for small groups (concepts of a sheet). ``skew_safe=True`` numbers
-    rows without ever putting a group into one task - see
-    :func:`occurrence_number_ranged` - for data where one group may hold a
-    large share of all rows. ``skew_safe="auto"`` first measures the largest
-    group (one count aggregate, combined map-side; one row reaches the
-    driver) and uses the ranged numbering only if it exceeds
-    ``hot_group_rows``.
-    """
-    if skew_safe == "auto":
-        largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-        skew_safe = largest > hot_group_rows
-    if skew_safe:
-        return occurrence_number_ranged(df, by, order, name)
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
-
-
-def occurrence_number_ranged(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                             name: str = "occurrence", partitions: int | None = None) -> DataFrame:
-    """Distributed row number per group, safe for hot groups.
-
-    1. Range-partition on (group, order) and sort within partitions: a hot
-       group is split over many consecutive partitions (range bounds come
-       from a sample, so its rows spread evenly).
-    2. In each partition the group's rows are contiguous; their local
-       position comes from ``monotonically_increasing_id``.
-    3. A small table (group x partition: count, first position) gives, by a
-       window over at most ``partitions`` rows per group, the number of the
-       group's rows in earlier partitions.
-    4. ``row number = rows before + local position + 1``.
-
-    The ranged frame is persisted, so the count table and the numbered rows
-    come from ONE range shuffle (two separately planned range shuffles
-    sample their bounds independently and could disagree). A lost cached
-    block is recomputed from that same shuffle; counts and first positions
-    do not depend on the order of exact key ties, so the numbering stays
-    consistent when a task is recomputed.
+
+def occurrence_number(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "occurrence",
+                      ranges: int | None = None) -> DataFrame:
+    """n-th row of each ``by`` group in ``order`` (WN-01), safe for a group of
+    any size.
+
+    Rows are dealt to ranges of the first order column, cut at its
+    approximate quantiles (a scalar subquery of this same plan). A row's
+    number is its place among the rows of its group and range, plus the
+    group's rows in earlier ranges, which come from a pre-aggregated count.
+    The facts are shuffled once, by (group, range); that partitioning serves
+    the join with the counts and the window. Rows of one group that tie on
+    the first order column share a range.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*by, *order]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys) \
-        .withColumn("__pid", F.spark_partition_id()) \
-        .withColumn("__pos", F.monotonically_increasing_id()) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    stats = ranged.groupBy(*by, "__pid").agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__before", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
-    out = null_safe_join(ranged, stats, [*by, "__pid"], "inner")
-    number = (F.col("__before") + F.col("__pos") - F.col("__first") + 1).cast("int")
-    return out.withColumn(name, number).drop("__pid", "__pos", "__first", "__before")
+    n = min(MAX_RANGES, ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = _order_number(df, order[0])
+    cuts = df.select(F.percentile_approx(place, [i / n for i in range(1, n)] or [0.5], 100 * n)).scalar()
+    # position of the value among the cuts: 1 + the number of smaller ones
+    which = F.coalesce(F.array_position(F.sort_array(F.array_append(cuts, place)), place), F.lit(0))
+    # a struct key compares NULL codes as equal
+    ranged = df.withColumn("__range", which).withColumn("__key", F.struct(*by, "__range"))
+    counts = ranged.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+    group = F.struct(*[F.col(f"__key.{c}") for c in by])
+    earlier = Window.partitionBy(group).orderBy("__key.__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("__key", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__key").orderBy(*order)
+    return ranged.join(counts, "__key").withColumn(name, (F.row_number().over(inside) + F.col("__before")).cast("int")) \
+        .select(*df.columns, name)
 
 
 def occurrence_join(source: DataFrame, template: DataFrame, by: Sequence[str],
                     source_order: Sequence[str], template_order: Sequence[str] | None = None,
-                    name: str = "occurrence", skew_safe: bool = False) -> DataFrame:
+                    name: str = "occurrence") -> DataFrame:
     """Pair the n-th source row of each ``by`` group with the n-th template
     row of the same group (inner join on ``by`` + occurrence, JN-03)."""
-    s = occurrence_number(source, by, source_order, name, skew_safe)
-    t = occurrence_number(template, by, template_order or source_order, name, skew_safe)
+    s = occurrence_number(source, by, source_order, name)
+    t = occurrence_number(template, by, template_order or source_order, name)
     return s.join(t, [*by, name], "inner")
 
 
-def unmatched_count(source: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``source`` without a partner in ``matched`` (DQ-15), one row."""
-    return source.join(matched.select(*keys).distinct(), list(keys), "left_anti") \
-        .agg(F.count(F.lit(1)).cast("bigint").alias("unmatched_rows"))
-
-
-def semi_join_null_safe(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep rows of ``df`` whose key tuple (NULLs matching) exists in ``keys_df``."""
-    return null_safe_join(df, keys_df.select(*keys), keys, "left_semi")
-
-
 def missing_keys(required: DataFrame, available: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct required keys absent from ``available`` (JN-10)."""
     return required.select(*keys).distinct().join(available.select(*keys).distinct(), list(keys), "left_anti")

@@ -8,17 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.config import DEFAULT_METHODOLOGY, MeasureColumns, MonetaryMethodology
-from ledgerlake.operators.joins import bounded_broadcast
-from ledgerlake.operators.periods import YEARS_BOUND
 
 
 @dataclass
 class ReferenceSeries:
-    """Three yearly series: price index (base 100), nominal GDP, exchange rate."""
+    """Three yearly series: price index (base 100), nominal GDP, exchange rate.
+    ``yearly``: the same three as columns of one frame, joined once where set."""
 
     index: DataFrame
     gdp: DataFrame
     rate: DataFrame
+    yearly: DataFrame | None = None
 
     def named(self, m: MonetaryMethodology = DEFAULT_METHODOLOGY):
         return ((m.index_series, self.index, m.index_value),
@@ -36,7 +36,7 @@ def _series_stats(df: DataFrame, value_col: str, base_year: int | None) -> DataF
         F.count(F.lit(1)).alias("n"),
         F.count(y).alias("n_year"),
         F.countDistinct(y).alias("n_distinct"),
-        F.count(v).alias("n_value"),
+        F.count(F.when(~F.isnan(v.cast("double")), v)).alias("n_value"),
         F.count(F.when(v <= 0, F.lit(1))).alias("n_nonpositive"),
         (F.max(F.when(y == F.lit(base_year), F.lit(1))).isNotNull() if base_year is not None
          else F.lit(True)).alias("has_base"),
@@ -87,21 +87,36 @@ def validate_references(refs: ReferenceSeries, m: MonetaryMethodology = DEFAULT_
 def reference_checks(refs: ReferenceSeries, facts: DataFrame, m: MonetaryMethodology = DEFAULT_METHODOLOGY,
                      year: str = "year") -> DataFrame:
     """All checks as rows ``(series, check, passed, detail)`` - a lazy plan of
-    one aggregate per series; the coverage gap list of each series is a
-    scalar subquery (an anti join of required years against the series)."""
+    one aggregate per series; the coverage gap lists of all series are one
+    scalar subquery over the required years. A series that lacks a column has
+    the failed ``columns`` row only."""
     need = required_years(facts, year)
     parts = []
+    # the facts are read once: required years that each series lacks
+    complete = [(name, df) for name, df, c in refs.named(m) if {"year", c} <= set(df.columns)]
+    have = need
+    for i, (_, df) in enumerate(complete):
+        have = have.join(df.select(F.col("year").cast("int").alias("year"), F.lit(True).alias(f"__{i}")).distinct(),
+                         "year", "left")
+    lists = have.agg(F.struct(*[F.array_join(F.array_sort(F.collect_list(
+        F.when(F.col(f"__{i}").isNull(), F.col("year").cast("string")))), ", ").alias(f"g{i}")
+        for i in range(len(complete))], F.lit(0).alias("none")).alias("g")).scalar()
+    gap_of = {name: lists[f"g{i}"] for i, (name, _) in enumerate(complete)}
     for name, df, value_col in refs.named(m):
         missing_cols = [c for c in ("year", value_col) if c not in df.columns]
+        if missing_cols:  # nothing else can be checked
+            text = f"Reference series '{name}' is missing columns: {', '.join(missing_cols)}"
+            parts.append(df.sparkSession.range(1).select(
+                F.lit(name).alias("series"), F.lit("columns").alias("check"), F.lit(False).alias("passed"),
+                F.lit(text).alias("detail")))
+            continue
         base = m.base_year if name == m.index_series else None
         stats = _series_stats(df, value_col, base)
-        gaps = need.join(df.select(F.col("year").cast("int").alias("year")), "year", "left_anti") \
-            .agg(F.array_join(F.array_sort(F.collect_list(F.col("year").cast("string"))), ", ")).scalar()
+        gaps = gap_of[name]
         nulls = F.col("n") - F.col("n_year")
         dup = (F.col("n_year") - F.col("n_distinct") > 0) | (nulls > 1)
         checks = [
-            ("columns", F.lit(not missing_cols),
-             F.lit(f"Reference series '{name}' is missing columns: {', '.join(missing_cols)}" if missing_cols else "")),
+            ("columns", F.lit(True), F.lit("")),
             ("unique_years", ~dup, F.when(dup, F.lit(f"Reference series '{name}' has duplicate years.")).otherwise("")),
             ("non_null_years", nulls == 0,
              F.when(nulls > 0, F.lit(f"Reference series '{name}' has missing years.")).otherwise("")),
@@ -140,10 +155,10 @@ def augment_monetary(df: DataFrame, nominal: str, refs: ReferenceSeries,
     """Add ``constant = 100 * nominal / index``, ``pct = nominal / gdp`` and
     ``usd = nominal / rate`` by year.
 
-    The three series are one row per year, so they are broadcast (structural
-    bound) and the fact side is never shuffled. ``on_missing="raise"`` fails
-    the job when a fact year has no reference value (coverage, DQ-13) inside
-    the same pass; ``"null"`` leaves the measure NULL.
+    The series are one row per year; the planner measures and broadcasts
+    them. ``on_missing="raise"`` fails the job when a fact year has no
+    reference value (coverage, DQ-13): the guard is a row filter, so it holds
+    whichever measures are read later. ``"null"`` leaves the measure NULL.
     """
     missing = [c for c in (year, nominal) if c not in df.columns]
     if missing:
@@ -151,28 +166,25 @@ def augment_monetary(df: DataFrame, nominal: str, refs: ReferenceSeries,
     outputs = outputs or m.annual
     if constant_year is not None:
         return _augment_constant_year(df, nominal, refs, m, year, outputs, on_missing, constant_year)
+    names = [(name, ref, col, f"__ref_{col}") for name, ref, col in refs.named(m)]
+    frames = [ref.select(F.col("year").cast("int").alias("__ref_year"), F.col(col).alias(tmp))
+              for _, ref, col, tmp in names]
+    if refs.yearly is not None:
+        frames = [refs.yearly.select(F.col("year").cast("int").alias("__ref_year"),
+                                     *[F.col(col).alias(tmp) for _, _, col, tmp in names])]
     out = df
-    refs_cols = []
-    for name, ref, col in refs.named(m):
-        tmp = f"__ref_{col}"
-        refs_cols.append((name, tmp))
-        r = bounded_broadcast(ref.select(F.col("year").cast("int").alias("__ref_year"), F.col(col).alias(tmp)),
-                              YEARS_BOUND)
+    for r in frames:
         out = out.join(r, F.col(year).cast("int") == F.col("__ref_year"), "left").drop("__ref_year")
-
-    def guarded(name: str, tmp: str) -> Column:
-        ref = F.col(tmp)
-        if on_missing != "raise":
-            return ref
-        msg = F.concat(F.lit(f"Reference series '{name}' is missing required years: "), F.col(year).cast("string"))
-        return F.when(F.col(year).isNotNull() & ref.isNull(), F.raise_error(msg).cast("double")).otherwise(ref)
-
-    (n_idx, t_idx), (n_gdp, t_gdp), (n_rate, t_rate) = refs_cols
+    if on_missing == "raise":
+        guard = F.lit(True)
+        for name, _, _, tmp in names:
+            text = F.concat(F.lit(f"Reference series '{name}' is missing required years: "), F.col(year).cast("string"))
+            guard = F.when(F.col(year).isNotNull() & F.col(tmp).isNull(), F.raise_error(text).cast("boolean")).otherwise(guard)
+        out = out.where(guard)
+    idx, gdp, rate = (F.col(tmp) for *_, tmp in names)
     v = F.col(nominal)
-    out = out.withColumn(outputs.constant, F.try_divide(F.lit(100.0) * v, guarded(n_idx, t_idx))) \
-             .withColumn(outputs.pct_gdp, F.try_divide(v, guarded(n_gdp, t_gdp))) \
-             .withColumn(outputs.usd, F.try_divide(v, guarded(n_rate, t_rate)))
-    return out.drop(t_idx, t_gdp, t_rate)
+    return out.withColumns({outputs.constant: F.try_divide(F.lit(100.0) * v, idx), outputs.pct_gdp: F.try_divide(v, gdp),
+                            outputs.usd: F.try_divide(v, rate)}).drop(*[tmp for *_, tmp in names])
 
 
 def select_measure(df: DataFrame, unit: str, allowed, out: str = "ejecutado_select") -> DataFrame:

@@ -14,11 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.functions.dates import DATE_FORMATS, _try_format
 from ledgerlake.operators.aggregate import mean
-from ledgerlake.operators.joins import bounded_broadcast
-
-# A year-grain frame never exceeds this many rows (structural bound used for
-# broadcast hints of year sets).
-YEARS_BOUND = 10_000
 
 
 def latest(df: DataFrame, column: str | Column) -> Column:
@@ -38,7 +33,7 @@ def complete_years(df: DataFrame, year: str, unit: str, min_units: int) -> DataF
 def annualize(df: DataFrame, year: str, value: str, how: str = "sum", out: str | None = None,
               scale: float = 1.0, complete: DataFrame | None = None,
               first_year: int | None = None, last_year: int | None = None) -> DataFrame:
-    """Yearly sum or mean of ``value`` (NULLs skipped), optionally restricted
+    """Yearly sum (0 for a year of NULLs) or mean of ``value``, optionally restricted
     to a year range and to a set of complete years (left-semi join)."""
     out = out or value
     rows = df.where(F.col(year).isNotNull())
@@ -47,10 +42,10 @@ def annualize(df: DataFrame, year: str, value: str, how: str = "sum", out: str |
     if last_year is not None:
         rows = rows.where(F.col(year) <= last_year)
     if complete is not None:
-        rows = rows.join(bounded_broadcast(complete.select(year), YEARS_BOUND), year, "left_semi")
+        rows = rows.join(complete.select(year), year, "left_semi")
     v = F.col(value) * F.lit(scale) if scale != 1.0 else F.col(value)
     if how == "sum":
-        agg = F.sum(v)
+        agg = F.coalesce(F.sum(v), F.lit(0))
     elif how == "mean":
         agg = mean(v)
     else:

@@ -1,24 +1,20 @@
 """Data-quality operators (DQ-02, DQ-03, DQ-07, DQ-08, DQ-14, DQ-17, AG-05, UN-04).
 
-Checks are single aggregates per table. The ``guard_*`` helpers raise; they
-run one aggregate and fetch one row. The ``*_report`` forms stay lazy.
+Checks are single aggregates per table and stay lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import NumericType
 
 from ledgerlake.functions.text import blank
-from ledgerlake.operators.joins import bounded_broadcast
+from ledgerlake.operators.joins import occurrence_number
 from ledgerlake.operators.reshape import literal_frame
 
 
-class DataQualityError(ValueError):
-    pass
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
     """Key tuples occurring more than once, with their counts (AG-05).
     The partial count runs map-side, so a hot key only ships one row per task."""
@@ -34,64 +30,66 @@ def key_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                        F.count(F.when(F.col("__n") > 1, F.lit(1))).cast("bigint").alias("duplicated_keys"))
 
 
-def guard_unique(df: DataFrame, keys: Sequence[str], message: str) -> None:
-    """Raise ``message`` if any key repeats (DQ-08)."""
-    if duplicate_keys(df, keys).limit(1).count() > 0:
-        raise DataQualityError(message)
-
-
 def blank_count(df: DataFrame, column: str) -> DataFrame:
     """One row: rows and rows whose ``column`` is NULL or blank (DQ-07)."""
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                   F.count(F.when(blank(column), F.lit(1))).cast("bigint").alias("n_bad"))
 
 
-def guard_no_blank(df: DataFrame, column: str, message: str) -> None:
-    if blank_count(df, column).first()["n_bad"] > 0:
-        raise DataQualityError(message)
+def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str], side: str) -> DataFrame:
+    """Rows with a key that compares NULLs as equal and pairs the n-th
+    duplicate of a key with the n-th, as a row-by-row comparison of key-sorted
+    frames does - never all pairs of a repeated key."""
+    numbered = occurrence_number(df, keys, list(order), "__dup") if order else df.withColumn("__dup", F.lit(1))
+    return numbered.withColumn("__key", F.struct(*keys, "__dup")).drop(*keys, "__dup").withColumn(side, F.lit(1))
 
 
-def _pair_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Number rows within each key (ordered by the remaining columns) so two
-    frames pair their n-th duplicates 1:1, as a row-by-row comparison of
-    key-sorted frames does - never all pairs of a repeated key."""
-    from ledgerlake.operators.joins import occurrence_number
-    return occurrence_number(df, keys, list(order), "__dup")
+def _number(c: Column) -> Column:
+    """Double with NaN as NULL (both are missing values)."""
+    x = c.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _difference(actual: Column, expected: Column, both: Column, tolerance: float) -> tuple[Column, Column]:
+    """(difference, missing on one side only) of matched rows: over the rows
+    that differ, the mean absolute difference relative to the mean expected
+    magnitude, or absolute where that magnitude is not above the tolerance."""
+    differ = both & (actual != expected)
+    n = F.count(F.when(differ, F.lit(1)))
+    diff, size = F.sum(F.when(differ, F.abs(actual - expected))), F.sum(F.when(differ, F.abs(expected)))
+    value = F.when(n == 0, 0.0).when(size / n > tolerance, diff / size).otherwise(diff / n)
+    return value, F.count(F.when(both & (actual.isNull() != expected.isNull()), F.lit(1)))
 
 
 def reconcile(actual: DataFrame, expected: DataFrame, keys: Sequence[str], value: str,
               tolerance: float = 1e-6) -> DataFrame:
-    """Compare two frames on ``keys`` (DQ-14): row counts on both sides, rows
-    present on one side only, and the mean relative difference
-    ``sum|a - b| / sum|b|`` over matched rows (R ``all.equal``)."""
-    a = _pair_duplicates(actual.select(*keys, F.col(value).alias("__a"), F.lit(1).alias("__in_a")), keys, ["__a"])
-    b = _pair_duplicates(expected.select(*keys, F.col(value).alias("__b"), F.lit(1).alias("__in_b")), keys, ["__b"])
-    j = a.join(b, [*keys, "__dup"], "full_outer")
+    """Compare two frames on ``keys`` (DQ-14): rows on both sides, rows on one
+    side only, values missing on one side only, and the mean difference over
+    the rows that differ (NULL keys match NULL keys)."""
+    a = _keyed(actual.select(*keys, _number(F.col(value)).alias("__a")), keys, ["__a"], "__in_a")
+    b = _keyed(expected.select(*keys, _number(F.col(value)).alias("__b")), keys, ["__b"], "__in_b")
+    j = a.join(b, "__key", "full_outer")
     both = F.col("__in_a").isNotNull() & F.col("__in_b").isNotNull()
-    out = j.agg(
-        F.count(F.col("__in_a")).cast("bigint").alias("rows_actual"),
-        F.count(F.col("__in_b")).cast("bigint").alias("rows_expected"),
-        F.count(F.when(~both, F.lit(1))).cast("bigint").alias("rows_unmatched"),
-        F.try_divide(F.sum(F.when(both, F.abs(F.col("__a") - F.col("__b")))),
-                     F.sum(F.when(both, F.abs(F.col("__b"))))).alias("mean_rel_diff"),
-    )
-    ok = (F.col("rows_actual") == F.col("rows_expected")) & (F.col("rows_unmatched") == 0) & \
-        (F.coalesce(F.col("mean_rel_diff"), F.lit(0.0)) <= F.lit(tolerance))
+    diff, lost = _difference(F.col("__a"), F.col("__b"), both, tolerance)
+    out = j.agg(F.count("__in_a").cast("bigint").alias("rows_actual"),
+                F.count("__in_b").cast("bigint").alias("rows_expected"),
+                F.count(F.when(~both, F.lit(1))).cast("bigint").alias("rows_unmatched"),
+                lost.cast("bigint").alias("null_mismatches"), diff.alias("mean_rel_diff"))
+    ok = (F.col("rows_unmatched") == 0) & (F.col("null_mismatches") == 0) & (F.col("mean_rel_diff") <= tolerance)
     return out.withColumn("within_tolerance", ok)
 
 
 def domain_check(df: DataFrame, column: str, expected: Sequence, domain: str | None = None) -> DataFrame:
     """Set equality of a column's values against an expected set (UN-04,
-    DQ-17): one row per value that is unexpected or missing. The expected set
-    is configuration, broadcast with its literal size as bound."""
-    spark = df.sparkSession
-    exp = literal_frame(spark, [(str(v),) for v in expected], [("value", "string")])
-    exp = bounded_broadcast(exp, len(expected))
-    actual = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-    unexpected = actual.join(exp, "value", "left_anti").withColumn("side", F.lit("unexpected"))
-    missing = exp.join(actual, "value", "left_anti").withColumn("side", F.lit("missing"))
-    return unexpected.unionByName(missing).withColumn("domain", F.lit(domain or column)) \
-        .select("domain", "value", "side")
+    DQ-17): one row per value that is unexpected (a NULL value too) or
+    missing. The column is read once."""
+    exp = literal_frame(df.sparkSession, [(str(v), True) for v in expected],
+                        [("__e", "string"), ("__expected", "boolean")])
+    actual = df.select(F.col(column).cast("string").alias("value"), F.lit(True).alias("__seen")).distinct()
+    both = actual.join(exp, F.col("value").eqNullSafe(F.col("__e")), "full_outer")
+    one = both.where(F.col("__seen").isNull() | F.col("__expected").isNull())
+    return one.select(F.lit(domain or column).alias("domain"), F.coalesce("value", "__e").alias("value"),
+                      F.when(F.col("__seen").isNull(), F.lit("missing")).otherwise(F.lit("unexpected")).alias("side"))
 
 
 def issues_frame(spark: SparkSession, issues: list[dict]) -> DataFrame:
@@ -102,58 +100,49 @@ def issues_frame(spark: SparkSession, issues: list[dict]) -> DataFrame:
 
 def reconcile_frames(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
                      tolerance: float = 1e-6) -> DataFrame:
-    """Whole-frame equality within tolerance (DQ-14, R ``all.equal`` per
-    column): one row per non-key column with its kind, the rows on each side,
-    rows present on one side only, and
+    """Whole-frame equality within tolerance (DQ-14): one row per non-key
+    column with its kind, the rows on each side and on one side only, and
 
-    * numeric columns: mean relative difference ``sum|a - e| / sum|e|`` over
-      matched rows (NULL on both sides counts as equal, NULL on one side as
-      a mismatch);
+    * numeric columns: the mean difference over the rows that differ (see
+      :func:`reconcile`) and the rows where one side is missing;
     * other columns: the number of matched rows whose values differ.
 
-    One full outer join on the keys (n-th duplicate with n-th duplicate) and
-    ONE aggregate for all columns; a column present on only one side is
+    One full outer join (NULL keys match, n-th duplicate with n-th duplicate)
+    and ONE aggregate for all columns; a column present on only one side is
     reported with kind ``missing``.
     """
-    from pyspark.sql.types import NumericType
     a_types = {f.name: f.dataType for f in actual.schema.fields}
     e_types = {f.name: f.dataType for f in expected.schema.fields}
     cols = [c for c in actual.columns if c not in keys and c in e_types]
     missing = sorted((set(a_types) ^ set(e_types)) - set(keys))
-    a = _pair_duplicates(actual.select(*keys, *[F.col(c).alias(f"a__{c}") for c in cols], F.lit(1).alias("__in_a")),
-                         keys, [f"a__{c}" for c in cols])
-    e = _pair_duplicates(expected.select(*keys, *[F.col(c).alias(f"e__{c}") for c in cols],
-                                         F.lit(1).alias("__in_e")), keys, [f"e__{c}" for c in cols])
-    j = a.join(e, [*keys, "__dup"], "full_outer")
+    numeric = {c: isinstance(a_types[c], NumericType) and isinstance(e_types[c], NumericType) for c in cols}
+
+    def value(c: str) -> Column:
+        return _number(F.col(c)) if numeric[c] else F.col(c).cast("string")
+    a = _keyed(actual.select(*keys, *[value(c).alias(f"a__{c}") for c in cols]), keys, [f"a__{c}" for c in cols], "__in_a")
+    e = _keyed(expected.select(*keys, *[value(c).alias(f"e__{c}") for c in cols]), keys, [f"e__{c}" for c in cols], "__in_e")
+    j = a.join(e, "__key", "full_outer")
     both = F.col("__in_a").isNotNull() & F.col("__in_e").isNotNull()
     aggs = [F.count("__in_a").alias("rows_actual"), F.count("__in_e").alias("rows_expected"),
             F.count(F.when(~both, F.lit(1))).alias("rows_unmatched")]
-    kinds = {}
     for c in cols:
         x, y = F.col(f"a__{c}"), F.col(f"e__{c}")
-        numeric = isinstance(a_types[c], NumericType) and isinstance(e_types[c], NumericType)
-        kinds[c] = "numeric" if numeric else "text"
-        one_null = x.isNull() != y.isNull()
-        if numeric:
-            aggs.append(F.try_divide(F.sum(F.when(both, F.abs(x.cast("double") - y.cast("double")))),
-                                     F.sum(F.when(both, F.abs(y.cast("double"))))).alias(f"d__{c}"))
-            aggs.append(F.count(F.when(both & one_null, F.lit(1))).alias(f"n__{c}"))
+        if numeric[c]:
+            diff, lost = _difference(x, y, both, tolerance)
         else:
-            aggs.append(F.lit(None).cast("double").alias(f"d__{c}"))
-            aggs.append(F.count(F.when(both & ~x.cast("string").eqNullSafe(y.cast("string")), F.lit(1)))
-                        .alias(f"n__{c}"))
-    stats = j.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("kind"),
+            diff, lost = F.lit(None).cast("double"), F.count(F.when(both & ~x.eqNullSafe(y), F.lit(1)))
+        aggs += [diff.alias(f"d__{c}"), lost.alias(f"n__{c}")]
+    rows = [F.struct(F.lit(c).alias("column"), F.lit("numeric" if numeric[c] else "text").alias("kind"),
                      F.col(f"d__{c}").alias("mean_rel_diff"), F.col(f"n__{c}").cast("bigint").alias("mismatches"))
             for c in cols]
     rows += [F.struct(F.lit(c).alias("column"), F.lit("missing").alias("kind"),
                       F.lit(None).cast("double").alias("mean_rel_diff"), F.lit(None).cast("bigint").alias("mismatches"))
              for c in missing]
-    out = stats.select("rows_actual", "rows_expected", "rows_unmatched", F.explode(F.array(*rows)).alias("r")) \
+    out = j.agg(*aggs).select("rows_actual", "rows_expected", "rows_unmatched", F.explode(F.array(*rows)).alias("r")) \
         .select("r.column", "r.kind", F.col("rows_actual").cast("bigint").alias("rows_actual"),
                 F.col("rows_expected").cast("bigint").alias("rows_expected"),
                 F.col("rows_unmatched").cast("bigint").alias("rows_unmatched"), "r.mean_rel_diff", "r.mismatches")
-    ok = (F.col("kind") != "missing") & (F.col("rows_actual") == F.col("rows_expected")) & \
-        (F.col("rows_unmatched") == 0) & (F.coalesce(F.col("mismatches"), F.lit(0)) == 0) & \
+    ok = (F.col("kind") != "missing") & (F.col("rows_unmatched") == 0) & \
+        (F.coalesce(F.col("mismatches"), F.lit(0)) == 0) & \
         (F.coalesce(F.col("mean_rel_diff"), F.lit(0.0)) <= F.lit(tolerance))
     return out.withColumn("within_tolerance", ok)

@@ -25,9 +25,9 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str,
 
 
 def has_data(values: Sequence) -> Column:
-    """TRUE if any of the columns is not NULL and not zero."""
+    """TRUE if any of the columns is neither NULL, NaN nor zero."""
     arr = F.array(*[col(v).cast("double") for v in values])
-    return F.coalesce(F.exists(arr, lambda v: v.isNotNull() & (v != 0)), F.lit(False))
+    return F.coalesce(F.exists(arr, lambda v: v.isNotNull() & ~F.isnan(v) & (v != 0)), F.lit(False))
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

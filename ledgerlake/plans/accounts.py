@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StringType
 
 from ledgerlake.config import (DEFAULT_CASH, DEFAULT_METHODOLOGY, MONTH_NAMES, MONTH_SHEETS,
                                PROJECTION_HEADER_LEVELS, PROJECTION_HEADERS, PROJECTION_TAG,
@@ -21,7 +20,7 @@ from ledgerlake.functions.numeric import lenient_double
 from ledgerlake.functions.text import blank, canonical_label, squish, tidy_columns
 from ledgerlake.operators.aggregate import first_non_null, lenient_sum, strict_sum
 from ledgerlake.operators.classify import classify, normalize_code_keys
-from ledgerlake.operators.joins import bounded_broadcast, null_safe_join, occurrence_number
+from ledgerlake.operators.joins import null_safe_join, occurrence_number
 from ledgerlake.operators.measures import ReferenceSeries, augment_monetary
 from ledgerlake.operators.periods import annualize, complete_years, extrapolate_year, latest, rebase
 from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot, union_by_name
@@ -29,19 +28,13 @@ from ledgerlake.operators.windows import running_balance
 from ledgerlake.sources.cells import cells_to_long, header_values, row_of_label, select_range
 
 CODES = ("header_code", "sub_header_code", "item_code")
+YEAR = "budget_year"  # column of budget sheets that name their own year
 
-# Structural bound of account dimensions: a label map has at most
-# (accounts of the chart) x (companies) rows, a budget key set at most that
-# x 12 months per year - sheet layouts, not data volume. Such sides are
-# broadcast (see operators.joins.bounded_broadcast); facts never are.
-ACCOUNT_DIM_BOUND = 1_000_000
 
-
-def fail_if(cond: Column, message: str, value: Column) -> Column:
-    """Lazy guard: the job fails with ``message`` on the first row where
-    ``cond`` holds; otherwise passes ``value`` through (single pass, no
-    extra action)."""
-    return F.when(cond, F.raise_error(F.lit(message)).cast(StringType())).otherwise(value)
+def stop_if(df: DataFrame, cond: Column, message: str) -> DataFrame:
+    """Guard: the job fails with ``message`` on the first row where ``cond``
+    holds. A row filter, so no later column selection can drop it."""
+    return df.where(F.when(cond, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
 
 
 # --- CP-01 structure maps ---------------------------------------------------
@@ -75,37 +68,35 @@ def actuals_from_cells(cells: DataFrame, structure_map: DataFrame, header_row: i
                        wide_last_col: int = 12, months: Sequence[str] = MONTH_SHEETS) -> DataFrame:
     """Monthly actuals (thousands) from all workbooks and sheets in one job.
 
-    ``cells`` carries ``year`` (int) and ``sheet`` (month token) besides the
-    cell columns. Layout depends on the period: columns A..L from
+    ``cells`` carries ``year`` (int), ``sheet`` (month token) and, where a year
+    has several, ``workbook`` besides the cell columns. Layout depends on the period: columns A..L from
     ``wide_from_year`` on, A..J before.
     """
     last_col = F.when(F.col("year") >= wide_from_year, F.lit(wide_last_col)).otherwise(F.lit(narrow_last_col))
     cut = select_range(cells, header_row, last_row, 1, last_col)
-    long = cells_to_long(cut, header_row, 1, keys=("year", "sheet"), structure_map=structure_map)
+    keys = [k for k in ("workbook", "year", "sheet") if k in cells.columns]
+    long = cells_to_long(cut, header_row, 1, keys=keys, structure_map=structure_map)
     return long.select("row", "empresa", *CODES, "valor",
                        month_number("sheet", months).alias("month"), F.col("year").cast("int").alias("year"))
 
 
 # --- CP-03 budget sheets through a coded template ---------------------------
 
-def _budget_rows(sheet: DataFrame, months: Sequence[str], extra: Sequence[str],
-                 skew_safe: bool = False) -> DataFrame:
+def _budget_rows(sheet: DataFrame, months: Sequence[str], extra: Sequence[str]) -> DataFrame:
     t = tidy_columns(sheet)
     require_columns(t, ["sheet", "row", "concepto", *months], "budget sheet")
     values = [lenient_double(F.col(m).cast("string")).alias(m) for m in months]
     rows = t.select("sheet", "row", *[c for c in extra if c in t.columns],
                     squish("concepto", null_as_empty=True).alias("concepto"), *values)
     rows = rows.where((F.col("concepto") != "") & has_data(list(months)))
-    return occurrence_number(rows, ["sheet", "concepto"], ["row"], "concept_occurrence", skew_safe)
+    return occurrence_number(rows, ["sheet", "concepto"], ["row"], "concept_occurrence")
 
 
-def budget_matched(source: DataFrame, template: DataFrame, months: Sequence[str] = MONTH_NAMES,
-                   skew_safe: bool = False) -> DataFrame:
+def budget_matched(source: DataFrame, template: DataFrame, months: Sequence[str] = MONTH_NAMES) -> DataFrame:
     """Source budget rows paired with the template row of the same concept
-    and occurrence number; the template provides the account codes.
-    ``skew_safe`` numbers occurrences without putting a concept in one task."""
-    s = _budget_rows(source, months, (), skew_safe)
-    t = _budget_rows(template, months, ("header", "sub_header", "item"), skew_safe) \
+    and occurrence number; the template provides the account codes."""
+    s = _budget_rows(source, months, (YEAR,) if YEAR in source.columns else ())
+    t = _budget_rows(template, months, ("header", "sub_header", "item")) \
         .select("sheet", "concepto", "concept_occurrence", "header", "sub_header", "item")
     return s.join(t, ["sheet", "concepto", "concept_occurrence"], "inner")
 
@@ -119,16 +110,19 @@ def budget_unmatched(source: DataFrame, template: DataFrame, months: Sequence[st
 
 
 def budget_raw(source: DataFrame, template: DataFrame, label_map: DataFrame, year,
-               months: Sequence[str] = MONTH_NAMES, skew_safe: bool = False) -> DataFrame:
+               months: Sequence[str] = MONTH_NAMES) -> DataFrame:
     """Budget facts (units) by company, month and account, labelled.
 
     ``label_map``: (empresa, header_code, sub_header_code, item_code, rubro).
-    ``year`` may be an int or a scalar Column (e.g. the latest actuals year).
+    ``year`` may be an int or a scalar Column (e.g. the latest actuals year);
+    source sheets that carry a ``budget_year`` column use their own.
     """
-    matched = budget_matched(source, template, months, skew_safe)
-    long = unpivot(matched.select("sheet", "row", "concepto", "header", "sub_header", "item", *months),
-                   ["sheet", "row", "concepto", "header", "sub_header", "item"], list(months), "mes", "firmado")
+    matched = budget_matched(source, template, months)
     y = year if isinstance(year, Column) else F.lit(year)
+    ids = ["sheet", "row", "concepto", "header", "sub_header", "item"]
+    if YEAR in matched.columns:
+        ids, y = [*ids, YEAR], F.col(YEAR)
+    long = unpivot(matched.select(*ids, *months), ids, list(months), "mes", "firmado")
     long = long.select(
         F.col("sheet").alias("empresa"),
         first_of_month(y, month_number("mes", months)).alias("fecha"),
@@ -141,7 +135,7 @@ def budget_raw(source: DataFrame, template: DataFrame, label_map: DataFrame, yea
     summed = long.groupBy("empresa", "fecha", *CODES).agg(
         lenient_sum("valor").alias("valor"),
         first_non_null("label_excel", "row").alias("label_excel"))
-    labels = bounded_broadcast(label_map.select("empresa", *CODES, F.col("rubro").alias("label")), ACCOUNT_DIM_BOUND)
+    labels = label_map.select("empresa", *CODES, F.col("rubro").alias("label"))
     out = null_safe_join(summed, labels, ["empresa", *CODES], "left")
     return out.select("empresa", *CODES, F.coalesce("label", "label_excel").alias("label"), "fecha", "valor")
 
@@ -154,21 +148,21 @@ def budget_monthly(raw: DataFrame, rules: Sequence[Rule] | None = None) -> DataF
                      F.col("item_code").isNotNull()) \
         .where(F.col("header_code").isin("A", "B", "D", "F", "H"))
     out = classify(rows, rules or account_rules())
-    out = out.withColumn("label", fail_if(blank("label"), "budget_monthly(): found rows with missing/blank label.",
-                                          F.col("label")))
+    out = stop_if(out, blank("label"), "budget_monthly(): found rows with missing/blank label.")
     return out.select("fecha", "label", "empresa", "facet_col", "fill_col", "valor", *CODES)
 
 
 # --- CP-05 label map ---------------------------------------------------------
 
 def label_map(structure_by_company: DataFrame) -> DataFrame:
-    """Normalised label dimension, unique by (empresa, codes) (DQ-08 lazily:
-    the job fails if a key repeats after normalisation)."""
+    """Normalised label dimension, unique by (empresa, codes) (DQ-08: the job
+    fails if a key repeats after normalisation)."""
     label_col = "label" if "label" in structure_by_company.columns else "rubro"
     m = normalize_code_keys(structure_by_company.select("empresa", *CODES, F.col(label_col).alias("label")))
     per_key = F.count(F.lit(1)).over(Window.partitionBy("empresa", *CODES))
-    label = fail_if(per_key > 1, "label map has duplicate keys after normalization.", F.col("label"))
-    return m.select("empresa", *CODES, label.alias("label"))
+    m = stop_if(m.withColumn("__per_key", per_key), F.col("__per_key") > 1,
+                "label map has duplicate keys after normalization.")
+    return m.select("empresa", *CODES, "label")
 
 
 # --- CP-06 / CP-08 standardise and compare actual vs budget -----------------
@@ -179,7 +173,7 @@ def filter_to_keys(facts: DataFrame, key_rows: DataFrame) -> DataFrame:
     keys = ["empresa", "year", "month", *CODES]
     if not all(k in key_rows.columns for k in keys):
         return facts
-    k = bounded_broadcast(normalize_code_keys(key_rows).select(*keys), ACCOUNT_DIM_BOUND)
+    k = normalize_code_keys(key_rows).select(*keys).distinct()
     return null_safe_join(normalize_code_keys(facts), k, keys, "left_semi")
 
 
@@ -187,10 +181,9 @@ def standardize(df: DataFrame, tipo: str, labels: DataFrame, multiplier: float =
                 rules: Sequence[Rule] | None = None) -> DataFrame:
     """normalise -> classify -> label -> canonical label -> scale -> tag -> distinct."""
     out = classify(normalize_code_keys(df), rules or account_rules())
-    out = null_safe_join(out, bounded_broadcast(labels, ACCOUNT_DIM_BOUND), ["empresa", *CODES], "left")
+    out = null_safe_join(out, labels, ["empresa", *CODES], "left")
     out = out.withColumn("label", canonical_label("label"))
-    out = out.withColumn("label", fail_if(blank("label"), f"{tipo} has classified rows with missing labels.",
-                                          F.col("label")))
+    out = stop_if(out, blank("label"), f"{tipo} has classified rows with missing labels.")
     out = out.withColumn("valor", F.lit(float(multiplier)) * F.col("valor")).withColumn("tipo", F.lit(tipo))
     return out.select("empresa", "facet_col", "fill_col", "label", "year", "month", "valor", "tipo",
                       *CODES).distinct()
@@ -325,9 +318,9 @@ def cash_monthly(actuals: DataFrame, opening_sheet: DataFrame, cash: CashConfig
     min_income = actuals.where((F.col("year") == latest_year - 1) & (F.col("header_code") == cash.income_account) &
                                F.col("sub_header_code").isNull() & F.col("item_code").isNull()) \
         .groupBy("empresa").agg((strict_sum("valor") / F.lit(12.0)).alias("saldo_minimo_ingresos"))
-    min_expense = bounded_broadcast(literal_frame(
+    min_expense = F.broadcast(literal_frame(
         spark, [(k, v / 1e3) for k, v in cash.expense_minimums.items()],
-        [("empresa", "string"), ("saldo_minimo_gastos", "double")]), len(cash.expense_minimums))
+        [("empresa", "string"), ("saldo_minimo_gastos", "double")]))
     opening = cash_opening(opening_sheet, latest_year, cash)
     # balance at the company x month grain: movements are summed per month
     # before the window, so a company's window partition holds <= 12 rows

@@ -1,20 +1,22 @@
 """The artifact job (SNK-01, SNK-02): build the bundle once, write each
-dataset. The actuals frame feeds three outputs, so it is persisted
-(MEMORY_AND_DISK: a lost executor recomputes from lineage)."""
+dataset. The actuals feed several outputs, so they are written to the shared
+folder once and reread."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.config import DEFAULT_CASH, DEFAULT_METHODOLOGY, CashConfig, MonetaryMethodology
 from ledgerlake.operators.classify import dashboard_facts
 from ledgerlake.operators.measures import validate_references
 from ledgerlake.operators.periods import latest
 from ledgerlake.plans import accounts
-from ledgerlake.sources.landed import write_table
+from ledgerlake.session import scratch_path
+from ledgerlake.sources.landed import drop_table, publish_table, stage_table
+
+PARTITIONED = ("series_anuales",)
 
 
 @dataclass
@@ -27,18 +29,25 @@ class LandedInputs:
     gdp_cells: DataFrame
     index_sheet: DataFrame       # row, c1 (serial), c2 (value)
     rate_sheet: DataFrame        # row, c1 (date text), c3 (quote)
+    projection_sheet: DataFrame  # header, SubHeader, Item, label, rubro, <companies>
 
 
 def build_bundle(inp: LandedInputs, m: MonetaryMethodology = DEFAULT_METHODOLOGY,
                  cash: CashConfig = DEFAULT_CASH, validate: bool = True) -> dict[str, DataFrame]:
     by_row, by_company = accounts.structure_maps(inp.structure_sheet)
-    actuals = accounts.actuals_from_cells(inp.actual_cells, by_row).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = inp.actual_cells.sparkSession
+    landed = scratch_path(spark, "actuals")
+    accounts.actuals_from_cells(inp.actual_cells, by_row).write.parquet(landed)
+    actuals = spark.read.parquet(landed)
     refs = accounts.macro_series(inp.gdp_cells, inp.index_sheet, inp.rate_sheet, m)
     if validate:
         # the series are one row per year: a few one-row aggregates, then stop
         # before anything is written if a series is unusable
         validate_references(refs, m)
     budget = accounts.budget_raw(inp.budget_source, inp.budget_template, by_company, latest(actuals, "year"))
+    if validate:
+        # every import classifies the budget: a blank label stops the run here
+        accounts.budget_monthly(budget).write.format("noop").mode("overwrite").save()
     monthly = accounts.series_monthly(actuals, budget, by_company)
     return {
         "series_anuales": accounts.series_annual(actuals, refs, m),
@@ -47,18 +56,38 @@ def build_bundle(inp: LandedInputs, m: MonetaryMethodology = DEFAULT_METHODOLOGY
         "serie_ipc_anual_24": refs.index,
         "serie_pib_anual": refs.gdp,
         "dolar_promedio_anual": refs.rate,
+        "proyecciones": accounts.projections(inp.projection_sheet, refs, m).drop("header_ord", "ente_ord"),
     }
 
 
 def write_bundle(bundle: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    paths = {}
-    for name, df in bundle.items():
-        path = f"{out_dir.rstrip('/')}/{name}"
-        write_table(df, path, partition_by=["year"] if "year" in df.columns and name == "series_anuales" else None)
-        paths[name] = path
+    """Build every dataset next to its place, then put all of them in place:
+    a guard that fails in any of them leaves all published ones untouched."""
+    out, staged = out_dir.rstrip("/"), {}
+    paths = {name: f"{out}/{name}" for name in bundle}
+    try:
+        for name, df in bundle.items():
+            by = ["year"] if "year" in df.columns and name in PARTITIONED else None
+            staged[name] = stage_table(df, paths[name], partition_by=by)
+    except Exception:
+        for path in staged.values():
+            drop_table(next(iter(bundle.values())).sparkSession, path)
+        raise
+    for name, path in staged.items():
+        publish_table(bundle[name].sparkSession, path, paths[name])
     return paths
 
 
+def read_series(spark, path: str, empresa=None, facet=None, years=None) -> DataFrame:
+    """A published series cut to companies, facets and years (FLT-10): the
+    year filter prunes partition folders, the others reach the reader."""
+    df = spark.read.parquet(path)
+    for column, values in (("empresa", empresa), ("facet_col", facet), ("year", years)):
+        if values is not None:
+            df = df.where(F.col(column).isin(*values))
+    return df
+
+
 # Dataset contract of the bundle: required columns per artifact (fixed
 # values of the dashboard's data contract).
 ARTIFACT_CONTRACT = {"required_datasets": [
@@ -89,10 +118,15 @@ ARTIFACT_CONTRACT = {"required_datasets": [
      "produced_by": "ledgerlake.plans.artifacts",
      "minimum_schema": {"required_columns": ["year", "dolar_promedio"], "key_columns": ["year"]},
      "validation_rules": {"row_count_min": 1, "unique_key": True}},
+    {"id": "proyecciones", "output_path": "proyecciones", "format": "parquet",
+     "produced_by": "ledgerlake.plans.artifacts",
+     "minimum_schema": {"required_columns": ["header", "label", "ente", "ejecutado", "year", "ejecutado_2024",
+                                             "ejecutado_pct_pib", "ejecutado_usd", "tipo"]},
+     "validation_rules": {"row_count_min": 1, "unique_key": False}},
 ]}
 
 LANDED_FOLDERS = ("actual_cells", "structure_sheet", "budget_source", "budget_template", "opening_sheet",
-                  "gdp_cells", "index_sheet", "rate_sheet")
+                  "gdp_cells", "index_sheet", "rate_sheet", "projection_sheet")
 
 
 def read_landed(spark, root: str) -> LandedInputs:
@@ -129,7 +163,10 @@ def main(argv=None) -> int:
     p.add_argument("--verify", action="store_true")
     args = p.parse_args(argv)
     spark = get_session()
-    write_bundle(build_bundle(read_landed(spark, args.landed)), args.out)
+    landed = read_landed(spark, args.landed)
+    write_bundle(build_bundle(landed), args.out)
+    for r in accounts.budget_unmatched(landed.budget_source, landed.budget_template).orderBy("sheet").toLocalIterator():
+        print(f"Dropped {r['dropped_rows']} unmatched firmado row(s) from sheet '{r['sheet']}'.")
     if not args.verify:
         return 0
     issues = verify_contract(spark, Contract.from_json(json.dumps(ARTIFACT_CONTRACT), root=args.out)).collect()

@@ -49,18 +49,29 @@ def cells_to_long(cells: DataFrame, header_row: int, label_col: int = 1,
     """Resolve numeric cells against the header row (entity per column) and
     the label column (label per row), LEFT joins as in the source (SRC-03).
 
-    ``structure_map`` (keyed by ``row``) adds account codes to the labels.
+    The header and label cells of a sheet become two maps (their size is the
+    sheet's layout), so cells meet them in one join on the sheet's keys.
+    ``structure_map`` (keyed by ``row``) adds account codes to labelled rows.
     """
     k = list(keys)
-    headers = cells.where((F.col("row") == header_row) & F.col("character").isNotNull() &
-                          (F.col("character") != "")) \
-        .select(*k, "col", F.col("character").alias(entity))
-    labels = cells.where((F.col("col") == label_col) & F.col("character").isNotNull()) \
-        .select(*k, "row", F.col("character").alias(label))
-    if structure_map is not None:
-        labels = labels.join(structure_map, "row", "left")
-    values = cells.where(F.col("numeric").isNotNull()).select(*k, "row", "col", F.col("numeric").alias(value))
-    return values.join(headers, [*k, "col"], "left").join(labels, [*k, "row"], "left")
+    text = F.col("character")
+    is_head = (F.col("row") == header_row) & text.isNotNull() & (text != "")
+    is_label = (F.col("col") == label_col) & text.isNotNull()
+
+    def lookup(cond: Column, position: str) -> Column:
+        entries = F.collect_list(F.when(cond, F.struct(F.col(position).alias("k"), text.alias("v"))))
+        return F.map_from_entries(F.array_distinct(entries))
+    sheet = F.struct(*k).alias("__sheet")  # a struct key lets a NULL workbook match itself
+    layout = cells.where(is_head | is_label).groupBy(sheet).agg(lookup(is_head, "col").alias("__heads"),
+                                                             lookup(is_label, "row").alias("__labels"))
+    values = cells.where(F.col("numeric").isNotNull()).select(*k, sheet, "row", "col", F.col("numeric").alias(value))
+    out = values.join(layout, "__sheet", "left") \
+        .withColumn(entity, F.try_element_at("__heads", F.col("col"))) \
+        .withColumn(label, F.try_element_at("__labels", F.col("row"))).drop("__heads", "__labels", "__sheet")
+    if structure_map is None:
+        return out
+    codes = structure_map.withColumnRenamed("row", "__row")
+    return out.join(codes, (F.col("row") == F.col("__row")) & F.col(label).isNotNull(), "left").drop("__row")
 
 
 def header_values(cells: DataFrame, header_row: int, value_row, pattern: str,

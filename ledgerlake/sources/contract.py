@@ -105,7 +105,7 @@ def read_required_dataset(spark: SparkSession, contract: Contract, dataset_id: s
         raise ContractError(f"Failed to read required dataset '{entry.id}' at {path}: {err}") from err
     except (PySparkException, Py4JJavaError) as err:
         raise ContractError(f"Failed to read required dataset '{entry.id}' at {path}: "
-                            f"{str(err).strip().splitlines()[0][:500]}") from err
+                            f"{str(err).strip()}") from err
     missing = [c for c in entry.required_columns if c not in df.columns]
     if missing:
         raise ContractError(f"Dataset '{entry.id}' is missing required columns: {', '.join(missing)}")
@@ -138,14 +138,15 @@ def verify_entry(spark: SparkSession, contract: Contract, entry: DatasetEntry,
     try:
         df = read_table(spark, path, entry.format)
         checks_schema = entry.required_columns or entry.key_columns or entry.row_count_min is not None
-        keys = tuple(k for k in entry.key_columns if k in df.columns) if entry.unique_key else ()
+        absent = [k for k in entry.key_columns if k not in df.columns] if entry.unique_key else []
+        keys = tuple(entry.key_columns) if entry.unique_key and not absent else ()
         stats = _dataset_stats(df, keys) if (checks_schema or entry.max_age_hours is not None) else None
     except AnalysisException as err:
         if _is_missing(err):
             return [issue("missing", "File does not exist.")]
-        return [issue("unreadable", str(err).splitlines()[0])]
+        return [issue("unreadable", str(err).strip())]
     except (PySparkException, Py4JJavaError) as err:  # e.g. a corrupt file footer
-        return [issue("unreadable", str(err).strip().splitlines()[0][:500])]
+        return [issue("unreadable", str(err).strip())]
     out = []
     if checks_schema:
         missing = [c for c in entry.required_columns if c not in df.columns]
@@ -156,6 +157,8 @@ def verify_entry(spark: SparkSession, contract: Contract, entry: DatasetEntry,
         if entry.unique_key:
             if not entry.key_columns:
                 out.append(issue("schema", "unique_key is true but key_columns is empty."))
+            elif absent:
+                out.append(issue("schema", f"Missing key columns: {', '.join(absent)}"))
             elif stats["dups"] > 0:
                 out.append(issue("schema", f"Duplicate rows found for key columns: {', '.join(entry.key_columns)}"))
     if entry.max_age_hours is not None:
@@ -174,11 +177,3 @@ def verify_contract(spark: SparkSession, contract: Contract, now: float | None =
     for entry in contract.entries:
         issues.extend(verify_entry(spark, contract, entry, now))
     return issues_frame(spark, issues)
-
-
-def verify_or_fail(spark: SparkSession, contract: Contract, now: float | None = None) -> None:
-    """Exit-status form: raise listing the failed datasets."""
-    issues = verify_contract(spark, contract, now).collect()
-    if issues:
-        failed = sorted({r["id"] for r in issues})
-        raise ContractError(f"FAIL: {len(failed)}/{len(contract.entries)} dataset(s) invalid: {', '.join(failed)}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -26,9 +28,47 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: Str
     return tidy_columns(df) if tidy else df
 
 
+def stage_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> str:
+    """Write next to ``path``; the table there stays as it is."""
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("error").format(fmt)
+    try:
+        (w.partitionBy(*partition_by) if partition_by else w).save(staged)
+    except Exception:
+        drop_table(df.sparkSession, staged)
+        raise
+    return staged
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def publish_table(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged table in the place of ``path`` by renaming folders."""
+    fs, new = _folder(spark, staged)
+    _, place = _folder(spark, path)
+    _, old = _folder(spark, f"{staged}.old")
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise OSError(f"cannot set aside {path}")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(old, place)
+        raise OSError(f"cannot publish {staged} as {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder on any store that Spark writes to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
-    """Overwrite sink; partitions by ``year`` when asked (SNK-01)."""
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+    """Overwrite sink; partitions by ``year`` when asked (SNK-01). The new
+    table is written in full before it replaces the old one, so a job that
+    fails - a guard, a lost cluster - leaves the old table as it was."""
+    publish_table(df.sparkSession, stage_table(df, path, fmt, partition_by), path)

@@ -9,7 +9,7 @@ from ledgerlake.sources.cells import CELL_SCHEMA
 
 
 def ingest_new_sheets(spark: SparkSession, landing_dir: str, structure_map: DataFrame, out_dir: str,
-                      checkpoint_dir: str, max_files_per_trigger: int | None = None):
+                      checkpoint_dir: str):
     """Append long facts for cell files landed since the last run.
 
     ``landing_dir`` holds ``year=/sheet=`` folders of cell parquet, one file
@@ -22,10 +22,7 @@ def ingest_new_sheets(spark: SparkSession, landing_dir: str, structure_map: Data
     failure replaces its partial output instead of appending twice.
     """
     schema = StructType([*CELL_SCHEMA.fields, StructField("year", IntegerType())])
-    reader = spark.readStream.schema(schema).option("basePath", landing_dir)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    cells = reader.parquet(landing_dir)
+    cells = spark.readStream.schema(schema).option("basePath", landing_dir).parquet(landing_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         facts = actuals_from_cells(batch, structure_map)

@@ -209,7 +209,7 @@ def test_kpis_and_facet_series_in_every_unit(spark):
                                                 ("UTE", "UTE - Ingresos Corrientes 2025")]
 
 
-def test_gdp_total_row_by_label_and_skew_safe_budget(spark):
+def test_gdp_total_row_by_label(spark):
     cells = spark.createDataFrame(
         [("pib", "s", 6, c, None, h) for c, h in enumerate(["I 2024", "II 2024", "III 2024", "IV 2024"], start=2)] +
         [("pib", "s", 21, 1, None, " pib total "), ("pib", "s", 19, 1, None, "Otro")] +
@@ -218,11 +218,22 @@ def test_gdp_total_row_by_label_and_skew_safe_budget(spark):
     by_label = accounts.gdp_series(cells, M, total_label="PIB total")
     assert rows(by_label.where("year = 2024")) == [(2024, 4e6)]
     assert rows(accounts.gdp_series(cells, M).where("year = 2024")) == [(2024, 36e6)]
-    src, tpl = budget_sheets(spark)
+
+
+def test_label_guard_holds_whatever_is_read(spark):
     _, by_company = accounts.structure_maps(structure(spark))
-    a = accounts.budget_raw(src, tpl, by_company, 2025)
-    b = accounts.budget_raw(src, tpl, by_company, 2025, skew_safe=True)
-    assert rows(a) == rows(b)
+    twice = by_company.unionByName(by_company)
+    with pytest.raises(PySparkException, match="duplicate keys after normalization"):
+        accounts.label_map(twice).count()
+
+
+def test_two_workbooks_of_a_year_do_not_mix(spark):
+    from ledgerlake.sources.cells import cells_to_long
+    sheet = lambda w, name: [(w, "S", 6, 2, None, name), (w, "S", 7, 1, None, f"row of {w}"), (w, "S", 7, 2, 1.0, None)]
+    cells = spark.createDataFrame(sheet("w1", "A") + sheet("w2", "B"),
+                                  "workbook string, sheet string, row int, col int, numeric double, character string")
+    out = cells_to_long(cells, 6)
+    assert rows(out, "workbook", "empresa", "label", "valor") == [("w1", "A", "row of w1", 1.0), ("w2", "B", "row of w2", 1.0)]
 
 
 def test_label_order_ties_and_month_year_label(spark):

@@ -19,20 +19,22 @@ def landed_inputs(spark):
         [("pib", "s", 19, c, None, "100") for c in range(2, 2 + len(heads))],
         "workbook string, sheet string, row int, col int, numeric double, character string")
     idx = [(1, "Periodo", "Indice")]
-    for y in (2023, 2024):
+    for y in (2023, 2024, 2025):
         for m in range(1, 13):
             idx.append((len(idx) + 1, str((dt.date(y, m, 1) - dt.date(1899, 12, 30)).days), str(90 + 10 * (y - 2023))))
     index = spark.createDataFrame(idx, "row int, c1 string, c2 string")
     rate = spark.createDataFrame([(1, "fecha", None, "venta"), (2, "02-01-2023", None, "40"),
-                                  (3, "2024-01-02", None, "50")], "row int, c1 string, c2 string, c3 string")
+                                  (3, "2024-01-02", None, "50"), (4, "2025-01-02", None, "50")], "row int, c1 string, c2 string, c3 string")
     opening = spark.createDataFrame([("ANCAP", 100.0)], "empresa string, saldo_inicial_miles double")
-    return LandedInputs(actual_cells(spark), structure(spark), src, tpl, opening, gdp, index, rate)
+    projection = spark.createDataFrame([("A", 1.0, 0.0, "Ventas", "r", "10"), (None, 1.0, 0.0, "x", "r", "1")],
+                                       "header string, SubHeader double, Item double, label string, rubro string, ANCAP string")
+    return LandedInputs(actual_cells(spark), structure(spark), src, tpl, opening, gdp, index, rate, projection)
 
 
 def test_artifact_job_roundtrip(spark, tmp_path):
     bundle = build_bundle(landed_inputs(spark))
     assert set(bundle) == {"series_anuales", "series_mensuales", "caja_mensual", "serie_ipc_anual_24",
-                           "serie_pib_anual", "dolar_promedio_anual"}
+                           "serie_pib_anual", "dolar_promedio_anual", "proyecciones"}
     paths = write_bundle(bundle, str(tmp_path / "processed"))
     back = {k: spark.read.parquet(p) for k, p in paths.items()}
     assert back["serie_pib_anual"].count() == 3          # 2023, 2024 + projected 2025
@@ -42,6 +44,9 @@ def test_artifact_job_roundtrip(spark, tmp_path):
     assert set(anual.columns) >= {"valor", "valor_2024", "valor_pct_pib", "valor_usd", "year"}
     mensual = back["series_mensuales"]
     assert "keep" in mensual.columns and mensual.count() > 0
+    projected = back["proyecciones"].collect()
+    assert [(r["header"], r["ente"], r["ejecutado"], r["tipo"]) for r in projected] == [("Ingresos", "ANCAP", 10000.0, "Proyección")]
+    assert "header_ord" not in back["proyecciones"].columns
     caja = back["caja_mensual"].where("empresa = 'ANCAP'").orderBy("fecha").collect()
     assert [r["saldo"] for r in caja] == [100000.0, 100000.0 - 10000.0]
     assert caja[0]["saldo_minimo"] == 21822288449.0
@@ -86,7 +91,7 @@ def test_artifact_command_writes_and_verifies(spark, tmp_path):
     landed = tmp_path / "landed"
     write_table(inp.actual_cells, str(landed / "actual_cells"), partition_by=["year", "sheet"])
     for name in ("structure_sheet", "budget_source", "budget_template", "opening_sheet", "gdp_cells",
-                 "index_sheet", "rate_sheet"):
+                 "index_sheet", "rate_sheet", "projection_sheet"):
         write_table(getattr(inp, name), str(landed / name))
     assert main(["--landed", str(landed), "--out", str(tmp_path / "out"), "--verify"]) == 0
     assert spark.read.parquet(str(tmp_path / "out" / "caja_mensual")).count() == 2
@@ -105,3 +110,33 @@ def test_bundle_stops_on_invalid_reference_series(spark, tmp_path):
         build_bundle(no_base)
     with pytest.raises(FileNotFoundError, match="Missing required file"):
         read_landed(spark, str(tmp_path / "nothing"))
+
+
+def test_failing_guard_leaves_published_artifacts(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    out = str(tmp_path / "out")
+    good = spark.createDataFrame([(1, "a")], "year int, label string")
+    paths = write_bundle({"one": good, "two": good}, out)
+    bad = accounts.stop_if(good, F.col("label") == "a", "blank label")
+    with pytest.raises(PySparkException, match="blank label"):
+        write_bundle({"one": good.withColumn("label", F.lit("new")), "two": bad}, out)
+    assert [r["label"] for r in spark.read.parquet(paths["one"]).collect()] == ["a"]
+    assert [r["label"] for r in spark.read.parquet(paths["two"]).collect()] == ["a"]
+    with pytest.raises(PySparkException, match="blank label"):
+        write_table(bad, paths["one"])
+    assert spark.read.parquet(paths["one"]).count() == 1
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["one", "two"]
+
+
+def test_year_filter_prunes_folders(spark, tmp_path):
+    from ledgerlake.plans.artifacts import read_series
+    df = spark.createDataFrame([(y, e, "Ingresos", 1.0) for y in (2023, 2024) for e in ("A", "B")],
+                               "year int, empresa string, facet_col string, valor double")
+    write_bundle({"series_anuales": df}, str(tmp_path))
+    got = read_series(spark, str(tmp_path / "series_anuales"), ["A"], ["Ingresos"], [2024])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [year" in plan
+    assert "In(empresa" in plan or "EqualTo(empresa" in plan
+    assert [(r["year"], r["empresa"]) for r in got.collect()] == [(2024, "A")]

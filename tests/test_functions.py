@@ -82,8 +82,8 @@ def test_display(spark):
 
 def test_format_guard_regex():
     from ledgerlake.functions.dates import _format_regex
-    assert _format_regex("d-M-yyyy") == r"^\d{1,2}\-\d{1,2}\-\d{4}$"
-    assert _format_regex("yyyy/MM/dd") == r"^\d{4}/\d{2}/\d{2}$"
+    assert _format_regex("d-M-yyyy") == r"^\d{1,2}\-\d{1,2}\-\d{4}"
+    assert _format_regex("yyyy/MM/dd") == r"^\d{4}/\d{2}/\d{2}"
     assert _format_regex("MMM d") is None and _format_regex("d 'de' M") is None
 
 

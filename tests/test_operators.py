@@ -195,7 +195,7 @@ def test_quality_operators(spark):
     b = spark.createDataFrame([(2024, 100.0), (2025, 190.0), (2026, 1.0)], "year int, v double")
     r = reconcile(a, b, ["year"], "v").first()
     assert (r["rows_actual"], r["rows_expected"], r["rows_unmatched"]) == (2, 3, 1)
-    assert r["mean_rel_diff"] == pytest.approx(10.0 / 290.0) and r["within_tolerance"] is False
+    assert r["mean_rel_diff"] == pytest.approx(10.0 / 190.0) and r["within_tolerance"] is False
     ev = spark.createDataFrame([("click",), ("oops",)], "t string")
     assert rows(domain_check(ev, "t", ["click", "view"])) == [("t", "oops", "unexpected"), ("t", "view", "missing")]
 
@@ -225,19 +225,27 @@ def test_missing_keys(spark):
     assert rows(missing_keys(req, have, ["year"])) == [(2025,)]
 
 
-def test_skew_safe_occurrence_matches_window(spark):
-    """One group holds half of all rows; the ranged numbering spreads it over
-    many partitions and must give exactly the window's numbers."""
-    hot = [("hot", i % 7, i) for i in range(3000)]
-    cold = [(f"g{i % 50}", i % 3, i) for i in range(3000)]
-    nul = [(None, i, i) for i in range(10)]
-    df = spark.createDataFrame(hot + cold + nul, "g string, o int, tie int")
-    w = occurrence_number(df, ["g"], ["o", "tie"], "occ")
-    r = occurrence_number(df, ["g"], ["o", "tie"], "occ", skew_safe=True)
-    assert rows(w, "g", "o", "tie", "occ") == rows(r, "g", "o", "tie", "occ")
-    per_task = occurrence_number(df, ["g"], ["o", "tie"], "occ", skew_safe=True).where("g = 'hot'") \
-        .groupBy(F.spark_partition_id().alias("p")).count().count()
-    assert per_task > 1
+def test_occurrence_number_splits_a_hot_group(spark):
+    """One group holds a third of all rows, with ties, NULL groups and NULL
+    order values; the numbers are those of a plain window."""
+    from pyspark.sql import Window
+    hot = [("hot", i % 40, i) for i in range(3000)]
+    cold = [(f"g{i % 50}", i % 3, i) for i in range(6000)]
+    odd = [(None, i, i) for i in range(10)] + [("g1", None, -i) for i in range(1, 5)]
+    df = spark.createDataFrame(hot + cold + odd, "g string, o int, tie int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = occurrence_number(df, ["g"], ["o", "tie"], "occ", ranges=8)
+        spread = got.where("g = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = df.withColumn("occ", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie")))
+    assert rows(got) == rows(want)
+    assert spread > 1
+    for kind in ("string", "date", "boolean", "double"):
+        one = df.withColumn("o", F.date_add(F.lit("2020-01-01").cast("date"), "o") if kind == "date" else F.col("o").cast(kind))
+        got = occurrence_number(one, ["g"], ["o", "tie"], "occ", ranges=5)
+        assert rows(got) == rows(one.withColumn("occ", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie"))))
 
 
 def test_reconcile_frames_per_column(spark):
@@ -245,7 +253,7 @@ def test_reconcile_frames_per_column(spark):
     a = spark.createDataFrame([(1, 100.0, "x", 5), (2, 200.0, "y", None)], "k int, v double, t string, w int")
     e = spark.createDataFrame([(1, 100.0, "x", 5), (2, 190.0, "z", None)], "k int, v double, t string, w int")
     got = {r["column"]: r for r in reconcile_frames(a, e, ["k"]).collect()}
-    assert got["v"]["mean_rel_diff"] == pytest.approx(10.0 / 290.0) and not got["v"]["within_tolerance"]
+    assert got["v"]["mean_rel_diff"] == pytest.approx(10.0 / 190.0) and not got["v"]["within_tolerance"]
     assert got["t"]["mismatches"] == 1 and got["t"]["kind"] == "text"
     assert got["w"]["within_tolerance"] and got["w"]["mean_rel_diff"] == 0.0
     same = reconcile_frames(a, a.drop("w"), ["k"]).collect()
@@ -272,15 +280,46 @@ def test_add_deflators_checks_types(spark):
         add_deflators(bad, refs_fixture(spark))
 
 
-def test_occurrence_number_auto_picks_by_largest_group(spark):
-    df = spark.createDataFrame([("hot", i) for i in range(50)] + [("c", 1)], "g string, o int")
-    base = rows(occurrence_number(df, ["g"], ["o"], "occ"), "g", "o", "occ")
-    small = occurrence_number(df, ["g"], ["o"], "occ", skew_safe="auto", hot_group_rows=10)
-    big = occurrence_number(df, ["g"], ["o"], "occ", skew_safe="auto", hot_group_rows=1000)
-    assert "RangePartitioning" in small._jdf.queryExecution().executedPlan().toString() or \
-        "rangepartitioning" in small._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in big._jdf.queryExecution().executedPlan().toString()
-    assert rows(small, "g", "o", "occ") == base == rows(big, "g", "o", "occ")
+def test_reconcile_follows_the_rule(spark):
+    """Differences average over the rows that differ; NULL keys match; a value
+    missing on one side and an expected zero are mismatches."""
+    from ledgerlake.operators.quality import reconcile_frames
+    many = [(i, 1.0) for i in range(1000)]
+    make = lambda xs: spark.createDataFrame(xs, "k int, v double")
+    cases = {
+        "one off": (make(many + [(1000, 1.1)]), make(many + [(1000, 1.0)]), 0.1, False),
+        "zero expected": (make([(1, 5.0)]), make([(1, 0.0)]), 5.0, False),
+        "null value": (make([(1, None)]), make([(1, 1.0)]), 0.0, False),
+        "nan value": (make([(1, float("nan"))]), make([(1, 1.0)]), 0.0, False),
+        "null key": (make([(None, 2.0), (1, 1.0)]), make([(None, 2.0), (1, 1.0)]), 0.0, True),
+        "both null": (make([(1, None)]), make([(1, None)]), 0.0, True),
+    }
+    for name, (a, e, diff, ok) in cases.items():
+        r = reconcile(a, e, ["k"], "v").first()
+        assert (round(r["mean_rel_diff"], 9), r["within_tolerance"], r["rows_unmatched"]) == (diff, ok, 0), name
+        f = reconcile_frames(a, e, ["k"]).first()
+        assert (round(f["mean_rel_diff"], 9), f["within_tolerance"]) == (diff, ok), name
+
+
+def test_parsing_edges(spark):
+    import datetime as dt
+    from ledgerlake.functions.dates import parse_date, serial_to_date
+    from ledgerlake.functions.numeric import lenient_double
+    from ledgerlake.operators.reshape import has_data
+    df = spark.createDataFrame([(t,) for t in ("12d", "3f", "NaN", "1e12", " 7.5 ", "-1e2", "", None, "Infinity")], "t string")
+    got = [r[0] for r in df.select(lenient_double("t")).collect()]
+    assert got == [None, None, None, 1e12, 7.5, -100.0, None, None, None]
+    days = [r[0] for r in df.select(serial_to_date("t")).collect()]
+    assert days[:4] == [None] * 4 and days[4] == dt.date(1900, 1, 6)
+    d = spark.createDataFrame([("2024-01-02 00:00:00",), ("02-01-2024",), ("x 2024-01-02",)], "t string")
+    assert [r[0] for r in d.select(parse_date("t")).collect()] == [dt.date(2024, 1, 2)] * 2 + [None]
+    n = spark.createDataFrame([(float("nan"), None), (0.0, 1.0)], "a double, b double")
+    assert [r[0] for r in n.select(has_data(["a", "b"])).collect()] == [False, True]
+
+
+def test_domain_check_reports_null(spark):
+    df = spark.createDataFrame([("a",), (None,)], "t string")
+    assert rows(domain_check(df, "t", ["a", "b"])) == [("t", "b", "missing"), ("t", None, "unexpected")]
 
 
 def test_reconcile_pairs_duplicate_keys_one_to_one(spark):
