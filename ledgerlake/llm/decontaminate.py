@@ -44,7 +44,7 @@ OVERLAP = 0.8            # of the shingles of question and answer
 WIDTH = 5                # words of a shingle
 BLOCK_ITEMS = 32         # consecutive items with common maxima
 GROUP_ITEMS = 20_000     # items of one broadcast index
-SLICE = 4 << 20
+SLICE = 1 << 19          # text handled at once
 SENTENCE_END = frozenset(b".!?\n")
 
 
@@ -144,9 +144,26 @@ def _spread(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size) + first[which][entry], entry
 
 
-def _sum_by(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+DENSE = 1 << 22          # sums over so many keys use a table, larger ones sort
+
+
+def _sum_by(key: np.ndarray, value: np.ndarray, size: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, sums) whose sums reach ``floor`` (keys are below ``size``)."""
+    if size <= DENSE:
+        total = np.bincount(key, weights=value, minlength=1)
+        keys = np.flatnonzero(total >= floor)
+        return keys, total[keys]
     keys, of = np.unique(key, return_inverse=True)
-    return keys, np.bincount(of, weights=value, minlength=len(keys))
+    total = np.bincount(of, weights=value, minlength=len(keys))
+    return keys[total >= floor], total[total >= floor]
+
+
+def _among(key: np.ndarray, wanted: np.ndarray, size: int) -> np.ndarray:
+    if size > DENSE:
+        return np.isin(key, wanted)
+    table = np.zeros(size, bool)
+    table[wanted] = True
+    return table[key]
 
 
 def retrieve(ix: Index, window: np.ndarray, term: np.ndarray, threshold: float = THRESHOLD):
@@ -169,7 +186,8 @@ def retrieve(ix: Index, window: np.ndarray, term: np.ndarray, threshold: float =
     # blocks of essential terms
     at, entry = _spread(ix.blocks_of, term[essential])
     key = owner[essential][entry] * ix.blocks + ix.block_key[at] % ix.blocks
-    pairs, score = _sum_by(key, ix.block_max[at])
+    size = len(starts) * ix.blocks
+    pairs, score = _sum_by(key, ix.block_max[at], size, 0.0 if size > DENSE else 1e-12)
     pairs = pairs[score + rest[pairs // ix.blocks] >= floor]
     if not len(pairs):
         return empty
@@ -187,10 +205,9 @@ def retrieve(ix: Index, window: np.ndarray, term: np.ndarray, threshold: float =
     pos, entry = _spread(first, own)
     at, again = _spread(ix.items_of, term[pos])
     item, who = ix.item[at], own[entry[again]]
-    inside = np.isin(who * ix.blocks + item // BLOCK_ITEMS, pairs)
+    inside = _among(who * ix.blocks + item // BLOCK_ITEMS, pairs, size)
     n = len(ix.item_id)
-    found, score = _sum_by(who[inside] * n + item[inside], ix.weight[at][inside])
-    found, score = found[score >= floor], score[score >= floor]
+    found, score = _sum_by(who[inside] * n + item[inside], ix.weight[at][inside], len(starts) * n, floor)
     return window[starts][found // n], found % n, score
 
 
@@ -294,7 +311,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             mask = np.ones(len(texts), bool)
             mask[[r for r, *_ in matches(shared.value, texts)]] = False
             return mask
-        docs = filter_rows(docs, keep)
+        docs = filter_rows(docs, keep, SLICE)
     return docs
 
 

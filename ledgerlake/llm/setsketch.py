@@ -13,15 +13,17 @@ sets agree in a register about as often as they are alike.
 3. In each bucket the smallest representative is the hub. Every
    representative is held against its best hub: first by the maximum
    likelihood estimate of the Jaccard similarity from the registers (six
-   standard errors of slack), then exactly on the full sets.
-4. Buckets whose members are not all connected yet are gone through again,
-   now for every pair of members from different components. Nothing is
-   capped: a pair that shares a bucket is either connected or was verified.
+   standard errors of slack), then exactly on the full sets. This settles
+   most of a large group of near copies with one test per member.
+4. Buckets whose members are not all connected yet are gone through again:
+   in blocks, all their pairs across components are estimated; the pairs that
+   remain possible connect representatives to clusters, and all pairs of a
+   cluster are tested exactly, again in blocks (a block product of 0/1
+   matrices counts shared shingles). A task gives back only the links that
+   connect its rows, never the pairs. Nothing is capped: a pair that shares a
+   bucket is either connected already or was tested.
 5. Components of the verified links; copies take their representative's.
 
-Groups of thousands of near copies are settled in step 3 with one candidate
-per member, so step 4 has only pairs that are really undecided.
-
 Defined results: null and empty texts have no shingles, link with nothing and
 stay; fewer words than the shingle width make one shingle; rows with equal
 doc_id are linked only by their sets; null doc_id rows link and are reported
@@ -46,6 +48,10 @@ REGISTERS = BANDS * ROWS
 BASE = 1.001             # spacing of the truncated minima
 STEPS, ZERO = 65535, 25000  # exponents fit 16 bits; a minimum of 1 has exponent ZERO + 1
 SLACK = 6.0              # standard errors of the estimate
+BLOCK_ROWS = 1024        # rows of a bucket that are estimated against each other at once
+PAIRS_AT_ONCE = 40_000
+BLOCK_SHINGLES = 500_000  # of a cluster that are held together in one exact test
+COLUMNS_AT_ONCE = 4096
 SMALL_ROLES = 2_000_000  # rows (40 bytes) that may be broadcast, proved by a count
 U64 = np.uint64
 
@@ -170,10 +176,11 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"key": pa.array(band_keys(regs).ravel()), "rid": pa.array(rid)})
 
 
-def _sets(width: int):
+def _sets(width: int, columns: tuple[str, ...]):
+    """Shingle sets of texts, with the named columns passed on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _set_batches(batches, width, 4 << 20):
-            yield pa.RecordBatch.from_pydict({"hub": part.column("hub"), "member": part.column("member"),
+            yield pa.RecordBatch.from_pydict({**{c: part.column(c) for c in columns},
                                               "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
     return run
 
@@ -216,9 +223,137 @@ def _verified(percent: int):
     return run
 
 
-def _verified_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int,
-                    best_only: bool) -> DataFrame:
-    """Verified links among candidate ``pairs(member, hub)``."""
+def _with_sets(rows: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``rows(rid, cluster, comp, doc_id, thash)`` with their shingle sets."""
+    small = broadcast_if_small(rows, SMALL_ROLES).alias("r")
+    same_row = F.col("t.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("t.thash") == F.col("r.thash"))
+    held = texts.alias("t").join(small, same_row).select("r.rid", "r.cluster", "r.comp", "t.text")
+    # a row repeated as a whole gives its set twice
+    return held.mapInArrow(_sets(width, ("rid", "cluster", "comp")), "rid long, cluster long, comp long, shingles binary") \
+        .dropDuplicates(["rid"])
+
+
+def _block_pairs(rows: DataFrame, group: str) -> DataFrame:
+    """Deal a group's rows to ``blocks`` blocks and each block to every pair
+    (i <= j) it is part of: two rows of a group meet in exactly one pair, and
+    no task sees more than two blocks. ``own``: the row's block."""
+    block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("own", block)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = rows.withColumn("other", other)
+    return rows.select(*[c for c in rows.columns if c not in ("other", "blocks")],
+                       F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest connected position of each of n positions joined by a - b."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label[a] == label[b]).all():
+            break
+    return label
+
+
+def _stars(rid: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what the pairs connect, one per position at most."""
+    label = _roots(len(rid), a, b)
+    far = np.flatnonzero(label != np.arange(len(rid)))
+    return rid[far], rid[label[far]]
+
+
+def _candidates(percent: int):
+    """Rows sorted by (key, i, j): pairs of different components whose
+    likelihood estimate reaches the threshold less the slack, given as the
+    fewest links that connect the same rows."""
+    goal = percent / 100
+    least = goal - SLACK * (goal * (1 - goal) / REGISTERS) ** 0.5
+
+    def pairs_of(group, own, i, j, comp, n, regs):
+        """All pairs of a run of complete groups, in steps of bounded size."""
+        end = np.searchsorted(group, group, "right")
+        count = end - np.arange(len(group)) - 1
+        at = 0
+        while at < len(group):
+            upto = max(at + 1, int(np.searchsorted(np.cumsum(count[at:]), PAIRS_AT_ONCE, "right")) + at)
+            c = count[at:upto]
+            a = np.repeat(np.arange(at, upto), c)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c) + a + 1
+            at = upto
+            meet = (comp[a] != comp[b]) & ((own[a] != own[b]) | (i[a] == j[a]))
+            meet &= np.minimum(n[a], n[b]) * 100 >= percent * np.maximum(n[a], n[b])
+            a, b = a[meet], b[meet]
+            if len(a):
+                est = likelihood_jaccard(regs[a], regs[b], n[a].astype(float), n[b].astype(float))
+                yield a[est >= least], b[est >= least]
+
+    def solve(t: pa.Table):
+        key, i, j, own, rid, comp, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "own", "rid", "comp", "n"))
+        regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        got = list(pairs_of(np.cumsum(new), own, i, j, comp, n, regs))
+        a = np.concatenate([x for x, _ in got]) if got else np.zeros(0, int)
+        b = np.concatenate([y for _, y in got]) if got else np.zeros(0, int)
+        x, y = _stars(rid, a, b)
+        return pa.RecordBatch.from_pydict({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(h.num_rows for h in held) < 4 * BLOCK_ROWS:
+                continue
+            t = pa.Table.from_batches(held).combine_chunks()
+            cols = [t.column(c).to_numpy() for c in ("key", "i", "j")]
+            last = np.ones(t.num_rows, bool)
+            for c in cols:
+                last &= c == c[-1]
+            cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0  # the last group may go on
+            if cut:
+                yield solve(t.slice(0, cut))
+                held = t.slice(cut).to_batches()
+        if held:
+            yield solve(pa.Table.from_batches(held).combine_chunks())
+    return run
+
+
+def _exact_links(percent: int):
+    """One pair of blocks of a cluster: shared shingles of all its pairs by
+    products of 0/1 matrices (columns in steps), tested exactly."""
+    def run(t: pa.Table) -> pa.Table:
+        rid, comp, own = (t.column(c).to_numpy() for c in ("rid", "comp", "own"))
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(len(sets)), size)
+        _, col, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        both = seen[col] > 1
+        row, col = row[both], col[both]
+        _, col = np.unique(col, return_inverse=True)
+        shared = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        for lo in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS_AT_ONCE):
+            x, y = np.searchsorted(col, [lo, lo + COLUMNS_AT_ONCE])
+            m = np.zeros((len(sets), COLUMNS_AT_ONCE), np.float32)
+            m[row[x:y], col[x:y] - lo] = 1
+            shared += m @ m.T
+        a, b = np.nonzero(np.triu(100 * shared >= percent * (size[:, None] + size[None, :] - shared), 1))
+        keep = (own[a] != own[b]) | (i == j)
+        x, y = _stars(rid, a[keep], b[keep])
+        return pa.Table.from_pydict({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+    return run
+
+
+def _hub_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Verified links of every member to the best of its hubs: the most alike
+    by estimate, then the smallest."""
     side = reps.select("rid", "regs", "n")
     left = side.toDF("member", "regs_a", "n_a")
     right = side.toDF("hub", "regs_b", "n_b")
@@ -227,8 +362,7 @@ def _verified_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width:
         F.least("n_a", "n_b") * 100 >= percent * F.greatest("n_a", "n_b"))
     near = near.select("member", "hub", "regs_a", "regs_b", "n_a", "n_b") \
         .mapInArrow(_estimates(percent), "member long, hub long, est double")
-    if best_only:  # one hub per member: the most alike, then the smallest
-        near = near.groupBy("member").agg(F.min(F.struct(-F.col("est"), "hub"))["hub"].alias("hub"))
+    near = near.groupBy("member").agg(F.min(F.struct(-F.col("est"), "hub"))["hub"].alias("hub"))
     near = landed(near.select("member", "hub"), "near-pairs")
     # every set travels once, to the task of its hub; a hub's own row has no member
     roles = near.select(F.col("member").alias("rid"), "hub", "member").union(
@@ -237,12 +371,11 @@ def _verified_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width:
     small = broadcast_if_small(roles, SMALL_ROLES).alias("r")
     same_row = F.col("t.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("t.thash") == F.col("r.thash"))
     held = texts.alias("t").join(small, same_row).select("r.hub", "r.member", "t.text")
-    held = held.mapInArrow(_sets(width), "hub long, member long, shingles binary")
-    held = landed(held, "near-sets")
+    held = landed(held.mapInArrow(_sets(width, ("hub", "member")), "hub long, member long, shingles binary"), "near-sets")
     members = held.where("member IS NOT NULL").withColumnRenamed("shingles", "set_a")
-    hubs = held.where("member IS NULL").select("hub", F.col("shingles").alias("set_b"))
+    hubs = held.where("member IS NULL").select("hub", F.col("shingles").alias("set_b")).dropDuplicates(["hub"])
     return landed(members.join(hubs, "hub").mapInArrow(_verified(percent), "member long, hub long")
-                  .select(F.col("member").alias("a"), F.col("hub").alias("b")).distinct(), "near-links")
+                  .select(F.col("member").alias("a"), F.col("hub").alias("b")), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -264,22 +397,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = bands.groupBy("key").agg(F.min("rid").alias("hub"), F.max("rid").alias("last")).where("hub < last")
     buckets = landed(bands.join(shared.select("key", "hub"), "key"), "buckets")
     hubs = buckets.where("rid > hub").select(F.col("rid").alias("member"), "hub").distinct()
-    links = _verified_links(hubs, reps, texts, width, percent, best_only=True)
+    links = _hub_links(hubs, reps, texts, width, percent)
 
-    # buckets that are not one component yet: all pairs across components
-    # that involve a member outside the bucket's largest one
+    # buckets that are not one component yet: which members may still be
+    # alike across components, and exact tests within those clusters
     labels = connected_components(links)
     inside = landed(buckets.select("key", "rid").join(labels.withColumnRenamed("id", "rid"), "rid", "left")
                     .select("key", "rid", F.coalesce("component", "rid").alias("comp")), "bucket-components")
-    sizes = inside.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    split = sizes.groupBy("key").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"),
-                                     F.count("*").alias("comps")).where("comps > 1")
-    undecided = landed(inside.join(split.select("key", "main"), "key"), "undecided")
-    few = undecided.where("comp <> main").select("key", F.col("rid").alias("x"), F.col("comp").alias("cx"))
-    every = undecided.select("key", F.col("rid").alias("y"), F.col("comp").alias("cy"))
-    cross = few.join(every, "key").where("cx <> cy") \
-        .select(F.greatest("x", "y").alias("member"), F.least("x", "y").alias("hub")).distinct()
-    more = _verified_links(cross, reps, texts, width, percent, best_only=False)
+    sizes = inside.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+    open_ = sizes.where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks"))
+    rows_ = _block_pairs(inside.join(open_, "key"), "key").join(reps.select("rid", "n", "regs"), "rid")
+    rows_ = rows_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    maybe = landed(rows_.select("key", "i", "j", "own", "rid", "comp", "n", "regs")
+                   .mapInArrow(_candidates(percent), "a long, b long"), "candidates")
+    clusters = connected_components(maybe)
+    # the smallest member names its cluster
+    clusters = clusters.union(clusters.select(F.col("component").alias("id"), "component").distinct()) \
+        .toDF("rid", "cluster")
+    members_ = landed(clusters.join(labels.withColumnRenamed("id", "rid"), "rid", "left")
+                      .withColumn("comp", F.coalesce("component", "rid")).drop("component")
+                      .join(reps.select("rid", "doc_id", "thash", "n"), "rid"), "clusters")
+    weight = members_.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    held = _with_sets(members_.select("rid", "cluster", "comp", "doc_id", "thash"), texts, width)
+    blocks = _block_pairs(held.join(weight, "cluster"), "cluster")
+    more = landed(blocks.select("cluster", "i", "j", "own", "rid", "comp", "shingles").groupBy("cluster", "i", "j")
+                  .applyInArrow(_exact_links(percent), "a long, b long"), "near-links")
 
     labels = connected_components(links.union(more))
     whole = reps.select("rid", "digest", "doc_id").join(labels.withColumnRenamed("id", "rid"), "rid", "left") \
