@@ -423,7 +423,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     more = landed(blocks.select("cluster", "i", "j", "own", "rid", "comp", "shingles").groupBy("cluster", "i", "j")
                   .applyInArrow(_exact_links(percent), "a long, b long"), "near-links")
 
-    labels = connected_components(links.union(more))
+    labels = connected_components(labels.toDF("a", "b").union(more))
     whole = reps.select("rid", "digest", "doc_id").join(labels.withColumnRenamed("id", "rid"), "rid", "left") \
         .withColumn("root", F.coalesce("component", "rid"))
     named = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))
