@@ -205,24 +205,26 @@ def _estimates(percent: int):
     return run
 
 
-def _verified(percent: int):
-    """Exact test on the full sets: 100 * shared >= percent * union."""
+def _set_lists(width: int, columns: tuple[str, ...]):
+    """As ``_sets``, the sets as arrays that Spark's own functions read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                x = np.frombuffer(batch.column("set_a")[i].as_buffer(), np.uint64)
-                y = np.frombuffer(batch.column("set_b")[i].as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                if 100 * shared >= percent * (len(both) - shared):
-                    keep.append(i)
-            keep = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_pydict({"member": batch.column("member").take(keep),
-                                              "hub": batch.column("hub").take(keep)})
+        for part, sets in _set_batches(batches, width, 4 << 20):
+            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+            values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_pydict({**{c: part.column(c) for c in columns},
+                                              "shingles": pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                                                                   pa.array(values))})
     return run
 
 
+def _verified(pairs: DataFrame, percent: int) -> DataFrame:
+    """Exact test on the full sets: 100 * shared >= percent * union. A pair of
+    rows at a time, so long sets never gather in a batch."""
+    shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
+    union = F.size("set_a") + F.size("set_b") - F.col("shared")
+    return pairs.withColumn("shared", shared).where(100 * F.col("shared") >= percent * union)
+
+
 def _with_sets(rows: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """``rows(rid, cluster, comp, doc_id, thash)`` with their shingle sets."""
     small = broadcast_if_small(rows, SMALL_ROLES).alias("r")
@@ -371,10 +373,11 @@ def _hub_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int,
     small = broadcast_if_small(roles, SMALL_ROLES).alias("r")
     same_row = F.col("t.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("t.thash") == F.col("r.thash"))
     held = texts.alias("t").join(small, same_row).select("r.hub", "r.member", "t.text")
-    held = landed(held.mapInArrow(_sets(width, ("hub", "member")), "hub long, member long, shingles binary"), "near-sets")
+    held = landed(held.mapInArrow(_set_lists(width, ("hub", "member")),
+                                  "hub long, member long, shingles array<long>"), "near-sets")
     members = held.where("member IS NOT NULL").withColumnRenamed("shingles", "set_a")
     hubs = held.where("member IS NULL").select("hub", F.col("shingles").alias("set_b")).dropDuplicates(["hub"])
-    return landed(members.join(hubs, "hub").mapInArrow(_verified(percent), "member long, hub long")
+    return landed(_verified(members.join(hubs, "hub"), percent)
                   .select(F.col("member").alias("a"), F.col("hub").alias("b")), "near-links")
 
 
