@@ -3,10 +3,11 @@
 Every whole text is scanned for the base patterns. Runs that look encoded
 (percent escapes, Unicode escapes, base64, and compressed bytes inside them)
 are unwrapped; each unwrapped layer is scanned again and searched for further
-layers until nothing new appears. A layer that was seen before in the same
-document is not entered again, so cycles end. Every character of a layer
-knows the source range it came from, so a secret found five layers deep is
-reported where it stands in the document.
+layers until nothing new appears. A layer equal to one of its own ancestors
+is not entered again, so cycles end; a layer met again elsewhere in the
+document is expanded once and reported at every place. Every character of a
+layer knows the source range it came from, so a secret found five layers deep
+is reported where it stands in the document.
 
 Row-local: no shuffle; a task holds one batch of texts. What a compressed
 layer may unpack to is bounded (``MAX_LAYER``) against decompression bombs;
@@ -25,7 +26,6 @@ import bz2
 import hashlib
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -64,8 +64,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 class Layer:
-    """Decoded text; ``lo[i], hi[i]`` is the source range of character i
-    (None: every character has the whole range ``span``)."""
+    """Decoded text; ``lo[i], hi[i]`` is the range of character i in the text
+    it stands in (None: every character has the whole range ``span``)."""
     __slots__ = ("text", "lo", "hi", "span", "path")
 
     def __init__(self, text, path, span=None, lo=None, hi=None):
@@ -226,25 +226,61 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
         yield got
 
 
+def _expand(text: str):
+    """Findings of one text, (start, kind index, end, layers) in its own
+    characters: a generator that yields the texts of its layers and is sent
+    their findings."""
+    out = {(a, kind, b, ()) for a, kind, b in base_spans(text)}
+    for inner in unwrap(Layer(text, ())):
+        for a, kind, b, path in (yield inner.text):
+            x, y = inner.source(a, b)
+            out.add((x, kind, y, inner.path + path))
+    return out
+
+
+def _mark(text: str):
+    return text if len(text) < 4096 else hashlib.blake2b(text.encode("utf-8", "replace")).digest()
+
+
+def findings(text: str) -> set[tuple[int, int, int, tuple]]:
+    """Findings of a text and all its layers. A layer equal to one of its own
+    ancestors is not entered again; a text met elsewhere in the document is
+    expanded once, and its findings are mapped to every place it stands at."""
+    known: dict = {}
+    stack = [[_expand(text), _mark(text), True]]  # generator, text, whether its findings are whole
+    active = {stack[0][1]: 0}
+    send = None
+    while True:
+        try:
+            inner = stack[-1][0].send(send)
+        except StopIteration as end:
+            send = end.value
+            _, mark, whole = stack.pop()
+            del active[mark]
+            if whole:
+                known[mark] = send
+            if not stack:
+                return send
+            continue
+        mark = _mark(inner)
+        if mark in active:
+            for frame in stack[active[mark] + 1:]:
+                frame[2] = False  # depends on what it was reached through
+            send = set()
+        elif mark in known:
+            send = known[mark]
+        else:
+            active[mark] = len(stack)
+            stack.append([_expand(inner), mark, True])
+            send = None
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, str]]]:
     """(base spans, added spans) of a whole text, sorted."""
-    base = sorted(base_spans(text))
-    added: set[tuple[int, int, int, str]] = set()
-    work = deque([Layer(text, ())])
-    seen = {text}
-    while work:
-        layer = work.popleft()
-        for inner in unwrap(layer):
-            mark = inner.text if len(inner.text) < 4096 else hashlib.blake2b(inner.text.encode("utf-8", "replace")).digest()
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for a, kind, b in base_spans(inner.text):
-                x, y = inner.source(a, b)
-                added.add((x, kind, y, "/".join((KINDS[kind],) + inner.path)))
-            work.append(inner)
-    plain = {(a, k, b) for a, k, b in base}
-    return base, sorted(s for s in added if s[:3] not in plain)
+    found = findings(text)
+    plain = {s[:3] for s in found if not s[3]}
+    added = {(a, kind, b, "/".join((KINDS[kind],) + path)) for a, kind, b, path in found if path}
+    return sorted(plain), sorted(s for s in added if s[:3] not in plain)
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

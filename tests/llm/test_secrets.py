@@ -92,3 +92,30 @@ def test_clean_text_has_no_added_spans(spark):
 
 def test_empty(spark):
     assert secrets.secret_report(empty_docs(spark)).collect() == []
+
+
+def places(text, kind):
+    return [(s[0], s[2]) for s in secrets.scan(text)[1] if s[3] == kind]
+
+
+def test_the_same_secret_is_reported_at_every_place():
+    one = b64(SECRET)
+    text = f"a {one} b\n{one}.\nand {b64(b64(SECRET))}"
+    first, second = places(text, "assign/base64")
+    assert text.index(one) <= first[0] < first[1] <= text.index(one) + len(one)
+    assert text.rindex(one) <= second[0] < second[1] <= text.rindex(one) + len(one)
+    assert len(places(text, "assign/base64/base64")) == 1
+    line = "x " + "".join(f"%{ord(c):02x}" for c in "token=abcdefgh") + " y\n"
+    assert len(places(line * 5, "assign/url")) == 5
+    both = "%70assword%3Dhunter22 \\u0070assword\\u003dhunter22"
+    assert len(places(both, "assign/url")) == 1 and len(places(both, "assign/unicode")) == 1
+
+
+def test_a_layer_inside_itself_is_not_entered_again(monkeypatch):
+    def unwrap(layer):
+        inner = {"a": "b", "b": "ac", "ac": "b"}.get(layer.text)
+        if inner:
+            yield secrets.Layer(inner + "", ("x",), (0, 1))
+    monkeypatch.setattr(secrets, "unwrap", unwrap)
+    monkeypatch.setattr(secrets, "base_spans", lambda text: [(0, 0, 1)])
+    assert {s[3] for s in secrets.findings("a")} == {(), ("x",), ("x", "x")}
