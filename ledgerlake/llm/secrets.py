@@ -9,9 +9,10 @@ document is expanded once and reported at every place. Every character of a
 layer knows the source range it came from, so a secret found five layers deep
 is reported where it stands in the document.
 
-Row-local: no shuffle; a task holds one batch of texts. What a compressed
-layer may unpack to is bounded (``MAX_LAYER``) against decompression bombs;
-the part up to the bound is still scanned.
+Row-local: no shuffle; a task holds one batch of texts. A compressed layer is
+read as a stream, all members of it, and scanned in windows of ``MAX_LAYER``
+characters, so a decompression bomb costs time and not memory; a compressed
+payload inside such a layer is held whole, as it stands there.
 
 Defined results: null text has no spans; repeated rows are kept; an empty
 table gives no rows. Added spans carry their layers in the kind, such as
@@ -23,6 +24,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import re
 import zlib
@@ -43,12 +45,17 @@ ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 KINDS = ("assign", "access", "hex")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-MAX_LAYER = 1 << 24      # characters a compressed layer may unpack to
+MAX_LAYER = 1 << 24      # characters of an unpacked layer that are scanned at a time
+PIECE = 1 << 18          # bytes unpacked at a time
 MIN_ENCODED = 16
 RUN = re.compile(r"[!-~]+")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|((?:\\x[0-9A-Fa-f]{2})+)|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_ENCODED)
+SAFE_END = re.compile(r"[^A-Za-z0-9+/_;\r\n-]")  # before a line end: no run goes on in the next line
+OPEN_RUN = re.compile(r"[A-Za-z0-9+/_=\r\n-]*(?:[ \t]+\n[A-Za-z0-9+/_=\r\n-]*)*")  # backwards from the end
+STARTS = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[HQKe])|[/_\n-][ \t]*(?=[HQKe])")  # of compressed bytes
+SPACES = re.compile(r"\x20{256,}")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -79,39 +86,164 @@ class Layer:
         return a, b
 
 
+def _printed(text: str) -> int:
+    if text.isprintable():
+        return len(text)
+    return sum(map(str.isprintable, text)) + sum(map(text.count, "\t\r\n"))
+
+
 def _readable(raw: bytes) -> str | None:
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    good = sum(c.isprintable() or c in "\t\r\n" for c in text)
-    return text if text and good >= 0.95 * len(text) else None
+    return text if text and _printed(text) >= 0.95 * len(text) else None
+
+
+def _wrapping(head: bytes) -> str | None:
+    """Name of the compression that bytes begin with."""
+    if head[:2] == b"\x1f\x8b":
+        return "gzip"
+    if head[:1] == b"\x78" and len(head) > 2 and (head[0] * 256 + head[1]) % 31 == 0:
+        return "zlib"
+    if head[:3] == b"BZh":
+        return "bz2"
+    return "zstd" if head[:4] == b"\x28\xb5\x2f\xfd" else None
+
+
+class _Source:
+    """Pieces of bytes as a file."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.rest = pieces, b""
 
+    def read(self, n: int) -> bytes:
+        self.rest = self.rest or next(self.pieces, b"")
+        out, self.rest = self.rest[:n], self.rest[n:]
+        return out
 
-def _unpacked(raw: bytes) -> tuple[str, bytes] | None:
-    """(name, bytes) of a compressed payload."""
+
+def _decompressed(name: str, pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Bytes of all members, at most ``PIECE`` at a time. A broken or torn
+    payload ends where it breaks."""
     try:
-        if raw[:2] == b"\x1f\x8b":
-            return "gzip", zlib.decompressobj(31).decompress(raw, MAX_LAYER)
-        if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
-            return "zlib", zlib.decompressobj().decompress(raw, MAX_LAYER)
-        if raw[:3] == b"BZh":
-            return "bz2", bz2.BZ2Decompressor().decompress(raw, MAX_LAYER)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
+        if name == "zstd":
             import zstandard
-            return "zstd", zstandard.ZstdDecompressor().stream_reader(raw).read(MAX_LAYER)
-    except Exception:  # noqa: BLE001 - any malformed payload is simply not a layer
-        return None
-    return None
-
+            reader = zstandard.ZstdDecompressor().stream_reader(_Source(pieces), read_across_frames=True)
+            while out := reader.read(PIECE):
+                yield out
+            return
+        member, rest, n = None, b"", 0
+        for piece in pieces:
+            rest += piece
+            while True:
+                if member is None:
+                    rest = rest.lstrip(b"\0") if n else rest  # members may be padded
+                    if len(rest) < 4:
+                        break
+                    if _wrapping(rest) != name:
+                        return
+                    member = bz2.BZ2Decompressor() if name == "bz2" else zlib.decompressobj(31 if name == "gzip" else 15)
+                    n += 1
+                out = member.decompress(rest, PIECE)
+                rest = b"" if name == "bz2" else member.unconsumed_tail
+                if out:
+                    yield out
+                if member.eof:
+                    member, rest = None, member.unused_data
+                elif member.needs_input if name == "bz2" else not rest and len(out) < PIECE:
+                    break
+    except Exception:  # noqa: BLE001 - any malformed payload ends here
+        return
+
+
+class Unpacked:
+    """The text behind a compressed payload, through any number of compressed
+    wrappings, as a stream of windows. Wrappings that lead back to bytes met
+    before (a payload that unpacks to itself) are not entered again."""
+    __slots__ = ("raw", "span", "path", "names", "readable")
+
+    def __init__(self, raw: bytes, path: tuple, span: tuple[int, int]):
+        self.raw, self.span, self.names, self.readable = raw, span, (), False
+        seen, head = {hashlib.blake2b(raw).digest()}, raw[:4]
+        while (name := _wrapping(head)) is not None:
+            self.names += (name,)
+            head = self._head()
+            if head and _wrapping(head) is not None:
+                digest = hashlib.blake2b()
+                for piece in self._pieces():
+                    digest.update(piece)
+                if digest.digest() in seen:
+                    head = b""
+                seen.add(digest.digest())
+            if not head:
+                self.names = self.names[:-1]
+                break
+        self.path = path + self.names
+
+    def _pieces(self) -> Iterator[bytes]:
+        pieces = (self.raw[at:at + PIECE] for at in range(0, len(self.raw), PIECE))
+        for name in self.names:
+            pieces = _decompressed(name, pieces)
+        return pieces
+
+    def _head(self) -> bytes:
+        head = b""
+        for piece in self._pieces():
+            head += piece
+            if len(head) >= 4:
+                break
+        return head
 
-def _layer_of_bytes(raw: bytes, path: tuple, span: tuple[int, int]) -> Layer | None:
-    """Bytes to text through any number of compressed wrappings."""
-    seen = set()
-    while (got := _unpacked(raw)) is not None and got[1] and got[1] not in seen:
-        name, raw = got
-        seen.add(raw)
-        path += (name,)
+    def source(self, a: int, b: int) -> tuple[int, int]:
+        return self.span
+
+    def windows(self) -> Iterator[str]:
+        """Texts of about ``MAX_LAYER`` characters; ``readable`` tells
+        afterwards whether all of them are text."""
+        decoder = codecs.getincrementaldecoder("utf-8")()
+        held, total, good, limit = "", 0, 0, MAX_LAYER
+        for piece in self._pieces():
+            try:
+                new = decoder.decode(piece)
+            except UnicodeDecodeError:
+                return
+            total += len(new)
+            good += _printed(new)
+            held += new
+            if len(held) >= limit:
+                held = SPACES.sub(" " * 256, held)  # how many does not matter to a match
+            if len(held) >= limit:
+                end, begin = _cut(held)
+                if begin:
+                    yield held[:end]
+                    held, limit = held[begin:], MAX_LAYER
+                else:
+                    limit = 2 * len(held)
+        if held:
+            yield held
+        self.readable = 0 < total and good >= 0.95 * total
+
+
+def _cut(held: str) -> tuple[int, int]:
+    """(end of this window, begin of the next). A window ends at a line end
+    that nothing crosses; without one in its second half the next begins with
+    an overlap. An unfinished run that is itself compressed goes to the next
+    window whole (begin 0: read on)."""
+    n = at = len(held)
+    while (at := held.rfind("\n", n // 2, at)) >= 0:
+        if SAFE_END.fullmatch(held[at - 1] if held[at - 1] != "\r" else held[at - 2]):
+            return at + 1, at + 1
+    for m in STARTS.finditer(held, n - OPEN_RUN.match(held[::-1]).end()):
+        raw = _base64(re.sub(r"\s+", "", held[m.end():m.end() + 4096])[:2048])
+        if raw and (name := _wrapping(raw)) and next(_decompressed(name, iter([raw])), b""):
+            return n, m.end()
+    return n, n - max(1, min(n // 2, max(4096, MAX_LAYER // 16)))
+
+
+def _layer_of_bytes(raw: bytes, path: tuple, span: tuple[int, int]) -> Layer | Unpacked | None:
+    if _wrapping(raw[:4]) is not None and (got := Unpacked(raw, path, span)).names:
+        return got
     text = _readable(raw)
     return Layer(text, path, span) if text is not None else None
 
@@ -199,7 +331,7 @@ def _utf8(raw: bytes) -> bool:
         return False
 
 
-def unwrap(layer: Layer) -> Iterator[Layer]:
+def unwrap(layer: Layer) -> Iterator[Layer | Unpacked]:
     """All layers found directly inside one layer."""
     text = layer.text
     for pattern, decode in ((PERCENT, _url), (ESCAPE, _escapes)):
@@ -232,7 +364,14 @@ def _expand(text: str):
     their findings."""
     out = {(a, kind, b, ()) for a, kind, b in base_spans(text)}
     for inner in unwrap(Layer(text, ())):
-        for a, kind, b, path in (yield inner.text):
+        if isinstance(inner, Unpacked):
+            got = set()
+            for window in inner.windows():
+                got |= {(0, kind, 0, path) for _, kind, _, path in (yield window)}
+            got = got if inner.readable else ()
+        else:
+            got = yield inner.text
+        for a, kind, b, path in got:
             x, y = inner.source(a, b)
             out.add((x, kind, y, inner.path + path))
     return out

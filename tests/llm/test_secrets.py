@@ -119,3 +119,26 @@ def test_a_layer_inside_itself_is_not_entered_again(monkeypatch):
     monkeypatch.setattr(secrets, "unwrap", unwrap)
     monkeypatch.setattr(secrets, "base_spans", lambda text: [(0, 0, 1)])
     assert {s[3] for s in secrets.findings("a")} == {(), ("x",), ("x", "x")}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, "zstd"])
+def test_all_of_a_compressed_layer_is_scanned(monkeypatch, pack):
+    if pack == "zstd":
+        pack = pytest.importorskip("zstandard").ZstdCompressor().compress
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1 << 16)
+    name = {gzip.compress: "gzip", zlib.compress: "zlib", bz2.compress: "bz2"}.get(pack, "zstd")
+    random = base64.b64encode(hashlib.shake_256(b"x").digest(150_000)).decode()  # one nested payload of many windows
+    nested = b64(gzip.compress((random + " é " + SECRET).encode()))
+    for fill in ("é", "prose of a line\n", "a", " ", "x %41 "):
+        text = "é" + fill * (400_000 // len(fill)) + SECRET
+        assert places(b64(pack(text.encode())), f"assign/base64/{name}"), fill
+        assert places(b64(pack((fill * 20_000 + " " + nested + " end").encode())), f"assign/base64/{name}/base64/gzip"), fill
+    wide = "x" * 100_000 + " password" + " " * 300_000 + "=hunter22"
+    assert places(b64(pack(wide.encode())), f"assign/base64/{name}")
+    two = pack(b"first ") + pack(SECRET.encode())
+    assert places(b64(two), f"assign/base64/{name}")
+    assert places(b64(gzip.compress(pack(SECRET.encode())) + b"\0\0"), f"assign/base64/gzip/{name}")
+
+
+def test_text_like_a_compressed_head_is_text():
+    assert places(b64("x y " + SECRET), "assign/base64") and not secrets.scan(b64(b"x y" + bytes(range(256))))[1]
