@@ -1,8 +1,9 @@
 """Secret scan with a recursive decoding worklist (operator 6).
 
-Every whole text is scanned for the base patterns. Runs that look encoded
-(percent escapes, Unicode escapes, base64, and compressed bytes inside them)
-are unwrapped; each unwrapped layer is scanned again and searched for further
+Every whole text is scanned for the base patterns. What looks encoded is
+unwrapped: the whole text with its percent escapes or its Unicode escapes
+decoded (others stay as they are), base64 runs, and compressed bytes inside
+them; each unwrapped layer is scanned again and searched for further
 layers until nothing new appears. A layer equal to one of its own ancestors
 is not entered again, so cycles end; a layer met again elsewhere in the
 document is expanded once and reported at every place. Every character of a
@@ -28,6 +29,8 @@ import codecs
 import hashlib
 import re
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,15 +45,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
+ESCAPES = ("url", "unicode")
 KINDS = ("assign", "access", "hex")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 MAX_LAYER = 1 << 24      # characters of an unpacked layer that are scanned at a time
 PIECE = 1 << 18          # bytes unpacked at a time
 MIN_ENCODED = 16
-RUN = re.compile(r"[!-~]+")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|((?:\\x[0-9A-Fa-f]{2})+)|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+UNITS = re.compile(r"\\u[Dd][89ABab][0-9A-Fa-f]{2}\\u[Dd][C-Fc-f][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
+NOT_UTF8 = re.compile("([\udc80-\udcff])")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_ENCODED)
 SAFE_END = re.compile(r"[^A-Za-z0-9+/_;\r\n-]")  # before a line end: no run goes on in the next line
 OPEN_RUN = re.compile(r"[A-Za-z0-9+/_=\r\n-]*(?:[ \t]+\n[A-Za-z0-9+/_=\r\n-]*)*")  # backwards from the end
@@ -73,12 +78,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 class Layer:
     """Decoded text; ``lo[i], hi[i]`` is the range of character i in the text
     it stands in (None: every character has the whole range ``span``)."""
-    __slots__ = ("text", "lo", "hi", "span", "path")
+    __slots__ = ("text", "lo", "hi", "span", "path", "places")
 
-    def __init__(self, text, path, span=None, lo=None, hi=None):
-        self.text, self.path, self.span, self.lo, self.hi = text, path, span, lo, hi
+    def __init__(self, text, path, span=None, lo=None, hi=None, places=None):
+        self.text, self.path, self.span, self.lo, self.hi, self.places = text, path, span, lo, hi, places
 
     def source(self, a: int, b: int) -> tuple[int, int]:
+        if self.places is not None:
+            return self.places.source(a, b)
         if self.lo is not None:
             return min(self.lo[a:b]), max(self.hi[a:b])
         if self.span is not None:
@@ -258,87 +265,90 @@ def _base64(run: str) -> bytes | None:
         return None
 
 
-def _url(layer: Layer, m: re.Match) -> Layer | None:
-    text, lo, hi, at = [], [], [], m.start()
+def _utf8_parts(raw: bytes) -> Iterator[tuple[int, str, bool]]:
+    """(number of bytes, their characters, whether they are UTF-8) of a run;
+    a byte that is not stands for itself."""
+    for part in NOT_UTF8.split(raw.decode("utf-8", "surrogateescape")):
+        if part and 0xDC80 <= ord(part[0]) < 0xDD00:
+            yield 1, chr(ord(part) - 0xDC00), False
+        elif part:
+            yield len(part.encode("utf-8")), part, True
+
+
+class _Decoder:
+    """Collects the text of a decoded layer and where its parts come from."""
+
+    def __init__(self, text: str):
+        self.text, self.out, self.at, self.n = text, [], 0, 0
+        self.begin, self.src, self.step, self.end = array("q"), array("q"), array("q"), array("q")
+
+    def put(self, chars: str, a: int, b: int, step: int) -> None:
+        """``chars`` stand for text[a:b], each for ``step`` of it (0: for all)."""
+        if a > self.at:
+            self.put(self.text[self.at:a], self.at, a, 1)
+        if chars:
+            self.begin.append(self.n), self.src.append(a), self.step.append(step), self.end.append(b)
+            self.out.append(chars)
+            self.n += len(chars)
+        self.at = b
+
+    def put_bytes(self, raw: bytes, a: int, width: int, latin) -> None:
+        """A run of escaped bytes, ``width`` characters each: UTF-8, else what
+        ``latin`` takes of Latin-1; other bytes stay as they are."""
+        for n, chars, valid in _utf8_parts(raw):
+            if valid and len(chars) < n:
+                at = a
+                for c in chars:
+                    wide = width * len(c.encode("utf-8"))
+                    self.put(c, at, at + wide, 0)
+                    at += wide
+            elif valid or latin(chars):
+                self.put(chars, a, a + width * n, width)
+            a += width * n
+
+    def layer(self, name: str) -> Layer | None:
+        if not self.begin:
+            return None
+        self.put("", len(self.text), len(self.text), 1)
+        return Layer("".join(self.out), (name,), places=self)
 
-    def plain(a, b):
-        for i in range(a, b):
-            x, y = layer.source(i, i + 1)
-            text.append(layer.text[i]), lo.append(x), hi.append(y)
-    for p in PERCENT.finditer(layer.text, m.start(), m.end()):
-        plain(at, p.start())
-        raw = bytes.fromhex(p.group().replace("%", ""))
-        try:
-            chars = raw.decode("utf-8")
-        except UnicodeDecodeError:
-            chars = raw.decode("latin-1")
-            if not chars.isprintable():
-                return None
-        x, y = layer.source(p.start(), p.end())
-        used = 0
-        for c in chars:
-            width = 3 * len(c.encode("utf-8")) if len(raw) != len(chars) or c.isascii() else 3
-            if layer.lo is None and layer.span is None:
-                x, y = p.start() + used, p.start() + used + width
-            used += width
-            text.append(c), lo.append(x), hi.append(y)
-        at = p.end()
-    plain(at, m.end())
-    return Layer("".join(text), layer.path + ("url",), None, lo, hi)
-
-
-def _escapes(layer: Layer, m: re.Match) -> Layer | None:
-    text, lo, hi, at = [], [], [], m.start()
-
-    def put(chars, a, b):
-        x, y = layer.source(a, b)
-        for c in chars:
-            text.append(c), lo.append(x), hi.append(y)
-    for e in ESCAPE.finditer(layer.text, m.start(), m.end()):
-        for i in range(at, e.start()):
-            put(layer.text[i], i, i + 1)
+    def source(self, a: int, b: int) -> tuple[int, int]:
+        i, j = bisect_right(self.begin, a) - 1, bisect_right(self.begin, b - 1) - 1
+        return (self.src[i] + self.step[i] * (a - self.begin[i]),
+                self.src[j] + self.step[j] * (b - self.begin[j]) if self.step[j] else self.end[j])
+
+
+def _url(text: str) -> Layer | None:
+    """The text with all its percent escapes decoded."""
+    out = _Decoder(text)
+    for p in PERCENT.finditer(text):
+        out.put_bytes(bytes.fromhex(p.group().replace("%", "")), p.start(), 3, str.isprintable)
+    return out.layer("url")
+
+
+def _escapes(text: str) -> Layer | None:
+    """The text with all its Unicode escapes decoded."""
+    out = _Decoder(text)
+    for e in ESCAPE.finditer(text):
         if e.group(1):
-            units = b"".join(int(h, 16).to_bytes(2, "big") for h in e.group(1).split("\\u")[1:])
-            chars = units.decode("utf-16-be", "replace")
-            step = 6 if len(chars) * 2 == len(units) else 0
-            for i, c in enumerate(chars):
-                a = e.start() + step * i
-                put(c, a, a + step) if step else put(c, e.start(), e.end())
+            for u in UNITS.finditer(text, e.start(), e.end()):
+                units = bytes.fromhex(u.group().replace("\\u", ""))
+                try:
+                    out.put(units.decode("utf-16-be"), u.start(), u.end(), 6 if len(units) == 2 else 0)
+                except UnicodeDecodeError:
+                    pass  # half a pair stays as it is
         elif e.group(2):
-            raw = bytes(int(h, 16) for h in e.group(2).split("\\x")[1:])
-            chars = raw.decode("latin-1") if not _utf8(raw) else raw.decode("utf-8")
-            for i, c in enumerate(chars):
-                if len(chars) == len(raw):
-                    put(c, e.start() + 4 * i, e.start() + 4 * i + 4)
-                else:
-                    put(c, e.start(), e.end())
+            out.put_bytes(bytes.fromhex(e.group().replace("\\x", "")), e.start(), 4, bool)
         else:
             point = int(e.group(3)) if e.group(3) else int(e.group(4), 16)
-            if point >= 0x110000 or 0xD800 <= point < 0xE000:
-                return None
-            put(chr(point), e.start(), e.end())
-        at = e.end()
-    for i in range(at, m.end()):
-        put(layer.text[i], i, i + 1)
-    return Layer("".join(text), layer.path + ("unicode",), None, lo, hi) if at > m.start() else None
-
-
-def _utf8(raw: bytes) -> bool:
-    try:
-        raw.decode("utf-8")
-        return True
-    except UnicodeDecodeError:
-        return False
+            if point < 0x110000 and not 0xD800 <= point < 0xE000:
+                out.put(chr(point), e.start(), e.end(), 0)
+    return out.layer("unicode")
 
 
 def unwrap(layer: Layer) -> Iterator[Layer | Unpacked]:
     """All layers found directly inside one layer."""
     text = layer.text
-    for pattern, decode in ((PERCENT, _url), (ESCAPE, _escapes)):
-        if pattern.search(text):
-            for m in RUN.finditer(text):
-                if pattern.search(text, m.start(), m.end()) and (got := decode(layer, m)) is not None:
-                    yield got
     for m in BASE64.finditer(text):
         raw = _base64(m.group())
         if raw is None:
@@ -356,13 +366,32 @@ def unwrap(layer: Layer) -> Iterator[Layer | Unpacked]:
                 hi.append(min(m.end(), m.start() + (at - 1) // 3 * 4 + (at - 1) % 3 + 2))
             got.lo, got.hi = lo, hi
         yield got
+    for pattern, decode in ((PERCENT, _url), (ESCAPE, _escapes)):
+        if pattern.search(text) and (got := decode(text)) is not None:
+            yield got
 
 
 def _expand(text: str):
     """Findings of one text, (start, kind index, end, layers) in its own
     characters: a generator that yields the texts of its layers and is sent
-    their findings."""
-    out = {(a, kind, b, ()) for a, kind, b in base_spans(text)}
+    their findings. What is found by decoding escapes is new if it is not
+    found without that, nor with the same decodings in another order, nor part
+    of a base span of its kind."""
+    base = base_spans(text)
+    out = {(a, kind, b, ()) for a, kind, b in base}
+    names = set(out)
+    ends = [{}, {}, {}]
+    for a, kind, b in base:
+        ends[kind][a] = b
+    begins = [sorted(e) for e in ends]
+
+    def new(x, kind, y, path):
+        if all(name in ESCAPES for name in path):
+            i = bisect_right(begins[kind], x)
+            if i and y <= ends[kind][begins[kind][i - 1]]:
+                return False
+        return _plainer(x, kind, y, path) not in names
+
     for inner in unwrap(Layer(text, ())):
         if isinstance(inner, Unpacked):
             got = set()
@@ -373,10 +402,18 @@ def _expand(text: str):
             got = yield inner.text
         for a, kind, b, path in got:
             x, y = inner.source(a, b)
-            out.add((x, kind, y, inner.path + path))
+            if inner.path[0] not in ESCAPES or new(x, kind, y, path) and new(x, kind, y, inner.path + path):
+                out.add((x, kind, y, inner.path + path))
+                names.add(_plainer(x, kind, y, inner.path + path))
     return out
 
 
+def _plainer(a: int, kind: int, b: int, path: tuple) -> tuple:
+    """A finding with its outer escape layers in a fixed order."""
+    n = next((i for i, name in enumerate(path) if name not in ESCAPES), len(path))
+    return a, kind, b, tuple(sorted(path[:n])) + path[n:]
+
+
 def _mark(text: str):
     return text if len(text) < 4096 else hashlib.blake2b(text.encode("utf-8", "replace")).digest()
 

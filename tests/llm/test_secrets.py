@@ -142,3 +142,23 @@ def test_all_of_a_compressed_layer_is_scanned(monkeypatch, pack):
 
 def test_text_like_a_compressed_head_is_text():
     assert places(b64("x y " + SECRET), "assign/base64") and not secrets.scan(b64(b"x y" + bytes(range(256))))[1]
+
+
+def test_escapes_are_decoded_in_the_whole_text():
+    for text, kind, piece in [
+            ("é password = %68unter22 x", "assign/url", "password = %68unter22"),
+            ('{"\\u0070assword": "hunter22"}', "assign/unicode", '\\u0070assword": "hunter22'),
+            ("😀 api_key: \\u0068unter22 \\ud83d\\ude00", "assign/unicode", "api_key: \\u0068unter22"),
+            ("x=%80&password%3Dhunter22", "assign/url", "password%3Dhunter22"),
+            ("%80%FFtoken%80%3D &", "assign/url", None),
+            ("é%C3%A9%E9%98token%3Dabcdefgh&", "assign/url", "token%3Dabcdefgh"),
+            ("&#55555555;&#xD800;\\ud800secret&#61;\\x61bcdefg", "assign/unicode", "secret&#61;\\x61bcdefg"),
+            ("password%20\\u003d%20hunter22", "assign/url/unicode", "password%20\\u003d%20hunter22")]:
+        assert [text[a:b] for a, b in places(text, kind)] == ([piece] if piece else []), text
+
+
+def test_escapes_elsewhere_add_nothing():
+    text = f"100%25 {SECRET} {b64(SECRET)} \\u00e9 %41 {'%25' * 3}"
+    assert {s[3] for s in secrets.scan(text)[1]} == {"assign/base64"}
+    deep = "%" + "25" * 3000 + "70assword=hunter22"
+    assert len({s[:3] for s in secrets.scan(deep)[1]}) == 1
