@@ -22,7 +22,6 @@ table gives no rows. Added spans carry their layers in the kind, such as
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import codecs
@@ -32,6 +31,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -56,10 +56,15 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|((?:\\x[0-9A-Fa-f]{2})+)|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 UNITS = re.compile(r"\\u[Dd][89ABab][0-9A-Fa-f]{2}\\u[Dd][C-Fc-f][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
 NOT_UTF8 = re.compile("([\udc80-\udcff])")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_ENCODED)
+# a run may go on in the next lines, indented or not
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}" % MIN_ENCODED)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+WHITE = re.compile(r"[ \t\r\n]+")
+PRINTED = re.compile(rb"[\t\r\n\x20-\x7e]{%d,}" % (MIN_ENCODED * 3 // 4))
 SAFE_END = re.compile(r"[^A-Za-z0-9+/_;\r\n-]")  # before a line end: no run goes on in the next line
 OPEN_RUN = re.compile(r"[A-Za-z0-9+/_=\r\n-]*(?:[ \t]+\n[A-Za-z0-9+/_=\r\n-]*)*")  # backwards from the end
-STARTS = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[HQKe])|[/_\n-][ \t]*(?=[HQKe])")  # of compressed bytes
+# where compressed bytes may begin: gzip, bz2, zstd; zlib only behind what is no letter or digit
+STARTS = re.compile(r"(?=H4sI|Qlpo|KLUv[/_])|(?<![A-Za-z0-9+])(?=e[A-P])")
 SPACES = re.compile(r"\x20{256,}")
 
 
@@ -76,21 +81,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 class Layer:
-    """Decoded text; ``lo[i], hi[i]`` is the range of character i in the text
-    it stands in (None: every character has the whole range ``span``)."""
-    __slots__ = ("text", "lo", "hi", "span", "path", "places")
+    """Decoded text; ``places.source`` gives the range of characters in the
+    text it stands in (None: every character has the whole range ``span``)."""
+    __slots__ = ("text", "path", "span", "places")
 
-    def __init__(self, text, path, span=None, lo=None, hi=None, places=None):
-        self.text, self.path, self.span, self.lo, self.hi, self.places = text, path, span, lo, hi, places
+    def __init__(self, text, path, span=None, places=None):
+        self.text, self.path, self.span, self.places = text, path, span, places
 
     def source(self, a: int, b: int) -> tuple[int, int]:
-        if self.places is not None:
-            return self.places.source(a, b)
-        if self.lo is not None:
-            return min(self.lo[a:b]), max(self.hi[a:b])
-        if self.span is not None:
-            return self.span
-        return a, b
+        return self.span if self.places is None else self.places.source(a, b)
 
 
 def _printed(text: str) -> int:
@@ -242,27 +241,83 @@ def _cut(held: str) -> tuple[int, int]:
         if SAFE_END.fullmatch(held[at - 1] if held[at - 1] != "\r" else held[at - 2]):
             return at + 1, at + 1
     for m in STARTS.finditer(held, n - OPEN_RUN.match(held[::-1]).end()):
-        raw = _base64(re.sub(r"\s+", "", held[m.end():m.end() + 4096])[:2048])
-        if raw and (name := _wrapping(raw)) and next(_decompressed(name, iter([raw])), b""):
-            return n, m.end()
+        if _opens(_base64(held[m.start():m.start() + 4096].split("=")[0])):
+            return n, m.start()
     return n, n - max(1, min(n // 2, max(4096, MAX_LAYER // 16)))
 
 
-def _layer_of_bytes(raw: bytes, path: tuple, span: tuple[int, int]) -> Layer | Unpacked | None:
-    if _wrapping(raw[:4]) is not None and (got := Unpacked(raw, path, span)).names:
-        return got
-    text = _readable(raw)
-    return Layer(text, path, span) if text is not None else None
+def _opens(raw: bytes) -> bool:
+    """Whether the first 1,024 or more bytes of a payload, or all, are compressed."""
+    name = _wrapping(raw[:4])
+    if name == "gzip":
+        return raw[2:3] == b"\x08"
+    if name == "zlib":
+        return bool(next(_decompressed(name, iter([raw])), b""))
+    return name is not None
 
 
-def _base64(run: str) -> bytes | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+def _base64(run: str) -> bytes:
+    """Bytes of a run; line ends inside it and a last character that is no
+    byte are left out."""
+    body = WHITE.sub("", run).rstrip("=").replace("-", "+").replace("_", "/")
+    body = body[:-1] if len(body) % 4 == 1 else body
+    return binascii.a2b_base64(body + "=" * (-len(body) % 4))
+
+
+class _Run:
+    """Places of bytes decoded from a run in lines: three bytes stand for four
+    characters, from ``skip`` characters on."""
+    __slots__ = ("begin", "src", "n", "skip", "text", "at")
+
+    def __init__(self, lines: list[tuple[int, int]], skip: int, first: int, text: str):
+        self.begin, self.src, self.n = [], [], 0
+        for a, b in lines:
+            self.begin.append(self.n), self.src.append(a)
+            self.n += b - a
+        self.skip, self.text = skip, text
+        # byte at which each character begins
+        self.at = range(first, first + len(text) + 1) if text.isascii() else None
+
+    def _place(self, j: int) -> int:
+        i = bisect_right(self.begin, j) - 1
+        return self.src[i] + j - self.begin[i]
+
+    def source(self, a: int, b: int) -> tuple[int, int]:
+        if self.at is None:
+            self.at = array("q", accumulate((len(c.encode("utf-8")) for c in self.text), initial=0))
+        lo, hi = self.at[a], self.at[b] - 1
+        return (self._place(self.skip + lo // 3 * 4 + lo % 3),
+                self._place(min(self.n - 1, self.skip + hi // 3 * 4 + hi % 3 + 1)) + 1)
+
+
+def _base64_layers(text: str, begin: int, end: int) -> Iterator[Layer | Unpacked]:
+    """Layers of one run, which may go over several lines: all of it, or, where
+    that is no text, what is text at any alignment and what is compressed from
+    any place on."""
+    run, path = text[begin:end], ("base64",)
+    lines = [p.span() for p in LINE.finditer(text, begin, end)]
+    raw = _base64(run)
+    whole = Unpacked(raw, path, (begin, end)) if _wrapping(raw[:4]) is not None else None
+    if whole is not None and whole.names:
+        yield whole
+        if whole.readable:  # other payloads may begin with a line
+            for a, _ in lines[1:]:
+                if STARTS.match(text, a) and _opens(_base64(text[a:min(a + 4096, end)])):
+                    yield Unpacked(_base64(text[a:end]), path, (a, end))
+            return
+    elif (got := _readable(raw)) is not None:
+        yield Layer(got, path, places=_Run(lines, 0, 0, got))
+        return
+    for m in STARTS.finditer(text, begin, end):
+        a = m.start()
+        if a > begin and _opens(_base64(text[a:min(a + 4096, end)])):
+            yield Unpacked(_base64(text[a:end]), path, (a, end))
+    body = WHITE.sub("", run).rstrip("=")
+    for skip in range(4):
+        raw = _base64(body[skip:])
+        for m in PRINTED.finditer(raw):
+            got = m.group().decode("ascii")
+            yield Layer(got, path, places=_Run(lines, skip, m.start(), got))
 
 
 def _utf8_parts(raw: bytes) -> Iterator[tuple[int, str, bool]]:
@@ -346,26 +401,10 @@ def _escapes(text: str) -> Layer | None:
     return out.layer("unicode")
 
 
-def unwrap(layer: Layer) -> Iterator[Layer | Unpacked]:
-    """All layers found directly inside one layer."""
-    text = layer.text
+def unwrap(text: str) -> Iterator[Layer | Unpacked]:
+    """All layers found directly inside one text."""
     for m in BASE64.finditer(text):
-        raw = _base64(m.group())
-        if raw is None:
-            continue
-        got = _layer_of_bytes(raw, layer.path + ("base64",), layer.source(m.start(), m.end()))
-        if got is None:
-            continue
-        whole = layer.lo is None and layer.span is None
-        if whole and got.path == ("base64",):  # three bytes stand for four characters
-            at, lo, hi = 0, [], []
-            for c in got.text:
-                width = len(c.encode("utf-8"))
-                lo.append(m.start() + at // 3 * 4 + at % 3)
-                at += width
-                hi.append(min(m.end(), m.start() + (at - 1) // 3 * 4 + (at - 1) % 3 + 2))
-            got.lo, got.hi = lo, hi
-        yield got
+        yield from _base64_layers(text, m.start(), m.end())
     for pattern, decode in ((PERCENT, _url), (ESCAPE, _escapes)):
         if pattern.search(text) and (got := decode(text)) is not None:
             yield got
@@ -392,7 +431,7 @@ def _expand(text: str):
                 return False
         return _plainer(x, kind, y, path) not in names
 
-    for inner in unwrap(Layer(text, ())):
+    for inner in unwrap(text):
         if isinstance(inner, Unpacked):
             got = set()
             for window in inner.windows():

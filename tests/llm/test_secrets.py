@@ -112,8 +112,8 @@ def test_the_same_secret_is_reported_at_every_place():
 
 
 def test_a_layer_inside_itself_is_not_entered_again(monkeypatch):
-    def unwrap(layer):
-        inner = {"a": "b", "b": "ac", "ac": "b"}.get(layer.text)
+    def unwrap(text):
+        inner = {"a": "b", "b": "ac", "ac": "b"}.get(text)
         if inner:
             yield secrets.Layer(inner + "", ("x",), (0, 1))
     monkeypatch.setattr(secrets, "unwrap", unwrap)
@@ -162,3 +162,36 @@ def test_escapes_elsewhere_add_nothing():
     assert {s[3] for s in secrets.scan(text)[1]} == {"assign/base64"}
     deep = "%" + "25" * 3000 + "70assword=hunter22"
     assert len({s[:3] for s in secrets.scan(deep)[1]}) == 1
+
+
+def wrapped(enc, width, end="\n"):
+    return end.join(enc[i:i + width] for i in range(0, len(enc), width))
+
+
+@pytest.mark.parametrize("width", [64, 70, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+def test_wrapped_base64_is_joined(width, end):
+    inner = "x" * 40 + " " + SECRET + " " + "y" * 100
+    text = "see\n" + wrapped(b64(inner), width, end) + "\nend"
+    (a, b), = places(text, "assign/base64")
+    start = text.index("see\n") + 4
+    at = lambda j: start + j + j // width * len(end)
+    assert abs(a - at(41 * 4 // 3)) <= 2 and abs(b - at((41 + len(SECRET)) * 4 // 3)) <= 3
+    packed = b64(gzip.compress(hashlib.shake_256(b"x").hexdigest(300).encode() + b" " + SECRET.encode()))
+    assert places("see\n" + wrapped(packed, width, end) + "\nend of it", "assign/base64/gzip")
+
+
+def test_base64_behind_a_path_or_a_joined_name():
+    for secret in (SECRET, "token=abcdefg", "é " + SECRET):
+        enc = b64(secret).rstrip("=")
+        for before in ("https://h/files/", "key_", "a-b-", "/x/", "id", "abc", "long_name-of/some_thing_", "first line of sixteen_ch\n"):
+            for after in (" x", "", "\nwords follow", "/tail"):
+                text = before + enc + after
+                hits = places(text, "assign/base64")
+                at = len(before) + (len(secret.encode()) - len(secret) + secret.index("t" if "token" in secret else "p")) * 4 // 3
+                assert any(abs(a - at) <= 1 for a, b in hits), (text, hits)
+    for pack, name in ((gzip.compress, "gzip"), (zlib.compress, "zlib"), (bz2.compress, "bz2")):
+        for before in ("https://h/files/", "key_", "a-b-", "x/"):
+            assert places(before + b64(pack(SECRET.encode())), f"assign/base64/{name}"), (before, name)
+    two = b64(gzip.compress(SECRET.encode())).rstrip("=") + "\n" + b64(zlib.compress(SECRET.encode()))
+    assert places(two, "assign/base64/gzip") and places(two, "assign/base64/zlib")
