@@ -7,10 +7,14 @@ others. A cut is taken unless another candidate lies within ``MIN_BYTES``
 before it - a local rule, so equal passages are cut equally whatever stands
 before them. Chunks are deduplicated by a 64-bit digest of bytes and length.
 
-A chunk found in more than one document is repeated. Runs of adjacent
-repeated chunks of at least ``PASSAGE_BYTES`` are passages.
-
-Nothing collects the copies of a chunk: digests are counted by partial
+A chunk found in more than one document is repeated; ``drop_repeated_chunks``
+drops it. Passages are found by seeds instead: of every ``PASSAGE_BYTES``
+bytes the ``SEED`` bytes with the smallest digest, so equal passages of this
+length share one wherever they stand, periodic ones too. A repeated seed is
+extended byte by byte, against the first other document that has it (where it
+stands first and last in there), and what extended seeds cover without a gap is a passage from ``PASSAGE_BYTES`` on.
+
+Nothing collects the copies of a chunk or seed: digests are counted by partial
 aggregation, joined back (a frequent digest's rows can be split), and brought
 together by document, never by digest.
 
@@ -34,11 +38,14 @@ CUT_BITS = 4             # a cut candidate every 16 bytes on average
 MIN_BYTES = 16
 MAX_BYTES = 1024
 PASSAGE_BYTES = 96
+SEED = 32
+REACH = PASSAGE_BYTES - SEED  # the next seed of an equal passage begins within
 SLICE = 2 << 20
 _RNG = np.random.Generator(np.random.PCG64(20260202))
 GEAR = _RNG.integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 KEYS = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15)
+_P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 
 
 def gear_hash(buf: np.ndarray) -> np.ndarray:
@@ -112,26 +119,125 @@ def _list(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False) if values is not None else np.zeros(0, np.int64)
 
 
+# ------------------------------------------------------------------ passages
+
+def seed_digests(buf: np.ndarray) -> np.ndarray:
+    """Digest of the ``SEED`` bytes from every byte on (of those that fit)."""
+    n = len(buf)
+    if n < SEED:
+        return np.zeros(0, np.uint64)
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, _P)]))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(KEYS[buf] * powers)])
+    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - SEED, _P_INVERSE)]))
+    return mix((total[SEED:] - total[:-SEED]) * back)
+
+
+def _least(digests: np.ndarray) -> np.ndarray:
+    """Smallest of every ``PASSAGE_BYTES - SEED + 1`` adjacent digests."""
+    width, want = 1, PASSAGE_BYTES - SEED + 1
+    while width < want and len(digests):
+        step = min(width, want - width)
+        digests = np.minimum(digests[:-step], digests[step:])
+        width += step
+    return digests
+
+
+def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The seeds of every text: each ``PASSAGE_BYTES`` of it hold one, chosen
+    by these bytes alone."""
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            buf, off = text_buffers(part.column("text"))
+            least = _least(seed_digests(buf))
+            seeds = [np.unique(least[a:max(a, b - PASSAGE_BYTES + 1)]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+            first = np.concatenate([[0], np.cumsum([len(x) for x in seeds])])
+            yield pa.RecordBatch.from_pydict({
+                "uid": part.column("uid"), "digests": pa.ListArray.from_arrays(
+                    pa.array(first, pa.int32()), pa.array(np.concatenate(seeds).view(np.int64), pa.int64()))})
+
+
+def _found(buf: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the wanted digests, bytes at which one of them begins, which)."""
+    order = np.argsort(wanted)
+    known, digests = wanted[order], seed_digests(buf).view(np.int64)
+    at = np.minimum(np.searchsorted(known, digests), len(known) - 1)
+    where = np.flatnonzero(known[at] == digests)
+    return order, where, at[where]
+
+
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What stands before (backwards) and behind the wanted seeds of a document,
+    where each stands first and where it stands last."""
+    for batch in batches:
+        out: dict[str, list] = {k: [] for k in ("digest", "other", "around")}
+        uids = batch.column("uid").to_pylist()
+        for i in range(batch.num_rows):
+            buf, _ = text_buffers(batch.column("text").slice(i, 1))
+            wanted = _list(batch, "wanted", i)
+            order, where, which = _found(buf, wanted)
+            last = len(which) - 1 - np.unique(which[::-1], return_index=True)[1]
+            which, index = np.unique(which, return_index=True)
+            raw = buf.tobytes()
+
+            def near(p):
+                before, behind = raw[max(0, p - REACH):p][::-1], raw[p + SEED:p + SEED + REACH]
+                return before.ljust(REACH, b"\0") + behind.ljust(REACH, b"\0") + bytes((len(before), len(behind)))
+            for d, p, q in zip(wanted[order[which]].tolist(), where[index].tolist(), where[last].tolist()):
+                out["digest"].append(d)
+                out["other"].append(uids[i])
+                out["around"].append(near(p) if p == q else near(p) + near(q))
+        yield pa.RecordBatch.from_pydict({"digest": pa.array(out["digest"], pa.int64()),
+                                          "other": pa.array(out["other"], pa.int64()),
+                                          "around": pa.array(out["around"], pa.binary())})
+
+
+def _extended(buf: np.ndarray, where: np.ndarray, which: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of every seed, extended byte by byte as far as the other
+    document agrees."""
+    begin, end = where.copy(), where + SEED
+    reach = np.arange(REACH)
+    for lo in range(0, len(where), 4096):
+        part, other = slice(lo, lo + 4096), around[which[lo:lo + 4096]]
+        before, behind = where[part, None] - 1 - reach, where[part, None] + SEED + reach
+        same = (before >= 0) & (reach < other[:, 2 * REACH, None]) & (buf[np.maximum(before, 0)] == other[:, :REACH])
+        begin[part] -= np.logical_and.accumulate(same, 1).sum(1)
+        same = (behind < len(buf)) & (reach < other[:, 2 * REACH + 1, None]) \
+            & (buf[np.minimum(behind, len(buf) - 1)] == other[:, REACH:2 * REACH])
+        end[part] += np.logical_and.accumulate(same, 1).sum(1)
+    return begin, end
+
+
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of repeated chunks as spans, one row per long run."""
+    """Unions of extended seeds as spans, one row per long one."""
     for batch in batches:
         out: dict[str, list] = {k: [] for k in ("doc_id", "start", "end", "n_chunks", "first_doc")}
         ids = batch.column("doc_id").to_pylist()
         for i in range(batch.num_rows):
-            known, first = _list(batch, "repeated", i), _list(batch, "firsts", i)
-            if not len(known):
+            buf, _ = text_buffers(batch.column("text").slice(i, 1))
+            order, where, which = _found(buf, _list(batch, "repeated", i))
+            if not len(where):
                 continue
-            digests, size, chars = (_list(batch, c, i) for c in ("digests", "bytes", "chars"))
-            order = np.argsort(known)
-            known, first = known[order], first[order]
-            at = np.minimum(np.searchsorted(known, digests), len(known) - 1)
-            mark = known[at] == digests
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], mark.astype(np.int8), [0]])))
-            end = np.concatenate([[0], np.cumsum(chars)])
-            weight = np.concatenate([[0], np.cumsum(size)])
-            for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist()):
-                if weight[b] - weight[a] >= PASSAGE_BYTES:
-                    row = (ids[i], int(end[a]), int(end[b]), b - a, int(first[at[a:b]].min()))
+            around = [x if len(x) > 2 * REACH + 2 else x + x for x in batch.column("around")[i].as_py()]
+            around = np.frombuffer(b"".join(around), np.uint8).reshape(len(around), 2, -1)[order]
+            first = _list(batch, "firsts", i)[order]
+            begin, end = _extended(buf, where, which, around[:, 0])
+            twice = np.flatnonzero((around[which, 0] != around[which, 1]).any(1))
+            if len(twice):
+                x, y = _extended(buf, where[twice], which[twice], around[:, 1])
+                begin[twice], end[twice] = np.minimum(begin[twice], x), np.maximum(end[twice], y)
+            sort = np.argsort(begin, kind="stable")
+            begin, end, which = begin[sort], np.maximum.accumulate(end[sort]), which[sort]
+            edge = np.concatenate([[0], np.flatnonzero(begin[1:] > end[:-1]) + 1, [len(begin)]])
+            head = (buf & 0xC0) != 0x80
+            chars = np.concatenate([[0], np.cumsum(head)])
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                x, y = int(begin[a]), int(end[b - 1])
+                while x < y and not head[x]:  # whole characters
+                    x += 1
+                while x < y < len(buf) and not head[y]:
+                    y -= 1
+                if y - x >= PASSAGE_BYTES:
+                    row = (ids[i], int(chars[x]), int(chars[y]), len(np.unique(which[a:b])), int(first[which[a:b]].min()))
                     for k, v in zip(out, row):
                         out[k].append(v)
         yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
@@ -163,14 +269,25 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per passage that other documents have too: doc_id, start and
-    end (code points), n_chunks, first_doc (smallest document that has a
-    chunk of it)."""
-    chunks = chunk_table(docs)
-    # by document: a document's own repeated chunks, never the copies of a chunk
-    own = _each(chunks).join(repeated_chunks(chunks), "digest").groupBy("uid").agg(
-        F.collect_list(F.struct("digest", "first")).alias("own"))
-    rows = chunks.join(own, "uid").select("doc_id", "digests", "bytes", "chars", F.col("own.digest").alias("repeated"),
-                                          F.col("own.first").alias("firsts"))
+    end (code points), n_chunks (different repeated seeds in it), first_doc
+    (smallest document that has one of them)."""
+    workers_can_import(docs.sparkSession)
+    texts = take_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), _uid(), "text")
+    seeds = landed(texts.select("uid", "text").mapInArrow(_seeded, "uid long, digests array<long>"), "seeds")
+    each = seeds.select("uid", F.explode("digests").alias("digest"))
+    repeated = each.groupBy("digest").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first <> last")
+    # a document is compared with the first that has the seed, that one with the last
+    own = landed(each.join(repeated, "digest").select(
+        "uid", "digest", F.when(F.col("first") == F.col("uid"), F.col("last")).otherwise(F.col("first")).alias("other")),
+        "repeated")
+    wanted = own.groupBy(F.col("other").alias("uid")).agg(F.collect_set("digest").alias("wanted"))
+    around = texts.join(wanted, "uid").select("uid", "text", "wanted").mapInArrow(
+        _around, "digest long, other long, around binary").groupBy("digest", "other").agg(F.min("around").alias("around"))
+    # by document: a document's own repeated seeds, never the copies of a seed
+    held = own.join(around, ["digest", "other"]).groupBy("uid").agg(
+        F.collect_set(F.struct("digest", F.least("uid", "other").alias("first"), "around")).alias("own"))
+    rows = texts.join(held, "uid").select("doc_id", "text", F.col("own.digest").alias("repeated"),
+                                          F.col("own.first").alias("firsts"), F.col("own.around").alias("around"))
     return rows.mapInArrow(_passages, "doc_id long, start long, end long, n_chunks long, first_doc long")
 
 

@@ -101,3 +101,25 @@ def test_edges(spark, source):
     assert {r["doc_id"] for r in got} <= {r["doc_id"] for r in df.collect()}
     back = chunks.drop_repeated_chunks(df).collect()
     assert len(back) == df.count()
+
+
+def test_every_passage_of_the_least_length_is_found_to_its_edges(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for p in range(150):
+        n = int(rng.integers(chunks.PASSAGE_BYTES, 330))
+        passage = text_of(rng, 80)[:n] if p % 3 else ("ab" * 400)[:n] if p == 0 else (text_of(rng, 3) * 40)[:n]
+        passage = passage[:-1] + "é" * (p % 2) + "z"
+        for side in "<[", "{(":
+            before, after = text_of(rng, rng.integers(5, 60)) + side[0], side[1] + text_of(rng, rng.integers(5, 60))
+            rows.append((len(rows), before + passage + after))
+            want[len(rows) - 1] = (len(before), len(before) + len(passage), len(rows) - 1 - (side == "{("))
+    got = chunks.repeated_passages(make(spark, rows)).collect()
+    assert {r["doc_id"]: (r["start"], r["end"], r["first_doc"]) for r in got} == want and len(got) == len(rows)
+
+
+def test_less_than_a_passage_is_none(spark):
+    rng = np.random.default_rng(6)
+    short = text_of(rng, 40)[:chunks.PASSAGE_BYTES - 1]
+    rows = [(i, text_of(rng, 30) + mark + short + mark + text_of(rng, 30)) for i, mark in enumerate("<[{(")]
+    assert chunks.repeated_passages(make(spark, rows)).collect() == []
