@@ -382,8 +382,9 @@ def _hub_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int,
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Rows (doc_id, thash, n_shingles, component_id), one per row of ``docs``;
-    ``thash`` is xxhash64 of the text."""
+    """Rows (doc_id, thash, n_shingles, component_id, component_thash), one per
+    row of ``docs``; ``thash`` is xxhash64 of the text. The last two name the
+    document that stands for the component."""
     workers_can_import(docs.sparkSession)
     texts = take_columns(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("thash"), "text")
@@ -427,13 +428,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                   .applyInArrow(_exact_links(percent), "a long, b long"), "near-links")
 
     labels = connected_components(labels.toDF("a", "b").union(more))
-    whole = reps.select("rid", "digest", "doc_id").join(labels.withColumnRenamed("id", "rid"), "rid", "left") \
+    whole = reps.select("rid", "digest", "doc_id", "thash").join(labels.withColumnRenamed("id", "rid"), "rid", "left") \
         .withColumn("root", F.coalesce("component", "rid"))
-    named = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    whole = whole.select("digest", "root").join(named, "root").select("digest", "component_id")
+    named = whole.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "thash")).alias("h"))
+    whole = whole.select("digest", "root").join(named, "root").select(
+        "digest", F.col("h.doc_id").alias("component_id"), F.col("h.thash").alias("component_thash"))
     return rows.select("doc_id", "thash", "n", "digest").join(whole, "digest", "left").select(
         "doc_id", "thash", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component_thash")).otherwise(F.col("thash")).alias("component_thash"))
 
 
 def near_duplicate_report(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -443,11 +447,13 @@ def near_duplicate_report(docs: DataFrame, width: int, percent: int) -> DataFram
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group: the smallest doc_id. A row
+    """``docs`` with one document of each group: the smallest doc_id (null ones
+    last), of several texts under it the one with the smallest hash. A row
     repeated with equal doc_id and text is one document; rows without words
     all stay."""
     found = near_duplicates(docs, width, percent)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("n_shingles") > 0)) \
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("thash") == F.col("component_thash"))
+    gone = found.where(~stays & (F.col("n_shingles") > 0)) \
         .select("doc_id", "thash").distinct()
     gone = broadcast_if_small(landed(gone, "near-gone"), SMALL_ROLES).alias("g")
     mark = F.xxhash64("text")

@@ -137,3 +137,14 @@ def test_connected_components(spark):
     path = [(i, i + 1) for i in range(200)]
     got = connected_components(spark.createDataFrame(path, "a long, b long")).collect()
     assert {r["component"] for r in got} == {0} and len(got) == 200
+
+
+def test_one_of_a_group_stays_without_distinct_ids(spark):
+    words = [f"word{i}" for i in range(200)]
+    first, second, third = (" ".join(words[:-1] + [w]) for w in ("a", "b", "c"))
+    other = " ".join(f"other{i}" for i in range(200))
+    for ids in ((None, None, None), (7, 7, 7), (7, 7, 9), (7, None, None)):
+        df = make(spark, [*zip(ids, (first, second, third)), (ids[0], first), (ids[1], other)])
+        out = [(r["doc_id"], r["text"]) for r in setsketch.drop_near_duplicates(df, 5).collect()]
+        assert len(out) == 2 and (ids[1], other) in out, ids
+        assert {i for i, t in out if t != other} == {ids[0]}
