@@ -2,8 +2,8 @@
 
 Each takes ``(spark, sf_dir)``, reads whole tables, applies one operator with
 its production parameters and derives the contract's columns from the
-operator's own output. None has an oracle: SQL cannot express them, so
-``tests/llm`` holds them against brute force instead.
+operator's own output. The two audits have an oracle; SQL cannot express the
+others, so ``tests/llm`` holds them against brute force instead.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.llm import divergence, filteraudit
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -21,12 +23,16 @@ def register(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return table(spark, sf_dir, "benchmark")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -92,3 +98,23 @@ def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlake.llm.decontaminate import find_leaks
     return find_leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+@register
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.filter_audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+@register
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.chatformat import chat_report
+    return chat_report(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_report(documents(spark, sf_dir))
+
+
+ORACLE["op11_filter_audit"] = filteraudit.oracle_sql()
+ORACLE["op13_source_divergence"] = divergence.oracle_sql()
