@@ -76,6 +76,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",   # many small stores
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
@@ -224,7 +225,7 @@ def summed(deltas: DataFrame) -> DataFrame:
 def state_settings(spark: SparkSession):
     """State in RocksDB (disk, bounded memory) while a query starts, which
     copies the settings; what the session has set itself stays."""
-    ours = [k for k in STATE_CONF if spark.conf.get(k, None) in (None, "") or k != next(iter(STATE_CONF))]
+    ours = [k for k in STATE_CONF if spark.conf.get(k, None) is None or k == "spark.sql.streaming.stateStore.providerClass"]
     before = {k: spark.conf.get(k, None) for k in ours}
     for k in ours:
         spark.conf.set(k, STATE_CONF[k])
