@@ -63,16 +63,19 @@ TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
 
-def term_counts(raw: bytes, window: int = WINDOW_BYTES) -> Counter:
-    """Terms of a text, split a window at a time."""
+def add_terms(raw: bytes, counts: Counter, docs_with: Counter, window: int = WINDOW_BYTES) -> None:
+    """Count a text's terms, split a window at a time, and each of them once
+    as a document's."""
     raw = raw.translate(TERM_BYTES)
-    found, lo = Counter(), 0
+    seen, lo = set(), 0
     while lo < len(raw):
         hi = raw.find(b" ", lo + window)
         hi = len(raw) if hi < 0 else hi
-        found.update(raw[lo:hi].split())
+        terms = raw[lo:hi].split()
+        counts.update(terms)
+        seen.update(terms)
         lo = hi
-    return found
+    docs_with.update(seen)
 
 
 def count_terms(docs: DataFrame) -> DataFrame:
@@ -87,10 +90,10 @@ def count_terms(docs: DataFrame) -> DataFrame:
 
         def passed_on():
             for (lang, source), (n, docs_with) in counts.items():
-                terms = [None, *(t.decode() for t in n)]
+                terms = [None, *n]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()),
-                     pa.array(terms, pa.string()), pa.array([0, *n.values()], pa.int64()),
+                     pa.array(terms, pa.binary()).cast(pa.string()), pa.array([0, *n.values()], pa.int64()),
                      pa.array([0, *(docs_with[t] for t in n)], pa.int64())],
                     names=["lang", "source", "term", "n", "docs"])
             counts.clear()
@@ -100,9 +103,7 @@ def count_terms(docs: DataFrame) -> DataFrame:
             for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 n, docs_with = counts.setdefault((lang, source), (Counter(), Counter()))
                 held -= len(n)
-                found = term_counts(text.encode())
-                n.update(found)
-                docs_with.update(found.keys())
+                add_terms(text.encode(), n, docs_with)
                 held += len(n) + 1
                 if held > MAX_HELD:
                     yield from passed_on()
@@ -128,7 +129,9 @@ def difference(p, q) -> Column:
 def kept_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The kept terms' counts (lang, source, term, n, all_n: the language's
     count), and the groups (lang, source, total, all_total, kept_terms)."""
-    counts = landed(count_terms(docs).groupBy("lang", "source", "term")
+    # summed per task already: another sum before the shuffle would find little to add up
+    partial = count_terms(docs).repartition(shuffle_partitions(docs.sparkSession), "lang", "source", "term")
+    counts = landed(partial.groupBy("lang", "source", "term")
                     .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "divergence-counts")
     term = Window.partitionBy("lang", "term")
     kept = landed(counts.where("term IS NOT NULL")
