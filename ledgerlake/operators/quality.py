@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import NumericType
 
 from ledgerlake.functions.text import blank
-from ledgerlake.operators.joins import occurrence_number
 from ledgerlake.operators.reshape import literal_frame
 
 
@@ -36,20 +35,48 @@ def blank_count(df: DataFrame, column: str) -> DataFrame:
                   F.count(F.when(blank(column), F.lit(1))).cast("bigint").alias("n_bad"))
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str], side: str) -> DataFrame:
-    """Rows with a key that compares NULLs as equal and pairs the n-th
-    duplicate of a key with the n-th, as a row-by-row comparison of key-sorted
-    frames does - never all pairs of a repeated key."""
-    numbered = occurrence_number(df, keys, list(order), "__dup") if order else df.withColumn("__dup", F.lit(1))
-    return numbered.withColumn("__key", F.struct(*keys, "__dup")).drop(*keys, "__dup").withColumn(side, F.lit(1))
-
-
 def _number(c: Column) -> Column:
     """Double with NaN as NULL (both are missing values)."""
     x = c.cast("double")
     return F.when(~F.isnan(x), x)
 
 
+def _pairs(actual: DataFrame, expected: DataFrame, keys: Sequence[str], values: Sequence[Column],
+           names: Sequence[str]) -> DataFrame:
+    """Rows of two frames side by side: (n, in_a, in_e, a, e), ``a`` and ``e``
+    structs of the values, ``n`` the row pairs that a line stands for.
+
+    Both frames are tagged, united and counted by (key, values): equal rows of
+    a key pair off inside the counts, which are combined before the shuffle, so
+    a row repeated a million times is one line. What is left of a key pairs
+    n-th with n-th in the order of the values. Each frame is read once.
+    """
+    def side(df: DataFrame, in_a: int) -> DataFrame:
+        return df.select(F.struct(*keys).alias("__key"), F.struct(*[v.alias(n) for v, n in zip(values, names)]).alias("__v"),
+                         F.lit(in_a).alias("__a"), F.lit(1 - in_a).alias("__e"))
+    counts = side(actual, 1).unionByName(side(expected, 0)).groupBy("__key", "__v").agg(
+        F.sum("__a").alias("__a"), F.sum("__e").alias("__e"))
+    same = F.least("__a", "__e")
+    copies = [F.array_repeat(F.lit(tag), F.col(column).cast("int") - same.cast("int")) for tag, column in (("a", "__a"), ("e", "__e"))]
+    lines = counts.select("__key", "__v", same.alias("__same"), F.explode(F.concat(
+        F.array_repeat(F.lit("="), F.least(same, F.lit(1)).cast("int")), *copies)).alias("__side"))
+    equal = F.col("__side") == "="
+    nth = F.row_number().over(Window.partitionBy("__key", "__side").orderBy("__v"))
+    value = lambda tag: F.first(F.when(F.col("__side") == tag, F.col("__v")), ignorenulls=True)
+    has = lambda tag: F.max(equal | (F.col("__side") == tag))
+    # equal rows differ in nothing: their values are not needed
+    return (lines.withColumn("__nth", nth).groupBy("__key", equal.alias("__equal"), "__nth")
+            .agg(F.max(F.when(equal, F.col("__same")).otherwise(1)).alias("n"), has("a").alias("in_a"), has("e").alias("in_e"),
+                 value("a").alias("a"), value("e").alias("e")))
+
+
+def _sizes() -> list[Column]:
+    """Rows of each side and rows without a partner, of :func:`_pairs`."""
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
+    return [total(F.col("in_a")).alias("rows_actual"), total(F.col("in_e")).alias("rows_expected"),
+            total(~(F.col("in_a") & F.col("in_e"))).alias("rows_unmatched")]
+
+
 def _difference(actual: Column, expected: Column, both: Column, tolerance: float) -> tuple[Column, Column]:
     """(difference, missing on one side only) of matched rows: over the rows
     that differ, the mean absolute difference relative to the mean expected
@@ -65,16 +92,12 @@ def reconcile(actual: DataFrame, expected: DataFrame, keys: Sequence[str], value
               tolerance: float = 1e-6) -> DataFrame:
     """Compare two frames on ``keys`` (DQ-14): rows on both sides, rows on one
     side only, values missing on one side only, and the mean difference over
-    the rows that differ (NULL keys match NULL keys)."""
-    a = _keyed(actual.select(*keys, _number(F.col(value)).alias("__a")), keys, ["__a"], "__in_a")
-    b = _keyed(expected.select(*keys, _number(F.col(value)).alias("__b")), keys, ["__b"], "__in_b")
-    j = a.join(b, "__key", "full_outer")
-    both = F.col("__in_a").isNotNull() & F.col("__in_b").isNotNull()
-    diff, lost = _difference(F.col("__a"), F.col("__b"), both, tolerance)
-    out = j.agg(F.count("__in_a").cast("bigint").alias("rows_actual"),
-                F.count("__in_b").cast("bigint").alias("rows_expected"),
-                F.count(F.when(~both, F.lit(1))).cast("bigint").alias("rows_unmatched"),
-                lost.cast("bigint").alias("null_mismatches"), diff.alias("mean_rel_diff"))
+    the rows that differ (NULL keys match NULL keys). Equal rows of a repeated
+    key pair off, the others n-th with n-th in the order of their values."""
+    both = F.col("in_a") & F.col("in_e")
+    diff, lost = _difference(F.col("a.v"), F.col("e.v"), both, tolerance)
+    out = _pairs(actual, expected, keys, [_number(F.col(value))], ["v"]).agg(
+        *_sizes(), lost.cast("bigint").alias("null_mismatches"), diff.alias("mean_rel_diff"))
     ok = (F.col("rows_unmatched") == 0) & (F.col("null_mismatches") == 0) & (F.col("mean_rel_diff") <= tolerance)
     return out.withColumn("within_tolerance", ok)
 
@@ -107,9 +130,9 @@ def reconcile_frames(actual: DataFrame, expected: DataFrame, keys: Sequence[str]
       :func:`reconcile`) and the rows where one side is missing;
     * other columns: the number of matched rows whose values differ.
 
-    One full outer join (NULL keys match, n-th duplicate with n-th duplicate)
-    and ONE aggregate for all columns; a column present on only one side is
-    reported with kind ``missing``.
+    Rows are paired as in :func:`reconcile` (a text or number in any column
+    makes rows differ) and ONE aggregate serves all columns; a column present
+    on only one side is reported with kind ``missing``.
     """
     a_types = {f.name: f.dataType for f in actual.schema.fields}
     e_types = {f.name: f.dataType for f in expected.schema.fields}
@@ -119,14 +142,11 @@ def reconcile_frames(actual: DataFrame, expected: DataFrame, keys: Sequence[str]
 
     def value(c: str) -> Column:
         return _number(F.col(c)) if numeric[c] else F.col(c).cast("string")
-    a = _keyed(actual.select(*keys, *[value(c).alias(f"a__{c}") for c in cols]), keys, [f"a__{c}" for c in cols], "__in_a")
-    e = _keyed(expected.select(*keys, *[value(c).alias(f"e__{c}") for c in cols]), keys, [f"e__{c}" for c in cols], "__in_e")
-    j = a.join(e, "__key", "full_outer")
-    both = F.col("__in_a").isNotNull() & F.col("__in_e").isNotNull()
-    aggs = [F.count("__in_a").alias("rows_actual"), F.count("__in_e").alias("rows_expected"),
-            F.count(F.when(~both, F.lit(1))).alias("rows_unmatched")]
+    j = _pairs(actual, expected, keys, [value(c) for c in cols] or [F.lit(0)], cols or ["__none"])
+    both = F.col("in_a") & F.col("in_e")
+    aggs = _sizes()
     for c in cols:
-        x, y = F.col(f"a__{c}"), F.col(f"e__{c}")
+        x, y = F.col("a")[c], F.col("e")[c]
         if numeric[c]:
             diff, lost = _difference(x, y, both, tolerance)
         else:
@@ -139,9 +159,8 @@ def reconcile_frames(actual: DataFrame, expected: DataFrame, keys: Sequence[str]
                       F.lit(None).cast("double").alias("mean_rel_diff"), F.lit(None).cast("bigint").alias("mismatches"))
              for c in missing]
     out = j.agg(*aggs).select("rows_actual", "rows_expected", "rows_unmatched", F.explode(F.array(*rows)).alias("r")) \
-        .select("r.column", "r.kind", F.col("rows_actual").cast("bigint").alias("rows_actual"),
-                F.col("rows_expected").cast("bigint").alias("rows_expected"),
-                F.col("rows_unmatched").cast("bigint").alias("rows_unmatched"), "r.mean_rel_diff", "r.mismatches")
+        .select("r.column", "r.kind", "rows_actual",
+                "rows_expected", "rows_unmatched", "r.mean_rel_diff", "r.mismatches")
     ok = (F.col("kind") != "missing") & (F.col("rows_unmatched") == 0) & \
         (F.coalesce(F.col("mismatches"), F.lit(0)) == 0) & \
         (F.coalesce(F.col("mean_rel_diff"), F.lit(0.0)) <= F.lit(tolerance))

@@ -1690,6 +1690,10 @@ def budget_sheets(spark, sf):
     months = [F.round(F.col(str(i)) / 1000).cast("bigint").cast("string").alias(MONTH_NAMES[i - 1])
               for i in range(1, 13)]
     name = F.concat_ws(" ", F.col(accounts.YEAR).cast("string"), "o_orderpriority")
+    # sheets are landed tables: written once, read by source, template and labels
+    path = scratch_path(spark, "budget-sheets")
+    wide.write.parquet(path)
+    wide = spark.read.parquet(path)
     sheet = wide.select(name.alias("sheet"), accounts.YEAR, (F.col("c_nationkey") + 2).cast("int").alias("row"),
                         F.col("c_mktsegment").alias("Concepto"), "c_nationkey", *months)
     n = table(spark, sf, "nation").select("n_nationkey", "n_regionkey", "n_name")

@@ -225,27 +225,58 @@ def test_missing_keys(spark):
     assert rows(missing_keys(req, have, ["year"])) == [(2025,)]
 
 
+def numbered_like_a_window(df, order, hot_rows, by=("g",)):
+    """Tasks that the group "hot" is spread over; its numbers are checked."""
+    from pyspark.sql import Window
+    df.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = occurrence_number(df, by, order, "occ", hot_rows=hot_rows)
+        spread = got.withColumn("p", F.spark_partition_id()).where("g = 'hot'").groupBy("p").agg(F.max("occ")).collect()
+        out = rows(got.withColumn("o", F.col("o").cast("string")))   # NaN compares as text
+    finally:
+        df.sparkSession.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = df.withColumn("occ", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    assert out == rows(want.withColumn("o", F.col("o").cast("string")))
+    return len(spread)
+
+
 def test_occurrence_number_splits_a_hot_group(spark):
     """One group holds a third of all rows, with ties, NULL groups and NULL
     order values; the numbers are those of a plain window."""
-    from pyspark.sql import Window
     hot = [("hot", i % 40, i) for i in range(3000)]
     cold = [(f"g{i % 50}", i % 3, i) for i in range(6000)]
     odd = [(None, i, i) for i in range(10)] + [("g1", None, -i) for i in range(1, 5)]
     df = spark.createDataFrame(hot + cold + odd, "g string, o int, tie int")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        got = occurrence_number(df, ["g"], ["o", "tie"], "occ", ranges=8)
-        spread = got.where("g = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().count()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    want = df.withColumn("occ", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie")))
-    assert rows(got) == rows(want)
-    assert spread > 1
-    for kind in ("string", "date", "boolean", "double"):
-        one = df.withColumn("o", F.date_add(F.lit("2020-01-01").cast("date"), "o") if kind == "date" else F.col("o").cast(kind))
-        got = occurrence_number(one, ["g"], ["o", "tie"], "occ", ranges=5)
-        assert rows(got) == rows(one.withColumn("occ", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie"))))
+    assert numbered_like_a_window(df, ["o", "tie"], 200) > 1
+    assert numbered_like_a_window(df, ["o", "tie"], 10 ** 6) == 1
+    for kind in ("string", "date", "boolean", "double", "bigint", "decimal(12,2)", "timestamp"):
+        one = df.withColumn("o", F.date_add(F.lit("2020-01-01").cast("date"), "o").cast(kind) if kind in ("date", "timestamp")
+                            else F.col("o").cast(kind))
+        numbered_like_a_window(one, ["o", "tie"], 200)
+
+
+def test_occurrence_number_splits_ties(spark):
+    """The hot group ties on the first order column - one value, a long common
+    text, NULL, NaN - or on all of them: later columns and the row part it."""
+    base = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 70)).alias("g"),
+                                    F.col("id").alias("tie"))
+    for tied in (F.lit(7), F.lit(2 ** 60 + 1).cast("bigint"), F.lit(None).cast("int"), F.lit(float("nan")),
+                 F.when(F.col("tie") % 5 == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf"))),
+                 F.when(F.col("tie") % 2 == 0, F.lit(None).cast("bigint")).otherwise(F.lit(2 ** 60) + F.col("tie") % 3)):
+        assert numbered_like_a_window(base.withColumn("o", tied), ["o", "tie"], 100) > 1
+    text = F.concat(F.lit("the same first words"), F.col("tie").cast("string"))
+    numbered_like_a_window(base.withColumn("o", text), ["o"], 100)
+    got = occurrence_number(base.withColumn("o", F.lit(1)), ["g"], ["o"], "occ", hot_rows=100)
+    per = got.groupBy("g").agg(F.count("occ").alias("n"), F.countDistinct("occ").alias("d"), F.max("occ").alias("m"),
+                               F.min("occ").alias("lo")).collect()
+    assert all(r["n"] == r["d"] == r["m"] and r["lo"] == 1 for r in per)
+
+
+def test_occurrence_join_reads_each_side_once(spark):
+    """Without a large group the plan is one scan and one window a side."""
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, o int")
+    plan = occurrence_number(df, ["k"], ["o"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "Join" not in plan
 
 
 def test_reconcile_frames_per_column(spark):
@@ -333,6 +364,46 @@ def test_reconcile_pairs_duplicate_keys_one_to_one(spark):
     assert f.first()["rows_actual"] == 3 and not f.first()["within_tolerance"]
 
 
+def brute_pairs(a, e):
+    """Rows of two frames (key, value) paired as :func:`reconcile` says."""
+    import collections
+    sort = lambda vs: sorted(vs, key=lambda v: (v is not None, v or 0))
+    out = []
+    for k in {k for k, _ in a + e}:
+        left, right = (collections.Counter(v for kk, v in side if kk == k) for side in (a, e))
+        out += [(v, v, True) for v in (left & right).elements()]
+        x, y = sort((left - right).elements()), sort((right - left).elements())
+        n = min(len(x), len(y))
+        out += [(p, q, True) for p, q in zip(x, y)] + [(None, None, False)] * (len(x) + len(y) - 2 * n)
+    differ = [(p, q) for p, q, both in out if both and p is not None and q is not None and p != q]
+    size = sum(abs(q) for _, q in differ)
+    diff = sum(abs(p - q) for p, q in differ)
+    mean = 0.0 if not differ else diff / size if size / len(differ) > 1e-6 else diff / len(differ)
+    return (len(a), len(e), sum(not b for *_, b in out), sum(b and (p is None) != (q is None) for p, q, b in out), round(mean, 9))
+
+
+def test_reconcile_against_brute_force(spark):
+    """Repeated, NULL and one-sided keys; equal rows pair off, the rest of a
+    key pairs by value; a hot key holds a third of the rows."""
+    import random
+    from ledgerlake.operators.quality import reconcile_frames
+    for seed in range(4):
+        rng = random.Random(seed)
+        draw = lambda n: [(rng.choice([None, 1, 1, 1, *range(2, 30)]), rng.choice([None, 0.0, *map(float, range(1, 9))]))
+                          for _ in range(n)]
+        a = draw(120)
+        e = [r for r in a if rng.random() < 0.9] + draw(seed * 10)
+        x, y = (spark.createDataFrame(s, "k int, v double") for s in (a, e))
+        r = reconcile(x, y, ["k"], "v").first()
+        want = brute_pairs(a, e)
+        assert (r["rows_actual"], r["rows_expected"], r["rows_unmatched"], r["null_mismatches"],
+                round(r["mean_rel_diff"], 9)) == want
+        f = reconcile_frames(x, y, ["k"]).first()
+        assert (f["rows_actual"], f["rows_expected"], f["rows_unmatched"], f["mismatches"], round(f["mean_rel_diff"], 9)) == want
+    none = spark.createDataFrame([], "k int, v double")
+    assert tuple(reconcile(none, none, ["k"], "v").first()) == (0, 0, 0, 0, 0.0, True)
+
+
 def test_canonicalize_by_table_never_duplicates(spark):
     from ledgerlake.operators.joins import canonicalize_by_table
     df = spark.createDataFrame([(1, "  otros   INGRESOS "), (2, "ventas")], "id int, label string")
