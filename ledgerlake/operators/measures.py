@@ -4,10 +4,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.config import DEFAULT_METHODOLOGY, MeasureColumns, MonetaryMethodology
+from ledgerlake.operators.reshape import literal_frame
 
 
 @dataclass
@@ -30,19 +32,6 @@ class ReferenceSeriesError(ValueError):
     pass
 
 
-def _series_stats(df: DataFrame, value_col: str, base_year: int | None) -> DataFrame:
-    y, v = F.col("year"), F.col(value_col)
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(y).alias("n_year"),
-        F.countDistinct(y).alias("n_distinct"),
-        F.count(F.when(~F.isnan(v.cast("double")), v)).alias("n_value"),
-        F.count(F.when(v <= 0, F.lit(1))).alias("n_nonpositive"),
-        (F.max(F.when(y == F.lit(base_year), F.lit(1))).isNotNull() if base_year is not None
-         else F.lit(True)).alias("has_base"),
-    )
-
-
 def validate_reference_table(df: DataFrame, name: str, value_col: str) -> None:
     """Raise on the first problem, in the reference's order: columns,
     duplicate years, missing years, missing values, non-positive values.
@@ -50,7 +39,10 @@ def validate_reference_table(df: DataFrame, name: str, value_col: str) -> None:
     missing = [c for c in ("year", value_col) if c not in df.columns]
     if missing:
         raise ReferenceSeriesError(f"Reference series '{name}' is missing columns: {', '.join(missing)}")
-    s = _series_stats(df, value_col, None).first()
+    y, v = F.col("year"), F.col(value_col)
+    s = df.agg(F.count(F.lit(1)).alias("n"), F.count(y).alias("n_year"), F.countDistinct(y).alias("n_distinct"),
+               F.count(F.when(~F.isnan(v.cast("double")), v)).alias("n_value"),
+               F.count(F.when(v <= 0, F.lit(1))).alias("n_nonpositive")).first()
     nulls = s["n"] - s["n_year"]
     if s["n_year"] - s["n_distinct"] > 0 or nulls > 1:
         raise ReferenceSeriesError(f"Reference series '{name}' has duplicate years.")
@@ -84,68 +76,67 @@ def validate_references(refs: ReferenceSeries, m: MonetaryMethodology = DEFAULT_
                 f"Reference series '{name}' is missing required years: {', '.join(map(str, gap))}")
 
 
+def _long_series(refs: ReferenceSeries, m: MonetaryMethodology, names: list[str]) -> DataFrame:
+    """(series, year, value) of the named series; from the one yearly frame
+    where there is one, in a single pass (a year without value is not in it)."""
+    picked = [(name, df, col) for name, df, col in refs.named(m) if name in names]
+    value = lambda c: F.col(c).cast("double").alias("value")
+    if refs.yearly is not None and picked:
+        each = F.inline(F.array(*[F.struct(F.lit(name).alias("series"), value(col)) for name, _, col in picked]))
+        return refs.yearly.select(F.col("year").cast("int").alias("year"), each).where("value IS NOT NULL")
+    parts = [df.select(F.lit(name).alias("series"), F.col("year").cast("int").alias("year"), value(col)) for name, df, col in picked]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def reference_checks(refs: ReferenceSeries, facts: DataFrame, m: MonetaryMethodology = DEFAULT_METHODOLOGY,
                      year: str = "year") -> DataFrame:
-    """All checks as rows ``(series, check, passed, detail)`` - a lazy plan of
-    one aggregate per series; the coverage gap lists of all series are one
-    scalar subquery over the required years. A series that lacks a column has
-    the failed ``columns`` row only."""
-    need = required_years(facts, year)
+    """All checks as rows ``(series, check, passed, detail)``: the series as one
+    long frame, the years that the facts need beside them, one aggregate by
+    (series, year) and one by series - series and facts are each read once. A
+    series that lacks a column has the failed ``columns`` row only."""
+    spark = facts.sparkSession
+    whole = [name for name, df, c in refs.named(m) if {"year", c} <= set(df.columns)]
     parts = []
-    # the facts are read once: required years that each series lacks
-    complete = [(name, df) for name, df, c in refs.named(m) if {"year", c} <= set(df.columns)]
-    have = need
-    for i, (_, df) in enumerate(complete):
-        have = have.join(df.select(F.col("year").cast("int").alias("year"), F.lit(True).alias(f"__{i}")).distinct(),
-                         "year", "left")
-    lists = have.agg(F.struct(*[F.array_join(F.array_sort(F.collect_list(
-        F.when(F.col(f"__{i}").isNull(), F.col("year").cast("string")))), ", ").alias(f"g{i}")
-        for i in range(len(complete))], F.lit(0).alias("none")).alias("g")).scalar()
-    gap_of = {name: lists[f"g{i}"] for i, (name, _) in enumerate(complete)}
-    for name, df, value_col in refs.named(m):
-        missing_cols = [c for c in ("year", value_col) if c not in df.columns]
-        if missing_cols:  # nothing else can be checked
-            text = f"Reference series '{name}' is missing columns: {', '.join(missing_cols)}"
-            parts.append(df.sparkSession.range(1).select(
-                F.lit(name).alias("series"), F.lit("columns").alias("check"), F.lit(False).alias("passed"),
-                F.lit(text).alias("detail")))
-            continue
-        base = m.base_year if name == m.index_series else None
-        stats = _series_stats(df, value_col, base)
-        gaps = gap_of[name]
-        nulls = F.col("n") - F.col("n_year")
-        dup = (F.col("n_year") - F.col("n_distinct") > 0) | (nulls > 1)
-        checks = [
-            ("columns", F.lit(True), F.lit("")),
-            ("unique_years", ~dup, F.when(dup, F.lit(f"Reference series '{name}' has duplicate years.")).otherwise("")),
-            ("non_null_years", nulls == 0,
-             F.when(nulls > 0, F.lit(f"Reference series '{name}' has missing years.")).otherwise("")),
-            ("non_null_values", F.col("n_value") == F.col("n"),
-             F.when(F.col("n_value") < F.col("n"),
-                    F.lit(f"Reference series '{name}' has missing values in column '{value_col}'.")).otherwise("")),
-            ("positive_values", F.col("n_nonpositive") == 0,
-             F.when(F.col("n_nonpositive") > 0,
-                    F.lit(f"Reference series '{name}' must be strictly positive in column '{value_col}'.")
-                    ).otherwise("")),
-        ]
-        if base is not None:
-            checks.append(("base_year", F.col("has_base"),
-                           F.when(~F.col("has_base"),
-                                  F.lit(f"IPC reference series does not include the base year {base}.")
-                                  ).otherwise("")))
-        checks.append(("required_years", F.col("gaps") == "",
-                        F.when(F.col("gaps") != "",
-                               F.concat(F.lit(f"Reference series '{name}' is missing required years: "),
-                                        F.col("gaps"))).otherwise("")))
-        rows = stats.withColumn("gaps", gaps)
-        parts.append(rows.select(F.explode(F.array(*[
-            F.struct(F.lit(name).alias("series"), F.lit(c).alias("check"),
-                     p.cast("boolean").alias("passed"), d.alias("detail"))
-            for c, p, d in checks])).alias("r")).select("r.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    for name, df, c in refs.named(m):
+        if name not in whole:  # nothing else can be checked
+            missing = ", ".join(x for x in ("year", c) if x not in df.columns)
+            parts.append((name, "columns", False, f"Reference series '{name}' is missing columns: {missing}"))
+    failed = literal_frame(spark, parts, [("series", "string"), ("check", "string"), ("passed", "boolean"), ("detail", "string")])
+    if not whole:
+        return failed
+    need = required_years(facts, year).select(F.explode(F.lit(whole)).alias("series"), "year", F.lit(None).cast("double").alias("value"),
+                                              F.lit(1).alias("need"))
+    v, have = F.col("value"), F.col("need") == 0
+    per_year = _long_series(refs, m, whole).withColumn("need", F.lit(0)).unionByName(need).groupBy("series", "year").agg(
+        F.count(F.when(have, F.lit(1))).alias("n"), F.count(F.when(have & ~F.isnan(v), v)).alias("n_value"),
+        F.count(F.when(have & (v <= 0), F.lit(1))).alias("n_nonpositive"), F.max("need").alias("need"))
+    known = F.col("year").isNotNull()
+    gap = F.when((F.col("need") == 1) & (F.col("n") == 0), F.col("year").cast("string"))
+    stats = per_year.groupBy("series").agg(
+        F.sum("n").alias("n"), F.sum(F.when(known, F.col("n")).otherwise(0)).alias("n_year"),
+        F.count(F.when(known & (F.col("n") > 0), F.lit(1))).alias("n_distinct"), F.sum("n_value").alias("n_value"),
+        F.sum("n_nonpositive").alias("n_nonpositive"),
+        F.max(F.coalesce((F.col("year") == m.base_year) & (F.col("n") > 0), F.lit(False))).alias("has_base"),
+        F.array_join(F.array_sort(F.collect_list(gap)), ", ").alias("gaps"))
+    names = literal_frame(spark, [(n,) for n in whole], [("series", "string")])
+    s = names.join(stats, "series", "left").na.fill(0).na.fill("", ["gaps"]).na.fill(False, ["has_base"])
+    series = F.concat(F.lit("Reference series '"), F.col("series"), F.lit("'"))
+    value_col = F.element_at(F.create_map(*[F.lit(x) for name, _, c in refs.named(m) for x in (name, c)]), F.col("series"))
+    nulls = F.col("n") - F.col("n_year")
+    checks = [  # (name, problem, text)
+        ("columns", F.lit(False), F.lit("")),
+        ("unique_years", (F.col("n_year") - F.col("n_distinct") > 0) | (nulls > 1), F.concat(series, F.lit(" has duplicate years."))),
+        ("non_null_years", nulls > 0, F.concat(series, F.lit(" has missing years."))),
+        ("non_null_values", F.col("n_value") < F.col("n"),
+         F.concat(series, F.lit(" has missing values in column '"), value_col, F.lit("'."))),
+        ("positive_values", F.col("n_nonpositive") > 0,
+         F.concat(series, F.lit(" must be strictly positive in column '"), value_col, F.lit("'."))),
+        ("base_year", ~F.col("has_base"), F.lit(f"IPC reference series does not include the base year {m.base_year}.")),
+        ("required_years", F.col("gaps") != "", F.concat(series, F.lit(" is missing required years: "), F.col("gaps")))]
+    rows = F.array(*[F.struct(F.lit(c).alias("check"), (~problem).alias("passed"), F.when(problem, text).otherwise("").alias("detail"))
+                     for c, problem, text in checks])
+    done = s.select("series", F.inline(rows)).where((F.col("check") != "base_year") | (F.col("series") == m.index_series))
+    return done.unionByName(failed) if parts else done
 
 
 def augment_monetary(df: DataFrame, nominal: str, refs: ReferenceSeries,

@@ -1,20 +1,21 @@
 """The artifact job (SNK-01, SNK-02): build the bundle once, write each
-dataset. The actuals feed several outputs, so they are written to the shared
+dataset to a new version, commit the version. The actuals feed several outputs, so they are written to the shared
 folder once and reread."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.config import DEFAULT_CASH, DEFAULT_METHODOLOGY, CashConfig, MonetaryMethodology
+from ledgerlake.config import DEFAULT_CASH, DEFAULT_METHODOLOGY, CashConfig, MonetaryMethodology, Rule
 from ledgerlake.operators.classify import dashboard_facts
 from ledgerlake.operators.measures import validate_references
 from ledgerlake.operators.periods import latest
 from ledgerlake.plans import accounts
 from ledgerlake.session import scratch_path
-from ledgerlake.sources.landed import drop_table, publish_table, stage_table
+from ledgerlake.sources.landed import commit_version, current_version, drop_table, new_version
 
 PARTITIONED = ("series_anuales",)
 
@@ -33,7 +34,12 @@ class LandedInputs:
 
 
 def build_bundle(inp: LandedInputs, m: MonetaryMethodology = DEFAULT_METHODOLOGY,
-                 cash: CashConfig = DEFAULT_CASH, validate: bool = True) -> dict[str, DataFrame]:
+                 cash: CashConfig = DEFAULT_CASH, validate: bool = True, rules: Sequence[Rule] | None = None,
+                 stock_entity: str = "ANCAP", on_missing: str = "raise",
+                 intermediate: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The seven datasets of an import. ``intermediate``, if given, receives
+    what the import passes through: both structure maps, the actuals, the
+    budget as matched and as classified."""
     by_row, by_company = accounts.structure_maps(inp.structure_sheet)
     spark = inp.actual_cells.sparkSession
     landed = scratch_path(spark, "actuals")
@@ -47,40 +53,53 @@ def build_bundle(inp: LandedInputs, m: MonetaryMethodology = DEFAULT_METHODOLOGY
     budget = accounts.budget_raw(inp.budget_source, inp.budget_template, by_company, latest(actuals, "year"))
     if validate:
         # every import classifies the budget: a blank label stops the run here
-        accounts.budget_monthly(budget).write.format("noop").mode("overwrite").save()
-    monthly = accounts.series_monthly(actuals, budget, by_company)
+        accounts.budget_monthly(budget, rules).write.format("noop").mode("overwrite").save()
+    if intermediate is not None:
+        intermediate |= {"structure_by_row": by_row, "structure_by_company": by_company, "actuals": actuals,
+                         "budget_raw": budget, "budget_monthly": accounts.budget_monthly(budget, rules)}
+    monthly = accounts.series_monthly(actuals, budget, by_company, rules)
     return {
-        "series_anuales": accounts.series_annual(actuals, refs, m),
-        "series_mensuales": dashboard_facts(monthly),
+        "series_anuales": accounts.series_annual(actuals, refs, m, rules, on_missing),
+        "series_mensuales": dashboard_facts(monthly, stock_entity),
         "caja_mensual": accounts.cash_monthly(actuals, inp.opening_sheet, cash),
         "serie_ipc_anual_24": refs.index,
         "serie_pib_anual": refs.gdp,
         "dolar_promedio_anual": refs.rate,
-        "proyecciones": accounts.projections(inp.projection_sheet, refs, m).drop("header_ord", "ente_ord"),
+        "proyecciones": accounts.projections(inp.projection_sheet, refs, m, on_missing=on_missing).drop("header_ord", "ente_ord"),
     }
 
 
+def write_dataset(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    writer = df.write.mode("error")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
 def write_bundle(bundle: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Build every dataset next to its place, then put all of them in place:
-    a guard that fails in any of them leaves all published ones untouched."""
-    out, staged = out_dir.rstrip("/"), {}
-    paths = {name: f"{out}/{name}" for name in bundle}
+    """Write every dataset to a new version of the bundle, then commit it.
+    Whatever stops the job before the commit - a guard in any dataset, a lost
+    driver - readers go on seeing the last committed version, whole; after it
+    they see the new one, whole. Returns the new paths."""
+    spark = next(iter(bundle.values())).sparkSession
+    version, folder = new_version(out_dir)
+    paths = {name: f"{folder}/{name}" for name in bundle}
     try:
         for name, df in bundle.items():
-            by = ["year"] if "year" in df.columns and name in PARTITIONED else None
-            staged[name] = stage_table(df, paths[name], partition_by=by)
+            write_dataset(df, paths[name], ("year",) if "year" in df.columns and name in PARTITIONED else ())
     except Exception:
-        for path in staged.values():
-            drop_table(next(iter(bundle.values())).sparkSession, path)
+        drop_table(spark, folder)
         raise
-    for name, path in staged.items():
-        publish_table(bundle[name].sparkSession, path, paths[name])
+    commit_version(spark, out_dir, version)
     return paths
 
 
+def read_dataset(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """A dataset of the current version of a bundle."""
+    return spark.read.parquet(f"{current_version(spark, out_dir)}/{name}")
+
+
 def read_series(spark, path: str, empresa=None, facet=None, years=None) -> DataFrame:
-    """A published series cut to companies, facets and years (FLT-10): the
-    year filter prunes partition folders, the others reach the reader."""
+    """A published series (its folder in a version of the bundle) cut to
+    companies, facets and years (FLT-10): the year filter prunes partition folders, the others reach the reader."""
     df = spark.read.parquet(path)
     for column, values in (("empresa", empresa), ("facet_col", facet), ("year", years)):
         if values is not None:
@@ -169,7 +188,8 @@ def main(argv=None) -> int:
         print(f"Dropped {r['dropped_rows']} unmatched firmado row(s) from sheet '{r['sheet']}'.")
     if not args.verify:
         return 0
-    issues = verify_contract(spark, Contract.from_json(json.dumps(ARTIFACT_CONTRACT), root=args.out)).collect()
+    contract = Contract.from_json(json.dumps(ARTIFACT_CONTRACT), root=current_version(spark, args.out))
+    issues = verify_contract(spark, contract).collect()
     for r in issues:
         print(f"{r['type']}: {r['id']}: {r['detail']}")
     print(f"{'FAIL' if issues else 'PASS'}: {len(ARTIFACT_CONTRACT['required_datasets'])} dataset(s) checked")

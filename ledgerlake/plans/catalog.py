@@ -34,13 +34,14 @@ from ledgerlake.operators.joins import canonicalize_by_table, null_safe_join, oc
 from ledgerlake.operators.measures import ReferenceSeries, augment_monetary, reference_checks
 from ledgerlake.operators.periods import annualize, complete_years, extrapolate_year, latest, rebase
 from ledgerlake.operators.quality import blank_count, domain_check, duplicate_keys, reconcile, reconcile_frames
-from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, unpivot
+from ledgerlake.operators.reshape import has_data, literal_frame, require_columns, union_by_name, unpivot
 from ledgerlake.operators.windows import running_balance
 from ledgerlake.plans import accounts, artifacts, dashboard
 from ledgerlake.session import scratch_path
 from ledgerlake.sources.cells import header_values, read_cells, text_column
 from ledgerlake.sources.contract import Contract, read_required_dataset, verify_contract
 from ledgerlake.sources.landed import read_table, write_table
+from ledgerlake.streaming import ingest_new_sheets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -775,8 +776,9 @@ def ordered_totals(spark, sf) -> DataFrame:
 def period_totals(spark, sf) -> DataFrame:
     """Shipped (by ship month) and ordered (by order month) totals from ONE
     lineitem x orders pass: each line is emitted under both periods and the
-    two views are summed in a single shuffle. Actual, budget and label
-    dimension read the same exchange."""
+    two views are summed in a single shuffle. The totals (a row per company,
+    month and account) are landed, so actual, budget, keys and label dimension
+    read them and not the facts again."""
     a = line_accounts(spark, sf)
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     j = a.join(o, a.l_orderkey == o.o_orderkey)
@@ -785,8 +787,11 @@ def period_totals(spark, sf) -> DataFrame:
         F.struct(F.lit("ordered").alias("view"), F.year("o_orderdate").alias("y"),
                  F.month("o_orderdate").alias("m"))))
     e = j.select("empresa", *CODES, F.col("l_extendedprice").cast(DEC).alias("p"), periods.alias("per"))
-    return e.groupBy("per.view", F.col("per.y").alias("year"), F.col("per.m").alias("month"), "empresa", *CODES) \
+    totals = e.groupBy("per.view", F.col("per.y").alias("year"), F.col("per.m").alias("month"), "empresa", *CODES) \
         .agg(F.sum("p").cast("double").alias("valor"))
+    path = scratch_path(spark, "period-totals")
+    totals.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 _SHIPPED_SQL = f"""sh AS (SELECT empresa, year, month, header_code, sub_header_code, item_code,
@@ -1239,7 +1244,7 @@ def q32(spark, sf):
     """Every reference-series check as a row; the index lacks the incomplete
     year 2001 that the facts need."""
     facts = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"))
-    return reference_checks(driver_refs(spark, sf), facts, DRIVER_METHOD)
+    return reference_checks(yearly_refs(spark, sf), facts, DRIVER_METHOD)
 
 
 # ---------------------------------------------------------------------------
@@ -1808,9 +1813,8 @@ WHERE empresa IN ('A', 'R') AND facet_col IN ('Ingresos', 'Gastos') AND year IN
 def q45(spark, sf):
     """Companies, facets and years picked from the published annual series:
     the year prunes partition folders, the rest reaches the reader."""
-    path = scratch_path(spark, "published")
-    artifacts.write_bundle({"series_anuales": annual_line_series(spark, sf)}, path)
-    got = artifacts.read_series(spark, f"{path}/series_anuales", ("A", "R"), ("Ingresos", "Gastos"), (1998, 1999))
+    paths = artifacts.write_bundle({"series_anuales": annual_line_series(spark, sf)}, scratch_path(spark, "published"))
+    got = artifacts.read_series(spark, paths["series_anuales"], ("A", "R"), ("Ingresos", "Gastos"), (1998, 1999))
     return got.select("empresa", F.col("year").cast("int").alias("year"), "facet_col", "fill_col", "valor")
 
 
@@ -1835,3 +1839,242 @@ def q47(spark, sf):
         .withColumn("year", F.when(y != 1996, y))
     facts = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"))
     return reference_checks(ReferenceSeries(index, r.gdp.drop(m.gdp_value), rate), facts, m)
+
+
+# ---------------------------------------------------------------------------
+# q48 the whole import on landed sheets (SNK-02, CP-01..CP-16 in one run), and
+# q49 its incremental form (SRC-04): sheets made from the driver tables
+# ---------------------------------------------------------------------------
+
+#: Account plan of the sheets: (header, sub, item) by sheet row from 7 on.
+IMPORT_ACCOUNTS = (
+    *[(h, s, i) for h in "ABDI" for s in (1, 2, 3) for i in (0, 1, 2)], *[("F", s, i) for s in (1, 2, 3) for i in (1, 2)],
+    ("H", 1, 0), ("A", None, None), ("F", None, None))
+IMPORT_COMPANIES = ("A", "N", "R")
+
+
+def _account_name(h, s, i) -> str:
+    return f"{h}-{'x' if s is None else s}-{'x' if i is None else i}"
+
+
+def import_lines(spark, sf) -> DataFrame:
+    """Lines by company, period and account of the sheets' plan (six lines of
+    an order; open lines of A and F are total rows)."""
+    li = table(spark, sf, "lineitem").join(F.broadcast(line_headers(spark)), "l_linenumber")
+    h, points, tax = F.col("header_code"), F.round(F.col("l_discount") * 100).cast("int"), F.round(F.col("l_tax") * 100).cast("int")
+    total = (F.col("l_linestatus") == "O") & h.isin("A", "F")
+    none = F.lit(None).cast("int")
+    sub = F.when(total, none).when(h == "H", 1).otherwise(1 + points % 3)
+    item = F.when(total, none).when(h == "H", 0).when(h == "F", 1 + tax % 2).otherwise(tax % 3)
+    return li.select(F.col("l_returnflag").alias("empresa"), "header_code", sub.alias("sub_header_code"), item.alias("item_code"),
+                     F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "l_extendedprice", "l_discount")
+
+
+_IMPORT_LINES_SQL = f"""il AS (
+SELECT l_returnflag AS empresa, {_H} AS header_code,
+       CASE WHEN t THEN NULL WHEN {_H} = 'H' THEN 1 ELSE CAST(1 + CAST(round(l_discount * 100) AS INT) % 3 AS INT) END AS sub_header_code,
+       CASE WHEN t THEN NULL WHEN {_H} = 'H' THEN 0 WHEN {_H} = 'F' THEN CAST(1 + CAST(round(l_tax * 100) AS INT) % 2 AS INT)
+            ELSE CAST(CAST(round(l_tax * 100) AS INT) % 3 AS INT) END AS item_code,
+       CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month, l_extendedprice, l_discount
+FROM (SELECT *, l_linestatus = 'O' AND {_H} IN ('A', 'F') AS t FROM lineitem WHERE l_linenumber <= 6))"""
+_IMPORT_ACTS_SQL = f"""{_IMPORT_LINES_SQL},
+acts AS (SELECT empresa, year, month, header_code, sub_header_code, item_code,
+   CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2))) / 1000) AS DOUBLE) AS valor FROM il GROUP BY ALL)"""
+
+
+def import_actuals(spark, sf) -> DataFrame:
+    return import_lines(spark, sf).groupBy("empresa", "year", "month", *CODES).agg(
+        F.round(money("l_extendedprice") / 1000).cast("double").alias("valor"))
+
+
+def account_row(first: int = 7) -> Column:
+    """Sheet row of a row's account."""
+    name = F.concat_ws("-", "header_code", *[F.coalesce(F.col(c).cast("string"), F.lit("x")) for c in CODES[1:]])
+    rows = {_account_name(*a): first + n for n, a in enumerate(IMPORT_ACCOUNTS)}
+    return F.element_at(F.create_map(*[F.lit(x) for kv in rows.items() for x in kv]), name)
+
+
+def import_cells(acts: DataFrame) -> DataFrame:
+    """Actuals as sheets: a workbook a year, a sheet a month, a row an account,
+    a column a company; headers in row 6, labels in column 1."""
+    col = F.array_position(F.lit(list(IMPORT_COMPANIES)), F.col("empresa")).cast("int") + 1
+    none_n, none_c = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cell = lambda row, at, number, text: F.struct(row.cast("int").alias("row"), at.cast("int").alias("col"),
+                                                  number.alias("numeric"), text.alias("character"))
+    cells = F.explode(F.array(cell(F.col("r"), F.col("c"), F.col("valor"), none_c),
+                              cell(F.lit(6), F.col("c"), none_n, F.col("empresa")),
+                              cell(F.col("r"), F.lit(1), none_n, F.concat(F.lit("cuenta "), F.col("r").cast("string")))))
+    return acts.select("year", "month", "empresa", "valor", account_row().alias("r"), col.alias("c")).select(
+        F.concat(F.lit("libro "), F.col("year").cast("string")).alias("workbook"), "year",
+        month_label_token(F.col("month")).alias("sheet"), cells.alias("x")).select("workbook", "year", "sheet", "x.*").distinct()
+
+
+def import_structure(spark) -> DataFrame:
+    """Structure sheet of the plan; income labels carry a spelling that the
+    import must canonicalise."""
+    label = lambda a: "otros   ingresos" if a[0] == "A" else f"cuenta {_account_name(*a)}"
+    rows = [(2 + n, h, None if s is None else str(s), None if i is None else str(i), f"fila {n}",
+             *[label((h, s, i))] * len(IMPORT_COMPANIES)) for n, (h, s, i) in enumerate(IMPORT_ACCOUNTS)]
+    return literal_frame(spark, rows, [("row", "int"), *[(c, "string") for c in ("Header", "SubHeader", "Item", "Label",
+                                                                                 *IMPORT_COMPANIES)]])
+
+
+def import_budget(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(source, template): discounted amounts of the latest year, a sheet a
+    company, a row an account, concepts repeated within a sheet; the template
+    has no account of header I."""
+    lines = import_lines(spark, sf)
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    wide = lines.where(F.col("year") == latest(lines, "year")).groupBy("empresa", *CODES).pivot("month", list(range(1, 13))).agg(
+        F.round(F.sum(amount.cast(DEC)) / 1000).cast("bigint").cast("string"))
+    concept = F.concat(F.lit("Concepto "), "header_code", F.coalesce(F.col("sub_header_code").cast("string"), F.lit("x")))
+    sheet = wide.select(F.col("empresa").alias("sheet"), account_row().alias("row"), concept.alias("concepto"), *CODES,
+                        *[F.col(str(i)).alias(MONTH_NAMES[i - 1]) for i in range(1, 13)])
+    template = sheet.where("header_code <> 'I'").select(
+        "sheet", "row", "concepto", F.col("header_code").alias("header"), F.col("sub_header_code").cast("string").alias("sub_header"),
+        F.col("item_code").cast("string").alias("item"), *MONTH_NAMES)
+    return sheet.drop(*CODES), template
+
+
+def import_macro(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(GDP cells, index sheet, rate sheet): quarterly, monthly and daily orders."""
+    o = table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
+    thousands = F.round(money("o_totalprice") / 1000).cast("bigint").cast("string")
+    q = o.groupBy(F.year(day).alias("y"), F.quarter(day).alias("q")).agg(thousands.alias("v"))
+    at = (2 + (F.col("y") - 1990) * 4 + F.col("q") - 1).cast("int")
+    roman = F.element_at(F.lit(["I", "II", "III", "IV"]), F.col("q"))
+    cell = lambda row, text: F.struct(F.lit(row).alias("row"), text.alias("character"))
+    gdp = q.select(at.alias("col"), F.explode(F.array(cell(6, F.concat_ws(" ", roman, F.col("y").cast("string"))),
+                                                      cell(19, F.col("v")))).alias("x")) \
+        .select(F.lit("pib").alias("workbook"), F.lit("trimestres").alias("sheet"), "x.row", "col",
+                F.lit(None).cast("double").alias("numeric"), "x.character")
+    month = F.trunc(day, "month")
+    serial = F.datediff(F.col("m"), F.lit("1899-12-30").cast("date"))
+    index = o.groupBy(month.alias("m")).agg(thousands.alias("c2")).select(
+        serial.alias("row"), serial.cast("string").alias("c1"), "c2")
+    rate = o.groupBy(day.alias("d")).agg(F.count(F.lit(1)).cast("string").alias("c3")).select(
+        F.datediff(F.col("d"), F.lit("1899-12-30").cast("date")).alias("row"), F.col("d").cast("string").alias("c1"),
+        F.lit(None).cast("string").alias("c2"), "c3")
+    return gdp, index, rate
+
+
+def import_inputs(spark, sf) -> artifacts.LandedInputs:
+    """All landed inputs of the import, written once and reread."""
+    acts = import_actuals(spark, sf)
+    source, template = import_budget(spark, sf)
+    gdp, index, rate = import_macro(spark, sf)
+    frames = {"actual_cells": import_cells(acts), "structure_sheet": import_structure(spark), "budget_source": source,
+              "budget_template": template, "opening_sheet": opening_sheet(acts), "gdp_cells": gdp, "index_sheet": index,
+              "rate_sheet": rate, "projection_sheet": projection_sheet(spark, sf)}
+    root = scratch_path(spark, "import-sheets")
+    for name, df in frames.items():
+        write_table(df, f"{root}/{name}", partition_by=["year", "sheet"] if name == "actual_cells" else None)
+    return artifacts.read_landed(spark, root)
+
+
+_IMPORT_REFS_SQL = """
+qu AS (SELECT CAST(year(o_orderdate) AS INT) AS year, quarter(o_orderdate) AS q,
+              CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))) / 1000) AS BIGINT) AS v FROM orders GROUP BY ALL),
+ga AS (SELECT year, 1e6 * CAST(sum(v) AS DOUBLE) AS gdp FROM qu WHERE year BETWEEN 1995 AND 2001
+       GROUP BY year HAVING count(*) >= 4),
+gdp AS (SELECT year, gdp FROM ga UNION ALL SELECT 2001, arg_max(gdp, year) * 1.025 FROM ga
+        HAVING count(*) FILTER (WHERE year = 2001) = 0 AND arg_max(gdp, year) IS NOT NULL),
+mo AS (SELECT CAST(year(o_orderdate) AS INT) AS year, month(o_orderdate) AS month,
+              CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))) / 1000) AS BIGINT) AS v FROM orders GROUP BY ALL),
+ia AS (SELECT year, CAST(sum(v) AS DOUBLE) / count(v) AS m FROM mo WHERE year BETWEEN 1995 AND 2001
+       GROUP BY year HAVING count(*) >= 12),
+idx AS (SELECT year, 100 * m / (SELECT max(m) FROM ia WHERE year = 1998) AS idx_base FROM ia),
+dy AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY ALL),
+rate AS (SELECT CAST(year(d) AS INT) AS year, CAST(sum(n) AS DOUBLE) / count(n) AS rate FROM dy
+         WHERE year(d) BETWEEN 1995 AND 2001 GROUP BY ALL)"""
+_IMPORT_DIM_SQL = f"""diml AS (SELECT empresa, header_code, {NORMALIZED_SQL}, rubro FROM (VALUES """ + ", ".join(
+    f"('{h}', {'NULL' if s is None else s}, {'NULL' if i is None else i}, "
+    f"'{'otros   ingresos' if h == 'A' else 'cuenta ' + _account_name(h, s, i)}')" for h, s, i in IMPORT_ACCOUNTS) + f""")
+  t(header_code, sub_header_code, item_code, rubro) CROSS JOIN (VALUES {", ".join(f"('{c}')" for c in IMPORT_COMPANIES)}) c(empresa))"""
+_IMPORT_MONTHLY_SQL = f"""WITH {_IMPORT_ACTS_SQL}, {_IMPORT_DIM_SQL},
+ly AS (SELECT max(year) AS y FROM il),
+th AS (SELECT empresa, header_code, sub_header_code, item_code, month,
+              CAST(round(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,2))) / 1000) AS BIGINT) AS v
+       FROM il WHERE year = (SELECT y FROM ly) GROUP BY ALL),
+br AS (SELECT DISTINCT empresa, header_code, sub_header_code, item_code FROM th WHERE v <> 0 AND header_code <> 'I'),
+bud AS (SELECT br.*, (SELECT y FROM ly) AS year, CAST(mm.m AS INT) AS month, coalesce(1e3 * CAST(th.v AS DOUBLE), 0) AS valor
+        FROM br CROSS JOIN range(1, 13) mm(m) LEFT JOIN th ON th.empresa = br.empresa AND th.header_code = br.header_code
+          AND th.sub_header_code IS NOT DISTINCT FROM br.sub_header_code AND th.item_code IS NOT DISTINCT FROM br.item_code
+          AND th.month = mm.m),
+x AS (SELECT empresa, year, month, header_code, {NORMALIZED_SQL}, valor FROM acts),
+y AS (SELECT DISTINCT empresa, year, month, header_code, {NORMALIZED_SQL} FROM bud),
+xs AS (SELECT * FROM x WHERE EXISTS (SELECT 1 FROM y WHERE {_NULL_SAFE_6})),
+u AS ({_standardize_sql('xs', 'Ejecutado', '1e3')} UNION ALL {_standardize_sql('bud', 'Firmado', '1.0')}),
+v AS (SELECT make_date(year, month, 1) AS fecha, empresa, facet_col, fill_col, label, valor, tipo,
+             header_code, sub_header_code, item_code FROM u)""" + ORACLE["q22_keep_rule"].partition(Q21_CTE)[2]
+
+
+def _import_sql(name: str) -> str:
+    """A job's oracle on the import's sheets."""
+    return ORACLE[name].replace(_ACTS_SQL, _IMPORT_ACTS_SQL).replace(REFS_SQL, _IMPORT_REFS_SQL)
+
+
+#: dataset: (key columns, {measure: decimals})
+IMPORT_CONTENTS = {
+    "series_anuales": (("empresa", "year", "facet_col", "fill_col"),
+                       {"valor": 2, "valor_base": 6, "valor_pct_gdp": 9, "valor_usd": 6}),
+    "series_mensuales": (("fecha", "empresa", "facet_col", "fill_col", "label", "tipo", *CODES, "keep"), {"valor": 2}),
+    "caja_mensual": ((*CODES, "empresa", "fecha"),
+                     {"saldo": 2, "saldo_minimo_gastos": 2, "saldo_minimo_ingresos": 6, "saldo_minimo": 4}),
+    "serie_ipc_anual_24": (("year",), {"idx_base": 6}), "serie_pib_anual": (("year",), {"gdp": 6}),
+    "dolar_promedio_anual": (("year",), {"rate": 6}),
+    "proyecciones": (("header", "label", "ente", "year", "tipo"),
+                     {"ejecutado": 2, "ejecutado_base": 6, "ejecutado_pct_gdp": 9, "ejecutado_usd": 6}),
+}
+_IMPORT_DATASETS_SQL = {
+    "series_anuales": _import_sql("q39_annual_series_job"), "series_mensuales": _IMPORT_MONTHLY_SQL,
+    "caja_mensual": _import_sql("q38_cash_job"), "proyecciones": _import_sql("q37_projection_measures"),
+    **{name: f"WITH {_IMPORT_REFS_SQL} SELECT * FROM {cte}" for name, cte in (
+        ("serie_ipc_anual_24", "idx"), ("serie_pib_anual", "gdp"), ("dolar_promedio_anual", "rate"))}}
+
+
+def _contents_sql(name: str) -> str:
+    keys, measures = IMPORT_CONTENTS[name]
+    key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+    return "\nUNION ALL ".join(f"SELECT '{name}' AS dataset, {key} AS key, '{m}' AS measure, round({m}, {d}) AS value FROM {name}"
+                               for m, d in measures.items())
+
+
+@register("q48_import_job", "WITH " + ",\n".join(f"{n} AS ({sql})" for n, sql in _IMPORT_DATASETS_SQL.items()) + "\n"
+          + "\nUNION ALL ".join(map(_contents_sql, IMPORT_CONTENTS)))
+def q48(spark, sf):
+    """The whole import: sheets of actuals, structure, budget and template,
+    opening balances, macro series and projections are read as landed, the
+    seven datasets built, written to a new version of the bundle, committed,
+    and every value read back."""
+    out = scratch_path(spark, "import-bundle")
+    bundle = artifacts.build_bundle(import_inputs(spark, sf), DRIVER_METHOD, DRIVER_CASH, rules=DRIVER_RULES, stock_entity="R",
+                                    on_missing="null")
+    artifacts.write_bundle(bundle, out)
+    parts = []
+    for name, (keys, measures) in IMPORT_CONTENTS.items():
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
+        values = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), d).alias("value"))
+                           for m, d in measures.items()])
+        parts.append(artifacts.read_dataset(spark, out, name).select(
+            F.lit(name).alias("dataset"), key.alias("key"), F.inline(values)))
+    return union_by_name(*parts)
+
+
+@register("q49_relanded_sheets", f"""WITH {_IMPORT_ACTS_SQL}
+SELECT year, month, empresa, header_code, sub_header_code, item_code,
+       CASE WHEN year = 1998 AND month IN (1, 6) THEN 2 * valor ELSE valor END AS valor FROM acts""")
+def q49(spark, sf):
+    """Incremental ingest (SRC-04): all sheets land, then two of them again
+    with corrected values; each run reads what is new, and the corrected
+    sheets replace their facts."""
+    root = scratch_path(spark, "relanded")
+    landing, facts = f"{root}/landing", f"{root}/facts"
+    by_row, _ = accounts.structure_maps(import_structure(spark))
+    acts = import_actuals(spark, sf)
+    corrected = acts.where((F.col("year") == 1998) & F.col("month").isin(1, 6)).withColumn("valor", 2 * F.col("valor"))
+    for landed in (acts, corrected):
+        import_cells(landed).repartition("year", "sheet").write.mode("append").partitionBy("year", "sheet").parquet(landing)
+        ingest_new_sheets(spark, landing, by_row, facts, f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(facts).select("year", "month", "empresa", *CODES, "valor")

@@ -16,16 +16,17 @@ from ledgerlake.functions.numeric import is_finite
 from ledgerlake.operators.aggregate import strict_sum
 from ledgerlake.operators.joins import gap_fill, grid_template
 from ledgerlake.operators.measures import select_measure
-from ledgerlake.operators.periods import latest
 
 
 def kpi_totals(annual: DataFrame, unit: str = "valor", m: MonetaryMethodology = DEFAULT_METHODOLOGY,
                facet: str = "facet_col", units=None) -> DataFrame:
     """Latest-year total per facet in the chosen measure - the five KPIs in
-    ONE grouped aggregate (strict sum)."""
+    ONE grouped aggregate (strict sum), by year; the latest year is then found
+    among the few rows per year, so the series are evaluated once."""
     d = select_measure(annual, unit, list(m.unit_choices("annual").values()))
-    last = latest(annual, "year")
-    return d.where(F.col("year") == last).groupBy(facet).agg(strict_sum("ejecutado_select").alias("total")) \
+    yearly = d.groupBy("year", facet).agg(strict_sum("ejecutado_select").alias("total"))
+    last = F.max("year").over(Window.partitionBy())   # one row a year and facet
+    return yearly.withColumn("__last", last).where(F.col("year") == F.col("__last")).drop("__last", "year") \
         .withColumn("label", format_amount("total", unit, units))
 
 

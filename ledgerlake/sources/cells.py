@@ -52,6 +52,8 @@ def cells_to_long(cells: DataFrame, header_row: int, label_col: int = 1,
     The header and label cells of a sheet become two maps (their size is the
     sheet's layout), so cells meet them in one join on the sheet's keys.
     ``structure_map`` (keyed by ``row``) adds account codes to labelled rows.
+    A sheet with values and no header at all is unusable: it stops the job
+    (a row filter, so no later column selection drops the check).
     """
     k = list(keys)
     text = F.col("character")
@@ -65,7 +67,10 @@ def cells_to_long(cells: DataFrame, header_row: int, label_col: int = 1,
     layout = cells.where(is_head | is_label).groupBy(sheet).agg(lookup(is_head, "col").alias("__heads"),
                                                              lookup(is_label, "row").alias("__labels"))
     values = cells.where(F.col("numeric").isNotNull()).select(*k, sheet, "row", "col", F.col("numeric").alias(value))
-    out = values.join(layout, "__sheet", "left") \
+    named = F.concat_ws(" ", *[F.col(f"__sheet.{c}").cast("string") for c in k])
+    headless = F.coalesce(F.size("__heads"), F.lit(0)) <= 0
+    unusable = F.raise_error(F.concat(F.lit(f"Sheet without a header in row {header_row}: "), named)).cast("boolean")
+    out = values.join(layout, "__sheet", "left").where(F.when(headless, unusable).otherwise(F.lit(True))) \
         .withColumn(entity, F.try_element_at("__heads", F.col("col"))) \
         .withColumn(label, F.try_element_at("__labels", F.col("row"))).drop("__heads", "__labels", "__sheet")
     if structure_map is None:

@@ -1,7 +1,9 @@
-"""Landed tables (SRC-01, SRC-07, SRC-08, SNK-01)."""
+"""Landed tables (SRC-01, SRC-07, SRC-08, SNK-01) and versioned bundles of
+tables (SNK-02)."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,7 +70,63 @@ def _folder(spark: SparkSession, path: str):
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
-    """Overwrite sink; partitions by ``year`` when asked (SNK-01). The new
-    table is written in full before it replaces the old one, so a job that
-    fails - a guard, a lost cluster - leaves the old table as it was."""
+    """Overwrite sink of one table; partitions by ``year`` when asked (SNK-01).
+    The new table is written in full before it replaces the old one, so a job
+    that fails - a guard, a lost cluster - leaves the old table as it was. The
+    replacement is two renames; a driver lost between them leaves the old table
+    as ``<path>.staged-*.old``. Tables that must change together, or under
+    readers, belong in a bundle (:func:`commit_version`)."""
     publish_table(df.sparkSession, stage_table(df, path, fmt, partition_by), path)
+
+
+# --- versioned bundles ---------------------------------------------------------
+# <root>/versions/<version>/<table>/...   written once, never changed
+# <root>/_commits/<number>.<version>      an empty file; the highest one is current
+
+def new_version(root: str) -> tuple[str, str]:
+    """(version, folder) of a bundle that is about to be written."""
+    version = f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:12]}"
+    return version, f"{root.rstrip('/')}/versions/{version}"
+
+
+def commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, version) of all commits, oldest first."""
+    fs, folder = _folder(spark, f"{root.rstrip('/')}/_commits")
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName().partition(".") for f in fs.listStatus(folder)]
+    return sorted((int(number), version) for number, _, version in names if number.isdigit() and version)
+
+
+def commit_version(spark: SparkSession, root: str, version: str) -> None:
+    """Make a fully written version the current one. The commit is the creation
+    of one empty file: it exists or it does not, on any store, and no table of
+    an earlier version is touched. Of two writers with the same number the one
+    whose version sorts last is current, for every reader."""
+    number = max((n for n, _ in commits(spark, root)), default=0) + 1
+    fs, marker = _folder(spark, f"{root.rstrip('/')}/_commits/{number:012d}.{version}")
+    fs.create(marker, False).close()
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """Folder of the current version."""
+    done = commits(spark, root)
+    if not done:
+        raise FileNotFoundError(f"No committed version: {root}")
+    return f"{root.rstrip('/')}/versions/{done[-1][1]}"
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int = 2, abandoned_hours: float = 24.0) -> list[str]:
+    """Delete versions older than the last ``keep`` commits, and those without
+    a commit that nobody has changed for ``abandoned_hours``. Readers that hold
+    a path of a kept version go on reading it."""
+    done = commits(spark, root)
+    kept, known = {v for _, v in done[-max(keep, 1):]}, {v for _, v in done}
+    fs, folder = _folder(spark, f"{root.rstrip('/')}/versions")
+    gone = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        version, age = status.getPath().getName(), time.time() - status.getModificationTime() / 1000
+        if version not in kept and (version in known or age > abandoned_hours * 3600):
+            fs.delete(status.getPath(), True)
+            gone.append(version)
+    return gone

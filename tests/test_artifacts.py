@@ -2,11 +2,14 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import accounts
-from ledgerlake.plans.artifacts import LandedInputs, build_bundle, write_bundle
-from ledgerlake.sources.landed import write_table
+from ledgerlake.plans import artifacts
+from ledgerlake.plans.artifacts import LandedInputs, build_bundle, read_dataset, write_bundle
+from ledgerlake.sources.landed import commits, current_version, drop_versions, write_table
 from ledgerlake.streaming import ingest_new_sheets
 from tests.test_accounts import actual_cells, budget_sheets, structure
 
@@ -94,14 +97,12 @@ def test_artifact_command_writes_and_verifies(spark, tmp_path):
                  "index_sheet", "rate_sheet", "projection_sheet"):
         write_table(getattr(inp, name), str(landed / name))
     assert main(["--landed", str(landed), "--out", str(tmp_path / "out"), "--verify"]) == 0
-    assert spark.read.parquet(str(tmp_path / "out" / "caja_mensual")).count() == 2
+    assert read_dataset(spark, str(tmp_path / "out"), "caja_mensual").count() == 2
 
 
 def test_bundle_stops_on_invalid_reference_series(spark, tmp_path):
     import dataclasses
 
-    import pytest
-
     from ledgerlake.operators.measures import ReferenceSeriesError
     from ledgerlake.plans.artifacts import read_landed
     inp = landed_inputs(spark)
@@ -113,29 +114,125 @@ def test_bundle_stops_on_invalid_reference_series(spark, tmp_path):
 
 
 def test_failing_guard_leaves_published_artifacts(spark, tmp_path):
-    import pytest
-    from pyspark.errors import PySparkException
-
     out = str(tmp_path / "out")
     good = spark.createDataFrame([(1, "a")], "year int, label string")
     paths = write_bundle({"one": good, "two": good}, out)
     bad = accounts.stop_if(good, F.col("label") == "a", "blank label")
     with pytest.raises(PySparkException, match="blank label"):
         write_bundle({"one": good.withColumn("label", F.lit("new")), "two": bad}, out)
-    assert [r["label"] for r in spark.read.parquet(paths["one"]).collect()] == ["a"]
-    assert [r["label"] for r in spark.read.parquet(paths["two"]).collect()] == ["a"]
+    for name in ("one", "two"):
+        assert [r["label"] for r in read_dataset(spark, out, name).collect()] == ["a"]
     with pytest.raises(PySparkException, match="blank label"):
         write_table(bad, paths["one"])
     assert spark.read.parquet(paths["one"]).count() == 1
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["one", "two"]
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 1   # what was half written is gone
+    with pytest.raises(FileNotFoundError, match="No committed version"):
+        current_version(spark, str(tmp_path / "nothing"))
+
+
+def test_a_crash_at_any_step_leaves_all_seven_datasets_readable(spark, tmp_path, monkeypatch):
+    """Steps: seven writes, then the commit. A crash (nothing is cleaned up)
+    before, inside or after any of them but a finished commit shows the old
+    bundle whole; readers never see a mixture."""
+    out = str(tmp_path / "out")
+    names = list(build_bundle(landed_inputs(spark)))
+    frame = lambda tag: spark.createDataFrame([(2024, tag)], "year int, tag string")
+    seen = lambda: {n: [r["tag"] for r in read_dataset(spark, out, n).collect()] for n in names}
+    write_bundle({n: frame("old") for n in names}, out)
+    write, commit, steps = artifacts.write_dataset, artifacts.commit_version, []
+
+    class Crash(BaseException):   # like a killed driver: no handler of the job runs
+        pass
+
+    for step in range(2 * len(names) + 1):
+        def writing(df, path, partition_by=(), step=step):
+            steps.append("write")
+            if len(steps) == step // 2 + 1 and step % 2 == 0:
+                raise Crash
+            write(df, path, partition_by)
+            if len(steps) == step // 2 + 1:
+                raise Crash
+
+        def committing(*args):
+            raise Crash
+        steps.clear()
+        monkeypatch.setattr(artifacts, "write_dataset", writing)
+        monkeypatch.setattr(artifacts, "commit_version", committing)
+        with pytest.raises(Crash):
+            write_bundle({n: frame("new") for n in names}, out)
+        assert seen() == {n: ["old"] for n in names}, step
+    monkeypatch.setattr(artifacts, "write_dataset", write)
+    monkeypatch.setattr(artifacts, "commit_version", commit)
+    reader = read_dataset(spark, out, "caja_mensual")
+    write_bundle({n: frame("new") for n in names}, out)
+    assert seen() == {n: ["new"] for n in names}
+    assert [r["tag"] for r in reader.collect()] == ["old"]   # an open reader keeps its version
+    assert [n for n, _ in commits(spark, out)] == [1, 2]
+    assert len(drop_versions(spark, out, keep=1)) == 1       # the old one; crashed ones may still be written
+    assert len(drop_versions(spark, out, keep=1, abandoned_hours=0)) == 2 * len(names)   # but the one that wrote nothing
+    assert seen() == {n: ["new"] for n in names}
+
+
+def test_sheet_without_header_stops_the_import(spark, tmp_path):
+    by_row, _ = accounts.structure_maps(structure(spark))
+    cells = actual_cells(spark)
+    first = cells.where("numeric IS NOT NULL").first()
+    here = (F.col("year") == first["year"]) & (F.col("sheet") == first["sheet"])
+    headless = cells.where(~(here & (F.col("row") == 6)))
+    with pytest.raises(PySparkException, match="Sheet without a header in row 6"):
+        accounts.actuals_from_cells(headless, by_row).select("valor").collect()
+    assert accounts.actuals_from_cells(headless.where(~here), by_row).count() < accounts.actuals_from_cells(cells, by_row).count()
+
+
+def test_relanded_sheet_replaces_its_facts(spark, tmp_path):
+    """A corrected sheet, two landings of one sheet in the same run, and a
+    headless one, which stops the run and leaves all facts."""
+    landing, out, ckpt = (str(tmp_path / n) for n in ("landing", "facts", "ckpt"))
+    by_row, _ = accounts.structure_maps(structure(spark))
+    cells = actual_cells(spark)
+    first = cells.where("numeric IS NOT NULL").first()
+    sheet = cells.where((F.col("year") == first["year"]) & (F.col("sheet") == first["sheet"]))
+
+    def land(df):
+        df.coalesce(1).write.mode("append").partitionBy("year", "sheet").parquet(landing)
+
+    def ingest():
+        ingest_new_sheets(spark, landing, by_row, out, ckpt).awaitTermination(120)
+        return sorted(map(tuple, spark.read.parquet(out).select("year", "month", "row", "empresa", "valor").collect()), key=repr)
+
+    def facts(df):
+        return sorted(map(tuple, accounts.actuals_from_cells(df, by_row).select("year", "month", "row", "empresa", "valor")
+                          .collect()), key=repr)
+    land(cells)
+    assert ingest() == facts(cells)
+    shorter = sheet.where((F.col("row") != first["row"]) | (F.col("col") != first["col"]))   # a fact is withdrawn
+    others = cells.join(sheet.select("year", "sheet").distinct(), ["year", "sheet"], "left_anti")
+    land(shorter.withColumn("numeric", -F.col("numeric")))
+    land(shorter.withColumn("numeric", 3 * F.col("numeric")))
+    want = sorted(facts(others) + facts(shorter.withColumn("numeric", 3 * F.col("numeric"))), key=repr)
+    assert ingest() == want
+    assert ingest() == want
+    land(sheet.where("row <> 6"))
+    with pytest.raises(Exception, match="Sheet without a header"):
+        ingest()
+    assert sorted(map(tuple, spark.read.parquet(out).select("year", "month", "row", "empresa", "valor").collect()), key=repr) == want
+
+
+def test_import_hands_out_what_it_passes_through(spark):
+    between = {}
+    build_bundle(landed_inputs(spark), intermediate=between)
+    assert set(between) == {"structure_by_row", "structure_by_company", "actuals", "budget_raw", "budget_monthly"}
+    assert between["budget_monthly"].columns == ["fecha", "label", "empresa", "facet_col", "fill_col", "valor",
+                                                 "header_code", "sub_header_code", "item_code"]
+    assert between["actuals"].count() == accounts.actuals_from_cells(actual_cells(spark), between["structure_by_row"]).count()
 
 
 def test_year_filter_prunes_folders(spark, tmp_path):
     from ledgerlake.plans.artifacts import read_series
     df = spark.createDataFrame([(y, e, "Ingresos", 1.0) for y in (2023, 2024) for e in ("A", "B")],
                                "year int, empresa string, facet_col string, valor double")
-    write_bundle({"series_anuales": df}, str(tmp_path))
-    got = read_series(spark, str(tmp_path / "series_anuales"), ["A"], ["Ingresos"], [2024])
+    paths = write_bundle({"series_anuales": df}, str(tmp_path))
+    got = read_series(spark, paths["series_anuales"], ["A"], ["Ingresos"], [2024])
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [year" in plan
     assert "In(empresa" in plan or "EqualTo(empresa" in plan
