@@ -51,6 +51,7 @@ SLACK = 6.0              # standard errors of the estimate
 BLOCK_ROWS = 1024        # rows of a bucket that are estimated against each other at once
 PAIRS_AT_ONCE = 40_000
 BLOCK_SHINGLES = 500_000  # of a cluster that are held together in one exact test
+EXACT_ROWS = 1024        # rows of a cluster in one block of it: two blocks make a table of 2048 x 2048
 COLUMNS_AT_ONCE = 4096
 SMALL_ROLES = 2_000_000  # rows (40 bytes) that may be broadcast, proved by a count
 U64 = np.uint64
@@ -421,7 +422,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members_ = landed(clusters.join(labels.withColumnRenamed("id", "rid"), "rid", "left")
                       .withColumn("comp", F.coalesce("component", "rid")).drop("component")
                       .join(reps.select("rid", "doc_id", "thash", "n"), "rid"), "clusters")
-    weight = members_.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    weight = members_.groupBy("cluster").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / EXACT_ROWS))
+                                             .cast("int").alias("blocks"))
     held = _with_sets(members_.select("rid", "cluster", "comp", "doc_id", "thash"), texts, width)
     blocks = _block_pairs(held.join(weight, "cluster"), "cluster")
     more = landed(blocks.select("cluster", "i", "j", "own", "rid", "comp", "shingles").groupBy("cluster", "i", "j")
@@ -456,9 +458,11 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     gone = found.where(~stays & (F.col("n_shingles") > 0)) \
         .select("doc_id", "thash").distinct()
     gone = broadcast_if_small(landed(gone, "near-gone"), SMALL_ROLES).alias("g")
-    mark = F.xxhash64("text")
-    keyed = docs.withColumn("_thash", mark).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._thash") == F.col("g.thash"))
+    mark = "_thash"
+    while mark in docs.columns:   # a column of the documents may have any name
+        mark += "_"
+    keyed = docs.withColumn(mark, F.xxhash64("text")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col(f"d.{mark}") == F.col("g.thash"))
     kept = keyed.join(gone, same, "left_anti")
     # rows repeated as a whole: only doc_ids that occur again are looked at
     again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
@@ -468,4 +472,4 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     twice = kept.alias("k").join(again, repeated, "left_semi")
     words = twice.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     rest = twice.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return once.unionByName(words.dropDuplicates(["doc_id", "_thash"])).unionByName(rest).drop("_thash")
+    return once.unionByName(words.dropDuplicates(["doc_id", mark])).unionByName(rest).drop(mark)

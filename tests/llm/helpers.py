@@ -11,8 +11,9 @@ SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tex
                        T.StructField("size", T.StringType()), T.StructField("rank", T.StringType()),
                        T.StructField("uid", T.StringType()), T.StructField("hub", T.StringType()),
                        T.StructField("score", T.StringType()), T.StructField("_block", T.StringType()),
+                       T.StructField("_thash", T.StringType()),
                        T.StructField("Shard key", T.StringType())])
-CLASH = ("x",) * 7
+CLASH = ("x",) * 8
 
 LONG = " ".join(f"word{i % 977}q{i % 13}" for i in range(40000))
 EDGE = [
