@@ -24,8 +24,25 @@ MIN_POSTERIOR = 0.5      # of the best language; below it a document is rejected
 WIDTH, PERCENT = 5, 80   # near-duplicates: word shingles and similarity
 
 
+#: One executor runs stages with different Python workers one after the other;
+#: idle ones keep what their allocator holds. Freed arrays go back to the
+#: system, and Spark hands over documents in batches of some 8 MB.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2",
+                 "ARROW_DEFAULT_MEMORY_POOL": "system"}
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+def bounded_workers(spark: SparkSession) -> None:
+    """Settings of the pipeline's Python workers, where the session has none."""
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
+    if spark.conf.get(BATCH_BYTES[0]) == "67108864b":   # Spark's own default
+        spark.conf.set(*BATCH_BYTES)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that have no letter or no clearly best language."""
+    bounded_workers(spark)
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"), 4, 2)))
     shared = spark.sparkContext.broadcast((model.langs, model.logp, model.prior))
 
@@ -40,11 +57,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    bounded_workers(spark)
     return setsketch.drop_near_duplicates(docs, WIDTH, PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that contain a benchmark item."""
+    bounded_workers(spark)
     return decontaminate.drop_leaks(docs, benchmark(spark, sf_dir))
 
 
@@ -55,6 +74,7 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode what is left, write compressed token shards, read them back."""
+    bounded_workers(spark)
     return repair.encode_documents(docs, tokenizer_path())
 
 
