@@ -31,7 +31,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -106,6 +106,17 @@ def _readable(raw: bytes) -> str | None:
     return text if text and _printed(text) >= 0.95 * len(text) else None
 
 
+def _wide(raw: bytes) -> str | None:
+    """Text in UTF-16, told by its mark or by the zeros of ASCII characters."""
+    raw = raw[:len(raw) // 2 * 2]
+    for code, mark, high in (("utf-16-le", b"\xff\xfe", raw[1::2]), ("utf-16-be", b"\xfe\xff", raw[::2])):
+        if len(raw) >= 8 and (raw[:2] == mark or 2 * high.count(0) >= len(high)):
+            text = raw.decode(code, "replace").removeprefix("\ufeff")
+            if _printed(text) - text.count("\ufffd") >= 0.95 * len(text) > 0:
+                return text
+    return None
+
+
 def _wrapping(head: bytes) -> str | None:
     """Name of the compression that bytes begin with."""
     if head[:2] == b"\x1f\x8b":
@@ -205,17 +216,15 @@ class Unpacked:
         return self.span
 
     def windows(self) -> Iterator[str]:
-        """Texts of about ``MAX_LAYER`` characters; ``readable`` tells
-        afterwards whether all of them are text."""
-        decoder = codecs.getincrementaldecoder("utf-8")()
+        """Texts of about ``MAX_LAYER`` characters, bytes that are no text
+        replaced, so one of them costs no finding; ``readable`` tells
+        afterwards whether all of it is text (and no payload by chance)."""
+        decoder = codecs.getincrementaldecoder("utf-8")("replace")
         held, total, good, limit = "", 0, 0, MAX_LAYER
-        for piece in self._pieces():
-            try:
-                new = decoder.decode(piece)
-            except UnicodeDecodeError:
-                return
+        for piece in chain(self._pieces(), (None,)):
+            new = decoder.decode(piece or b"", piece is None)
             total += len(new)
-            good += _printed(new)
+            good += _printed(new) - new.count("\ufffd")
             held += new
             if len(held) >= limit:
                 held = SPACES.sub(" " * 256, held)  # how many does not matter to a match
@@ -308,6 +317,9 @@ def _base64_layers(text: str, begin: int, end: int) -> Iterator[Layer | Unpacked
     elif (got := _readable(raw)) is not None:
         yield Layer(got, path, places=_Run(lines, 0, 0, got))
         return
+    elif (got := _wide(raw)) is not None:
+        yield Layer(got, (*path, "utf16"), (begin, end))
+        return
     for m in STARTS.finditer(text, begin, end):
         a = m.start()
         if a > begin and _opens(_base64(text[a:min(a + 4096, end)])):
@@ -436,7 +448,6 @@ def _expand(text: str):
             got = set()
             for window in inner.windows():
                 got |= {(0, kind, 0, path) for _, kind, _, path in (yield window)}
-            got = got if inner.readable else ()
         else:
             got = yield inner.text
         for a, kind, b, path in got:

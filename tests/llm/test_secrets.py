@@ -2,7 +2,9 @@ import base64
 import bz2
 import gzip
 import hashlib
+import io
 import re
+import tarfile
 import urllib.parse
 import zlib
 
@@ -195,3 +197,37 @@ def test_base64_behind_a_path_or_a_joined_name():
             assert places(before + b64(pack(SECRET.encode())), f"assign/base64/{name}"), (before, name)
     two = b64(gzip.compress(SECRET.encode())).rstrip("=") + "\n" + b64(zlib.compress(SECRET.encode()))
     assert places(two, "assign/base64/gzip") and places(two, "assign/base64/zlib")
+
+
+def spans_of(payload):
+    """Added spans of a text that holds a payload in base64."""
+    text = "see " + base64.b64encode(payload).decode() + " end"
+    return text, secrets.scan(text)[1]
+
+
+def test_an_archive_of_config_files_keeps_its_findings():
+    packed = io.BytesIO()
+    with tarfile.open(fileobj=packed, mode="w:gz") as tar:
+        for i in range(3):
+            body = f"host = h{i}\npassword = hunter22{i}\n".encode()
+            info = tarfile.TarInfo(f"conf/{i}.ini")
+            info.size = len(body)
+            tar.addfile(info, io.BytesIO(body))
+    text, found = spans_of(packed.getvalue())
+    assert [name for *_, name in found] == ["assign/base64/gzip"]   # one range: the payload's
+    assert found[0][0] == 4 and found[0][2] == len(text) - 4
+
+
+@pytest.mark.parametrize("bad", [b"\xff", b"\x00\x01\x02\x80" * 400])
+@pytest.mark.parametrize("place", ["front", "middle", "end"])
+def test_bytes_that_are_no_text_cost_no_finding(bad, place):
+    lines = [f"token: abcdef{i}\n".encode() for i in range(50)]
+    lines.insert({"front": 0, "middle": 25, "end": 50}[place], bad)
+    _, found = spans_of(gzip.compress(b"".join(lines)))
+    assert [name for *_, name in found] == ["assign/base64/gzip"]
+
+
+@pytest.mark.parametrize("code", ["utf-16", "utf-16-le", "utf-16-be"])
+def test_utf16_in_base64_is_text(code):
+    text, found = spans_of("password = hunter22é".encode(code))
+    assert [(a, b, name) for a, _, b, name in found] == [(4, len(text) - 4, "assign/base64/utf16")]
