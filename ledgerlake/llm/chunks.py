@@ -1,26 +1,41 @@
 """Substring deduplication by content-defined chunks (operator 2).
 
-A gear hash rolls over the bytes of a text: the hash at a byte depends on the
-last 32 bytes only. Where its top bits are zero a chunk may end, so chunks
-move with the content: an insertion changes the chunks around it and no
-others. A cut is taken unless another candidate lies within ``MIN_BYTES``
-before it - a local rule, so equal passages are cut equally whatever stands
-before them. Chunks are deduplicated by a 64-bit digest of bytes and length.
-
-A chunk found in more than one document is repeated; ``drop_repeated_chunks``
-drops it. Passages are found by seeds instead: of every ``PASSAGE_BYTES``
-bytes the ``SEED`` bytes with the smallest digest, so equal passages of this
-length share one wherever they stand, periodic ones too. A repeated seed is
-extended byte by byte, against the first other document that has it (where it
-stands first and last in there), and what extended seeds cover without a gap is a passage from ``PASSAGE_BYTES`` on.
-
-Nothing collects the copies of a chunk or seed: digests are counted by partial
-aggregation, joined back (a frequent digest's rows can be split), and brought
-together by document, never by digest.
+A gear hash rolls over the bytes of a text; its low 16 bits depend on the last
+16 bytes only. Of every ``WIDTH`` adjacent places the one with the largest
+value is a cut (of equal ones the last), so cuts move with the content: an
+insertion changes the chunks around it and no others, and no chunk is longer
+than ``MAX_BYTES``. There is no cut that counts from a chunk's begin.
+
+Chunks are deduplicated by a 64-bit digest. A chunk between two cuts is a key
+together with the ``SEEN`` bytes before it, which its first cut rests on. Two
+equal passages have the same cuts from the largest place of their first whole
+window to that of their last one; these differ from ``SEEN + 2 * WIDTH`` =
+``PASSAGE_BYTES`` bytes on, so every such passage holds a key, periodic ones
+too, and reaches less than ``WIDTH`` bytes beyond its keys.
+
+A key of more than one document is repeated. Adjacent repeated keys of a
+document are a run. Of each run, the stretch around the keys that another
+document has goes to this document: to the first and to the last document
+that have the key, a document a run and key, not one a document. There every
+place of every key gives a diagonal, along which both texts are compared byte
+by byte; equal stretches of ``PASSAGE_BYTES`` and more are passages of both
+documents, to their edges. Spans that touch are one row.
+
+What can be missed: a passage of two documents, each key of which a smaller
+and a larger document have too that hold less of it. Everything that is
+reported stands in another document, byte by byte.
+
+Nothing collects the copies of a key: digests are counted by partial
+aggregation and joined back (a frequent digest's rows can be split); the
+stretches of a key of many documents are dealt to several copies of the text
+that they are compared with, some ``ASKERS`` to each.
 
 Defined results: null and empty texts have no chunk; rows with the same
-doc_id are one document (each row is reported); rows without doc_id are told
-apart by their text; an empty table gives no rows.
+doc_id are one document (its texts are not compared with each other, each
+different text is reported, equal ones once); rows without doc_id are told
+apart by their text; of ties for first_doc the smallest document counts; a
+very long text is one row of a task, its stretches are requests of their own;
+columns besides doc_id and text are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,18 +44,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlake.llm.common import landed, mix, slices, take_columns, text_buffers, workers_can_import
 
 WINDOW = 32              # bytes that the rolling hash sees
-CUT_BITS = 4             # a cut candidate every 16 bytes on average
-MIN_BYTES = 16
-MAX_BYTES = 1024
-PASSAGE_BYTES = 96
-SEED = 32
-REACH = PASSAGE_BYTES - SEED  # the next seed of an equal passage begins within
+SEEN = 16                # bytes that its low 16 bits see
+WIDTH = 40               # one cut at least in so many places
+MAX_BYTES = SEEN + WIDTH
+PASSAGE_BYTES = 96       # SEEN + 2 * WIDTH: such a passage holds a key
+REACH = 256              # bytes around a key that are compared, within its run
+ASKERS = 2048
 SLICE = 2 << 20
+PAIRS = 1 << 20          # places of equal keys paired at once
 _RNG = np.random.Generator(np.random.PCG64(20260202))
 GEAR = _RNG.integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 KEYS = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,38 +77,52 @@ def gear_hash(buf: np.ndarray) -> np.ndarray:
     return h
 
 
+def _inner_cuts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Cuts inside the texts: of each ``WIDTH`` adjacent places of one text,
+    all with ``SEEN`` bytes of it before them, the last largest one."""
+    if len(buf) < SEEN + WIDTH:
+        return np.zeros(0, np.int64)
+    value = np.zeros(len(buf), np.int64)  # place i: a cut before byte i
+    value[1:] = (gear_hash(buf)[:-1] & np.uint32(0xFFFF)).astype(np.int64) + 1
+    value[(buf & 0xC0) == 0x80] = 0       # never inside a character
+    best, width = value << 32 | np.arange(len(buf)), 1
+    while width < WIDTH:
+        step = min(width, WIDTH - width)
+        best = np.maximum(best[:-step], best[step:])
+        width += step
+    whole = np.zeros(len(buf) + 1, np.int8)
+    lo, hi = off[:-1] + SEEN, off[1:] - WIDTH + 1
+    np.add.at(whole, lo[lo < hi], 1)
+    np.add.at(whole, hi[lo < hi], -1)
+    best = best[np.cumsum(whole[:len(best)], dtype=np.int8) > 0]
+    return np.unique(best[best >> 32 > 0] & 0xFFFFFFFF)
+
+
 def cut_points(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Ends of all chunks (every text ends one)."""
-    n = len(buf)
-    hit = np.flatnonzero(gear_hash(buf) >> np.uint32(32 - CUT_BITS) == 0) + 1
-    hit = hit[hit < n]
-    hit = hit[(buf[hit] & 0xC0) != 0x80]  # never inside a character
-    text = np.searchsorted(off, hit, "right") - 1
-    # the window must lie inside the text: what stands before it is unseen
-    inside = hit - off[text] >= WINDOW
-    hit, text = hit[inside], text[inside]
-    apart = np.ones(len(hit), bool)
-    apart[1:] = (hit[1:] - hit[:-1] >= MIN_BYTES) | (text[1:] != text[:-1])
-    cuts = np.union1d(hit[apart], off[1:][np.diff(off) > 0])
-    begins = np.concatenate([[0], cuts[:-1]]) if len(cuts) else cuts
-    long = np.flatnonzero(cuts - begins > MAX_BYTES)
-    if len(long):
-        extra = []
-        for i in long.tolist():
-            at = np.arange(begins[i] + MAX_BYTES, cuts[i], MAX_BYTES)
-            back = at.copy()
-            for _ in range(3):  # to the start of the character
-                back -= (buf[back] & 0xC0) == 0x80
-            extra.append(back)
-        cuts = np.union1d(cuts, np.concatenate(extra))
-    return cuts
+    return np.union1d(_inner_cuts(buf, off), off[1:][np.diff(off) > 0])
+
+
+def keys(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(digests, begins, ends, first): chunks between two cuts of a text, the
+    digest also of the ``SEEN`` bytes before; text i has first[i]:first[i+1]."""
+    cuts = _inner_cuts(buf, off)
+    text = np.searchsorted(off, cuts, "right") - 1
+    pair = np.flatnonzero(text[1:] == text[:-1])
+    begin, end = cuts[pair], cuts[pair + 1]
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(len(buf) - 1, 0), _P)]))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(KEYS[buf] * powers[:len(buf)])])
+    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(buf), _P_INVERSE)]))
+    digest = (total[end] - total[begin - SEEN]) * back[begin - SEEN]
+    digest = mix(digest ^ ((end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    return digest.view(np.int64), begin, end, np.searchsorted(text[pair], np.arange(len(off)))
 
 
 def chunk(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(digests, byte lengths, first) - text i has chunks first[i]:first[i+1]."""
     cuts = cut_points(buf, off)
     begins = np.concatenate([[0], cuts[:-1]]).astype(np.int64) if len(cuts) else cuts.astype(np.int64)
-    powers = np.cumprod(np.full(MAX_BYTES + 4, _P))
+    powers = np.cumprod(np.full(MAX_BYTES, _P))
     rank = np.arange(len(buf)) - np.repeat(begins, cuts - begins)
     value = KEYS[buf] * powers[rank]
     digest = np.add.reduceat(value, begins) if len(begins) else np.zeros(0, np.uint64)
@@ -121,126 +151,201 @@ def _list(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ passages
 
-def seed_digests(buf: np.ndarray) -> np.ndarray:
-    """Digest of the ``SEED`` bytes from every byte on (of those that fit)."""
-    n = len(buf)
-    if n < SEED:
-        return np.zeros(0, np.uint64)
-    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, _P)]))
-    total = np.concatenate([[np.uint64(0)], np.cumsum(KEYS[buf] * powers)])
-    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - SEED, _P_INVERSE)]))
-    return mix((total[SEED:] - total[:-SEED]) * back)
-
-
-def _least(digests: np.ndarray) -> np.ndarray:
-    """Smallest of every ``PASSAGE_BYTES - SEED + 1`` adjacent digests."""
-    width, want = 1, PASSAGE_BYTES - SEED + 1
-    while width < want and len(digests):
-        step = min(width, want - width)
-        digests = np.minimum(digests[:-step], digests[step:])
-        width += step
-    return digests
-
-
-def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The seeds of every text: each ``PASSAGE_BYTES`` of it hold one, chosen
-    by these bytes alone."""
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different keys of every text."""
     for batch in batches:
         for part in slices(batch, "text", SLICE):
-            buf, off = text_buffers(part.column("text"))
-            least = _least(seed_digests(buf))
-            seeds = [np.unique(least[a:max(a, b - PASSAGE_BYTES + 1)]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-            first = np.concatenate([[0], np.cumsum([len(x) for x in seeds])])
-            yield pa.RecordBatch.from_pydict({
-                "uid": part.column("uid"), "digests": pa.ListArray.from_arrays(
-                    pa.array(first, pa.int32()), pa.array(np.concatenate(seeds).view(np.int64), pa.int64()))})
-
-
-def _found(buf: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order of the wanted digests, bytes at which one of them begins, which)."""
-    order = np.argsort(wanted)
-    known, digests = wanted[order], seed_digests(buf).view(np.int64)
-    at = np.minimum(np.searchsorted(known, digests), len(known) - 1)
-    where = np.flatnonzero(known[at] == digests)
-    return order, where, at[where]
-
-
-def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What stands before (backwards) and behind the wanted seeds of a document,
-    where each stands first and where it stands last."""
+            digest, _, _, first = keys(*text_buffers(part.column("text")))
+            own = [np.unique(digest[a:b]) for a, b in zip(first[:-1], first[1:])]
+            first = np.concatenate([[0], np.cumsum([len(x) for x in own])])
+            yield pa.RecordBatch.from_pydict({"uid": part.column("uid"), "digests": pa.ListArray.from_arrays(
+                pa.array(first, pa.int32()), pa.array(np.concatenate(own), pa.int64()))})
+
+
+def _heads(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a character begins at a byte or the end, characters before it)."""
+    head = np.append((buf & 0xC0) != 0x80, True)
+    return head, np.concatenate([[0], np.cumsum(head[:-1])])
+
+
+def stretches(digest, begin, end, size, known, others, counts):
+    """(other document, low, high, askers) of what a text of ``size`` bytes
+    has to ask: per run of adjacent repeated keys and other document the
+    bytes around the keys they share. ``known`` is sorted."""
+    at = np.minimum(np.searchsorted(known, digest), len(known) - 1)
+    hit = np.flatnonzero(known[at] == digest)
+    if not len(hit):
+        return []
+    at, begin, end = at[hit], begin[hit], end[hit]
+    new = np.append(True, np.diff(hit) != 1)
+    run = np.cumsum(new) - 1
+    edge = np.append(np.flatnonzero(new), len(hit))
+    run_lo, run_hi = begin[edge[:-1]] - SEEN - WIDTH, end[edge[1:] - 1] + WIDTH
+    out = []
+    for other, asks in others:
+        rows = np.flatnonzero(asks[at])
+        if not len(rows):
+            continue
+        rows = rows[np.lexsort((rows, other[at[rows]], run[rows]))]
+        who, where = other[at[rows]], run[rows]
+        first = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (where[1:] != where[:-1])))
+        lo = np.maximum(np.minimum.reduceat(begin[rows], first) - REACH, run_lo[where[first]])
+        hi = np.minimum(np.maximum.reduceat(end[rows], first) + REACH, run_hi[where[first]])
+        most = np.maximum.reduceat(counts[at[rows]], first)
+        out += zip(who[first].tolist(), np.maximum(lo, 0).tolist(), np.minimum(hi, size).tolist(), most.tolist())
+    return out
+
+
+ASKED = "partner long, salt int, kind int, rid long, doc_id long, uid long, at long, data binary"
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What every text asks other documents."""
     for batch in batches:
-        out: dict[str, list] = {k: [] for k in ("digest", "other", "around")}
-        uids = batch.column("uid").to_pylist()
+        out: dict[str, list] = {k.split()[0]: [] for k in ASKED.split(", ")}
+        ids, uids, rids = (batch.column(c).to_pylist() for c in ("doc_id", "uid", "rid"))
         for i in range(batch.num_rows):
-            buf, _ = text_buffers(batch.column("text").slice(i, 1))
-            wanted = _list(batch, "wanted", i)
-            order, where, which = _found(buf, wanted)
-            last = len(which) - 1 - np.unique(which[::-1], return_index=True)[1]
-            which, index = np.unique(which, return_index=True)
-            raw = buf.tobytes()
-
-            def near(p):
-                before, behind = raw[max(0, p - REACH):p][::-1], raw[p + SEED:p + SEED + REACH]
-                return before.ljust(REACH, b"\0") + behind.ljust(REACH, b"\0") + bytes((len(before), len(behind)))
-            for d, p, q in zip(wanted[order[which]].tolist(), where[index].tolist(), where[last].tolist()):
-                out["digest"].append(d)
-                out["other"].append(uids[i])
-                out["around"].append(near(p) if p == q else near(p) + near(q))
-        yield pa.RecordBatch.from_pydict({"digest": pa.array(out["digest"], pa.int64()),
-                                          "other": pa.array(out["other"], pa.int64()),
-                                          "around": pa.array(out["around"], pa.binary())})
-
-
-def _extended(buf: np.ndarray, where: np.ndarray, which: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, end) of every seed, extended byte by byte as far as the other
-    document agrees."""
-    begin, end = where.copy(), where + SEED
-    reach = np.arange(REACH)
-    for lo in range(0, len(where), 4096):
-        part, other = slice(lo, lo + 4096), around[which[lo:lo + 4096]]
-        before, behind = where[part, None] - 1 - reach, where[part, None] + SEED + reach
-        same = (before >= 0) & (reach < other[:, 2 * REACH, None]) & (buf[np.maximum(before, 0)] == other[:, :REACH])
-        begin[part] -= np.logical_and.accumulate(same, 1).sum(1)
-        same = (behind < len(buf)) & (reach < other[:, 2 * REACH + 1, None]) \
-            & (buf[np.minimum(behind, len(buf) - 1)] == other[:, REACH:2 * REACH])
-        end[part] += np.logical_and.accumulate(same, 1).sum(1)
-    return begin, end
-
-
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unions of extended seeds as spans, one row per long one."""
+            buf, off = text_buffers(batch.column("text").slice(i, 1))
+            digest, begin, end, _ = keys(buf, off)
+            known, firsts, lasts, counts = (_list(batch, c, i) for c in ("digests", "firsts", "lasts", "counts"))
+            order = np.argsort(known)
+            known, firsts, lasts, counts = known[order], firsts[order], lasts[order], counts[order]
+            sides = ((firsts, firsts != uids[i]), (lasts, lasts != uids[i]))
+            head, chars = _heads(buf)
+            raw, spread = buf.tobytes(), int(mix(np.array([uids[i]], np.int64).view(np.uint64))[0])
+            done = set()
+            for who, lo, hi, most in stretches(digest, begin, end, len(buf), known, sides, counts):
+                while not head[hi]:  # whole characters
+                    hi += 1
+                if hi - lo >= PASSAGE_BYTES and (who, lo, hi) not in done:
+                    done.add((who, lo, hi))
+                    row = (who, spread % -(-most // ASKERS), 1, rids[i], ids[i], uids[i], int(chars[lo]), raw[lo:hi])
+                    for column, v in zip(out.values(), row):
+                        column.append(v)
+        yield pa.RecordBatch.from_pydict({f.name: pa.array(out[f.name], f.type) for f in _ASKED})
+
+
+_ASKED = pa.schema([("partner", pa.int64()), ("salt", pa.int32()), ("kind", pa.int32()), ("rid", pa.int64()),
+                    ("doc_id", pa.int64()), ("uid", pa.int64()), ("at", pa.int64()), ("data", pa.binary())])
+
+
+def _runs(digest: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Equal keys one behind the other (a periodic stretch) as one:
+    (digest, first begin, step, count), sorted by digest."""
+    if not len(digest):
+        return (np.zeros(0, np.int64),) * 4
+    new = np.append(True, (digest[1:] != digest[:-1]) | (begin[1:] != end[:-1]))
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(digest)))
+    order = np.argsort(digest[first], kind="stable")
+    first = first[order]
+    return digest[first], begin[first], (end - begin)[first], count[order]
+
+
+def _diagonals(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> Iterator[np.ndarray]:
+    """Differences of place at which equal keys of two texts meet. Periodic
+    stretches meet around both ends, and between in steps of the shorter one."""
+    lo, hi = np.searchsorted(b[0], a[0], "left"), np.searchsorted(b[0], a[0], "right")
+    n, i = hi - lo, 0
+    total = np.cumsum(n)
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS, "right")))
+        x = np.repeat(np.arange(i, j), n[i:j])
+        y = np.arange(len(x)) - np.repeat(np.cumsum(n[i:j]) - n[i:j], n[i:j]) + np.repeat(lo[i:j], n[i:j])
+        shift, more, less = b[1][y] - a[1][x], b[3][y] - a[3][x], np.minimum(b[3][y], a[3][x])
+        steps = -(-np.abs(more) // less) + 1
+        k = np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps)
+        by = np.minimum(k * np.repeat(less, steps), np.repeat(np.abs(more), steps)) * np.repeat(np.sign(more), steps)
+        step = a[2][x]
+        found = [np.repeat(shift, steps) + by * np.repeat(step, steps)]
+        # a periodic stretch begins and ends up to MAX_BYTES from its first and last key
+        both = np.flatnonzero(less > 1)
+        if len(both):
+            near = -(-MAX_BYTES // step[both])
+            wide = 2 * near + 1
+            k = (np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide + near, wide)) * np.repeat(step[both], wide)
+            ends = shift[both], shift[both] + more[both] * step[both]
+            found += [np.repeat(end, wide) + k for end in ends]
+        yield np.unique(np.concatenate(found))
+        i = j
+
+
+def equal_stretches(piece: np.ndarray, piece_runs, text: np.ndarray, text_runs) -> list[tuple[int, int, int]]:
+    """(begin, end, place in the text) of all equal stretches of
+    ``PASSAGE_BYTES`` and more along diagonals with a common key."""
+    out = []
+    for shifts in _diagonals(piece_runs, text_runs):
+        for d in shifts.tolist():
+            lo, hi = max(0, -d), min(len(piece), len(text) - d)
+            if hi - lo < PASSAGE_BYTES:
+                continue
+            unlike = np.flatnonzero(piece[lo:hi] != text[lo + d:hi + d])
+            edges = np.concatenate([[-1], unlike, [hi - lo]])
+            for k in np.flatnonzero(np.diff(edges) > PASSAGE_BYTES).tolist():
+                x, y = lo + int(edges[k]) + 1, lo + int(edges[k + 1])
+                out.append((x, y, x + d))
+    return out
+
+
+def _spans(spans: list[tuple[int, int, int]], head: np.ndarray, chars: np.ndarray, at: int) -> list[tuple[int, int, int]]:
+    """Whole characters of (begin, end, document) as code points, joined where
+    they touch, with the smallest document."""
+    out: list[tuple[int, int, int]] = []
+    for x, y, other in sorted(spans):
+        while x < y and not head[x]:
+            x += 1
+        while x < y and not head[y]:
+            y -= 1
+        x, y = at + int(chars[x]), at + int(chars[y])
+        if out and x <= out[-1][1]:
+            out[-1] = (out[-1][0], max(y, out[-1][1]), min(other, out[-1][2]))
+        else:
+            out.append((x, y, other))
+    return out
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by (partner, salt), its texts first: passages of the texts and of
+    those that ask."""
+    here, texts = None, []  # of the current partner: row, bytes, runs, spans
+
+    def flush(out):
+        for (rid, doc_id, _), buf, _, spans in texts:
+            if spans:
+                out += [(rid, doc_id, *x) for x in _spans(spans, *_heads(buf), 0)]
+
+    def made(rows):
+        return pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows], pa.int64())
+                                           for i, k in enumerate(("rid", "doc_id", "start", "end", "first_doc"))})
     for batch in batches:
-        out: dict[str, list] = {k: [] for k in ("doc_id", "start", "end", "n_chunks", "first_doc")}
-        ids = batch.column("doc_id").to_pylist()
+        out: list[tuple] = []
+        cols = {k: batch.column(k).to_pylist() for k in ("partner", "salt", "kind", "rid", "doc_id", "uid", "at")}
         for i in range(batch.num_rows):
-            buf, _ = text_buffers(batch.column("text").slice(i, 1))
-            order, where, which = _found(buf, _list(batch, "repeated", i))
-            if not len(where):
+            group = cols["partner"][i], cols["salt"][i]
+            row = cols["rid"][i], cols["doc_id"][i], cols["uid"][i]
+            if group != here:
+                flush(out)
+                here, texts = group, []
+            buf = np.frombuffer(batch.column("data")[i].as_buffer(), np.uint8)
+            if not cols["kind"][i]:
+                if len(buf) >= PASSAGE_BYTES:
+                    texts.append([row, buf.copy(), None, []])
                 continue
-            around = [x if len(x) > 2 * REACH + 2 else x + x for x in batch.column("around")[i].as_py()]
-            around = np.frombuffer(b"".join(around), np.uint8).reshape(len(around), 2, -1)[order]
-            first = _list(batch, "firsts", i)[order]
-            begin, end = _extended(buf, where, which, around[:, 0])
-            twice = np.flatnonzero((around[which, 0] != around[which, 1]).any(1))
-            if len(twice):
-                x, y = _extended(buf, where[twice], which[twice], around[:, 1])
-                begin[twice], end[twice] = np.minimum(begin[twice], x), np.maximum(end[twice], y)
-            sort = np.argsort(begin, kind="stable")
-            begin, end, which = begin[sort], np.maximum.accumulate(end[sort]), which[sort]
-            edge = np.concatenate([[0], np.flatnonzero(begin[1:] > end[:-1]) + 1, [len(begin)]])
-            head = (buf & 0xC0) != 0x80
-            chars = np.concatenate([[0], np.cumsum(head)])
-            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                x, y = int(begin[a]), int(end[b - 1])
-                while x < y and not head[x]:  # whole characters
-                    x += 1
-                while x < y < len(buf) and not head[y]:
-                    y -= 1
-                if y - x >= PASSAGE_BYTES:
-                    row = (ids[i], int(chars[x]), int(chars[y]), len(np.unique(which[a:b])), int(first[which[a:b]].min()))
-                    for k, v in zip(out, row):
-                        out[k].append(v)
-        yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
+            runs = _runs(*keys(buf, np.array([0, len(buf)]))[:3])
+            spans = []
+            for text in texts:
+                if text[2] is None:
+                    text[2] = _runs(*keys(text[1], np.array([0, len(text[1])]))[:3])
+                for x, y, z in equal_stretches(buf, runs, text[1], text[2]):
+                    first = min(row[2], text[0][2])
+                    spans.append((x, y, first))
+                    text[3].append((z, z + y - x, first))
+            if spans:
+                out += [(*row[:2], *x) for x in _spans(spans, *_heads(buf), cols["at"][i])]
+        yield made(out)
+    out = []
+    flush(out)
+    yield made(out)
 
 
 def _uid():
@@ -269,26 +374,36 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per passage that other documents have too: doc_id, start and
-    end (code points), n_chunks (different repeated seeds in it), first_doc
-    (smallest document that has one of them)."""
+    end (code points), first_doc (smallest document it was found in)."""
     workers_can_import(docs.sparkSession)
-    texts = take_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), _uid(), "text")
-    seeds = landed(texts.select("uid", "text").mapInArrow(_seeded, "uid long, digests array<long>"), "seeds")
-    each = seeds.select("uid", F.explode("digests").alias("digest"))
-    repeated = each.groupBy("digest").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first <> last")
-    # a document is compared with the first that has the seed, that one with the last
-    own = landed(each.join(repeated, "digest").select(
-        "uid", "digest", F.when(F.col("first") == F.col("uid"), F.col("last")).otherwise(F.col("first")).alias("other")),
-        "repeated")
-    wanted = own.groupBy(F.col("other").alias("uid")).agg(F.collect_set("digest").alias("wanted"))
-    around = texts.join(wanted, "uid").select("uid", "text", "wanted").mapInArrow(
-        _around, "digest long, other long, around binary").groupBy("digest", "other").agg(F.min("around").alias("around"))
-    # by document: a document's own repeated seeds, never the copies of a seed
-    held = own.join(around, ["digest", "other"]).groupBy("uid").agg(
-        F.collect_set(F.struct("digest", F.least("uid", "other").alias("first"), "around")).alias("own"))
-    rows = texts.join(held, "uid").select("doc_id", "text", F.col("own.digest").alias("repeated"),
-                                          F.col("own.first").alias("firsts"), F.col("own.around").alias("around"))
-    return rows.mapInArrow(_passages, "doc_id long, start long, end long, n_chunks long, first_doc long")
+    texts = take_columns(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), _uid(), "text").withColumn("rid", F.xxhash64("uid", "text"))
+    each = texts.select("uid", "text").mapInArrow(_keyed, "uid long, digests array<long>") \
+        .select("uid", F.explode("digests").alias("digest"))
+    repeated = each.groupBy("digest").agg(F.min("uid").alias("first"), F.max("uid").alias("last"),
+                                          F.count("*").alias("n")).where("first <> last")
+    # by document: a document's own repeated keys, never the copies of a key
+    own = each.join(repeated, "digest").groupBy("uid").agg(
+        F.collect_set(F.struct("digest", "first", "last", "n")).alias("own"))
+    asked = landed(texts.join(own, "uid").select(
+        "doc_id", "uid", "rid", "text", F.col("own.digest").alias("digests"), F.col("own.first").alias("firsts"),
+        F.col("own.last").alias("lasts"), F.col("own.n").alias("counts")).mapInArrow(_asked, ASKED), "asked")
+    # a text that many ask stands in several places
+    salts = asked.where("salt > 0").select("partner", "salt").distinct()
+    one = texts.select(F.col("uid").alias("partner"), F.lit(0).alias("salt"), F.lit(0).alias("kind"), "rid", "doc_id",
+                       "uid", F.lit(0).cast("long").alias("at"), F.col("text").cast("binary").alias("data")) \
+        .where("length(data) >= %d" % PASSAGE_BYTES)
+    several = one.drop("salt").join(salts, "partner").select(*one.columns)
+    spans = one.unionByName(several).unionByName(asked).repartition("partner", "salt") \
+        .sortWithinPartitions("partner", "salt", "kind").mapInArrow(
+            _answered, "rid long, doc_id long, start long, end long, first_doc long")
+    before = Window.partitionBy("rid", "doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("rid", "doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    apart = spans.distinct().withColumn("reach", F.max("end").over(before)) \
+        .withColumn("island", F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(upto))
+    return apart.groupBy("rid", "doc_id", "island").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("first_doc").alias("first_doc")) \
+        .select("doc_id", "start", "end", "first_doc")
 
 
 def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

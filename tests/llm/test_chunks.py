@@ -123,3 +123,71 @@ def test_less_than_a_passage_is_none(spark):
     short = text_of(rng, 40)[:chunks.PASSAGE_BYTES - 1]
     rows = [(i, text_of(rng, 30) + mark + short + mark + text_of(rng, 30)) for i, mark in enumerate("<[{(")]
     assert chunks.repeated_passages(make(spark, rows)).collect() == []
+
+
+def windows_of(texts, n=chunks.PASSAGE_BYTES):
+    """Per document the bytes that a window of n bytes covers which stands in
+    another document too (brute force over all windows)."""
+    where = {}
+    for i, t in texts.items():
+        for p in range(len(t) - n + 1):
+            where.setdefault(t[p:p + n], set()).add(i)
+    out = {}
+    for i, t in texts.items():
+        own = {q for p in range(len(t) - n + 1) if len(where[t[p:p + n]]) > 1 for q in range(p, p + n)}
+        if own:
+            out[i] = own
+    return out
+
+
+def covered(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    return out
+
+
+def test_pieces_in_smaller_documents_hide_no_passage(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+
+    def add(middle):
+        rows.append((len(rows), text_of(rng, 20) + "<" + middle + ">" + text_of(rng, 20)))
+    passages = [text_of(rng, 60)[:120 + 10 * (k % 12)] for k in range(40)]
+    for t in passages:
+        for lo in range(0, len(t), 60):
+            add(t[lo:lo + 60])
+    for t in passages:
+        add(t)
+        add(t)
+    texts = dict(rows)
+    assert covered(chunks.repeated_passages(make(spark, rows)).collect()) == windows_of(texts)
+
+
+def test_passages_of_the_table_against_all_windows(spark):
+    """Nothing is reported that no repeated window covers, and of all that
+    repeated windows cover 99.9 % is found, in every document."""
+    df = docs(spark)
+    texts = {r["doc_id"]: r["text"] for r in df.collect() if r["text"] and r["text"].isascii()}
+    want = windows_of(texts)
+    got = covered(chunks.repeated_passages(df.where(df.doc_id.isin(list(texts)))).collect())
+    assert all(v <= want[i] for i, v in got.items()) and set(got) == set(want)
+    assert sum(map(len, got.values())) >= 0.999 * sum(map(len, want.values()))
+
+
+def test_periodic_and_repeated_places(spark):
+    line = "the same boiler plate stands in this line of every page of the book, again and again and again. "
+    rows = [(0, "a" * 5000 + line * 30), (1, "b" * 300 + line * 3 + "a" * 200), (2, "xyz" * 500), (3, "q" + "xyz" * 60),
+            (4, "漢字" * 400), (5, "…" + "漢字" * 90), (6, "b" * 90)]
+    got = chunks.repeated_passages(make(spark, rows)).collect()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in got} == {
+        (0, 0, 5000 + 30 * len(line)), (1, 300, 500 + 3 * len(line)), (2, 0, 1500), (3, 1, 181), (4, 0, 800), (5, 1, 181)}
+
+
+def test_askers_of_one_text_are_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    passage = text_of(rng, 40)
+    rows = [(i, text_of(rng, 8) + "<" + passage + ">" + text_of(rng, 8)) for i in range(60)]
+    whole = sorted(map(tuple, chunks.repeated_passages(make(spark, rows)).collect()))
+    monkeypatch.setattr(chunks, "ASKERS", 4)
+    assert sorted(map(tuple, chunks.repeated_passages(make(spark, rows)).collect())) == whole and len(whole) == 60
