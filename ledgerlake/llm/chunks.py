@@ -200,59 +200,75 @@ ASKED = "partner long, salt int, kind int, rid long, doc_id long, uid long, at l
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What every text asks other documents."""
+    """What every text asks other documents. The last document of a key asks
+    the first one, which need not ask back: answers are for both."""
     for batch in batches:
-        out: dict[str, list] = {k.split()[0]: [] for k in ASKED.split(", ")}
-        ids, uids, rids = (batch.column(c).to_pylist() for c in ("doc_id", "uid", "rid"))
-        for i in range(batch.num_rows):
-            buf, off = text_buffers(batch.column("text").slice(i, 1))
-            digest, begin, end, _ = keys(buf, off)
-            known, firsts, lasts, counts = (_list(batch, c, i) for c in ("digests", "firsts", "lasts", "counts"))
-            order = np.argsort(known)
-            known, firsts, lasts, counts = known[order], firsts[order], lasts[order], counts[order]
-            sides = ((firsts, firsts != uids[i]), (lasts, lasts != uids[i]))
-            head, chars = _heads(buf)
-            raw, spread = buf.tobytes(), int(mix(np.array([uids[i]], np.int64).view(np.uint64))[0])
-            done = set()
-            for who, lo, hi, most in stretches(digest, begin, end, len(buf), known, sides, counts):
-                while not head[hi]:  # whole characters
-                    hi += 1
-                if hi - lo >= PASSAGE_BYTES and (who, lo, hi) not in done:
-                    done.add((who, lo, hi))
-                    row = (who, spread % -(-most // ASKERS), 1, rids[i], ids[i], uids[i], int(chars[lo]), raw[lo:hi])
-                    for column, v in zip(out.values(), row):
-                        column.append(v)
-        yield pa.RecordBatch.from_pydict({f.name: pa.array(out[f.name], f.type) for f in _ASKED})
+        for part in slices(batch, "text", SLICE):
+            out: dict[str, list] = {f.name: [] for f in _ASKED}
+            ids, uids, rids = (part.column(c).to_pylist() for c in ("doc_id", "uid", "rid"))
+            all_bytes, off = text_buffers(part.column("text"))
+            digest, begin, end, key = keys(all_bytes, off)
+            for i in range(part.num_rows):
+                buf, own = all_bytes[off[i]:off[i + 1]], slice(key[i], key[i + 1])
+                known, firsts, lasts, counts = (_list(part, c, i) for c in ("digests", "firsts", "lasts", "counts"))
+                order = np.argsort(known)
+                known, firsts, lasts, counts = known[order], firsts[order], lasts[order], counts[order]
+                later = firsts != uids[i]
+                found = stretches(digest[own], begin[own] - off[i], end[own] - off[i], len(buf), known,
+                                  ((firsts, later), (lasts, later & (lasts != uids[i]))), counts)
+                if not found:
+                    continue
+                head, chars = _heads(buf)
+                raw, spread = buf.tobytes(), int(mix(np.array([uids[i]], np.int64).view(np.uint64))[0])
+                for who, lo, hi, most in found:
+                    while not head[lo]:  # whole characters
+                        lo -= 1
+                    while not head[hi]:
+                        hi += 1
+                    if hi - lo >= PASSAGE_BYTES:
+                        row = (who, spread % -(-most // ASKERS), 1, rids[i], ids[i], uids[i], int(chars[lo]), raw[lo:hi])
+                        for column, v in zip(out.values(), row):
+                            column.append(v)
+            yield pa.RecordBatch.from_pydict({f.name: pa.array(out[f.name], f.type) for f in _ASKED})
 
 
 _ASKED = pa.schema([("partner", pa.int64()), ("salt", pa.int32()), ("kind", pa.int32()), ("rid", pa.int64()),
                     ("doc_id", pa.int64()), ("uid", pa.int64()), ("at", pa.int64()), ("data", pa.binary())])
 
 
-def _runs(digest: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Equal keys one behind the other (a periodic stretch) as one:
-    (digest, first begin, step, count), sorted by digest."""
-    if not len(digest):
-        return (np.zeros(0, np.int64),) * 4
-    new = np.append(True, (digest[1:] != digest[:-1]) | (begin[1:] != end[:-1]))
+def _runs(buf: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Per text its keys sorted by digest: (digest, first begin, step, count);
+    equal keys one behind the other (a periodic stretch) are one."""
+    digest, begin, end, key = keys(buf, off)
+    text = np.repeat(np.arange(len(off) - 1), np.diff(key))
+    new = np.ones(len(digest), bool)
+    new[1:] = (digest[1:] != digest[:-1]) | (begin[1:] != end[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(digest)))
-    order = np.argsort(digest[first], kind="stable")
-    first = first[order]
-    return digest[first], begin[first], (end - begin)[first], count[order]
+    order = np.lexsort((digest[first], text[first]))
+    first, count = first[order], count[order]
+    columns = digest[first], begin[first] - off[text[first]], (end - begin)[first], count
+    edge = np.searchsorted(text[first], np.arange(len(off))).tolist()
+    return [tuple(c[a:b] for c in columns) for a, b in zip(edge[:-1], edge[1:])]
 
 
 def _diagonals(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> Iterator[np.ndarray]:
     """Differences of place at which equal keys of two texts meet. Periodic
     stretches meet around both ends, and between in steps of the shorter one."""
-    lo, hi = np.searchsorted(b[0], a[0], "left"), np.searchsorted(b[0], a[0], "right")
-    n, i = hi - lo, 0
-    total = np.cumsum(n)
+    lo = b[0].searchsorted(a[0], "left")
+    n, i = b[0].searchsorted(a[0], "right") - lo, 0
+    some = n.nonzero()[0]
+    a, lo, n = tuple(c[some] for c in a), lo[some], n[some]
+    total = n.cumsum()
     while i < len(n):
         j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS, "right")))
         x = np.repeat(np.arange(i, j), n[i:j])
         y = np.arange(len(x)) - np.repeat(np.cumsum(n[i:j]) - n[i:j], n[i:j]) + np.repeat(lo[i:j], n[i:j])
-        shift, more, less = b[1][y] - a[1][x], b[3][y] - a[3][x], np.minimum(b[3][y], a[3][x])
+        i, shift = j, b[1][y] - a[1][x]
+        more, less = b[3][y] - a[3][x], np.minimum(b[3][y], a[3][x])
+        if not (more.any() or (less > 1).any()):
+            yield np.unique(shift)
+            continue
         steps = -(-np.abs(more) // less) + 1
         k = np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps)
         by = np.minimum(k * np.repeat(less, steps), np.repeat(np.abs(more), steps)) * np.repeat(np.sign(more), steps)
@@ -267,7 +283,6 @@ def _diagonals(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> Iterator
             ends = shift[both], shift[both] + more[both] * step[both]
             found += [np.repeat(end, wide) + k for end in ends]
         yield np.unique(np.concatenate(found))
-        i = j
 
 
 def equal_stretches(piece: np.ndarray, piece_runs, text: np.ndarray, text_runs) -> list[tuple[int, int, int]]:
@@ -279,9 +294,10 @@ def equal_stretches(piece: np.ndarray, piece_runs, text: np.ndarray, text_runs)
             lo, hi = max(0, -d), min(len(piece), len(text) - d)
             if hi - lo < PASSAGE_BYTES:
                 continue
-            unlike = np.flatnonzero(piece[lo:hi] != text[lo + d:hi + d])
-            edges = np.concatenate([[-1], unlike, [hi - lo]])
-            for k in np.flatnonzero(np.diff(edges) > PASSAGE_BYTES).tolist():
+            unlike = (piece[lo:hi] != text[lo + d:hi + d]).nonzero()[0]
+            edges = np.empty(len(unlike) + 2, np.int64)
+            edges[0], edges[1:-1], edges[-1] = -1, unlike, hi - lo
+            for k in (edges[1:] - edges[:-1] > PASSAGE_BYTES).nonzero()[0].tolist():
                 x, y = lo + int(edges[k]) + 1, lo + int(edges[k + 1])
                 out.append((x, y, x + d))
     return out
@@ -318,31 +334,30 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows], pa.int64())
                                            for i, k in enumerate(("rid", "doc_id", "start", "end", "first_doc"))})
     for batch in batches:
-        out: list[tuple] = []
-        cols = {k: batch.column(k).to_pylist() for k in ("partner", "salt", "kind", "rid", "doc_id", "uid", "at")}
-        for i in range(batch.num_rows):
-            group = cols["partner"][i], cols["salt"][i]
-            row = cols["rid"][i], cols["doc_id"][i], cols["uid"][i]
-            if group != here:
-                flush(out)
-                here, texts = group, []
-            buf = np.frombuffer(batch.column("data")[i].as_buffer(), np.uint8)
-            if not cols["kind"][i]:
-                if len(buf) >= PASSAGE_BYTES:
-                    texts.append([row, buf.copy(), None, []])
-                continue
-            runs = _runs(*keys(buf, np.array([0, len(buf)]))[:3])
-            spans = []
-            for text in texts:
-                if text[2] is None:
-                    text[2] = _runs(*keys(text[1], np.array([0, len(text[1])]))[:3])
-                for x, y, z in equal_stretches(buf, runs, text[1], text[2]):
+        for part in slices(batch, "data", SLICE):
+            out: list[tuple] = []
+            cols = {k: part.column(k).to_pylist() for k in ("partner", "salt", "kind", "rid", "doc_id", "uid", "at")}
+            data, off = text_buffers(part.column("data"))
+            runs = _runs(data, off)
+            for i in range(part.num_rows):
+                group = cols["partner"][i], cols["salt"][i]
+                row = cols["rid"][i], cols["doc_id"][i], cols["uid"][i]
+                if group != here:
+                    flush(out)
+                    here, texts = group, []
+                buf = data[off[i]:off[i + 1]]
+                if not cols["kind"][i]:
+                    texts.append((row, buf, runs[i], []))
+                    continue
+                spans = []
+                for text in texts:
                     first = min(row[2], text[0][2])
-                    spans.append((x, y, first))
-                    text[3].append((z, z + y - x, first))
-            if spans:
-                out += [(*row[:2], *x) for x in _spans(spans, *_heads(buf), cols["at"][i])]
-        yield made(out)
+                    for x, y, z in equal_stretches(buf, runs[i], text[1], text[2]):
+                        spans.append((x, y, first))
+                        text[3].append((z, z + y - x, first))
+                if spans:
+                    out += [(*row[:2], *x) for x in _spans(spans, *_heads(buf), cols["at"][i])]
+            yield made(out)
     out = []
     flush(out)
     yield made(out)
