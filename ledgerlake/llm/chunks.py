@@ -387,12 +387,12 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
         .where("first <> last").select("digest", "first")
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """One row per passage that other documents have too: doc_id, start and
-    end (code points), first_doc (smallest document it was found in)."""
-    workers_can_import(docs.sparkSession)
-    texts = take_columns(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"), _uid(), "text").withColumn("rid", F.xxhash64("uid", "text"))
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _landed_questions(texts: DataFrame) -> DataFrame:
+    """What all texts ask, as a written table. The shuffle files of this write
+    go when it ends: nothing reads them again."""
     each = texts.select("uid", "text").mapInArrow(_keyed, "uid long, digests array<long>") \
         .select("uid", F.explode("digests").alias("digest"))
     repeated = each.groupBy("digest").agg(F.min("uid").alias("first"), F.max("uid").alias("last"),
@@ -400,9 +400,25 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # by document: a document's own repeated keys, never the copies of a key
     own = each.join(repeated, "digest").groupBy("uid").agg(
         F.collect_set(F.struct("digest", "first", "last", "n")).alias("own"))
-    asked = landed(texts.join(own, "uid").select(
+    asked = texts.join(own, "uid").select(
         "doc_id", "uid", "rid", "text", F.col("own.digest").alias("digests"), F.col("own.first").alias("firsts"),
-        F.col("own.last").alias("lasts"), F.col("own.n").alias("counts")).mapInArrow(_asked, ASKED), "asked")
+        F.col("own.last").alias("lasts"), F.col("own.n").alias("counts")).mapInArrow(_asked, ASKED)
+    spark = texts.sparkSession
+    was = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        return landed(asked, "asked")
+    finally:
+        spark.conf.set(FREE_SHUFFLES, was)
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """One row per passage that other documents have too: doc_id, start and
+    end (code points), first_doc (smallest document it was found in)."""
+    workers_can_import(docs.sparkSession)
+    texts = take_columns(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), _uid(), "text").withColumn("rid", F.xxhash64("uid", "text"))
+    asked = _landed_questions(texts)
     # a text that many ask stands in several places
     salts = asked.where("salt > 0").select("partner", "salt").distinct()
     one = texts.select(F.col("uid").alias("partner"), F.lit(0).alias("salt"), F.lit(0).alias("kind"), "rid", "doc_id",
