@@ -39,8 +39,9 @@ def paragraphs(text: Column) -> Column:
 
 def fingerprint(text: Column) -> Column:
     """array<long>: WIDE integers of three lanes, then the paragraph count."""
+    # the salt goes first: behind the paragraph it would only rehash the first word
     parts = F.transform(paragraphs(text), lambda p: F.struct(
-        F.xxhash64(p).alias("a"), F.xxhash64(p, F.lit(1)).alias("b")))
+        F.xxhash64(p).alias("a"), F.xxhash64(F.lit("second word"), p).alias("b")))
     lanes = F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda i: F.lit(0).cast("long"))
     start = F.struct(lanes.alias("v"), F.lit(0).cast("long").alias("n"))
 
