@@ -55,8 +55,9 @@ MAX_BYTES = SEEN + WIDTH
 PASSAGE_BYTES = 96       # SEEN + 2 * WIDTH: such a passage holds a key
 REACH = 256              # bytes around a key that are compared, within its run
 ASKERS = 2048
-SLICE = 2 << 20
+SLICE = 1 << 18
 PAIRS = 1 << 20          # places of equal keys paired at once
+EDGE = 1 << 12           # stretches up to this long are compared along many diagonals at once
 _RNG = np.random.Generator(np.random.PCG64(20260202))
 GEAR = _RNG.integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 KEYS = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,26 +65,35 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 
 
-def gear_hash(buf: np.ndarray) -> np.ndarray:
+def gear_hash(buf: np.ndarray, kind=np.uint32) -> np.ndarray:
     """h[i] = sum of GEAR[buf[i-j]] << j over the last 32 bytes, mod 2**32,
-    by doubling the window five times."""
-    h = GEAR[buf]
-    width = 1
-    while width < WINDOW:
-        shifted = h[:-width] << np.uint32(width) if len(h) > width else h[:0]
+    by doubling the window five times; as uint16 its low 16 bits, which the
+    last 16 bytes make."""
+    h = GEAR.astype(kind)[buf]
+    width, window = 1, min(WINDOW, 8 * np.dtype(kind).itemsize)
+    while width < window:
+        shifted = h[:-width] << kind(width) if len(h) > width else h[:0]
         h = h.copy()
         h[width:] += shifted
         width *= 2
     return h
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Different values of a sorted array."""
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 def _inner_cuts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Cuts inside the texts: of each ``WIDTH`` adjacent places of one text,
     all with ``SEEN`` bytes of it before them, the last largest one."""
     if len(buf) < SEEN + WIDTH:
         return np.zeros(0, np.int64)
     value = np.zeros(len(buf), np.int64)  # place i: a cut before byte i
-    value[1:] = (gear_hash(buf)[:-1] & np.uint32(0xFFFF)).astype(np.int64) + 1
+    value[1:] = gear_hash(buf, np.uint16)[:-1]
+    value[1:] += 1
     value[(buf & 0xC0) == 0x80] = 0       # never inside a character
     best, width = value << 32 | np.arange(len(buf)), 1
     while width < WIDTH:
@@ -95,7 +105,7 @@ def _inner_cuts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     np.add.at(whole, lo[lo < hi], 1)
     np.add.at(whole, hi[lo < hi], -1)
     best = best[np.cumsum(whole[:len(best)], dtype=np.int8) > 0]
-    return np.unique(best[best >> 32 > 0] & 0xFFFFFFFF)
+    return _distinct(best[best >> 32 > 0] & 0xFFFFFFFF)  # the largest of a window that moves on never moves back
 
 
 def cut_points(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -267,7 +277,7 @@ def _diagonals(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> Iterator
         i, shift = j, b[1][y] - a[1][x]
         more, less = b[3][y] - a[3][x], np.minimum(b[3][y], a[3][x])
         if not (more.any() or (less > 1).any()):
-            yield np.unique(shift)
+            yield _distinct(np.sort(shift))
             continue
         steps = -(-np.abs(more) // less) + 1
         k = np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps)
@@ -285,20 +295,72 @@ def _diagonals(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> Iterator
         yield np.unique(np.concatenate(found))
 
 
-def equal_stretches(piece: np.ndarray, piece_runs, text: np.ndarray, text_runs) -> list[tuple[int, int, int]]:
+class Text:
+    """A text that stretches are compared with: its bytes between ``EDGE``
+    bytes on either side, its keys, and once asked for the places of each key
+    (none where a stretch is periodic)."""
+
+    def __init__(self, buf: np.ndarray, runs):
+        self.framed = np.zeros(len(buf) + 2 * EDGE, np.uint8)
+        self.framed[EDGE:EDGE + len(buf)] = buf
+        self.runs, self._places = runs, None
+
+    @property
+    def places(self) -> dict[int, list[int]]:
+        if self._places is None:
+            self._places = {}
+            if (self.runs[3] == 1).all():
+                for digest, begin in zip(self.runs[0].tolist(), self.runs[1].tolist()):
+                    self._places.setdefault(digest, []).append(begin)
+        return self._places
+
+
+def _shifts(n: int, piece_runs, text: Text) -> Iterator[np.ndarray]:
+    """The diagonals of a piece, those of a short one with few common keys by
+    looking its keys up."""
+    if n <= EDGE and text.places and (piece_runs[3] == 1).all():
+        found = [(begin, text.places[digest]) for digest, begin in zip(piece_runs[0].tolist(), piece_runs[1].tolist())
+                 if digest in text.places]
+        if sum(len(at) for _, at in found) <= EDGE:
+            yield np.array(sorted({y - begin for begin, at in found for y in at}), np.int64)
+            return
+    yield from _diagonals(piece_runs, text.runs)
+
+
+def equal_stretches(piece: np.ndarray, piece_runs, text: Text) -> list[tuple[int, int, int]]:
     """(begin, end, place in the text) of all equal stretches of
     ``PASSAGE_BYTES`` and more along diagonals with a common key."""
     out = []
-    for shifts in _diagonals(piece_runs, text_runs):
-        for d in shifts.tolist():
-            lo, hi = max(0, -d), min(len(piece), len(text) - d)
-            if hi - lo < PASSAGE_BYTES:
-                continue
-            unlike = (piece[lo:hi] != text[lo + d:hi + d]).nonzero()[0]
-            edges = np.empty(len(unlike) + 2, np.int64)
-            edges[0], edges[1:-1], edges[-1] = -1, unlike, hi - lo
-            for k in (edges[1:] - edges[:-1] > PASSAGE_BYTES).nonzero()[0].tolist():
-                x, y = lo + int(edges[k]) + 1, lo + int(edges[k + 1])
+    framed = text.framed
+    n, size = len(piece), len(framed) - 2 * EDGE
+    for shifts in _shifts(n, piece_runs, text):
+        shifts = shifts[(shifts >= PASSAGE_BYTES - n) & (shifts <= size - PASSAGE_BYTES)]
+        if n > EDGE or len(shifts) <= 2:
+            for d in shifts.tolist():
+                lo, hi = max(0, -d), min(n, size - d)
+                unlike = (piece[lo:hi] != framed[EDGE + lo + d:EDGE + hi + d]).nonzero()[0]
+                edges = np.empty(len(unlike) + 2, np.int64)
+                edges[0], edges[1:-1], edges[-1] = -1, unlike, hi - lo
+                for k in (edges[1:] - edges[:-1] > PASSAGE_BYTES).nonzero()[0].tolist():
+                    x, y = lo + int(edges[k]) + 1, lo + int(edges[k + 1])
+                    out.append((x, y, x + d))
+            continue
+        places = np.ndarray((len(framed) - n + 1, n), np.uint8, framed, 0, (1, 1))  # all stretches of n bytes
+        many = max(1, PAIRS // n)
+        for i in range(0, len(shifts), many):
+            some = shifts[i:i + many]
+            unlike = np.ones((len(some), n + 1), bool)  # a row a diagonal, a border behind each
+            np.not_equal(places[some + EDGE], piece, out=unlike[:, :n])
+            for row in ((some < 0) | (some > size - n)).nonzero()[0].tolist():  # beyond the text
+                unlike[row, :max(0, -int(some[row]))] = True
+                unlike[row, size - int(some[row]):] = True
+            edges = unlike.ravel().nonzero()[0]
+            width = edges.copy()
+            width[0] += 1
+            width[1:] -= edges[:-1]
+            for k in (width > PASSAGE_BYTES).nonzero()[0].tolist():
+                y, d = int(edges[k]) % (n + 1), int(some[edges[k] // (n + 1)])
+                x = y - int(width[k]) + 1
                 out.append((x, y, x + d))
     return out
 
@@ -320,21 +382,32 @@ def _spans(spans: list[tuple[int, int, int]], head: np.ndarray, chars: np.ndarra
     return out
 
 
+def _needed(part: pa.RecordBatch) -> pa.Array:
+    """Rows but for texts that nobody asks: groups of texts alone, unless they
+    are the last one, which may go on."""
+    partner, salt, kind = (part.column(c).to_numpy(zero_copy_only=False) for c in ("partner", "salt", "kind"))
+    group = np.cumsum(np.append(True, (partner[1:] != partner[:-1]) | (salt[1:] != salt[:-1]))) - 1
+    asked = np.bincount(group, kind) > 0
+    asked[-1] = True
+    return pa.array(asked[group])
+
+
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows by (partner, salt), its texts first: passages of the texts and of
     those that ask."""
-    here, texts = None, []  # of the current partner: row, bytes, runs, spans
+    here, texts = None, []  # of the current partner: row, text, spans
 
     def flush(out):
-        for (rid, doc_id, _), buf, _, spans in texts:
+        for (rid, doc_id, _), text, spans in texts:
             if spans:
-                out += [(rid, doc_id, *x) for x in _spans(spans, *_heads(buf), 0)]
+                out += [(rid, doc_id, *x) for x in _spans(spans, *_heads(text.framed[EDGE:-EDGE]), 0)]
 
     def made(rows):
         return pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows], pa.int64())
                                            for i, k in enumerate(("rid", "doc_id", "start", "end", "first_doc"))})
     for batch in batches:
         for part in slices(batch, "data", SLICE):
+            part = part.filter(_needed(part))
             out: list[tuple] = []
             cols = {k: part.column(k).to_pylist() for k in ("partner", "salt", "kind", "rid", "doc_id", "uid", "at")}
             data, off = text_buffers(part.column("data"))
@@ -347,14 +420,14 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     here, texts = group, []
                 buf = data[off[i]:off[i + 1]]
                 if not cols["kind"][i]:
-                    texts.append((row, buf, runs[i], []))
+                    texts.append((row, Text(buf, runs[i]), []))
                     continue
                 spans = []
-                for text in texts:
-                    first = min(row[2], text[0][2])
-                    for x, y, z in equal_stretches(buf, runs[i], text[1], text[2]):
+                for other, text, back in texts:
+                    first = min(row[2], other[2])
+                    for x, y, z in equal_stretches(buf, runs[i], text):
                         spans.append((x, y, first))
-                        text[3].append((z, z + y - x, first))
+                        back.append((z, z + y - x, first))
                 if spans:
                     out += [(*row[:2], *x) for x in _spans(spans, *_heads(buf), cols["at"][i])]
             yield made(out)

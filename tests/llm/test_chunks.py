@@ -191,3 +191,41 @@ def test_askers_of_one_text_are_dealt_out(spark, monkeypatch):
     whole = sorted(map(tuple, chunks.repeated_passages(make(spark, rows)).collect()))
     monkeypatch.setattr(chunks, "ASKERS", 4)
     assert sorted(map(tuple, chunks.repeated_passages(make(spark, rows)).collect())) == whole and len(whole) == 60
+
+
+@pytest.mark.parametrize("edge", [64, 1 << 12])
+def test_stretches_by_every_path_against_all_places(monkeypatch, edge):
+    """Short pieces by looked-up keys, long ones by sorted keys, few diagonals
+    one by one, many at once; pieces reach over both ends of the text."""
+    monkeypatch.setattr(chunks, "EDGE", edge)
+    rng = np.random.default_rng(5)
+    words = [text_of(rng, 12).encode() for _ in range(6)]
+    line = text_of(rng, 130).encode()
+    for case in range(30):
+        def some():
+            return b"".join(words[i] for i in rng.integers(0, len(words), 25))
+        shared = (line, some(), b"ab" * 70)[case % 3]
+        piece = some()[:rng.integers(0, 200)] + shared + some()[:rng.integers(0, 200)]
+        text = some()[:rng.integers(0, 90)] + shared + some() + shared * int(rng.integers(0, 3))
+        a, b = (np.frombuffer(x, np.uint8) for x in (piece, text))
+        runs = [chunks._runs(x, np.array([0, len(x)]))[0] for x in (a, b)]
+        got = chunks.equal_stretches(a, runs[0], chunks.Text(b, runs[1]))
+        want = set()
+        for d in range(-len(a), len(b)):
+            lo, hi = max(0, -d), min(len(a), len(b) - d)
+            at = lo
+            for x in range(lo, hi + 1):
+                if x == hi or a[x] != b[x + d]:
+                    if x - at >= chunks.PASSAGE_BYTES:
+                        want.add((at, x, at + d))
+                    at = x + 1
+        assert len(got) == len(set(got)) and set(got) <= want
+        found, every = ({p for x, y, _ in spans for p in range(x, y)} for spans in (got, want))
+        assert found == every
+
+
+def test_texts_that_nobody_asks_are_left_out():
+    part = pa.RecordBatch.from_pydict({"partner": pa.array([1, 2, 2, 3, 4], pa.int64()),
+                                       "salt": pa.array([0, 0, 0, 0, 0], pa.int32()),
+                                       "kind": pa.array([0, 0, 1, 0, 0], pa.int32())})
+    assert chunks._needed(part).to_pylist() == [False, True, True, False, True]
