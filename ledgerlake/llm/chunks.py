@@ -464,22 +464,24 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _landed_questions(texts: DataFrame) -> DataFrame:
-    """What all texts ask, as a written table. The shuffle files of this write
-    go when it ends: nothing reads them again."""
+    """What all texts ask, as a written table, by way of a table of the
+    repeated keys. The shuffle files of either write go when it ends: nothing
+    reads them again."""
     each = texts.select("uid", "text").mapInArrow(_keyed, "uid long, digests array<long>") \
         .select("uid", F.explode("digests").alias("digest"))
     repeated = each.groupBy("digest").agg(F.min("uid").alias("first"), F.max("uid").alias("last"),
                                           F.count("*").alias("n")).where("first <> last")
-    # by document: a document's own repeated keys, never the copies of a key
-    own = each.join(repeated, "digest").groupBy("uid").agg(
-        F.collect_set(F.struct("digest", "first", "last", "n")).alias("own"))
-    asked = texts.join(own, "uid").select(
-        "doc_id", "uid", "rid", "text", F.col("own.digest").alias("digests"), F.col("own.first").alias("firsts"),
-        F.col("own.last").alias("lasts"), F.col("own.n").alias("counts")).mapInArrow(_asked, ASKED)
     spark = texts.sparkSession
     was = spark.conf.get(FREE_SHUFFLES, "false")
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
+        repeated = landed(repeated, "repeated")
+        # by document: a document's own repeated keys, never the copies of a key
+        own = each.join(repeated, "digest").groupBy("uid").agg(
+            F.collect_set(F.struct("digest", "first", "last", "n")).alias("own"))
+        asked = texts.join(own, "uid").select(
+            "doc_id", "uid", "rid", "text", F.col("own.digest").alias("digests"), F.col("own.first").alias("firsts"),
+            F.col("own.last").alias("lasts"), F.col("own.n").alias("counts")).mapInArrow(_asked, ASKED)
         return landed(asked, "asked")
     finally:
         spark.conf.set(FREE_SHUFFLES, was)
