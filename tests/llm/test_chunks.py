@@ -213,8 +213,9 @@ def test_stretches_by_every_path_against_all_places(monkeypatch, edge):
         want = set()
         for d in range(-len(a), len(b)):
             lo, hi = max(0, -d), min(len(a), len(b) - d)
-            unlike = [lo - 1, *(lo + np.flatnonzero(a[lo:hi] != b[lo + d:hi + d])).tolist(), hi]
-            want |= {(x + 1, y, x + 1 + d) for x, y in zip(unlike[:-1], unlike[1:]) if y - x > chunks.PASSAGE_BYTES}
+            unlike = np.concatenate([[lo - 1], lo + np.flatnonzero(a[lo:hi] != b[lo + d:hi + d]), [hi]])
+            want |= {(int(unlike[k]) + 1, int(unlike[k + 1]), int(unlike[k]) + 1 + d)
+                     for k in np.flatnonzero(np.diff(unlike) > chunks.PASSAGE_BYTES)}
         assert len(got) == len(set(got)) and set(got) <= want
         found, every = ({p for x, y, _ in spans for p in range(x, y)} for spans in (got, want))
         assert found == every
