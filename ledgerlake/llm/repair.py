@@ -2,9 +2,9 @@
 
 Texts are encoded with a public tokenizer file, an end id closes each
 document, and documents are dealt in ascending ``doc_id`` order to contiguous
-shards. Each shard is a sequence of blocks; a block is one grammar: pairs of
-symbols that occur often are replaced by new symbols in ``ROUNDS`` rounds, and
-the block stores the rules, the expansion length of every symbol and the
+shards. Each shard is a sequence of blocks; a block is one grammar: the most
+frequent pair of symbols is replaced by a new symbol until no pair occurs twice,
+and the block stores the rules, the expansion length of every symbol and the
 remaining sequence. Decoding any range of ids touches only the symbols whose
 expansions cover it.
 
@@ -14,10 +14,12 @@ File format (one Parquet row per block, written by Spark's commit protocol):
 shard, block          position of the block; blocks of a shard are in order
 n_tokens              ids the block expands to
 doc_ids, doc_tokens   documents of the block and their id counts
-rules                 uint16/uint32 pairs; rule k defines symbol base + k
+width                 bytes of a symbol, 2 or (when symbols need it) 4
+rules                 pairs of symbols; rule k defines symbol base + k
 base                  first nonterminal
 rule_len              uint32 expansion length of each rule
-seq                   the sequence, uint16 (uint32 when symbols need it)
+seq                   the sequence of symbols (both: lower 16 bits of all, then
+                      with width 4 the upper 16 bits of all)
 skip                  uint32 expansion offset of every ``SKIP``-th symbol
 ====================  =====================================================
 
@@ -42,13 +44,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ledgerlake.llm.common import range_bucket, shuffle_partitions, take_columns, workers_can_import
 
 BLOCK_TOKENS = 1 << 19   # ids per grammar (a longer document has a block of its own)
-ROUNDS = 2               # replacement rounds
-MIN_COUNT = 4            # a rule must replace at least so many pairs
-SYMBOLS = 1 << 16        # nonterminals fill the rest of 16 bits
+MIN_COUNT = 2            # pairs are replaced until none occurs so often
+BAND = 0.9               # pairs looked at in one step: down to this part of the largest count,
+AT_ONCE = 4096           # at most so many (steps only group replacements, their order is exact)
+LISTED = 0.6             # places are listed of pairs down to this part of the largest count
 SKIP = 256
 CACHED_PIECES = 1_000_000  # distinct pieces whose ids a worker remembers
 JOINED = 2000            # unknown pieces encoded as one text
-DTYPE = {2: np.uint16, 4: np.uint32}
 
 BLOCKS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()),
                     ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())),
@@ -58,69 +60,181 @@ BLOCKS_DDL = ("shard int, block int, n_tokens long, doc_ids array<long>, doc_tok
               "width int, rules binary, rule_len binary, seq binary, skip binary")
 
 
-_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+# ------------------------------------------------------------------ grammar
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes, place of each code among them)"""
+    coded = pa.array(codes).dictionary_encode()
+    return (np.frombuffer(coded.dictionary.buffers()[1], np.int64, len(coded.dictionary)),
+            np.frombuffer(coded.indices.buffers()[1], np.int32, len(codes)))
 
-# ------------------------------------------------------------------ grammar
 
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, least: int = MIN_COUNT,
-             symbols: int = SYMBOLS) -> tuple[np.ndarray, np.ndarray]:
-    """(sequence, rules): every round counts the pairs of the sequence, gives
-    the most frequent ones new symbols and replaces them, the more frequent
-    of two overlapping pairs first. Symbols stay below ``symbols``.
+def _in_order(count: np.ndarray, twin: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs can be replaced at once, with the same result as one after
+    the other, always the most frequent one.
 
-    Pairs are counted in a hash table; of pairs that meet in a slot one is
-    counted in this round, and other rounds use other hashes.
+    Pairs are ranked by ``count``, descending; ``left`` and ``right`` are the
+    ranks of every two places that share a symbol. A pair that shares no symbol
+    with a replaced one keeps its count, so it has its turn while that is not
+    below what the others can still reach: a pair that waits reaches its count
+    less the places it lost, a pair with a new symbol the number of shared
+    symbols it comes from. For a pair of equal symbols (``twin``), whose count
+    depends on whole runs, its own count is the bound.
     """
-    seq = ids.astype(np.uint32)
-    rules = np.zeros((0, 2), np.uint32)
-    bits = max(10, min(21, int(len(seq)).bit_length() + 1))
-    for left in range(rounds, 0, -1):
-        room = -(-(symbols - base - len(rules)) // left)
-        if len(seq) < 2 * least or room <= 0:
+    n = len(count)
+    high, low = np.maximum(left, right), np.minimum(left, right)
+    key = (high * n + low) * 2 + (left < right)
+    if 2 * n * n <= 1 << 18:
+        times = np.bincount(key, minlength=1)
+        key = np.flatnonzero(times)
+        times = times[key]
+    else:
+        key, times = np.unique(key, return_counts=True)
+    meet = list(zip((key // (2 * n)).tolist(), (key // 2 % n).tolist(), (key & 1).tolist(), times.tolist()))
+    own = set(np.flatnonzero(twin).tolist())
+    if own:
+        meet = sorted(meet + [(rank, rank, 0, 0) for rank in own])
+    counts, now = count.tolist(), [True] * n
+    least = i = 0
+    while i < len(meet):
+        rank = meet[i][0]
+        if counts[rank] < least:
             break
-        if symbols <= 1 << 16:  # a pair fits 32 bits
-            kind, half = np.uint32, np.uint32(16)
-            code = (seq[:-1] << half) | seq[1:]
+        sides, replaced, waiting = [0, 0], 0, 0
+        while i < len(meet) and meet[i][0] == rank:
+            _, other, side, k = meet[i]
+            i += 1
+            if other == rank:
+                continue
+            if now[other]:
+                sides[side] += k
+                replaced = max(replaced, k)
+            else:
+                waiting = max(waiting, k)
+        if replaced:
+            now[rank] = False
+        if rank in own:
+            bound = counts[rank]
+        elif replaced:
+            bound = max(counts[rank] - max(sides), replaced)
         else:
-            kind, half = np.uint64, np.uint64(32)
-            code = (seq[:-1].astype(np.uint64) << half) | seq[1:]
-        width = 8 * kind().itemsize
-        slot = (code * kind(_MULTIPLIERS[left % len(_MULTIPLIERS)] >> (64 - width) | 1)) >> kind(width - bits)
-        owner = np.zeros(1 << bits, kind)
-        owner[slot] = code
-        counted = owner[slot] == code
-        count = np.bincount(slot[counted], minlength=1 << bits)
-        slots = np.flatnonzero(count >= least)
-        slots = slots[np.lexsort((owner[slots], -count[slots]))][:room]
-        if not len(slots):
-            break
-        rank = np.full(1 << bits, len(slots), np.int32)
-        rank[slots] = np.arange(len(slots), dtype=np.int32)
-        which = np.where(counted, rank[slot], np.int32(len(slots)))
-        # a pair goes when its rank beats the pairs that overlap it
-        go = which < len(slots)
-        go[1:] &= which[1:] < which[:-1]
-        go[:-1] &= which[:-1] <= which[1:]
-        where = np.flatnonzero(go)
-        used = np.zeros(len(slots), bool)
-        used[which[where]] = True
-        if not used.any():
+            bound = waiting
+        least = max(least, bound)
+    return np.array(now) & (count >= least)
+
+
+def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence, rules) of Re-Pair: the most frequent pair gets a new symbol
+    and is replaced, again and again, until no pair occurs ``least`` times.
+
+    All pairs are counted exactly (in a run of one symbol every other one, as
+    replacement from the left takes them); counts follow each replacement
+    through a linked list of places. Of equally frequent pairs any may come
+    first; ``_in_order`` finds those that are replaced in one step.
+    """
+    n = len(ids)
+    symbol = np.concatenate([[-1], ids, [-1]]).astype(np.int32)  # -1 before and after, -2 a place that is gone
+    after, before = np.arange(1, n + 3, dtype=np.int32), np.arange(-1, n + 1, dtype=np.int32)
+    pair = np.zeros(n + 2, np.int32)       # number of the pair that begins here; 0: none that counts
+    count, code = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)  # of each pair number
+    pairs, made, rules = 1, base, []
+    twins: dict[int, int] = {}             # symbol -> its pair with itself
+    twin_at = np.zeros(0, np.int64)        # places of such pairs in runs
+    listed = np.zeros(n + 2, bool)
+    hot, hot_least = None, 0               # places of pairs that counted hot_least when listed
+    changed, gone = np.arange(1, n), 0
+    while True:
+        # pairs at changed places hold a new symbol, so none has a number yet
+        first, second = symbol[changed], symbol[after[changed]]
+        codes, at = _distinct((first.astype(np.int64) << 32) | second)
+        times = np.bincount(at, minlength=len(codes))
+        often = np.flatnonzero(times >= least)
+        end = pairs + len(often)
+        while end > len(count):
+            count, code = np.append(count, np.zeros_like(count)), np.append(code, np.zeros_like(code))
+        number = np.zeros(len(codes), np.int32)
+        number[often] = np.arange(pairs, end, dtype=np.int32)
+        count[pairs:end], code[pairs:end] = times[often], codes[often]
+        pair[changed] = number[at]
+        pairs = end
+        shown = np.zeros(0, np.int64)
+        fresh = changed[first == second]
+        if len(fresh) or len(twin_at):
+            twins.update(zip(symbol[fresh].tolist(), pair[fresh].tolist()))
+            twin_at = twin_at[symbol[twin_at] == symbol[after[twin_at]]]
+            twin_at = np.unique(np.concatenate([twin_at, fresh]))
+            begins = np.ones(len(twin_at), bool)
+            begins[1:] = after[twin_at[:-1]] != twin_at[1:]
+            number = np.arange(len(twin_at))
+            odd = (number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 1
+            hidden, shown = twin_at[odd], twin_at[~odd]
+            np.subtract.at(count, pair[hidden], 1)
+            pair[hidden] = 0
+            shown = shown[pair[shown] == 0]
+            pair[shown] = [twins[x] for x in symbol[shown].tolist()]
+            np.add.at(count, pair[shown], 1)
+            twin_at = twin_at[~(begins & np.append(begins[1:], True))]
+        count[0] = 0
+        top = int(count[:pairs].max())
+        if top < least:
             break
-        new = (base + len(rules) + np.cumsum(used) - 1).astype(np.uint32)
-        seq[where] = new[which[where]]
-        stay = np.ones(len(seq), bool)
-        stay[where + 1] = False
-        seq = seq[stay]
-        chosen = owner[slots[used]]
-        rules = np.concatenate([rules, np.stack([chosen >> half, chosen & ((kind(1) << half) - kind(1))], 1)
-                                .astype(np.uint32)])
-    return seq, rules
+        # the most frequent pairs, their places and where two of them meet
+        lowest = max(least, int(top * BAND))
+        if hot is None or lowest < hot_least:
+            hot_least = max(least, int(top * LISTED))
+            listed[:] = (count[:pairs] >= hot_least)[pair]
+            hot = np.flatnonzero(listed).astype(np.int32)
+        else:
+            more = np.concatenate([changed, shown])
+            more = more[(count[pair[more]] >= hot_least) & ~listed[more]]
+            listed[more] = True
+            hot = np.concatenate([hot, more.astype(np.int32)])
+        best = np.flatnonzero(count[:pairs] >= lowest)
+        best = best[np.argsort(-count[best], kind="stable")[:AT_ONCE]]
+        rank = np.full(pairs, len(best), np.int32)
+        rank[best] = np.arange(len(best), dtype=np.int32)
+        rank_at = rank[pair[hot]]
+        here = np.flatnonzero(rank_at < len(best))
+        where, rank_at = hot[here], rank_at[here]
+        rank_next = rank[pair[after[where]]]
+        meet = np.flatnonzero(rank_next < len(best))
+        of = code[best]
+        go = _in_order(count[best], of >> 32 == of & 0xFFFFFFFF, rank_at[meet].astype(np.int64),
+                       rank_next[meet].astype(np.int64))
+        # replace: the right place of each pair goes, its neighbours' pairs change
+        rules.append(np.stack([of[go] >> 32, of[go] & 0xFFFFFFFF], 1))
+        new = (made - 1 + np.cumsum(go)).astype(np.int32)
+        here = np.flatnonzero(go[rank_at])
+        where, rank_at = where[here], rank_at[here]
+        right = after[where]
+        np.subtract.at(count, pair[right], 1)
+        pair[right] = pair[where] = 0
+        np.subtract.at(count, pair[before[where]], 1)
+        count[best[go]] = 0
+        symbol[where], symbol[right] = new[rank_at], -2
+        after[where] = after[right]
+        before[after[where]] = where
+        left = before[where]
+        changed = np.concatenate([where, left[symbol[left] < made]])
+        pair[changed] = 0
+        changed = changed[(symbol[changed] >= 0) & (symbol[after[changed]] >= 0)]
+        twin_at = twin_at[symbol[twin_at] != -2]
+        made += int(go.sum())
+        gone += len(where)
+        if 4 * gone > len(symbol):
+            stay = symbol != -2
+            to = np.cumsum(stay) - 1
+            changed, twin_at = to[changed], to[twin_at]
+            symbol, pair, listed = symbol[stay], pair[stay], listed[stay]
+            after = np.arange(1, len(symbol) + 1, dtype=np.int32)
+            before = np.arange(-1, len(symbol) - 1, dtype=np.int32)
+            hot, gone = None, 0
+    return symbol[symbol >= 0].astype(np.uint32), np.concatenate([np.zeros((0, 2)), *rules]).astype(np.uint32)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
-    """Ids that each rule expands to. Rules only use earlier symbols, and all
-    rules of a round use symbols of earlier rounds, so a few passes settle."""
+    """Ids that each rule expands to. Rules only use earlier symbols, so passes
+    as many as the grammar is deep settle."""
     length = np.ones(base + len(rules), np.int64)
     own = length[base:]
     while True:
@@ -155,6 +269,21 @@ def _gather(symbols: np.ndarray, spelled: np.ndarray, begin: np.ndarray, length:
     return spelled[at]
 
 
+def _to_bytes(symbols: np.ndarray, width: int) -> bytes:
+    """Lower halves of all symbols, then (width 4) the upper ones, which are
+    nearly all alike and cost little in the compressed file."""
+    low = symbols.astype(np.uint16).tobytes()
+    return low if width == 2 else low + (symbols >> 16).astype(np.uint16).tobytes()
+
+
+def _from_bytes(raw: bytes, width: int) -> np.ndarray:
+    halves = np.frombuffer(raw, np.uint16)
+    if width == 2:
+        return halves
+    low, high = np.split(halves, 2)
+    return low | (high.astype(np.uint32) << 16)
+
+
 def pack_block(ids: np.ndarray, base: int) -> dict:
     seq, rules = compress(ids, base)
     width = 2 if base + len(rules) <= 1 << 16 else 4
@@ -163,14 +292,13 @@ def pack_block(ids: np.ndarray, base: int) -> dict:
     high = seq >= base
     length[high] = rule_len[seq[high] - base]
     at = np.cumsum(length) - length
-    return {"n_tokens": len(ids), "base": base, "width": width, "rules": rules.astype(DTYPE[width]).tobytes(),
-            "rule_len": rule_len.tobytes(), "seq": seq.astype(DTYPE[width]).tobytes(),
+    return {"n_tokens": len(ids), "base": base, "width": width, "rules": _to_bytes(rules, width),
+            "rule_len": rule_len.tobytes(), "seq": _to_bytes(seq, width),
             "skip": at[::SKIP].astype(np.uint32).tobytes()}
 
 
 def unpack(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    kind = DTYPE[block["width"]]
-    return (np.frombuffer(block["seq"], kind), np.frombuffer(block["rules"], kind).reshape(-1, 2),
+    return (_from_bytes(block["seq"], block["width"]), _from_bytes(block["rules"], block["width"]).reshape(-1, 2),
             np.frombuffer(block["rule_len"], np.uint32), np.frombuffer(block["skip"], np.uint32))
 
 

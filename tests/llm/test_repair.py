@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -75,3 +76,48 @@ def test_random_access_reads_from_files(spark):
     report = repair.compression_report(spark, path).collect()
     assert sum(r["n_tokens"] for r in report) == sum(r["n_tokens"] for r in whole.values())
     assert all(r["n_symbols"] < r["n_tokens"] for r in report)
+
+
+def pair_counts(seq):
+    """Non-overlapping occurrences of every pair, from the left."""
+    counts, last = Counter(), {}
+    for i, pair in enumerate(zip(seq, seq[1:])):
+        if pair[0] != pair[1] or last.get(pair) != i - 1:
+            counts[pair] += 1
+            last[pair] = i
+    return counts
+
+
+def replaced(seq, pair, symbol):
+    out, i = [], 0
+    while i < len(seq):
+        hit = tuple(seq[i:i + 2]) == pair
+        out.append(symbol if hit else seq[i])
+        i += 2 if hit else 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_every_rule_replaces_the_most_frequent_pair_until_none_occurs_twice(seed):
+    rng = np.random.default_rng(seed)
+    words = [rng.integers(0, rng.integers(1, 20), rng.integers(1, 6)) for _ in range(rng.integers(1, 12))]
+    ids = np.concatenate([words[i] for i in rng.integers(0, len(words), 80)]).astype(np.uint32)
+    seq, rules = repair.compress(ids, 20)
+    now = ids.tolist()
+    for k, pair in enumerate(map(tuple, rules.tolist())):
+        counts = pair_counts(now)
+        assert counts[pair] == max(counts.values()) >= 2
+        now = replaced(now, pair, 20 + k)
+    assert now == seq.tolist()
+    assert max(pair_counts(now).values(), default=0) < 2
+
+
+def test_no_pair_is_left_when_symbols_pass_16_bits():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 65000, (3000, 3))
+    ids = words[rng.integers(0, 3000, 30000)].ravel().astype(np.uint32)
+    block = repair.pack_block(ids, 65000)
+    seq, rules, rule_len, _ = repair.unpack(block)
+    assert len(rules) > 1 << 11 and block["width"] == 4
+    assert max(pair_counts(seq.tolist()).values()) < 2
+    assert repair.decode_range(block, 44001, 500).tolist() == ids[44001:44501].tolist()
