@@ -41,13 +41,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerlake.llm.common import range_bucket, shuffle_partitions, take_columns, workers_can_import
+from ledgerlake.llm.common import broadcast_if_small, range_bucket, shuffle_partitions, take_columns, workers_can_import
 
 BLOCK_TOKENS = 1 << 19   # ids per grammar (a longer document has a block of its own)
 MIN_COUNT = 2            # pairs are replaced until none occurs so often
 BAND = 0.9               # pairs looked at in one step: down to this part of the largest count,
 AT_ONCE = 4096           # at most so many (steps only group replacements, their order is exact)
-LISTED = 0.6             # places are listed of pairs down to this part of the largest count
+STARTS = 1_000_000       # block starts that are broadcast (beyond: a shuffled join)
+LISTED = 0.5             # places are listed of pairs down to this part of the largest count
 SKIP = 256
 CACHED_PIECES = 1_000_000  # distinct pieces whose ids a worker remembers
 JOINED = 2000            # unknown pieces encoded as one text
@@ -158,10 +159,11 @@ def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.nda
         pair[changed] = number[at]
         pairs = end
         shown = np.zeros(0, np.int64)
-        fresh = changed[first == second]
-        if len(fresh) or len(twin_at):
+        fresh = changed[(first == second) & (pair[changed] > 0)]
+        in_runs = len(twin_at)
+        twin_at = twin_at[(symbol[twin_at] >= 0) & (symbol[twin_at] == symbol[after[twin_at]])]
+        if len(fresh) or len(twin_at) < in_runs:  # else all runs are as they were
             twins.update(zip(symbol[fresh].tolist(), pair[fresh].tolist()))
-            twin_at = twin_at[symbol[twin_at] == symbol[after[twin_at]]]
             twin_at = np.unique(np.concatenate([twin_at, fresh]))
             begins = np.ones(len(twin_at), bool)
             begins[1:] = after[twin_at[:-1]] != twin_at[1:]
@@ -171,7 +173,7 @@ def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.nda
             np.subtract.at(count, pair[hidden], 1)
             pair[hidden] = 0
             shown = shown[pair[shown] == 0]
-            pair[shown] = [twins[x] for x in symbol[shown].tolist()]
+            pair[shown] = [twins.get(x, 0) for x in symbol[shown].tolist()]
             np.add.at(count, pair[shown], 1)
             twin_at = twin_at[~(begins & np.append(begins[1:], True))]
         count[0] = 0
@@ -218,12 +220,12 @@ def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.nda
         changed = np.concatenate([where, left[symbol[left] < made]])
         pair[changed] = 0
         changed = changed[(symbol[changed] >= 0) & (symbol[after[changed]] >= 0)]
-        twin_at = twin_at[symbol[twin_at] != -2]
         made += int(go.sum())
         gone += len(where)
         if 4 * gone > len(symbol):
             stay = symbol != -2
             to = np.cumsum(stay) - 1
+            to[~stay] = 0  # the place before: no run goes there
             changed, twin_at = to[changed], to[twin_at]
             symbol, pair, listed = symbol[stay], pair[stay], listed[stay]
             after = np.arange(1, len(symbol) + 1, dtype=np.int32)
@@ -486,7 +488,7 @@ def read_token_blocks(spark: SparkSession, path: str) -> DataFrame:
     starts = (sizes.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
               .join(per_shard, "shard")
               .select("shard", "block", (F.col("shard_start") + F.col("inside")).alias("start")))
-    return blocks.join(starts, ["shard", "block"])
+    return blocks.join(broadcast_if_small(starts, STARTS), ["shard", "block"])
 
 
 def _documents_of(digest_only: bool):
