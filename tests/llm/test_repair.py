@@ -121,3 +121,12 @@ def test_no_pair_is_left_when_symbols_pass_16_bits():
     assert len(rules) > 1 << 11 and block["width"] == 4
     assert max(pair_counts(seq.tolist()).values()) < 2
     assert repair.decode_range(block, 44001, 500).tolist() == ids[44001:44501].tolist()
+
+
+def test_no_pair_occurs_twice_in_any_block_of_the_files(spark):
+    path = scratch_path(spark, "whole-grammars")
+    repair.write_token_shards(docs(spark), tokenizer_path(), path, shards=2)
+    blocks = repair.read_token_blocks(spark, path).collect()
+    assert blocks
+    for b in blocks:
+        assert max(pair_counts(repair.unpack(b.asDict())[0].tolist()).values(), default=0) < 2
