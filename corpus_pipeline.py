@@ -26,9 +26,12 @@ WIDTH, PERCENT = 5, 80   # near-duplicates: word shingles and similarity
 
 #: One executor runs stages with different Python workers one after the other;
 #: idle ones keep what their allocator holds. Freed arrays go back to the
-#: system, and Spark hands over documents in batches of some 8 MB.
-WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2",
+#: system, and Spark hands over documents in batches of some 8 MB. Arrays of up
+#: to 4 MB (a block of ids, a slice of letters) are taken from the heap again:
+#: fresh pages for each of them cost as much CPU time as the work on them.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "4194304", "MALLOC_TRIM_THRESHOLD_": "16777216", "MALLOC_ARENA_MAX": "2",
                  "ARROW_DEFAULT_MEMORY_POOL": "system"}
+LETTERS_SLICE = 1 << 18  # text scored at once (its arrays stay below 4 MB)
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
@@ -52,7 +55,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             return np.zeros(len(texts), bool)
         _, posterior, letters = langid.score(own, *langid.letters(texts))
         return letters & (posterior >= MIN_POSTERIOR)
-    return filter_rows(docs, keep, langid.SLICE)
+    return filter_rows(docs, keep, LETTERS_SLICE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

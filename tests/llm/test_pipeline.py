@@ -1,4 +1,7 @@
+import os
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import corpus_pipeline as cp
@@ -63,3 +66,36 @@ def test_edge_rows_and_empty_table(spark):
         assert df.columns == edge_docs(spark).columns
     assert {r["doc_id"] for r in out[1].collect()} >= {4, 7, 8}
     assert all(df.count() == 0 for df in staged(spark, empty_docs(spark)))
+
+
+#: Page faults of scoring a slice of letters and of a block's grammar, once
+#: warm, and MB that stay when 100 MB of larger arrays are freed.
+WORKER = """
+import resource
+import numpy as np
+import corpus_pipeline as cp
+from ledgerlake.llm import langid, repair
+
+faults = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+resident = lambda: int(open("/proc/self/statm").read().split()[1]) * resource.getpagesize() >> 20
+rng = np.random.default_rng(1)
+ids = rng.integers(0, 3000, (5000, 4))[rng.integers(0, 5000, 1 << 17)].ravel().astype(np.uint32)
+code = rng.choice(np.array([32, 97, 98, 99], np.uint32), cp.LETTERS_SLICE)
+model = langid.Model(["a", "b"], np.zeros((2, langid.BUCKETS), np.float32), np.zeros(2))
+for work in (lambda: langid.score(model, code, np.array([0, len(code)])), lambda: repair.pack_block(ids, 3000)):
+    work()
+    before = faults()
+    work()
+    print(faults() - before)
+before = resident()
+held = [np.ones(1 << 20) for _ in range(12)]
+del held
+print(resident() - before)
+"""
+
+
+def test_workers_keep_their_pages_and_give_large_arrays_back():
+    out = subprocess.run([sys.executable, "-c", WORKER], check=True, capture_output=True, text=True, timeout=120,
+                         env={**os.environ, **cp.WORKER_MEMORY, "PYTHONPATH": os.path.dirname(cp.__file__)})
+    scored, packed, kept = map(int, out.stdout.split())
+    assert scored < 3000 and packed < 20000 and kept < 20
