@@ -130,3 +130,47 @@ def test_no_pair_occurs_twice_in_any_block_of_the_files(spark):
     assert blocks
     for b in blocks:
         assert max(pair_counts(repair.unpack(b.asDict())[0].tolist()).values(), default=0) < 2
+
+
+def test_words_are_remembered_apart_from_marks_and_line_feeds():
+    enc = repair.Encoder(tokenizer_path())
+    enc.encode(["see the.\nThen the,\nthe (the)", "see the!"])
+    assert set(enc.known) == {b"see", b" the", b".", b"\n", b"Then", b",", b"the", b" (", b")", b"!"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_odd_texts_encode_as_the_tokenizer_does(seed, monkeypatch):
+    from tokenizers import Tokenizer
+    tok, enc = Tokenizer.from_file(tokenizer_path()), repair.Encoder(tokenizer_path())
+    monkeypatch.setattr(repair, "CACHED_PIECES", 500)
+    rng = np.random.default_rng(seed)
+    parts = np.array([*"abBst019'.,-$<|>", " ", "  ", "\n", "\n", "\r\n", "\t", "\x00", "\x1c", "\x85", "\xa0", "é", "ß", "×",
+                      "ÿ", "ª", "中", "　", " ", "“", "é", "'s", "'re", "<|endoftext|>", "x" * 70],
+                     dtype=object)
+    for _ in range(3):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(500)]
+        assert [g.tolist() for g in enc.encode(texts)] == \
+            [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert 0 < len(enc.known) <= 500 and max(map(len, enc.known)) <= repair.PIECE_BYTES
+
+
+def test_places_are_looked_at_a_few_times_only(monkeypatch):
+    looked = []
+    ranges = repair._ranges
+    monkeypatch.setattr(repair, "_ranges", lambda begins, sizes: looked.append(int(sizes.sum())) or ranges(begins, sizes))
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 5000, (4000, 5))
+    ids = words[(4000 * rng.random(20000) ** 3).astype(int)].ravel().astype(np.uint32)
+    seq, rules = repair.compress(ids, 5000)
+    assert repair.expand(seq, rules, repair.expansion_lengths(rules, 5000), 5000).tolist() == ids.tolist()
+    assert sum(looked) < 6 * len(ids)
+
+
+def test_pairs_are_the_same_when_they_do_not_fit_one_number():
+    rng = np.random.default_rng(4)
+    first, second = rng.integers(0, 9, (2, 500)).astype(np.int32)
+    places = rng.permutation(500)
+    for a, b in zip(repair._grouped(first, second, places, 4), repair._grouped(first, second, places, 30)):
+        assert len(a) == len(b)
+    one, two = (repair._grouped(first, second, np.sort(places), bits) for bits in (4, 30))
+    assert all(np.array_equal(a, b) for a, b in zip(one, two))
