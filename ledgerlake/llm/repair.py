@@ -54,7 +54,7 @@ LISTED = 0.5             # pairs are kept in sight down to this part of the larg
 SKIP = 256
 CACHED_PIECES = 1_000_000  # distinct pieces whose ids a worker remembers,
 PIECE_BYTES = 64         # none longer than this
-JOINED = 500             # unknown words encoded as one text
+JOINED = 100             # unknown words encoded as one text
 TEXT_BYTES = 2 << 20     # text encoded at once
 
 BLOCKS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()),
@@ -178,12 +178,12 @@ def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.nda
     listed, filled = np.zeros(n + 1, np.int64), 0
     pairs, made, rules = 1, base, []
     twins: dict[int, int] = {}             # symbol -> its pair with itself
-    twin_at = np.zeros(0, np.int64)        # places of such pairs in runs
+    twin_at = np.zeros(0, np.int64)        # places of such pairs in runs of three and more,
+    twin_of = np.zeros(0, np.int32)        # and their symbols
     front, floor = np.zeros(0, np.int64), 1 << 62  # pairs that counted floor when looked at last
-    changed = np.arange(1, n)
+    changed, first, second = np.arange(1, n), symbol[1:n], symbol[2:n + 1]
     while True:
         # pairs at changed places hold a new symbol, so none has a number yet
-        first, second = symbol[changed], symbol[after[changed]]
         fresh = changed[first == second]
         places, times, codes = _grouped(first, second, changed, made.bit_length())
         often = times >= least
@@ -201,24 +201,28 @@ def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.nda
         filled += len(places)
         pair[places] = np.repeat(np.arange(pairs, end), times)
         fresh = fresh[pair[fresh] > 0]
-        in_runs = len(twin_at)
-        if in_runs:
-            twin_at = twin_at[(symbol[twin_at] >= 0) & (symbol[twin_at] == symbol[after[twin_at]])]
-        if len(fresh) or len(twin_at) < in_runs:  # else all runs are as they were
+        lost = np.zeros(0, bool)
+        if len(twin_at):
+            lost = (symbol[twin_at] != twin_of) | (symbol[after[twin_at]] != twin_of)
+        if len(fresh) or lost.any():  # else all runs are as they were
             twins.update(zip(symbol[fresh].tolist(), pair[fresh].tolist()))
-            twin_at = np.sort(np.concatenate([twin_at, fresh]))
-            twin_at = twin_at[np.append(True, twin_at[1:] > twin_at[:-1])] if len(twin_at) else twin_at
-            begins = np.ones(len(twin_at), bool)
-            begins[1:] = after[twin_at[:-1]] != twin_at[1:]
-            number = np.arange(len(twin_at))
+            touched = np.zeros(made, bool)  # symbols whose runs lost places
+            touched[twin_of[lost]] = True
+            again = touched[twin_of]
+            runs = np.sort(np.concatenate([twin_at[again & ~lost], fresh]))
+            begins = np.ones(len(runs), bool)
+            begins[1:] = after[runs[:-1]] != runs[1:]
+            number = np.arange(len(runs))
             odd = (number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 1
-            hidden, shown = twin_at[odd], twin_at[~odd]
+            hidden, shown = runs[odd], runs[~odd]
             np.subtract.at(count, pair[hidden], 1)
             pair[hidden] = 0
             shown = shown[pair[shown] == 0]
             pair[shown] = [twins.get(x, 0) for x in symbol[shown].tolist()]
             np.add.at(count, pair[shown], 1)
-            twin_at = twin_at[~(begins & np.append(begins[1:], True))]
+            runs = runs[~(begins & np.append(begins[1:], True))]
+            twin_at, twin_of = (np.concatenate([twin_at[~again], runs]),
+                                np.concatenate([twin_of[~again], symbol[runs]]))
         count[0] = 0
         # the most frequent pairs; counts of pairs that have a number only fall
         front = np.concatenate([front, pairs + np.flatnonzero(count[pairs:end] >= floor)])
@@ -246,7 +250,7 @@ def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.nda
         of = code[best]
         go = _in_order(count[best], of >> 32 == of & 0xFFFFFFFF, rank_at[meet], rank_next[meet])
         # replace: the right place of each pair goes, its neighbours' pairs change
-        rules.append(np.stack([of[go] >> 32, of[go] & 0xFFFFFFFF], 1))
+        rules.append(of[go])
         new = (made - 1 + np.cumsum(go)).astype(np.int32)
         if not go.all():
             here = np.flatnonzero(go[rank_at])
@@ -256,16 +260,22 @@ def compress(ids: np.ndarray, base: int, least: int = MIN_COUNT) -> tuple[np.nda
         pair[right] = pair[where] = 0
         np.subtract.at(count, pair[before[where]], 1)
         count[best[go]] = 0
-        symbol[where], symbol[right] = new[rank_at], -2
+        own = new[rank_at]
+        symbol[where], symbol[right] = own, -2
         beyond = after[right]
         after[where] = beyond
         before[beyond] = where
         left = before[where]
-        changed = np.concatenate([where, left[symbol[left] < made]])
-        pair[changed] = 0
-        changed = changed[(symbol[changed] >= 0) & (symbol[after[changed]] >= 0)]
+        before_it, behind = symbol[left], symbol[beyond]
+        on_left, on_right = np.flatnonzero((before_it >= 0) & (before_it < made)), np.flatnonzero(behind >= 0)
+        left = left[on_left]
+        pair[left] = 0
+        changed = np.concatenate([where[on_right], left])
+        first = np.concatenate([own[on_right], before_it[on_left]])
+        second = np.concatenate([behind[on_right], own[on_left]])
         made += len(rules[-1])
-    return symbol[symbol >= 0].astype(np.uint32), np.concatenate([np.zeros((0, 2)), *rules]).astype(np.uint32)
+    rules = np.concatenate([np.zeros(0, np.int64), *rules])
+    return symbol[symbol >= 0].astype(np.uint32), np.stack([rules >> 32, rules & 0xFFFFFFFF], 1).astype(np.uint32)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -448,7 +458,8 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
-        self.tok, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tok = Tokenizer.from_file(path)
+        self.words = Tokenizer(self.tok.model)
         self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.size = self.tok.get_vocab_size()
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
@@ -511,11 +522,12 @@ class Encoder:
         raw, off = text_buffers(texts)
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        data = raw.tobytes()
         whole = [np.flatnonzero(pc.match_substring(texts, x).fill_null(False).to_numpy(zero_copy_only=False))
-                 for x in self.added]
+                 for x in self.added if x.encode() in data]
         starts = _pieces(raw, off, np.concatenate([np.zeros(0, np.int64), *whole]))
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [
-            None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
+            None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(data)]).dictionary_encode()
         pieces = coded.dictionary.to_numpy(zero_copy_only=False)
         number = np.fromiter(map(self.known.get, pieces.tolist(), repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(number < 0)
